@@ -223,3 +223,125 @@ def q_export_ndjson(spark, sf_dir):
                         F.variant_get(v, "$._index", "string").alias("_index"),
                         F.variant_get(v, "$._source.event_type", "string").alias("event_type"),
                         F.variant_get(v, "$._source.props.k", "bigint").alias("k"))
+
+
+# ---------------------------------------------------------------- query lists
+from ..operators.multiquery import batch_query, multi_query, multi_query_cap  # noqa: E402
+from ..sources.ndjson import scan_query_list  # noqa: E402
+
+
+def write_query_list(lines: DataFrame, order_col: str, path: str) -> str:
+    """Write a query file (one JSON object per line) in ``order_col`` order.
+
+    The sort range-partitions the lines; part files are named in partition
+    order, so file order is line order.
+    """
+    lines.orderBy(order_col).select(F.col("line").alias("value")).write.mode("errorifexists").text(path)
+    return path
+
+
+def customer_query_list(spark, sf_dir) -> str:
+    """One should-of-terms line per customer: two customers, or a customer and an order key."""
+    c = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey")
+    one_field = F.format_string(
+        '{"bool":{"should":[{"term":{"o_custkey":{"value":"%d"}}},{"term":{"o_custkey":{"value":"%d"}}}]}}',
+        key, key + 1)
+    two_fields = F.format_string(
+        '{"bool":{"should":[{"term":{"o_custkey":%d}},{"term":{"o_orderkey":{"value":%d}}}]}}',
+        key, key * 10)
+    lines = c.select("c_custkey", F.when(F.col("c_mktsegment") == "BUILDING", two_fields)
+                     .otherwise(one_field).alias("line"))
+    return write_query_list(lines, "c_custkey", scratch_path(spark, "customer-queries"))
+
+
+def order_query_list(spark, sf_dir) -> str:
+    """One term line per order, addressed to line items (the large batch)."""
+    o = table(spark, sf_dir, "orders")
+    line = F.to_json(F.named_struct(F.lit("term"), F.named_struct(F.lit("l_orderkey"), F.col("o_orderkey"))))
+    return write_query_list(o.select("o_orderkey", line.alias("line")), "o_orderkey",
+                            scratch_path(spark, "order-queries"))
+
+
+def part_range_list(spark, sf_dir) -> str:
+    """One price-range line per part: ``[10 × retail price, + 500)``."""
+    p = table(spark, sf_dir, "part")
+    lo = F.col("p_retailprice") * 10
+    line = F.to_json(F.named_struct(F.lit("range"), F.named_struct(
+        F.lit("o_totalprice"), F.named_struct(F.lit("gte"), lo, F.lit("lt"), lo + 500))))
+    return write_query_list(p.select("p_partkey", line.alias("line")), "p_partkey",
+                            scratch_path(spark, "part-ranges"))
+
+
+Q_NUMBERED_CUSTOMERS = "(select row_number() over (order by c_custkey) - 1 as query_no, c_custkey, c_mktsegment from customer)"
+
+
+@register("scan_query_list", f"""
+select query_no, c_custkey as first_key from {Q_NUMBERED_CUSTOMERS}""")
+def q_scan_query_list(spark, sf_dir):
+    ql = scan_query_list(spark, customer_query_list(spark, sf_dir))
+    first = F.variant_get(F.col("query"), "$.bool.should[0].term.o_custkey", "variant")
+    key = F.coalesce(F.try_variant_get(first, "$.value", "bigint"), F.try_variant_get(first, "$", "bigint"))
+    return ql.select("query_no", key.alias("first_key"))
+
+
+@register("batch_query_terms", f"""
+with q as {Q_NUMBERED_CUSTOMERS}
+select distinct query_no, o_orderkey, o_custkey from (
+  select q.query_no, o.o_orderkey, o.o_custkey from q join orders o on o.o_custkey = q.c_custkey
+  union all
+  select q.query_no, o.o_orderkey, o.o_custkey from q join orders o
+    on q.c_mktsegment <> 'BUILDING' and o.o_custkey = q.c_custkey + 1
+  union all
+  select q.query_no, o.o_orderkey, o.o_custkey from q join orders o
+    on q.c_mktsegment = 'BUILDING' and o.o_orderkey = q.c_custkey * 10)""")
+def q_batch_query_terms(spark, sf_dir):
+    ql = scan_query_list(spark, customer_query_list(spark, sf_dir))
+    res = batch_query(orders_collection(spark, sf_dir), ql)
+    return res.select("query_no", F.col("_source.o_orderkey").alias("o_orderkey"),
+                      F.col("_source.o_custkey").alias("o_custkey"))
+
+
+@register("batch_query_lines", """
+select q.query_no, l.l_orderkey, l.l_linenumber, l.l_quantity
+from (select row_number() over (order by o_orderkey) - 1 as query_no, o_orderkey from orders) q
+join lineitem l on l.l_orderkey = q.o_orderkey""")
+def q_batch_query_lines(spark, sf_dir):
+    ql = scan_query_list(spark, order_query_list(spark, sf_dir))
+    li = table(spark, sf_dir, "lineitem")
+    res = batch_query(li, ql, id_col="l_orderkey")
+    return res.select("query_no", "l_orderkey", "l_linenumber", "l_quantity")
+
+
+@register("batch_query_ranges", """
+select q.query_no, o.o_orderkey
+from (select row_number() over (order by p_partkey) - 1 as query_no, p_retailprice * 10 as lo,
+             p_retailprice * 10 + 500 as hi from part) q
+join orders o on o.o_totalprice >= q.lo and o.o_totalprice < q.hi""")
+def q_batch_query_ranges(spark, sf_dir):
+    ql = scan_query_list(spark, part_range_list(spark, sf_dir))
+    res = batch_query(orders_collection(spark, sf_dir), ql)
+    return res.select("query_no", F.col("_source.o_orderkey").alias("o_orderkey"))
+
+
+Q_TWO = [Q_STATUS_F, Q_PRICE]
+
+
+@register("multi_query", """
+select 0 as query_no, o_orderkey from orders where o_orderstatus = 'F'
+union all
+select 1 as query_no, o_orderkey from orders where o_totalprice >= 18000 and o_totalprice < 60000""")
+def q_multi_query(spark, sf_dir):
+    res = multi_query(table(spark, sf_dir, "orders"), Q_TWO)
+    return res.select("query_no", "o_orderkey")
+
+
+@register("multi_query_cap", """
+select query_no, o_orderkey from (
+  select 0 as query_no, o_orderkey from orders where o_orderstatus = 'F'
+  union all
+  select 1 as query_no, o_orderkey from orders where o_totalprice >= 18000 and o_totalprice < 60000)
+order by query_no, o_orderkey limit 6000""")
+def q_multi_query_cap(spark, sf_dir):
+    res = multi_query(table(spark, sf_dir, "orders"), Q_TWO)
+    return multi_query_cap(res, 6000, "o_orderkey").select("query_no", "o_orderkey")
