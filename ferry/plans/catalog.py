@@ -345,3 +345,261 @@ order by query_no, o_orderkey limit 6000""")
 def q_multi_query_cap(spark, sf_dir):
     res = multi_query(table(spark, sf_dir, "orders"), Q_TWO)
     return multi_query_cap(res, 6000, "o_orderkey").select("query_no", "o_orderkey")
+
+
+# ---------------------------------------------------------------- numbering, pages, splits
+from ..operators.account import reconcile_counts, response_health  # noqa: E402
+from ..operators.order import page_progress, paginate  # noqa: E402
+from ..sinks.ndjson import read_split, split_export  # noqa: E402
+from ..sinks.responses import export_response_pages  # noqa: E402
+from ..sinks.upsert import append_auto_id, create_like, latest_per_key, upsert_to  # noqa: E402
+from ..sources.collection import scan_multi  # noqa: E402
+from ..sources.responses import scan_response_pages, scan_responses  # noqa: E402
+
+PAGE = 1000
+SPLIT = 4000
+
+
+@register("paginate", f"""
+select o_orderkey, rn, cast((rn - 1) // {PAGE} + 1 as bigint) as page
+from (select o_orderkey, row_number() over (order by o_orderkey) as rn from orders)""")
+def q_paginate(spark, sf_dir):
+    return paginate(table(spark, sf_dir, "orders"), PAGE, 0, "o_orderkey").select("o_orderkey", "rn", "page")
+
+
+@register("page_progress", f"""
+select page, n, cast(sum(n) over (order by page) as bigint) as total from (
+  select cast((rn - 1) // {PAGE} + 1 as bigint) as page, count(*) as n
+  from (select row_number() over (order by o_orderkey) as rn from orders) group by 1)""")
+def q_page_progress(spark, sf_dir):
+    paged = paginate(table(spark, sf_dir, "orders"), PAGE, 0, "o_orderkey")
+    return page_progress(paged).select("page", "n", "total")
+
+
+SPLIT_NUMBERED = f"(select *, cast((row_number() over (order by o_orderkey) - 1) // {SPLIT} + 1 as bigint) as chunk from orders)"
+
+
+@register("split_sizes", f"""
+select chunk, count(*) as docs from {SPLIT_NUMBERED} group by chunk""")
+def q_split_sizes(spark, sf_dir):
+    env = orders_collection(spark, sf_dir)
+    return split_export(env, scratch_path(spark, "split-sizes"), SPLIT, "o_orderkey").select("chunk", "docs")
+
+
+@register("split_export", f"select o_orderkey, chunk from {SPLIT_NUMBERED}")
+def q_split_export(spark, sf_dir):
+    path = scratch_path(spark, "split")
+    split_export(orders_collection(spark, sf_dir), path, SPLIT, "o_orderkey")
+    back = read_split(spark, path)
+    return back.select(F.variant_get("doc", "$._source.o_orderkey", "bigint").alias("o_orderkey"), "chunk")
+
+
+@register("reconcile_counts", """
+select 'orders' as collection, count(*) as source_rows, count(*) as target_rows, true as ok from orders
+union all
+select 'customer', count(*), count(*), true from customer""")
+def q_reconcile_counts(spark, sf_dir):
+    srcs = {"orders": orders_collection(spark, sf_dir),
+            "customer": scan_collection(spark, table(spark, sf_dir, "customer"), "customer", "c_custkey")}
+    targets = {}
+    for name, df in srcs.items():
+        path = scratch_path(spark, f"reconcile-{name}")
+        export_ndjson(df, path)
+        targets[name] = scan_dump(spark, path)
+    return reconcile_counts(srcs, targets)
+
+
+@register("upsert_by_id", """
+select cast(o_orderkey as varchar) as _id,
+       case when o_orderstatus = 'P' then 'Z' else o_orderstatus end as o_orderstatus, o_totalprice
+from orders""")
+def q_upsert_by_id(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    target_path = scratch_path(spark, "orders-v0")
+    orders_collection(spark, sf_dir).write.parquet(target_path)
+    target = spark.read.parquet(target_path)
+    changed = orders.filter(F.col("o_orderstatus") == "P")
+    # two writes per id in one batch: the later one (seq 2) must win
+    batch = (changed.withColumn("o_orderstatus", F.lit("Y")).withColumn("seq", F.lit(1))
+             .unionByName(changed.withColumn("o_orderstatus", F.lit("Z")).withColumn("seq", F.lit(2))))
+    env = batch.select(F.col("o_orderkey").cast("string").alias("_id"), F.lit("incoming").alias("_index"),
+                       F.struct(*[F.col(c) for c in orders.columns]).alias("_source"), "seq")
+    out = upsert_to(target, env, scratch_path(spark, "orders-v1"), order="seq", index="orders")
+    res = spark.read.parquet(out)
+    return res.select("_id", F.col("_source.o_orderstatus").alias("o_orderstatus"),
+                      F.col("_source.o_totalprice").alias("o_totalprice"))
+
+
+LWW_SQL = """
+select user_id, event_id, event_type from events
+qualify row_number() over (partition by user_id order by ts desc, event_id desc) = 1"""
+
+
+@register("last_write_wins", LWW_SQL)
+def q_last_write_wins(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    return latest_per_key(ev, "user_id", ["ts", "event_id"]).select("user_id", "event_id", "event_type")
+
+
+@register("append_auto_id", "select 'orders_copy' as _index, o_orderkey, 64 as id_len from orders")
+def q_append_auto_id(spark, sf_dir):
+    env = append_auto_id(table(spark, sf_dir, "orders"), "orders_copy")
+    return env.select("_index", F.col("_source.o_orderkey").alias("o_orderkey"),
+                      F.length("_id").alias("id_len"))
+
+
+@register("create_like", "select o_orderkey, o_orderstatus from orders limit 0")
+def q_create_like(spark, sf_dir):
+    empty = create_like(table(spark, sf_dir, "orders"), scratch_path(spark, "orders-like"))
+    return empty.select("o_orderkey", "o_orderstatus")
+
+
+EVENTS_MAPPING = {"mappings": {"properties": {
+    "event_id": {"type": "long"}, "ts": {"type": "date"}, "user_id": {"type": "long"},
+    "event_type": {"type": "keyword"}, "value": {"type": "double"},
+    "props": {"properties": {"k": {"type": "long"}}}}}}
+
+
+def events_dump(spark, sf_dir) -> str:
+    ev = table(spark, sf_dir, "events").withColumn("props", F.parse_json("props"))
+    path = scratch_path(spark, "events-dump")
+    export_ndjson(pack(ev, "events", "event_id"), path)
+    return path
+
+
+@register("scan_typed", """
+select cast(event_id as varchar) as _id, user_id, value, cast(json_extract(props, '$.k') as bigint) as k from events""")
+def q_scan_typed(spark, sf_dir):
+    docs = scan_typed(spark, events_dump(spark, sf_dir), EVENTS_MAPPING)
+    return docs.select("_id", F.col("_source.user_id").alias("user_id"), F.col("_source.value").alias("value"),
+                       F.col("_source.props.k").alias("k"))
+
+
+@register("scan_multi", """
+select 'customer' as _index, cast(c_custkey as varchar) as _id from customer
+union all
+select 'supplier' as _index, cast(s_suppkey as varchar) as _id from supplier""")
+def q_scan_multi(spark, sf_dir):
+    env = scan_multi(spark, {"customer": table(spark, sf_dir, "customer"),
+                             "supplier": table(spark, sf_dir, "supplier")},
+                     {"customer": "c_custkey", "supplier": "s_suppkey"})
+    return env.select("_index", "_id")
+
+
+def orders_responses(spark, sf_dir) -> str:
+    path = scratch_path(spark, "responses")
+    export_response_pages(orders_collection(spark, sf_dir), path, PAGE, "o_orderkey")
+    return path
+
+
+@register("scan_responses", "select cast(o_orderkey as varchar) as _id, o_orderstatus from orders")
+def q_scan_responses(spark, sf_dir):
+    hits = scan_responses(spark, orders_responses(spark, sf_dir))
+    return hits.select("_id", F.variant_get("_source", "$.o_orderstatus", "string").alias("o_orderstatus"))
+
+
+@register("response_health", f"""
+select cast(ceil(count(*) / {PAGE}.0) as bigint) as pages, cast(0 as bigint) as timed_out_pages,
+       cast(0 as bigint) as shards_failed, cast(1 as bigint) as max_took, count(*) as hits,
+       count(*) as reported_total
+from orders""")
+def q_response_health(spark, sf_dir):
+    return response_health(scan_response_pages(spark, orders_responses(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- streams
+from ..streaming.copy import stream_copy, stream_ndjson, stream_upsert  # noqa: E402
+
+
+def events_files(spark, sf_dir, files: int = 4) -> str:
+    """Events as NDJSON dump files (several files, so a stream sees several batches)."""
+    ev = table(spark, sf_dir, "events").withColumn("props", F.parse_json("props"))
+    path = scratch_path(spark, "events-files")
+    export_ndjson(pack(ev, "events", "event_id").repartition(files, "_id"), path)
+    return path
+
+
+@register("stream_copy", "select event_id, user_id, event_type from events")
+def q_stream_copy(spark, sf_dir):
+    src = events_files(spark, sf_dir)
+    out, ckpt = scratch_path(spark, "copy-out"), scratch_path(spark, "copy-ckpt")
+    stream_copy(spark, src, out, ckpt, max_files_per_trigger=1)
+    stream_copy(spark, src, out, ckpt, max_files_per_trigger=1)  # resume: adds nothing
+    back = spark.read.text(out)
+    v = F.parse_json("value")
+    return back.select(F.variant_get(v, "$._source.event_id", "bigint").alias("event_id"),
+                       F.variant_get(v, "$._source.user_id", "bigint").alias("user_id"),
+                       F.variant_get(v, "$._source.event_type", "string").alias("event_type"))
+
+
+@register("stream_upsert", LWW_SQL)
+def q_stream_upsert(spark, sf_dir):
+    src = events_files(spark, sf_dir)
+    s = F.col("doc")
+    rows = stream_ndjson(spark, src, max_files_per_trigger=1).select(
+        F.variant_get(s, "$._source.user_id", "bigint").alias("user_id"),
+        F.variant_get(s, "$._source.ts", "timestamp_ntz").alias("ts"),
+        F.variant_get(s, "$._source.event_id", "bigint").alias("event_id"),
+        F.variant_get(s, "$._source.event_type", "string").alias("event_type"))
+    target = scratch_path(spark, "users-latest")
+    newest = stream_upsert(spark, rows, target, scratch_path(spark, "upsert-ckpt"), "user_id", ["ts", "event_id"])
+    return spark.read.parquet(newest).select("user_id", "event_id", "event_type")
+
+
+# ---------------------------------------------------------------- functions and schemas
+from ..functions.scalar import canonical_json, flatten_paths, index_name, text_preview  # noqa: E402
+from ..functions.schema import field_profile, infer_schema, shape_profile  # noqa: E402
+
+
+@register("index_name", r"""
+select page_id, regexp_extract(url, '^(?i:https?)://[^/?#]*/?([^?#]*)', 1) as index_name from pages""")
+def q_index_name(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", index_name("url").alias("index_name"))
+
+
+@register("flatten_paths", """
+select event_id, 'event_type' as path, event_type as value from events
+union all
+select event_id, 'user_id', cast(user_id as varchar) from events
+union all
+select event_id, 'props.k', json_extract_string(props, '$.k') from events""")
+def q_flatten_paths(spark, sf_dir):
+    ev = table(spark, sf_dir, "events")
+    doc = F.to_variant_object(F.struct("event_type", "user_id", F.parse_json("props").alias("props")))
+    flat = flatten_paths(ev, "event_id", doc)
+    return flat.select("event_id", "path", F.variant_get("value", "$", "string").alias("value"))
+
+
+@register("text_preview", """
+select doc_id, case when length(text) <= 160 then text
+                    else concat(left(text, 64), '...', right(text, 64)) end as preview
+from documents""")
+def q_text_preview(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", text_preview("text").alias("preview"))
+
+
+@register("canonical_json", "select event_id, replace(props, ' ', '') as canon from events")
+def q_canonical_json(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", canonical_json("props").alias("canon"))
+
+
+def props_docs(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "events").select("event_id", F.parse_json("props").alias("doc"))
+
+
+@register("field_profile", "select 'k' as path, 'BIGINT' as type, count(*) as docs from events")
+def q_field_profile(spark, sf_dir):
+    docs = props_docs(spark, sf_dir)
+    return field_profile(flatten_paths(docs, "event_id", "doc"))
+
+
+@register("shape_profile", "select 'OBJECT<k: BIGINT>' as shape, count(*) as docs from events")
+def q_shape_profile(spark, sf_dir):
+    return shape_profile(props_docs(spark, sf_dir))
+
+
+@register("infer_schema")
+def q_infer_schema(spark, sf_dir):
+    ev = table(spark, sf_dir, "events").withColumn("props", F.parse_json("props"))
+    docs = ev.select(F.to_variant_object(F.struct(*ev.columns)).alias("doc"))
+    return infer_schema(docs)
