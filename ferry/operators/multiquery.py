@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage
+from ..session import materialize
 from .dsl import QueryError, compile_query, quote
 from .order import cap, sort_columns
 
@@ -97,18 +97,26 @@ def _term_value(spec: Column) -> Column:
 
 
 def classify(queries: DataFrame) -> DataFrame:
-    """Add ``kind`` (``terms`` / ``range`` / ``general``) and the extracted parts."""
+    """Add ``kind`` (``terms`` / ``range`` / ``general``) and the extracted parts.
+
+    Built as staged projections so every sub-expression is evaluated once
+    per line (Catalyst does not inline a multiply-used expensive column).
+    """
     q = F.col("query")
-    top = _vmap(q)
-    one_key = F.coalesce(F.size(top) == 1, F.lit(False))
-    term_map = _vmap(q, "$.term")
     should_v = F.try_variant_get(q, "$.bool.should", "variant")
-    should_arr = F.coalesce(F.try_variant_get(q, "$.bool.should", "array<variant>"),
-                            F.when(F.schema_of_variant(should_v).startswith("OBJECT"), F.array(should_v)))
-    bool_map = _vmap(q, "$.bool")
-    clauses = F.when(one_key & (F.size(term_map) == 1), F.array(q)) \
-               .when(one_key & F.coalesce(F.size(bool_map) == 1, F.lit(False)) & (F.size(should_arr) > 0),
-                     should_arr)
+    s1 = queries.select(
+        QUERY_NO, "query",
+        F.coalesce(F.size(_vmap(q)) == 1, F.lit(False)).alias("one_key"),
+        _vmap(q, "$.term").alias("term_map"),
+        F.size(_vmap(q, "$.bool")).alias("bool_size"),
+        F.coalesce(F.try_variant_get(q, "$.bool.should", "array<variant>"),
+                   F.when(F.schema_of_variant(should_v).startswith("OBJECT"), F.array(should_v)))
+        .alias("should_arr"),
+        _vmap(q, "$.range").alias("range_map"))
+    one_key = F.col("one_key")
+    clauses = (F.when(one_key & (F.size("term_map") == 1), F.array(q))
+                .when(one_key & F.coalesce(F.col("bool_size") == 1, F.lit(False))
+                      & (F.size("should_arr") > 0), F.col("should_arr")))
 
     def term_entry(e):
         tm = _vmap(e, "$.term")
@@ -116,26 +124,29 @@ def classify(queries: DataFrame) -> DataFrame:
         return F.when(ok, F.struct(F.map_keys(tm)[0].alias("field"),
                                    _term_value(F.map_values(tm)[0]).alias("value")))
 
-    entries = F.transform(clauses, term_entry)
-    all_terms = F.forall(entries, lambda x: x.isNotNull() & x["value"].isNotNull())
-
-    range_map = _vmap(q, "$.range")
-    rspec = F.map_values(range_map)[0]
-    rmap = _vmap(rspec)
+    s2 = s1.select(QUERY_NO, "query", "one_key", "range_map",
+                   F.transform(clauses, term_entry).alias("entries"),
+                   F.map_values("range_map")[0].alias("rspec"))
+    s3 = s2.select(QUERY_NO, "query", "one_key", "range_map", "entries", "rspec",
+                   _vmap(F.col("rspec")).alias("rmap"))
     bound_keys = F.array(*[F.lit(k) for k in ("gte", "gt", "lte", "lt")])
-    range_ok = (one_key & F.coalesce(F.size(range_map) == 1, F.lit(False))
-                & F.coalesce(F.size(rmap) > 0, F.lit(False))
-                & F.forall(F.map_keys(rmap), lambda k: F.array_contains(bound_keys, k))
-                & F.forall(F.map_values(rmap), lambda v: _is_scalar(v) | F.is_variant_null(v))
-                & F.exists(F.map_values(rmap), lambda v: _is_scalar(v)))
-    kind = (F.when(F.coalesce(all_terms, F.lit(False)) & (F.size(entries) > 0), F.lit("terms"))
-             .when(F.coalesce(range_ok, F.lit(False)), F.lit("range"))
-             .otherwise(F.lit("general")))
-    return queries.select(
-        QUERY_NO, "query", kind.alias("kind"),
-        F.when(kind == "terms", entries).alias("terms"),
-        F.when(kind == "range", F.map_keys(range_map)[0]).alias("range_field"),
-        F.when(kind == "range", rspec).alias("range_spec"))
+    entries, rmap = F.col("entries"), F.col("rmap")
+    all_terms = F.coalesce(F.forall(entries, lambda x: x.isNotNull() & x["value"].isNotNull()), F.lit(False)) \
+        & F.coalesce(F.size(entries) > 0, F.lit(False))
+    range_ok = F.coalesce(
+        F.col("one_key") & (F.size("range_map") == 1) & (F.size(rmap) > 0)
+        & F.forall(F.map_keys(rmap), lambda k: F.array_contains(bound_keys, k))
+        & F.forall(F.map_values(rmap), lambda v: _is_scalar(v) | F.is_variant_null(v))
+        & F.exists(F.map_values(rmap), lambda v: _is_scalar(v)), F.lit(False))
+    s4 = s3.select(QUERY_NO, "query", "entries", "range_map", "rspec",
+                   F.when(all_terms, F.lit("terms")).when(range_ok, F.lit("range"))
+                   .otherwise(F.lit("general")).alias("kind"))
+    kind = F.col("kind")
+    return s4.select(
+        QUERY_NO, "query", "kind",
+        F.when(kind == "terms", F.col("entries")).alias("terms"),
+        F.when(kind == "range", F.map_keys("range_map")[0]).alias("range_field"),
+        F.when(kind == "range", F.col("rspec")).alias("range_spec"))
 
 
 def _leaf_paths(schema: T.StructType, prefix: str = "") -> list[tuple[str, list[str], T.DataType]]:
@@ -182,67 +193,86 @@ def _count(df: DataFrame) -> int:
 
 def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: str | None = None,
                 broadcast_rows: int = 2_000_000, slice_size: int = 128, buckets: int = 1024) -> DataFrame:
-    """``(query_no, *df)`` for a query table ``(query_no, query VARIANT)``."""
+    """``(query_no, *df)`` for a query table ``(query_no, query VARIANT)``.
+
+    ``id_col`` must identify a document (it de-duplicates lines whose terms
+    can match one document twice).
+    """
+    spark = df.sparkSession
     schema, base = _doc_space(df, root)
     leaves = {p: (parts, t) for p, parts, t in _leaf_paths(schema)}
     doc_cols = [F.col(quote(c)) for c in df.columns]
-    classified = cut_lineage(classify(queries))
-    parts: list[DataFrame] = []
+    # classified once, stored: every branch below reads the stored columns
+    classified = materialize(classify(queries), "classified")
+    known = spark.createDataFrame([(p, True) for p in leaves], "field string, __known boolean")
 
-    # ---- term lines
     terms = (classified.filter(F.col("kind") == "terms")
-             .select(QUERY_NO, F.explode("terms").alias("t"))
-             .select(QUERY_NO, F.col("t.field").alias("field"), F.col("t.value").alias("value")))
-    line_fields = (classified.filter(F.col("kind") == "terms")
-                   .select(QUERY_NO, F.size(F.array_distinct(F.transform("terms", lambda t: t["field"])))
-                           .alias("n_fields")))
-    known = df.sparkSession.createDataFrame([(p,) for p in leaves], "field string")
-    fields = [r["field"] for r in terms.select("field").distinct()
-              .join(F.broadcast(known), "field", "left_semi").collect()]  # ⊆ schema leaves
-    for field in sorted(fields):
+             .select(QUERY_NO, F.size(F.array_distinct(F.transform("terms", lambda t: t["field"])))
+                     .alias("n_fields"), F.explode("terms").alias("t"))
+             .select(QUERY_NO, "n_fields", F.col("t.field").alias("field"), F.col("t.value").alias("value")))
+    ranges = (classified.filter(F.col("kind") == "range")
+              .select(QUERY_NO, F.col("range_field").alias("field"), "range_spec"))
+    # one small job: row counts per (kind, known field) and of general lines;
+    # bounded by the schema width, and an upper bound for every join side
+    kind = F.col("kind")
+    per_line = classified.select(kind, F.explode(
+        F.when(kind == "terms", F.transform("terms", lambda t: F.struct(
+            t["field"].alias("field"),
+            (F.size(F.array_distinct(F.transform("terms", lambda u: u["field"]))) > 1).alias("multi"))))
+        .when(kind == "range", F.array(F.struct(F.col("range_field").alias("field"), F.lit(False).alias("multi"))))
+        .otherwise(F.array(F.struct(F.lit(None).cast("string").alias("field"), F.lit(False).alias("multi"))))
+    ).alias("e")).select("kind", F.col("e.field").alias("field"), F.col("e.multi").alias("multi"))
+    stats = (per_line.join(F.broadcast(known), "field", "left")
+             .filter((F.col("kind") == "general") | F.col("__known").isNotNull())
+             .groupBy("kind", "field")
+             .agg(F.count(F.lit(1)).alias("count"),
+                  F.sum(F.col("multi").cast("long")).alias("multi"))
+             .collect())
+    term_counts = {r["field"]: r["count"] for r in stats if r["kind"] == "terms"}
+    term_multi = {r["field"]: r["multi"] for r in stats if r["kind"] == "terms"}
+    range_counts = {r["field"]: r["count"] for r in stats if r["kind"] == "range"}
+    n_general = sum(r["count"] for r in stats if r["kind"] == "general")
+    parts: list[DataFrame] = []
+
+    # ---- term lines: one hash join per queried field
+    for field in sorted(term_counts):
         cparts, dtype = leaves[field]
         is_array = isinstance(dtype, T.ArrayType)
         etype = dtype.elementType if is_array else dtype
         qside = (terms.filter(F.col("field") == field)
-                 .join(line_fields, QUERY_NO)
                  .select(QUERY_NO, F.variant_get("value", "$", etype.simpleString()).alias("__k"),
                          ((F.col("n_fields") > 1) | F.lit(is_array)).alias("__multi"))
                  .dropDuplicates([QUERY_NO, "__k"]))
-        qside = cut_lineage(qside)
-        n = _count(qside)
-        if n == 0:
-            continue
         col = _column(base, cparts)
         key = F.explode(F.array_distinct(col)) if is_array else col
         dside = df.select(*doc_cols, key.alias("__k")).filter(F.col("__k").isNotNull())
-        q_join = F.broadcast(qside) if n <= broadcast_rows else qside
+        q_join = F.broadcast(qside) if term_counts[field] <= broadcast_rows else qside
         joined = dside.join(q_join, "__k")
-        parts.append(joined.filter(~F.col("__multi")).select(QUERY_NO, *doc_cols))
-        multi = joined.filter(F.col("__multi")).select(QUERY_NO, *doc_cols)
-        parts.append(multi.dropDuplicates([QUERY_NO, id_col]))
-
-    # ---- range lines
-    ranges = classified.filter(F.col("kind") == "range").select(QUERY_NO, "range_field", "range_spec")
-    r_fields = [r["range_field"] for r in ranges.select("range_field").distinct()
-                .join(F.broadcast(known.withColumnRenamed("field", "range_field")), "range_field", "left_semi")
-                .collect()]
-    for field in sorted(r_fields):
+        if is_array or term_multi[field]:
+            # a document can meet two terms of one line: count it once per line
+            parts.append(joined.filter(~F.col("__multi")).select(QUERY_NO, *doc_cols))
+            multi = joined.filter(F.col("__multi")).select(QUERY_NO, *doc_cols)
+            parts.append(multi.dropDuplicates([QUERY_NO, id_col]))
+        else:
+            parts.append(joined.select(QUERY_NO, *doc_cols))
+
+    # ---- range lines on numeric / time fields: bucketed equi-join
+    text_ranges = []
+    for field in sorted(range_counts):
         cparts, dtype = leaves[field]
         etype = dtype.elementType if isinstance(dtype, T.ArrayType) else dtype
-        rq = ranges.filter(F.col("range_field") == field)
         if not isinstance(etype, _BUCKETABLE):
-            continue  # text ranges: answered by the general path below
+            text_ranges.append(field)
+            continue
+        rq = ranges.filter(F.col("field") == field).withColumnRenamed("field", "range_field")
         parts.append(_range_join(df, rq, base, cparts, dtype, etype, doc_cols, id_col,
                                  broadcast_rows, buckets))
 
-    # ---- everything else, including text ranges and unknown fields
-    handled_range = set(f for f in r_fields if isinstance(
-        (leaves[f][1].elementType if isinstance(leaves[f][1], T.ArrayType) else leaves[f][1]), _BUCKETABLE))
-    general = classified.filter(
-        (F.col("kind") == "general")
-        | ((F.col("kind") == "range") & ~F.col("range_field").isin(*handled_range) if handled_range
-           else (F.col("kind") == "range")))
-    parts.extend(_general(df, general, root, slice_size))
+    # ---- other shapes (and text ranges): compiled, evaluated in slices
+    if n_general or text_ranges:
+        general = classified.filter((F.col("kind") == "general")
+                                    | ((F.col("kind") == "range") & F.col("range_field").isin(*text_ranges)))
+        parts.extend(_general(df, general, root, slice_size))
 
     if not parts:
         return df.select(F.lit(None).cast("long").alias(QUERY_NO), *doc_cols).limit(0)
@@ -330,7 +360,7 @@ def _range_join(df, rq, base, cparts, dtype, etype, doc_cols, id_col, broadcast_
     q = bz.transform(q)
     q = q.select(QUERY_NO, "gte", "gt", "lte", "lt",
                  F.explode(F.sequence(F.col("__blo").cast("int"), F.col("__bhi").cast("int"))).alias("__b"))
-    q = cut_lineage(q)
+    q = materialize(q, "range-queries")
     n = _count(q)
     dside = Bucketizer(splits=splits, inputCol="__d", outputCol="__bd", handleInvalid="keep").transform(dside)
     dside = dside.withColumn("__b", F.col("__bd").cast("int")).drop("__bd", "__d")

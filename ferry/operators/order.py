@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage
+from ..session import materialize
 from .dsl import QueryError, quote
 from .envelope import is_envelope
 
@@ -109,15 +109,15 @@ def cap(df: DataFrame, max_docs: int, spec=None, tiebreak=None) -> DataFrame:
 def number_rows(df: DataFrame, order_cols: list[Column], name: str = "_rn") -> DataFrame:
     """Exact 1-based global row number in ``order_cols`` order (unique order assumed).
 
-    One range shuffle + one reliable checkpoint + a tiny per-partition count.
-    The result keeps the sorted partitioning and order, so writers that follow
-    produce files in row-number order.
+    One range shuffle + one write of the tagged rows to the shared folder + a
+    tiny per-partition count. The partition id and the in-partition id are
+    stored as columns, so the read-back needs no particular layout.
     """
     spark = df.sparkSession
     ordered = df.orderBy(*order_cols) if order_cols else df
     tagged = ordered.withColumn("__pid", F.spark_partition_id()) \
                     .withColumn("__mid", F.monotonically_increasing_id())
-    fixed = cut_lineage(tagged)
+    fixed = materialize(tagged, "numbered")
     stats = (fixed.groupBy("__pid")
              .agg(F.count(F.lit(1)).alias("n"), F.min("__mid").alias("m0"))
              .collect())  # one row per partition: bounded by the partition count
@@ -159,7 +159,7 @@ def running_total(df: DataFrame, order_col: str, value_col: str, out_col: str =
     """
     spark = df.sparkSession
     tagged = df.orderBy(F.col(order_col).asc()).withColumn("__pid", F.spark_partition_id())
-    fixed = cut_lineage(tagged)
+    fixed = materialize(tagged, "running")
     sums = fixed.groupBy("__pid").agg(F.sum(value_col).alias("s")).collect()
     sums.sort(key=lambda r: r["__pid"])
     offsets, running = [], 0

@@ -65,7 +65,29 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/ferry-{label}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df, label: str = "stage"):
+    """Cut lineage by writing a Parquet table under the shared checkpoint folder.
+
+    One job computes the frame once; the read-back is columnar, survives
+    executor loss, and carries real size statistics for join planning.
+    Partition layout is not kept: callers carry what they need as columns.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def cut_lineage(df):
-    """Reliable checkpoint (never ``localCheckpoint``): survives executor loss."""
+    """Reliable checkpoint (never ``localCheckpoint``): survives executor loss.
+
+    The frame is persisted first so the checkpoint write reads the computed
+    blocks instead of running the plan a second time (a non-deterministic
+    plan, e.g. a sampled range sort, must not be evaluated twice).
+    """
+    from pyspark import StorageLevel
+
     checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist()
+    return out

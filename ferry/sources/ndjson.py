@@ -39,8 +39,8 @@ def number_lines(lines: DataFrame, name: str = "line_no") -> DataFrame:
     """
     spark = lines.sparkSession
     tagged = lines.withColumn("__mid", F.monotonically_increasing_id())
-    from ..session import cut_lineage
-    fixed = cut_lineage(tagged)
+    from ..session import materialize
+    fixed = materialize(tagged, "lines")
     splits = (fixed.groupBy("_file", "_block")
               .agg(F.count(F.lit(1)).alias("n"), F.min("__mid").alias("m0"))
               .collect())
