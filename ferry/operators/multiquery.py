@@ -233,6 +233,7 @@ def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: st
     range_counts = {r["field"]: r["count"] for r in stats if r["kind"] == "range"}
     n_general = sum(r["count"] for r in stats if r["kind"] == "general")
     parts: list[DataFrame] = []
+    multi_parts: list[DataFrame] = []
 
     # ---- term lines: one hash join per queried field
     for field in sorted(term_counts):
@@ -249,12 +250,14 @@ def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: st
         q_join = F.broadcast(qside) if term_counts[field] <= broadcast_rows else qside
         joined = dside.join(q_join, "__k")
         if is_array or term_multi[field]:
-            # a document can meet two terms of one line: count it once per line
+            # a document can meet two terms of one line (two fields, or two
+            # values of an array): those lines are de-duplicated together below
             parts.append(joined.filter(~F.col("__multi")).select(QUERY_NO, *doc_cols))
-            multi = joined.filter(F.col("__multi")).select(QUERY_NO, *doc_cols)
-            parts.append(multi.dropDuplicates([QUERY_NO, id_col]))
+            multi_parts.append(joined.filter(F.col("__multi")).select(QUERY_NO, *doc_cols))
         else:
             parts.append(joined.select(QUERY_NO, *doc_cols))
+    if multi_parts:
+        parts.append(reduce(DataFrame.unionByName, multi_parts).dropDuplicates([QUERY_NO, id_col]))
 
     # ---- range lines on numeric / time fields: bucketed equi-join
     text_ranges = []
