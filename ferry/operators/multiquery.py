@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .dsl import QueryError, compile_query, quote
+from .dsl import TOKEN_SPLIT, QueryError, compile_query, quote
 from .order import cap, sort_columns
 
 QUERY_NO = "query_no"
@@ -192,7 +192,8 @@ def _count(df: DataFrame) -> int:
 
 
 def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: str | None = None,
-                broadcast_rows: int = 2_000_000, slice_size: int = 128, buckets: int = 1024) -> DataFrame:
+                broadcast_rows: int = 2_000_000, slice_size: int = 128, buckets: int = 1024,
+                broadcast_bytes: int = 256 << 20) -> DataFrame:
     """``(query_no, *df)`` for a query table ``(query_no, query VARIANT)``.
 
     ``id_col`` must identify a document (it de-duplicates lines whose terms
@@ -267,15 +268,22 @@ def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: st
         if not isinstance(etype, _BUCKETABLE):
             text_ranges.append(field)
             continue
-        rq = ranges.filter(F.col("field") == field).withColumnRenamed("field", "range_field")
-        parts.append(_range_join(df, rq, base, cparts, dtype, etype, doc_cols, id_col,
-                                 broadcast_rows, buckets))
-
-    # ---- other shapes (and text ranges): compiled, evaluated in slices
+        spec = F.col("range_spec")
+        rq = ranges.filter(F.col("field") == field).select(
+            QUERY_NO, *[F.try_variant_get(spec, f"$.{k}", "variant").alias(f"__{k}") for k in _OPS])
+        n = _count(rq)
+        parts.append(_range_join(df, rq, [], base, cparts, dtype, etype, doc_cols,
+                                 n <= broadcast_rows, buckets))
+
+    # ---- other shapes (and text ranges): anchor joins + verification on the JVM;
+    # lines without an anchor set are compiled and evaluated in slices
     if n_general or text_ranges:
         general = classified.filter((F.col("kind") == "general")
                                     | ((F.col("kind") == "range") & F.col("range_field").isin(*text_ranges)))
-        parts.extend(_general(df, general, root, slice_size))
+        joined, fallback = _mixed_lines(df, general, schema, base, leaves, doc_cols, broadcast_bytes, buckets)
+        parts.extend(joined)
+        if fallback is not None:
+            parts.extend(_general(df, fallback, root, slice_size))
 
     if not parts:
         return df.select(F.lit(None).cast("long").alias(QUERY_NO), *doc_cols).limit(0)
@@ -334,45 +342,243 @@ def _splits(values: DataFrame, buckets: int) -> list[float]:
     return [-math.inf] + sorted(set(cuts)) + [math.inf]
 
 
-def _range_join(df, rq, base, cparts, dtype, etype, doc_cols, id_col, broadcast_rows, buckets):
+_OPS = ("gte", "gt", "lte", "lt")
+
+
+def _typed_literal(v: Column, etype: T.DataType) -> Column:
+    """A JSON scalar (VARIANT) as a value of ``etype``; numbers are epoch ms for times."""
+    ts = etype.simpleString()
+    if isinstance(etype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        ms = F.timestamp_millis(F.variant_get(v, "$", "bigint")).cast(ts)
+        return F.when(F.schema_of_variant(v) == "STRING", F.variant_get(v, "$", ts)).otherwise(ms)
+    return F.variant_get(v, "$", ts)
+
+
+def _in_bounds(x: Column, etype: T.DataType) -> Column:
+    """``x`` within the row's bounds ``__gte`` .. ``__lt`` (VARIANT; null = absent)."""
+    out = None
+    for k, cmp in (("gte", x.__ge__), ("gt", x.__gt__), ("lte", x.__le__), ("lt", x.__lt__)):
+        b = F.col(f"__{k}")
+        c = b.isNull() | cmp(_typed_literal(b, etype))
+        out = c if out is None else out & c
+    return out
+
+
+def _range_join(df, rq, carry, base, cparts, dtype, etype, doc_cols, broadcast_q, buckets):
+    """``(query_no, *carry, *doc_cols)`` for range rows ``rq(query_no, __gte.., *carry)``.
+
+    Bucketed equi-join plus an exact recheck. An array document meets a range
+    once: only the row of its smallest distinct element inside the bounds is
+    kept, so no de-duplication shuffle (and no document id) is needed.
+    """
     from pyspark.ml.feature import Bucketizer
 
     is_array = isinstance(dtype, T.ArrayType)
     col = _column(base, cparts)
-    key = F.explode(col) if is_array else col
+    key = F.explode(F.array_distinct(col)) if is_array else col
     dside = df.select(*doc_cols, key.alias("__v")).filter(F.col("__v").isNotNull())
     dside = dside.withColumn("__d", _as_double(F.col("__v"), etype)).filter(~F.isnan("__d"))
     splits = _splits(dside.select("__d"), buckets)
 
-    ts = etype.simpleString()
-    spec = F.col("range_spec")
-
-    def bound(k):
-        return F.try_variant_get(spec, f"$.{k}", "variant")
-
-    def typed(k):
-        b = bound(k)
-        return F.when(_is_scalar(b), F.variant_get(b, "$", ts))
-
-    q = rq.select(QUERY_NO, *[typed(k).alias(k) for k in ("gte", "gt", "lte", "lt")])
-    lo = F.coalesce(_as_double(F.col("gte"), etype), _as_double(F.col("gt"), etype), F.lit(-math.inf))
-    hi = F.coalesce(_as_double(F.col("lte"), etype), _as_double(F.col("lt"), etype), F.lit(math.inf))
+    bcols = [f"__{k}" for k in _OPS]
+    q = rq.select(QUERY_NO, *carry, *[F.when(_is_scalar(F.col(b)), F.col(b)).alias(b) for b in bcols])
+    lo = F.coalesce(*[_as_double(_typed_literal(F.col(b), etype), etype) for b in ("__gte", "__gt")],
+                    F.lit(-math.inf))
+    hi = F.coalesce(*[_as_double(_typed_literal(F.col(b), etype), etype) for b in ("__lte", "__lt")],
+                    F.lit(math.inf))
     q = q.withColumn("__lo", lo).withColumn("__hi", hi).filter(F.col("__lo") <= F.col("__hi"))
     bz = Bucketizer(splitsArray=[splits, splits], inputCols=["__lo", "__hi"],
                     outputCols=["__blo", "__bhi"], handleInvalid="keep")
     q = bz.transform(q)
-    q = q.select(QUERY_NO, "gte", "gt", "lte", "lt",
+    q = q.select(QUERY_NO, *carry, *bcols,
                  F.explode(F.sequence(F.col("__blo").cast("int"), F.col("__bhi").cast("int"))).alias("__b"))
-    q = materialize(q, "range-queries")
-    n = _count(q)
     dside = Bucketizer(splits=splits, inputCol="__d", outputCol="__bd", handleInvalid="keep").transform(dside)
     dside = dside.withColumn("__b", F.col("__bd").cast("int")).drop("__bd", "__d")
-    joined = dside.join(F.broadcast(q) if n <= broadcast_rows else q, "__b")
-    v = F.col("__v")
-    ok = ((F.col("gte").isNull() | (v >= F.col("gte"))) & (F.col("gt").isNull() | (v > F.col("gt")))
-          & (F.col("lte").isNull() | (v <= F.col("lte"))) & (F.col("lt").isNull() | (v < F.col("lt"))))
-    out = joined.filter(ok).select(QUERY_NO, *doc_cols)
-    return out.dropDuplicates([QUERY_NO, id_col]) if is_array else out
+    joined = dside.join(F.broadcast(q) if broadcast_q else q, "__b")
+    ok = _in_bounds(F.col("__v"), etype)
+    if is_array:
+        ok = ok & (F.col("__v") == F.array_min(F.filter(col, lambda x: _in_bounds(x, etype))))
+    return joined.filter(ok).select(QUERY_NO, *carry, *doc_cols)
+
+
+# --------------------------------------------------------------------------- mixed lines
+
+_PLAN_SCHEMA = ("struct<fallback:boolean, prog:array<struct<op:int,a:int,b:int,c:int>>, anchors:array<int>, "
+                "leaves:array<struct<kind:string,field:string,value:string,gte:string,gt:string,lte:string,"
+                "lt:string,tokens:array<string>>>>")
+_CARRY = ["__prog", "__leaves", "__anchors", "__j"]
+
+
+def _tokens(c: Column) -> Column:
+    return F.split(F.lower(c), TOKEN_SPLIT)
+
+
+def _leaf_bounds(leaf: Column, etype: T.DataType):
+    def within(x: Column) -> Column:
+        c = None
+        for k, cmp in (("gte", x.__ge__), ("gt", x.__gt__), ("lte", x.__le__), ("lt", x.__lt__)):
+            part = leaf[k].isNull() | cmp(_typed_literal(leaf[k], etype))
+            c = part if c is None else c & part
+        return c
+    return within
+
+
+def _leaf_truth(leaf: Column, base, leaves: dict) -> Column:
+    """Truth (never null) of one planned leaf against the row's document.
+
+    One branch per (kind, typed path) of the schema, so the cost is bounded by
+    the schema width; a field the schema lacks never matches.
+    """
+    out = None
+    for path in sorted(leaves):
+        cparts, dtype = leaves[path]
+        col = _column(base, cparts)
+        is_array = isinstance(dtype, T.ArrayType)
+        etype = dtype.elementType if is_array else dtype
+        val = _typed_literal(leaf["value"], etype)
+        term = F.array_contains(col, val) if is_array else col == val
+        branches = [("term", term)]
+        if isinstance(etype, _BUCKETABLE):
+            rng = _leaf_bounds(leaf, etype)
+            branches.append(("range", F.exists(col, rng) if is_array else rng(col)))
+        if isinstance(etype, T.StringType):
+            def overlaps(x):
+                return F.arrays_overlap(_tokens(x), leaf["tokens"])
+            m = F.exists(col, overlaps) if is_array else overlaps(col)
+            branches.append(("match", (F.size(leaf["tokens"]) > 0) & m))
+        else:
+            branches.append(("match", term))
+        for kind, expr in branches:
+            cond = (leaf["field"] == F.lit(path)) & (leaf["kind"] == F.lit(kind))
+            out = F.when(cond, expr) if out is None else out.when(cond, expr)
+    if out is None:
+        return F.lit(False)
+    return F.coalesce(out, F.lit(False))
+
+
+def _run_prog(prog: Column, truths: Column) -> Column:
+    """Evaluate the postfix bool program over the leaf truths (a stack in ``aggregate``)."""
+    def step(st, op):
+        k = F.when(op["op"] == 1, op["a"] + op["b"] + op["c"]).otherwise(F.lit(1))
+        n = F.size(st)
+        top = F.slice(st, F.greatest(n - k + 1, F.lit(1)), k)
+        rest = F.slice(st, F.lit(1), F.greatest(n - k, F.lit(0)))
+        m, nn, s = op["a"], op["b"], op["c"]
+        res = (F.forall(F.slice(top, F.lit(1), m), lambda x: x)
+               & ~F.exists(F.slice(top, m + 1, nn), lambda x: x)
+               & ((m > 0) | (s == 0) | F.exists(F.slice(top, m + nn + 1, s), lambda x: x)))
+        return (F.when(op["op"] == 0, F.concat(st, F.array(F.get(truths, op["a"]))))
+                .when(op["op"] == 2, F.concat(st, F.array(F.lit(True))))
+                .otherwise(F.concat(rest, F.array(res))))
+    return F.get(F.aggregate(prog, F.array().cast("array<boolean>"), step), 0)
+
+
+def _field_info(leaves: dict) -> dict:
+    out = {}
+    for path, (_, dtype) in leaves.items():
+        is_array = isinstance(dtype, T.ArrayType)
+        etype = dtype.elementType if is_array else dtype
+        kind = "string" if isinstance(etype, T.StringType) else \
+            "number" if isinstance(etype, _BUCKETABLE) else "other"
+        out[path] = (kind, is_array)
+    return out
+
+
+def _is_complex(dt: T.DataType) -> bool:
+    if isinstance(dt, (T.MapType, T.VariantType)):
+        return True
+    if isinstance(dt, T.ArrayType):
+        return not isinstance(dt.elementType, _SCALAR_TYPES)
+    if isinstance(dt, T.StructType):
+        return any(_is_complex(f.dataType) for f in dt.fields)
+    return False
+
+
+def _mixed_lines(df, general, schema, base, leaves, doc_cols, broadcast_bytes, buckets):
+    """Lines of any shape: ``(joined parts, fallback lines or None)``.
+
+    1. Each line is planned in the tasks (:mod:`.lineplan`) into leaves, a
+       postfix bool program and an anchor set; the plans are stored.
+    2. Candidates: per (kind, field) of the anchor leaves, one join with the
+       documents (hash join on the typed value, on match tokens, or the
+       bucketed range join), the line's plan carried along.
+    3. Verification on the JVM: every leaf of the line against the candidate
+       document, the program over those truths, and ownership — the row is
+       kept only for the first anchor leaf the document meets, so a document
+       is emitted once per line without a de-duplication shuffle.
+    """
+    from .lineplan import plan_batches
+
+    fields = _field_info(leaves)
+    planned = (general.select(QUERY_NO, F.to_json("query").alias("q"))
+               .mapInPandas(plan_batches(fields, _is_complex(schema)), "query_no long, plan string"))
+    p = F.from_json("plan", _PLAN_SCHEMA)
+    lines = materialize(planned.select(QUERY_NO, p.alias("p"), F.octet_length("plan").alias("__bytes")).select(
+        QUERY_NO, F.col("p.fallback").alias("__fallback"), F.col("p.prog").alias("__prog"),
+        F.col("p.anchors").alias("__anchors"), "__bytes",
+        F.transform("p.leaves", lambda l: F.struct(
+            l["kind"].alias("kind"), l["field"].alias("field"),
+            F.parse_json(l["value"]).alias("value"),
+            *[F.parse_json(l[k]).alias(k) for k in _OPS], l["tokens"].alias("tokens"))).alias("__leaves")),
+        "line-plans")
+
+    anchored = (lines.filter(~F.col("__fallback"))
+                .select(QUERY_NO, "__prog", "__leaves", "__anchors", "__bytes",
+                        F.explode("__anchors").alias("__j"))
+                .withColumn("__leaf", F.get(F.col("__leaves"), F.col("__j"))))
+    # one small job: per (kind, field) of anchor leaves, rows and plan bytes
+    # (bounded by the schema width), and whether any line falls back
+    stats = (anchored.groupBy(F.col("__leaf.kind").alias("kind"), F.col("__leaf.field").alias("field"))
+             .agg(F.count(F.lit(1)).alias("n"), F.sum("__bytes").alias("bytes"))
+             .filter(F.col("field").isin(*leaves) if leaves else F.lit(False))
+             .collect())
+    has_fallback = lines.filter(F.col("__fallback")).limit(1).count() > 0
+
+    leaf = F.col("__leaf")
+    carry = [F.col(c) for c in _CARRY]
+    cands: list[DataFrame] = []
+    for r in sorted(stats, key=lambda r: (r["kind"], r["field"])):
+        kind, field = r["kind"], r["field"]
+        cparts, dtype = leaves[field]
+        is_array = isinstance(dtype, T.ArrayType)
+        etype = dtype.elementType if is_array else dtype
+        small = 2 * int(r["bytes"] or 0) <= broadcast_bytes
+        rows = anchored.filter((leaf["kind"] == kind) & (leaf["field"] == field))
+        col = _column(base, cparts)
+        if kind == "range":
+            rq = rows.select(QUERY_NO, *carry, *[leaf[k].alias(f"__{k}") for k in _OPS])
+            cands.append(_range_join(df, rq, _CARRY, base, cparts, dtype, etype, doc_cols, small, buckets))
+            continue
+        if kind == "match" and isinstance(etype, T.StringType):
+            qside = rows.select(QUERY_NO, *carry, leaf["tokens"].alias("__qt"),
+                                F.explode(leaf["tokens"]).alias("__k"))
+            toks = F.flatten(F.transform(col, _tokens)) if is_array else _tokens(col)
+            dside = (df.select(*doc_cols, F.explode(F.array_distinct(toks)).alias("__k"))
+                     .filter(F.col("__k") != ""))
+            j = dside.join(F.broadcast(qside) if small else qside, "__k")
+            # a document meeting several tokens of the leaf: keep its smallest one
+            own = F.col("__k") == F.array_min(F.array_intersect(F.array_distinct(toks), F.col("__qt")))
+            cands.append(j.filter(own).select(QUERY_NO, *carry, *doc_cols))
+            continue
+        # term, and match on a non-text field (behaves like term)
+        qside = rows.select(QUERY_NO, *carry, _typed_literal(leaf["value"], etype).alias("__k"))
+        key = F.explode(F.array_distinct(col)) if is_array else col
+        dside = df.select(*doc_cols, key.alias("__k")).filter(F.col("__k").isNotNull())
+        j = dside.join(F.broadcast(qside) if small else qside, "__k")
+        cands.append(j.select(QUERY_NO, *carry, *doc_cols))
+
+    out = []
+    if cands:
+        c = reduce(DataFrame.unionByName, cands)
+        truths = F.transform("__leaves", lambda l: _leaf_truth(l, base, leaves))
+        c = c.withColumn("__t", truths)
+        owner = F.array_min(F.filter("__anchors", lambda i: F.get(F.col("__t"), i)))
+        keep = _run_prog(F.col("__prog"), F.col("__t")) & (F.col("__j") == owner)
+        out.append(c.filter(keep).select(QUERY_NO, *doc_cols))
+    fallback = None
+    if has_fallback:
+        fallback = lines.filter(F.col("__fallback")).join(general.select(QUERY_NO, "query"), QUERY_NO)
+    return out, fallback
 
 
 def sort_results(results: DataFrame, spec=None, tiebreak=None) -> DataFrame:

@@ -324,6 +324,56 @@ def q_batch_query_ranges(spark, sf_dir):
     return res.select("query_no", F.col("_source.o_orderkey").alias("o_orderkey"))
 
 
+def mixed_query_list(spark, sf_dir) -> str:
+    """One bool line per customer, five shapes by market segment (terms, ranges,
+    matches, nesting, must_not and should next to must)."""
+    c = table(spark, sf_dir, "customer")
+    k, b, seg = F.col("c_custkey"), F.floor("c_acctbal"), F.col("c_mktsegment")
+    line = (F.when(seg == "BUILDING", F.format_string(
+                '{"bool":{"must":[{"term":{"o_custkey":%d}}],"must_not":[{"term":{"o_orderstatus":"F"}}]}}', k))
+            .when(seg == "AUTOMOBILE", F.format_string(
+                '{"bool":{"should":[{"term":{"o_custkey":%d}},'
+                '{"range":{"o_totalprice":{"gte":%d,"lt":%d}}}]}}', k, k * 100, k * 100 + 300))
+            .when(seg == "MACHINERY", F.format_string(
+                '{"bool":{"must":[{"match":{"o_orderpriority":"urgent"}},'
+                '{"range":{"o_totalprice":{"gte":%d,"lt":%d}}}]}}', b * 40, b * 40 + 2000))
+            .when(seg == "FURNITURE", F.format_string(
+                '{"bool":{"must":{"bool":{"should":[{"term":{"o_custkey":%d}},{"term":{"o_custkey":%d}}]}},'
+                '"must_not":{"match":{"o_orderpriority":{"query":"LOW"}}}}}', k, k + 1))
+            .otherwise(F.format_string(
+                '{"bool":{"must":[{"term":{"o_custkey":{"value":%d}}}],'
+                '"should":[{"match":{"o_orderpriority":"not specified"}}]}}', k)))
+    return write_query_list(c.select("c_custkey", line.alias("line")), "c_custkey",
+                            scratch_path(spark, "mixed-queries"))
+
+
+_TOKENS = r"regexp_split_to_array(lower(o.o_orderpriority), '[^\p{L}\p{N}_]+')"
+
+
+@register("batch_query_mixed", f"""
+with q as (select row_number() over (order by c_custkey) - 1 as query_no, c_custkey as k,
+                  c_mktsegment as seg, floor(c_acctbal) as b from customer)
+select q.query_no, o.o_orderkey from q join orders o on q.seg = 'BUILDING' and o.o_custkey = q.k
+  where not coalesce(o.o_orderstatus = 'F', false)
+union all
+select distinct q.query_no, o.o_orderkey from q join orders o on q.seg = 'AUTOMOBILE'
+  and (o.o_custkey = q.k or (o.o_totalprice >= q.k * 100 and o.o_totalprice < q.k * 100 + 300))
+union all
+select q.query_no, o.o_orderkey from q join orders o on q.seg = 'MACHINERY'
+  and o.o_totalprice >= q.b * 40 and o.o_totalprice < q.b * 40 + 2000
+  where list_contains({_TOKENS}, 'urgent')
+union all
+select q.query_no, o.o_orderkey from q join orders o on q.seg = 'FURNITURE'
+  and (o.o_custkey = q.k or o.o_custkey = q.k + 1)
+  where not coalesce(list_contains({_TOKENS}, 'low'), false)
+union all
+select q.query_no, o.o_orderkey from q join orders o on q.seg = 'HOUSEHOLD' and o.o_custkey = q.k""")
+def q_batch_query_mixed(spark, sf_dir):
+    ql = scan_query_list(spark, mixed_query_list(spark, sf_dir))
+    res = batch_query(orders_collection(spark, sf_dir), ql)
+    return res.select("query_no", F.col("_source.o_orderkey").alias("o_orderkey"))
+
+
 Q_TWO = [Q_STATUS_F, Q_PRICE]
 
 
