@@ -196,8 +196,8 @@ def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: st
                 broadcast_bytes: int = 256 << 20) -> DataFrame:
     """``(query_no, *df)`` for a query table ``(query_no, query VARIANT)``.
 
-    ``id_col`` must identify a document (it de-duplicates lines whose terms
-    can match one document twice).
+    No join path needs a document id: a document is emitted once per line by
+    construction. ``id_col`` is accepted for callers that pass one.
     """
     spark = df.sparkSession
     schema, base = _doc_space(df, root)
@@ -205,60 +205,50 @@ def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: st
     doc_cols = [F.col(quote(c)) for c in df.columns]
     # classified once, stored: every branch below reads the stored columns
     classified = materialize(classify(queries), "classified")
+    # a terms line that can meet one document twice (terms on two fields, or on
+    # an array field) is answered by the mixed-line path, whose ownership rule
+    # emits a document once per line without a de-duplication shuffle
+    array_fields = [p for p, (_, t) in leaves.items() if isinstance(t, T.ArrayType)]
+    fields_of = F.transform("terms", lambda t: t["field"])
+    multi = F.size(F.array_distinct(fields_of)) > 1
+    if array_fields:
+        multi = multi | F.exists(fields_of, lambda f: f.isin(*array_fields))
+    classified = classified.withColumn(
+        "kind", F.when((F.col("kind") == "terms") & multi, F.lit("general")).otherwise(F.col("kind")))
     known = spark.createDataFrame([(p, True) for p in leaves], "field string, __known boolean")
 
     terms = (classified.filter(F.col("kind") == "terms")
-             .select(QUERY_NO, F.size(F.array_distinct(F.transform("terms", lambda t: t["field"])))
-                     .alias("n_fields"), F.explode("terms").alias("t"))
-             .select(QUERY_NO, "n_fields", F.col("t.field").alias("field"), F.col("t.value").alias("value")))
+             .select(QUERY_NO, F.explode("terms").alias("t"))
+             .select(QUERY_NO, F.col("t.field").alias("field"), F.col("t.value").alias("value")))
     ranges = (classified.filter(F.col("kind") == "range")
               .select(QUERY_NO, F.col("range_field").alias("field"), "range_spec"))
     # one small job: row counts per (kind, known field) and of general lines;
     # bounded by the schema width, and an upper bound for every join side
     kind = F.col("kind")
     per_line = classified.select(kind, F.explode(
-        F.when(kind == "terms", F.transform("terms", lambda t: F.struct(
-            t["field"].alias("field"),
-            (F.size(F.array_distinct(F.transform("terms", lambda u: u["field"]))) > 1).alias("multi"))))
-        .when(kind == "range", F.array(F.struct(F.col("range_field").alias("field"), F.lit(False).alias("multi"))))
-        .otherwise(F.array(F.struct(F.lit(None).cast("string").alias("field"), F.lit(False).alias("multi"))))
-    ).alias("e")).select("kind", F.col("e.field").alias("field"), F.col("e.multi").alias("multi"))
+        F.when(kind == "terms", F.array_distinct(fields_of))
+        .when(kind == "range", F.array(F.col("range_field")))
+        .otherwise(F.array(F.lit(None).cast("string")))).alias("field"))
     stats = (per_line.join(F.broadcast(known), "field", "left")
              .filter((F.col("kind") == "general") | F.col("__known").isNotNull())
              .groupBy("kind", "field")
-             .agg(F.count(F.lit(1)).alias("count"),
-                  F.sum(F.col("multi").cast("long")).alias("multi"))
+             .agg(F.count(F.lit(1)).alias("count"))
              .collect())
     term_counts = {r["field"]: r["count"] for r in stats if r["kind"] == "terms"}
-    term_multi = {r["field"]: r["multi"] for r in stats if r["kind"] == "terms"}
     range_counts = {r["field"]: r["count"] for r in stats if r["kind"] == "range"}
     n_general = sum(r["count"] for r in stats if r["kind"] == "general")
     parts: list[DataFrame] = []
-    multi_parts: list[DataFrame] = []
 
-    # ---- term lines: one hash join per queried field
+    # ---- single-field term lines on scalar fields: one hash join per field
+    # (a document holds one value there, so it meets a line at most once)
     for field in sorted(term_counts):
         cparts, dtype = leaves[field]
-        is_array = isinstance(dtype, T.ArrayType)
-        etype = dtype.elementType if is_array else dtype
         qside = (terms.filter(F.col("field") == field)
-                 .select(QUERY_NO, F.variant_get("value", "$", etype.simpleString()).alias("__k"),
-                         ((F.col("n_fields") > 1) | F.lit(is_array)).alias("__multi"))
+                 .select(QUERY_NO, F.variant_get("value", "$", dtype.simpleString()).alias("__k"))
                  .dropDuplicates([QUERY_NO, "__k"]))
-        col = _column(base, cparts)
-        key = F.explode(F.array_distinct(col)) if is_array else col
-        dside = df.select(*doc_cols, key.alias("__k")).filter(F.col("__k").isNotNull())
+        dside = df.select(*doc_cols, _column(base, cparts).alias("__k")).filter(F.col("__k").isNotNull())
         q_join = F.broadcast(qside) if term_counts[field] <= broadcast_rows else qside
-        joined = dside.join(q_join, "__k")
-        if is_array or term_multi[field]:
-            # a document can meet two terms of one line (two fields, or two
-            # values of an array): those lines are de-duplicated together below
-            parts.append(joined.filter(~F.col("__multi")).select(QUERY_NO, *doc_cols))
-            multi_parts.append(joined.filter(F.col("__multi")).select(QUERY_NO, *doc_cols))
-        else:
-            parts.append(joined.select(QUERY_NO, *doc_cols))
-    if multi_parts:
-        parts.append(reduce(DataFrame.unionByName, multi_parts).dropDuplicates([QUERY_NO, id_col]))
+        parts.append(dside.join(q_join, "__k").select(QUERY_NO, *doc_cols))
 
     # ---- range lines on numeric / time fields: bucketed equi-join
     text_ranges = []
