@@ -174,7 +174,11 @@ def plan_line(text: str, fields: dict, complex_schema: bool) -> dict:
     p = _Planner(fields, complex_schema)
     anchor = p.clause(q, "query")
     fallback = (not p.supported) or anchor is None
-    return {"fallback": fallback, "prog": p.prog, "leaves": p.leaves,
+    depth = height = 0
+    for op in p.prog:
+        height += 1 if op["op"] != 1 else 1 - (op["a"] + op["b"] + op["c"])
+        depth = max(depth, height)
+    return {"fallback": fallback, "prog": p.prog, "leaves": p.leaves, "depth": depth,
             "anchors": None if fallback else anchor[1]}
 
 

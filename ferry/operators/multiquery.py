@@ -259,8 +259,11 @@ def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: st
             text_ranges.append(field)
             continue
         spec = F.col("range_spec")
-        rq = ranges.filter(F.col("field") == field).select(
-            QUERY_NO, *[F.try_variant_get(spec, f"$.{k}", "variant").alias(f"__{k}") for k in _OPS])
+
+        def bound(k, etype=etype):
+            v = F.try_variant_get(spec, f"$.{k}", "variant")
+            return F.when(_is_scalar(v), _typed_literal(v, etype)).alias(f"__{k}")
+        rq = ranges.filter(F.col("field") == field).select(QUERY_NO, *[bound(k) for k in _OPS])
         n = _count(rq)
         parts.append(_range_join(df, rq, [], base, cparts, dtype, etype, doc_cols,
                                  n <= broadcast_rows, buckets))
@@ -344,19 +347,22 @@ def _typed_literal(v: Column, etype: T.DataType) -> Column:
     return F.variant_get(v, "$", ts)
 
 
-def _in_bounds(x: Column, etype: T.DataType) -> Column:
-    """``x`` within the row's bounds ``__gte`` .. ``__lt`` (VARIANT; null = absent)."""
+def _in_bounds(x: Column) -> Column:
+    """``x`` within the row's typed bounds ``__gte`` .. ``__lt`` (null = absent)."""
     out = None
     for k, cmp in (("gte", x.__ge__), ("gt", x.__gt__), ("lte", x.__le__), ("lt", x.__lt__)):
         b = F.col(f"__{k}")
-        c = b.isNull() | cmp(_typed_literal(b, etype))
+        c = b.isNull() | cmp(b)
         out = c if out is None else out & c
     return out
 
 
-def _range_join(df, rq, carry, base, cparts, dtype, etype, doc_cols, broadcast_q, buckets):
+def _range_join(df, rq, carry, base, cparts, dtype, etype, doc_cols, broadcast_q, buckets, doc_extra=()):
     """``(query_no, *carry, *doc_cols)`` for range rows ``rq(query_no, __gte.., *carry)``.
 
+    The bounds arrive typed as the field's element type (null = absent), so the
+    recheck on every joined row is a plain comparison.
+
     Bucketed equi-join plus an exact recheck. An array document meets a range
     once: only the row of its smallest distinct element inside the bounds is
     kept, so no de-duplication shuffle (and no document id) is needed.
@@ -366,16 +372,14 @@ def _range_join(df, rq, carry, base, cparts, dtype, etype, doc_cols, broadcast_q
     is_array = isinstance(dtype, T.ArrayType)
     col = _column(base, cparts)
     key = F.explode(F.array_distinct(col)) if is_array else col
-    dside = df.select(*doc_cols, key.alias("__v")).filter(F.col("__v").isNotNull())
+    dside = df.select(*doc_cols, *doc_extra, key.alias("__v")).filter(F.col("__v").isNotNull())
     dside = dside.withColumn("__d", _as_double(F.col("__v"), etype)).filter(~F.isnan("__d"))
     splits = _splits(dside.select("__d"), buckets)
 
     bcols = [f"__{k}" for k in _OPS]
-    q = rq.select(QUERY_NO, *carry, *[F.when(_is_scalar(F.col(b)), F.col(b)).alias(b) for b in bcols])
-    lo = F.coalesce(*[_as_double(_typed_literal(F.col(b), etype), etype) for b in ("__gte", "__gt")],
-                    F.lit(-math.inf))
-    hi = F.coalesce(*[_as_double(_typed_literal(F.col(b), etype), etype) for b in ("__lte", "__lt")],
-                    F.lit(math.inf))
+    q = rq.select(QUERY_NO, *carry, *bcols)
+    lo = F.coalesce(*[_as_double(F.col(b), etype) for b in ("__gte", "__gt")], F.lit(-math.inf))
+    hi = F.coalesce(*[_as_double(F.col(b), etype) for b in ("__lte", "__lt")], F.lit(math.inf))
     q = q.withColumn("__lo", lo).withColumn("__hi", hi).filter(F.col("__lo") <= F.col("__hi"))
     bz = Bucketizer(splitsArray=[splits, splits], inputCols=["__lo", "__hi"],
                     outputCols=["__blo", "__bhi"], handleInvalid="keep")
@@ -385,56 +389,103 @@ def _range_join(df, rq, carry, base, cparts, dtype, etype, doc_cols, broadcast_q
     dside = Bucketizer(splits=splits, inputCol="__d", outputCol="__bd", handleInvalid="keep").transform(dside)
     dside = dside.withColumn("__b", F.col("__bd").cast("int")).drop("__bd", "__d")
     joined = dside.join(F.broadcast(q) if broadcast_q else q, "__b")
-    ok = _in_bounds(F.col("__v"), etype)
+    ok = _in_bounds(F.col("__v"))
     if is_array:
-        ok = ok & (F.col("__v") == F.array_min(F.filter(col, lambda x: _in_bounds(x, etype))))
-    return joined.filter(ok).select(QUERY_NO, *carry, *doc_cols)
+        ok = ok & (F.col("__v") == F.array_min(F.filter(col, _in_bounds)))
+    extra = [F.col(quote(c)) for c in dside.columns if c.startswith("__tok")]
+    return joined.filter(ok).select(QUERY_NO, *carry, *doc_cols, *extra)
 
 
 # --------------------------------------------------------------------------- mixed lines
 
-_PLAN_SCHEMA = ("struct<fallback:boolean, prog:array<struct<op:int,a:int,b:int,c:int>>, anchors:array<int>, "
+_PLAN_SCHEMA = ("struct<fallback:boolean, depth:int, prog:array<struct<op:int,a:int,b:int,c:int>>, anchors:array<int>, "
                 "leaves:array<struct<kind:string,field:string,value:string,gte:string,gt:string,lte:string,"
                 "lt:string,tokens:array<string>>>>")
-_CARRY = ["__prog", "__leaves", "__anchors", "__j"]
+_CARRY = ["__prog", "__leaves", "__anchors", "__depth", "__j"]
 
 
 def _tokens(c: Column) -> Column:
     return F.split(F.lower(c), TOKEN_SPLIT)
 
 
-def _leaf_bounds(leaf: Column, etype: T.DataType):
+def _elem(dtype: T.DataType) -> T.DataType:
+    return dtype.elementType if isinstance(dtype, T.ArrayType) else dtype
+
+
+def _slot_types(leaves: dict) -> list[str]:
+    """Element types of the queryable paths: one typed literal slot per type."""
+    return sorted({_elem(t).simpleString() for _, t in leaves.values()})
+
+
+def _typed_leaves(raw: Column, leaves: dict) -> Column:
+    """Planned leaves with every literal parsed and typed once, at plan time.
+
+    Slot ``value_<i>`` / ``gte_<i>`` … holds the literal as slot type ``i``,
+    filled for the leaf whose field has that element type. A literal that
+    cannot take the field's type is an error here, as in the compiler.
+    """
+    types = _slot_types(leaves)
+    by_type = {ts: [p for p, (_, t) in leaves.items() if _elem(t).simpleString() == ts] for ts in types}
+    dtypes = {ts: _elem(t) for _, t in leaves.values() for ts in [_elem(t).simpleString()]}
+
+    def one(l):
+        cols = [l["kind"].alias("kind"), l["field"].alias("field"), l["tokens"].alias("tokens")]
+        for i, ts in enumerate(types):
+            on = l["field"].isin(*by_type[ts])
+            for k in ("value",) + _OPS:
+                v = F.parse_json(l[k])
+                cols.append(F.when(on & _is_scalar(v), _typed_literal(v, dtypes[ts])).alias(f"{k}_{i}"))
+        return F.struct(*cols)
+    return F.transform(raw, one)
+
+
+def _leaf_bounds(leaf: Column, slot: int):
     def within(x: Column) -> Column:
         c = None
         for k, cmp in (("gte", x.__ge__), ("gt", x.__gt__), ("lte", x.__le__), ("lt", x.__lt__)):
-            part = leaf[k].isNull() | cmp(_typed_literal(leaf[k], etype))
+            b = leaf[f"{k}_{slot}"]
+            part = b.isNull() | cmp(b)
             c = part if c is None else c & part
         return c
     return within
 
 
-def _leaf_truth(leaf: Column, base, leaves: dict) -> Column:
+def _doc_tokens(col: Column, is_array: bool) -> Column:
+    """Distinct match tokens of a text field (or of all elements of a text array)."""
+    if is_array:
+        return F.array_distinct(F.flatten(F.transform(F.filter(col, lambda x: x.isNotNull()), _tokens)))
+    return F.array_distinct(_tokens(col))
+
+
+def _leaf_truth(leaf: Column, base, leaves: dict, tok_cols: dict | None = None) -> Column:
     """Truth (never null) of one planned leaf against the row's document.
 
     One branch per (kind, typed path) of the schema, so the cost is bounded by
-    the schema width; a field the schema lacks never matches.
+    the schema width; a field the schema lacks never matches. Literals come
+    from the typed slots: no JSON is parsed per document.
     """
+    slots = {ts: i for i, ts in enumerate(_slot_types(leaves))}
     out = None
     for path in sorted(leaves):
         cparts, dtype = leaves[path]
         col = _column(base, cparts)
         is_array = isinstance(dtype, T.ArrayType)
-        etype = dtype.elementType if is_array else dtype
-        val = _typed_literal(leaf["value"], etype)
+        etype = _elem(dtype)
+        slot = slots[etype.simpleString()]
+        val = leaf[f"value_{slot}"]
         term = F.array_contains(col, val) if is_array else col == val
         branches = [("term", term)]
         if isinstance(etype, _BUCKETABLE):
-            rng = _leaf_bounds(leaf, etype)
+            rng = _leaf_bounds(leaf, slot)
             branches.append(("range", F.exists(col, rng) if is_array else rng(col)))
         if isinstance(etype, T.StringType):
             def overlaps(x):
                 return F.arrays_overlap(_tokens(x), leaf["tokens"])
-            m = F.exists(col, overlaps) if is_array else overlaps(col)
+            if tok_cols and path in tok_cols:
+                # tokens computed once per document, before the join (codegen)
+                m = F.arrays_overlap(F.col(tok_cols[path]), leaf["tokens"])
+            else:
+                m = F.exists(col, overlaps) if is_array else overlaps(col)
             branches.append(("match", (F.size(leaf["tokens"]) > 0) & m))
         else:
             branches.append(("match", term))
@@ -446,6 +497,46 @@ def _leaf_truth(leaf: Column, base, leaves: dict) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
+#: deepest program stack the bit machine holds (one bit per entry in a bigint)
+_BIT_DEPTH = 62
+
+
+def _run_bits(prog: Column, truths: Column) -> Column:
+    """The postfix program with its stack as bits of a bigint (depth <= ``_BIT_DEPTH``).
+
+    A bool op pops ``k = must + must_not + should`` bits (must children are
+    the lowest) and tests them with masks; no array is built per step.
+    """
+    one = F.lit(1).cast("long")
+
+    def _shl(x, n):
+        return F.call_function("shiftleft", x, n)
+
+    def _shr(x, n):
+        return F.call_function("shiftright", x, n)
+
+    def mask(width: Column) -> Column:
+        return _shl(one, width) - one
+
+    def step(st, op):
+        bits, n = st["bits"], st["n"]
+        push = op["op"] != 1
+        val = F.when(op["op"] == 0, F.get(truths, op["a"])).otherwise(F.lit(True))
+        k = op["a"] + op["b"] + op["c"]
+        top = _shr(bits, n - k).bitwiseAND(mask(k))
+        m_must = mask(op["a"])
+        m_not = _shl(mask(op["b"]), op["a"])
+        m_should = _shl(mask(op["c"]), op["a"] + op["b"])
+        res = ((top.bitwiseAND(m_must) == m_must) & (top.bitwiseAND(m_not) == 0)
+               & ((op["a"] > 0) | (op["c"] == 0) | (top.bitwiseAND(m_should) != 0)))
+        pushed = F.struct(bits.bitwiseOR(_shl(val.cast("long"), n)).alias("bits"), (n + 1).alias("n"))
+        popped = F.struct(bits.bitwiseAND(mask(n - k)).bitwiseOR(_shl(res.cast("long"), n - k))
+                          .alias("bits"), (n - k + 1).alias("n"))
+        return F.when(push, pushed).otherwise(popped)
+    start = F.struct(F.lit(0).cast("long").alias("bits"), F.lit(0).alias("n"))
+    return F.aggregate(prog, start, step)["bits"].bitwiseAND(one) == one
+
+
 def _run_prog(prog: Column, truths: Column) -> Column:
     """Evaluate the postfix bool program over the leaf truths (a stack in ``aggregate``)."""
     def step(st, op):
@@ -505,15 +596,13 @@ def _mixed_lines(df, general, schema, base, leaves, doc_cols, broadcast_bytes, b
     p = F.from_json("plan", _PLAN_SCHEMA)
     lines = materialize(planned.select(QUERY_NO, p.alias("p"), F.octet_length("plan").alias("__bytes")).select(
         QUERY_NO, F.col("p.fallback").alias("__fallback"), F.col("p.prog").alias("__prog"),
+        F.col("p.depth").alias("__depth"),
         F.col("p.anchors").alias("__anchors"), "__bytes",
-        F.transform("p.leaves", lambda l: F.struct(
-            l["kind"].alias("kind"), l["field"].alias("field"),
-            F.parse_json(l["value"]).alias("value"),
-            *[F.parse_json(l[k]).alias(k) for k in _OPS], l["tokens"].alias("tokens"))).alias("__leaves")),
+        _typed_leaves(F.col("p.leaves"), leaves).alias("__leaves")),
         "line-plans")
 
     anchored = (lines.filter(~F.col("__fallback"))
-                .select(QUERY_NO, "__prog", "__leaves", "__anchors", "__bytes",
+                .select(QUERY_NO, "__prog", "__leaves", "__anchors", "__depth", "__bytes",
                         F.explode("__anchors").alias("__j"))
                 .withColumn("__leaf", F.get(F.col("__leaves"), F.col("__j"))))
     # one small job: per (kind, field) of anchor leaves, rows and plan bytes
@@ -523,47 +612,67 @@ def _mixed_lines(df, general, schema, base, leaves, doc_cols, broadcast_bytes, b
              .filter(F.col("field").isin(*leaves) if leaves else F.lit(False))
              .collect())
     has_fallback = lines.filter(F.col("__fallback")).limit(1).count() > 0
+    # text fields some match leaf reads: tokenised once per document on the
+    # document side of every join, not once per candidate (bounded by the schema)
+    text_paths = [p for p, (_, t) in leaves.items() if isinstance(_elem(t), T.StringType)]
+    match_fields = sorted(r["f"] for r in (
+        lines.filter(~F.col("__fallback")).select(F.explode("__leaves").alias("l"))
+        .filter((F.col("l.kind") == "match") & F.col("l.field").isin(*text_paths))
+        .select(F.col("l.field").alias("f")).distinct().collect())) if text_paths else []
+    tok_cols = {p: f"__tok{i}" for i, p in enumerate(match_fields)}
+    tok_exprs = [_doc_tokens(_column(base, leaves[p][0]), isinstance(leaves[p][1], T.ArrayType)).alias(n)
+                 for p, n in tok_cols.items()]
+    tok_names = [F.col(n) for n in tok_cols.values()]
 
     leaf = F.col("__leaf")
     carry = [F.col(c) for c in _CARRY]
+    slots = {ts: i for i, ts in enumerate(_slot_types(leaves))}
     cands: list[DataFrame] = []
     for r in sorted(stats, key=lambda r: (r["kind"], r["field"])):
         kind, field = r["kind"], r["field"]
         cparts, dtype = leaves[field]
         is_array = isinstance(dtype, T.ArrayType)
-        etype = dtype.elementType if is_array else dtype
+        etype = _elem(dtype)
+        slot = slots[etype.simpleString()]
         small = 2 * int(r["bytes"] or 0) <= broadcast_bytes
         rows = anchored.filter((leaf["kind"] == kind) & (leaf["field"] == field))
         col = _column(base, cparts)
         if kind == "range":
-            rq = rows.select(QUERY_NO, *carry, *[leaf[k].alias(f"__{k}") for k in _OPS])
-            cands.append(_range_join(df, rq, _CARRY, base, cparts, dtype, etype, doc_cols, small, buckets))
+            rq = rows.select(QUERY_NO, *carry, *[leaf[f"{k}_{slot}"].alias(f"__{k}") for k in _OPS])
+            cands.append(_range_join(df, rq, _CARRY, base, cparts, dtype, etype, doc_cols, small, buckets,
+                                     tok_exprs))
             continue
         if kind == "match" and isinstance(etype, T.StringType):
             qside = rows.select(QUERY_NO, *carry, leaf["tokens"].alias("__qt"),
                                 F.explode(leaf["tokens"]).alias("__k"))
-            toks = F.flatten(F.transform(col, _tokens)) if is_array else _tokens(col)
-            dside = (df.select(*doc_cols, F.explode(F.array_distinct(toks)).alias("__k"))
+            toks = F.col(tok_cols[field])
+            dside = (df.select(*doc_cols, *tok_exprs).select("*", F.explode(toks).alias("__k"))
                      .filter(F.col("__k") != ""))
             j = dside.join(F.broadcast(qside) if small else qside, "__k")
             # a document meeting several tokens of the leaf: keep its smallest one
-            own = F.col("__k") == F.array_min(F.array_intersect(F.array_distinct(toks), F.col("__qt")))
-            cands.append(j.filter(own).select(QUERY_NO, *carry, *doc_cols))
+            own = F.col("__k") == F.array_min(F.array_intersect(toks, F.col("__qt")))
+            cands.append(j.filter(own).select(QUERY_NO, *carry, *doc_cols, *tok_names))
             continue
         # term, and match on a non-text field (behaves like term)
-        qside = rows.select(QUERY_NO, *carry, _typed_literal(leaf["value"], etype).alias("__k"))
+        qside = rows.select(QUERY_NO, *carry, leaf[f"value_{slot}"].alias("__k"))
         key = F.explode(F.array_distinct(col)) if is_array else col
-        dside = df.select(*doc_cols, key.alias("__k")).filter(F.col("__k").isNotNull())
+        dside = df.select(*doc_cols, *tok_exprs, key.alias("__k")).filter(F.col("__k").isNotNull())
         j = dside.join(F.broadcast(qside) if small else qside, "__k")
-        cands.append(j.select(QUERY_NO, *carry, *doc_cols))
+        cands.append(j.select(QUERY_NO, *carry, *doc_cols, *tok_names))
 
     out = []
     if cands:
         c = reduce(DataFrame.unionByName, cands)
-        truths = F.transform("__leaves", lambda l: _leaf_truth(l, base, leaves))
-        c = c.withColumn("__t", truths)
-        owner = F.array_min(F.filter("__anchors", lambda i: F.get(F.col("__t"), i)))
-        keep = _run_prog(F.col("__prog"), F.col("__t")) & (F.col("__j") == owner)
+        truths = F.transform("__leaves", lambda l: _leaf_truth(l, base, leaves, tok_cols))
+
+        def verdict(t):
+            owner = F.array_min(F.filter("__anchors", lambda i: F.get(t, i)))
+            ok = F.when(F.col("__depth") <= _BIT_DEPTH, _run_bits(F.col("__prog"), t)) \
+                  .otherwise(_run_prog(F.col("__prog"), t))
+            return ok & (F.col("__j") == owner)
+        # the truths are bound once (a one-element transform acts as "let"):
+        # as a plain column Catalyst would inline them at every use
+        keep = F.get(F.transform(F.array(truths), verdict), 0)
         out.append(c.filter(keep).select(QUERY_NO, *doc_cols))
     fallback = None
     if has_fallback:

@@ -96,3 +96,15 @@ def test_mixed_plan_is_hash_joins(spark, docs):
         .executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_deep_line_uses_array_stack(spark, docs):
+    # 70 should clauses: the program stack is deeper than the bit stack holds
+    wide = {"bool": {"should": [{"term": {"n": v}} for v in range(0, 70)]
+                     + [{"match": {"s": "cat"}}],
+                     "must_not": {"term": {"tags": "y"}}}}
+    assert plan_line(json.dumps(wide), {"s": ("string", False), "n": ("number", False),
+                                         "tags": ("string", True)}, False)["depth"] > 62
+    qs = [wide, {"bool": {"must": [{"range": {"p": {"gte": 1}}}], "should": [{"term": {"n": 10}}]}}]
+    got = _pairs(batch_query(docs, _query_table(spark, qs)))
+    assert got == _pairs(multi_query(docs, qs))
