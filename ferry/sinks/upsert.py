@@ -43,7 +43,9 @@ def upsert(target: DataFrame, batch: DataFrame, id_col: str = "_id", order=None,
         batch = latest_per_key(batch, id_col, order)
     if index is not None and "_index" in batch.columns:
         batch = batch.withColumn("_index", F.lit(index))
-    ids = batch.select(id_col)
+    # distinct: a hot id is combined map-side (partial aggregate) before the
+    # anti join, so no task receives all copies of one id on its build side
+    ids = batch.select(id_col).distinct()
     if broadcast_rows is not None and ids.count() <= broadcast_rows:
         ids = F.broadcast(ids)
     kept = target.join(ids, id_col, "left_anti")
