@@ -62,19 +62,24 @@ def flatten_paths(df: DataFrame, key: str, doc, depth: int = 8) -> DataFrame:
     dtype = df.select(d.alias("__d")).schema["__d"].dataType
     if not isinstance(dtype, T.VariantType):
         d = F.to_variant_object(d)
+    no = F.lit(False)
     level = df.select(F.col(key).alias("__key"),
-                      F.struct(F.lit("").alias("path"), d.alias("value")).alias("n"))
+                      F.struct(F.lit("").alias("path"), d.alias("value"), no.alias("done")).alias("n"))
     for _ in range(depth):
         path, value = F.col("n.path"), F.col("n.value")
         as_map = F.try_variant_get(value, "$", "map<string,variant>")
         as_arr = F.try_variant_get(value, "$", "array<variant>")
         obj_children = F.transform(F.map_entries(as_map), lambda e: F.struct(
             F.when(path == "", e["key"]).otherwise(F.concat(path, F.lit("."), e["key"])).alias("path"),
-            e["value"].alias("value")))
+            e["value"].alias("value"), no.alias("done")))
         arr_children = F.transform(as_arr, lambda x, i: F.struct(
-            F.concat(path, F.lit("["), i.cast("string"), F.lit("]")).alias("path"), x.alias("value")))
-        children = (F.when(as_map.isNotNull(), obj_children)
+            F.concat(path, F.lit("["), i.cast("string"), F.lit("]")).alias("path"), x.alias("value"),
+            no.alias("done")))
+        # a leaf is marked once and passes through later levels without being parsed again
+        children = (F.when(F.col("n.done"), F.array(F.col("n")))
+                     .when(as_map.isNotNull(), obj_children)
                      .when(as_arr.isNotNull(), arr_children)
-                     .otherwise(F.array(F.col("n"))))
+                     .otherwise(F.array(F.struct(path.alias("path"), value.alias("value"),
+                                                 F.lit(True).alias("done")))))
         level = level.select("__key", F.explode(children).alias("n"))
     return level.select(F.col("__key").alias(key), F.col("n.path").alias("path"), F.col("n.value").alias("value"))
