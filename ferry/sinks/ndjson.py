@@ -46,24 +46,56 @@ def assign_chunks(df: DataFrame, split_limit: int, spec=None, tiebreak=None,
     return numbered.withColumn(chunk_col, F.floor((F.col(rn_col) - 1) / split_limit).cast("long") + 1)
 
 
+def _boundary_chunks(chunked: DataFrame) -> list[int]:
+    """Chunks whose rows sit in more than one (read task, stored file) run.
+
+    The numbered frame reads a stored table back; inside one file the rows
+    are a contiguous run of row numbers, so a chunk can only be shared at the
+    two ends of a run. One row per (task, file) comes back: bounded by the
+    partition count, like the numbering offsets.
+    """
+    runs = (chunked.groupBy(F.spark_partition_id().alias("t"), F.input_file_name().alias("f"))
+            .agg(F.min("chunk").alias("lo"), F.max("chunk").alias("hi"))
+            .collect())
+    seen: dict[int, int] = {}
+    for r in runs:
+        for c in {int(r["lo"]), int(r["hi"])}:
+            seen[c] = seen.get(c, 0) + 1
+    return sorted(c for c, n in seen.items() if n > 1)
+
+
 def split_export(df: DataFrame, path: str, split_limit: int, spec=None, tiebreak=None,
                  sorted_keys: bool = True, mode: str = "errorifexists") -> DataFrame:
     """Files of at most ``split_limit`` docs, numbered from 1, order kept.
 
-    Output layout: ``path/chunk=<n>/part-*.txt`` — one file per chunk, because
-    rows are hash-partitioned by chunk (a chunk is bounded by ``split_limit``)
-    and sorted by row number inside each task. Returns the per-chunk sizes
-    (a small frame, one row per chunk).
+    Output layout: ``path/chunk=<n>/part-*.txt`` with one file per chunk.
+    After the exact numbering (one range shuffle), a chunk lies inside one
+    read task unless it straddles the end of a task's run of rows; those
+    chunks are written in place, sorted by row number inside the task. Only
+    the straddling chunks (at most about one per task, each at most
+    ``split_limit`` rows) are shuffled by chunk and appended, so the data is
+    not shuffled a second time. Returns the per-chunk sizes (one row per
+    chunk, not collected).
     """
     chunked = assign_chunks(df, split_limit, spec, tiebreak, "chunk", "__rn")
     body = json_line(chunked, sorted_keys, exclude=("chunk", "__rn"))
     out = chunked.select(body.alias("value"), "chunk", "__rn")
+    edges = _boundary_chunks(chunked)
     spark = df.sparkSession
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (out.repartition(n_parts, "chunk")
-        .sortWithinPartitions("chunk", "__rn")
-        .drop("__rn")
+    if len(edges) <= 10_000:
+        on_edge = F.col("chunk").isin(*edges) if edges else F.lit(False)
+        inner, edge = out.filter(~on_edge), out.filter(on_edge)
+    else:
+        ids = F.broadcast(spark.createDataFrame([(c,) for c in edges], "chunk long"))
+        inner, edge = out.join(ids, "chunk", "left_anti"), out.join(ids, "chunk", "left_semi")
+    (inner.sortWithinPartitions("chunk", "__rn").drop("__rn")
         .write.mode(mode).partitionBy("chunk").text(path))
+    if edges:
+        n_parts = min(len(edges), int(spark.conf.get("spark.sql.shuffle.partitions")))
+        (edge.repartition(n_parts, "chunk")
+            .sortWithinPartitions("chunk", "__rn")
+            .drop("__rn")
+            .write.mode("append").partitionBy("chunk").text(path))
     return chunked.groupBy("chunk").agg(F.count(F.lit(1)).alias("docs"))
 
 

@@ -15,7 +15,7 @@ from ferry.sinks.upsert import latest_per_key, upsert
 from ferry.sources.ndjson import (scan_dump, scan_ndjson, scan_ndjson_quarantine, scan_query_list,
                                   scan_typed, scan_typed_quarantine)
 from ferry.streaming.copy import stream_copy
-from tests.conftest import SF_SMALL, write_lines
+from tests.conftest import SF_CHECK, SF_SMALL, write_lines
 
 
 def _fails(df):
@@ -292,3 +292,29 @@ def test_dump_round_trip(spark, tmpdir_path):
     back = scan_dump(spark, out)
     assert back.count() == o.count()
     assert back.filter(F.col("_index") != "orders").count() == 0
+
+
+def test_split_export_one_file_per_chunk_at_scale(spark, tmpdir_path):
+    from ferry.sinks.ndjson import _boundary_chunks, assign_chunks
+
+    orders = spark.read.parquet(f"{SF_CHECK}/orders.parquet").repartition(8)
+    env = orders.select(F.col("o_orderkey").cast("string").alias("_id"), F.lit("orders").alias("_index"),
+                        F.struct("o_orderkey", "o_totalprice").alias("_source"))
+    out = os.path.join(tmpdir_path, "split")
+    sizes = dict(tuple(r) for r in split_export(env, out, 500, "o_orderkey").collect())
+    n = orders.count()
+    assert sum(sizes.values()) == n and max(sizes) == -(-n // 500)
+    prev = -1
+    for chunk in sorted(sizes):
+        files = [f for f in glob.glob(f"{out}/chunk={chunk}/part-*") if not f.endswith(".crc")]
+        assert len(files) == 1, chunk
+        with open(files[0]) as fh:
+            keys = [int(line.split('"o_orderkey":')[1].split(",")[0].rstrip("}")) for line in fh]
+        assert len(keys) == sizes[chunk] and keys == sorted(keys) and keys[0] > prev
+        prev = keys[-1]
+    # only chunks at the ends of a task's run are shuffled; the rest are written in place
+    chunked = assign_chunks(env, 500, "o_orderkey", None, "chunk", "__rn")
+    assert len(_boundary_chunks(chunked)) < len(sizes)
+    plan = chunked.filter(~F.col("chunk").isin(*_boundary_chunks(chunked))) \
+        .sortWithinPartitions("chunk", "__rn")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.replace("BroadcastExchange", "")
