@@ -30,6 +30,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -588,8 +589,14 @@ def _mixed_lines(df, general, schema, base, leaves, doc_cols, broadcast_bytes, b
        kept only for the first anchor leaf the document meets, so a document
        is emitted once per line without a de-duplication shuffle.
     """
+    from . import dsl, lineplan
     from .lineplan import plan_batches
 
+    # the planner (and the DSL helpers it uses) travel with the task, so the
+    # executors need no installed copy of this package
+    for mod in (dsl, lineplan):
+        cloudpickle.register_pickle_by_value(mod)
+
     fields = _field_info(leaves)
     planned = (general.select(QUERY_NO, F.to_json("query").alias("q"))
                .mapInPandas(plan_batches(fields, _is_complex(schema)), "query_no long, plan string"))
