@@ -138,3 +138,28 @@ def test_upsert_hot_id_without_order(spark):
     out = upsert(target, batch)
     assert out.filter("_id = '7' and v = 'old'").count() == 0
     assert out.filter("v = 'old'").count() == 99
+
+
+def test_planner_travels_without_installed_package(tmp_path):
+    # the mapInPandas body must unpickle where this package is not importable
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    from ferry.operators import dsl, lineplan
+
+    for mod in (dsl, lineplan):
+        cloudpickle.register_pickle_by_value(mod)
+    fn = lineplan.plan_batches({"s": ("string", False)}, False)
+    blob = tmp_path / "fn.pkl"
+    blob.write_bytes(cloudpickle.dumps(fn))
+    code = ("import pickle, sys, pandas as pd\n"
+            "assert not any('repo' in p for p in sys.path)\n"
+            f"fn = pickle.loads(open({str(blob)!r}, 'rb').read())\n"
+            "out = list(fn(iter([pd.DataFrame({'query_no': [0], 'q': ['{\"match\": {\"s\": \"A b\"}}']})])))\n"
+            "print(out[0]['plan'][0])\n")
+    res = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), capture_output=True, text=True,
+                         env={"PATH": "/usr/bin:/bin"}, timeout=120)
+    assert res.returncode == 0, res.stderr[-2000:]
+    assert '"tokens": ["a", "b"]' in res.stdout
