@@ -205,6 +205,14 @@ def _range(body, r, path) -> Column:
     return r.on_field(field, leaf, probe=probe, path=f"{path}.{field}")
 
 
+_TOKEN_CHARS = r"\p{L}\p{N}_"
+
+
+def _token_pattern(tokens: list[str]) -> str:
+    """Whole-token alternation; tokens hold only token characters (no escaping needed)."""
+    return f"(?<![{_TOKEN_CHARS}])(?:{'|'.join(tokens)})(?![{_TOKEN_CHARS}])"
+
+
 def match_tokens(text) -> list[str]:
     """Query-side tokens of ``match``: same rule as the column side."""
     s = str(text).lower()
@@ -228,8 +236,10 @@ def _match(body, r, path) -> Column:
         if isinstance(t, T.StringType):
             if not tokens:
                 return F.lit(False)
-            return F.arrays_overlap(F.split(F.lower(c), TOKEN_SPLIT),
-                                    F.array(*[F.lit(x) for x in tokens]))
+            # a query token is a whole token of the text when no token
+            # character touches it on either side: one compiled pattern scans
+            # the text, no token array is built per row
+            return F.lower(c).rlike(_token_pattern(tokens))
         # non-text columns behave like term
         return c == literal_for(text, t, f"{path}.{field}")
 

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ferry.operators.dsl import QueryError, apply_query, compile_query, match_tokens
+from ferry.operators.dsl import TOKEN_SPLIT, QueryError, apply_query, compile_query, match_tokens
 
 ROWS = [
     (1, "a", 10, ["x", "y"], {"k": 1}),
@@ -168,3 +168,17 @@ def test_variant_documents(spark):
     got = apply_query(d, {"term": {"t": "z"}}).count()
     assert got == 1
     assert apply_query(d, {"bool": {"must_not": {"term": {"a": 1}}}}).count() == 2
+
+
+def test_match_pattern_equals_token_split(spark):
+    # the compiled match (whole-token pattern) and the token split agree
+    texts = ["a_b c", "ÄBC-äbc", "x² y", "日本語 テキスト", "über-über", "", "  ", "the.", "3-URGENT",
+             "__init__", "a1b2", "Straße STRASSE", None, "tab\tand\nnewline", "émigré's café"]
+    queries = ["a_b", "äbc", "x²", "日本語", "über", "the", "urgent 3", "init", "__init__", "a1b2",
+               "straße", "and newline", "café émigré", "s"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, s string")
+    for q in queries:
+        toks = match_tokens(q)
+        split_ids = sorted(r["id"] for r in df.filter(F.arrays_overlap(
+            F.split(F.lower("s"), TOKEN_SPLIT), F.array(*[F.lit(t) for t in toks]))).collect())
+        assert ids(df, {"match": {"s": q}}) == split_ids, q
