@@ -69,6 +69,8 @@ def split_export(df: DataFrame, path: str, split_limit: int, spec=None, tiebreak
     """Files of at most ``split_limit`` docs, numbered from 1, order kept.
 
     Output layout: ``path/chunk=<n>/part-*.txt`` with one file per chunk.
+    ``mode="overwrite"`` replaces the chunks written now and keeps the other
+    chunks already in ``path``; the default refuses an existing ``path``.
     After the exact numbering (one range shuffle), a chunk lies inside one
     read task unless it straddles the end of a task's run of rows; those
     chunks are written in place, sorted by row number inside the task. Only
@@ -88,14 +90,24 @@ def split_export(df: DataFrame, path: str, split_limit: int, spec=None, tiebreak
     else:
         ids = F.broadcast(spark.createDataFrame([(c,) for c in edges], "chunk long"))
         inner, edge = out.join(ids, "chunk", "left_anti"), out.join(ids, "chunk", "left_semi")
-    (inner.sortWithinPartitions("chunk", "__rn").drop("__rn")
-        .write.mode(mode).partitionBy("chunk").text(path))
+    # "overwrite" replaces the chunk files this export writes and keeps any
+    # other chunk of the folder (dynamic partition overwrite), as a split
+    # writer that reuses a base name does; the edge chunks then replace theirs
+    replace = mode == "overwrite"
+    w = (inner.sortWithinPartitions("chunk", "__rn").drop("__rn")
+         .write.mode(mode).partitionBy("chunk"))
+    if replace:
+        w = w.option("partitionOverwriteMode", "dynamic")
+    w.text(path)
     if edges:
         n_parts = min(len(edges), int(spark.conf.get("spark.sql.shuffle.partitions")))
-        (edge.repartition(n_parts, "chunk")
-            .sortWithinPartitions("chunk", "__rn")
-            .drop("__rn")
-            .write.mode("append").partitionBy("chunk").text(path))
+        w = (edge.repartition(n_parts, "chunk")
+             .sortWithinPartitions("chunk", "__rn")
+             .drop("__rn")
+             .write.mode("overwrite" if replace else "append").partitionBy("chunk"))
+        if replace:
+            w = w.option("partitionOverwriteMode", "dynamic")
+        w.text(path)
     return chunked.groupBy("chunk").agg(F.count(F.lit(1)).alias("docs"))
 
 

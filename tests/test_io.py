@@ -161,6 +161,21 @@ def test_split_seven_by_three(spark, tmpdir_path):
         assert got == ids
 
 
+def test_split_write_again_replaces_same_names_keeps_others(spark, tmpdir_path):
+    out = os.path.join(tmpdir_path, "split")
+    first = spark.createDataFrame([(i, "old") for i in range(1, 8)], "id int, v string")
+    split_export(first, out, 3, "id")                                   # chunks 1..3
+    second = spark.createDataFrame([(i, "new") for i in range(1, 5)], "id int, v string").repartition(3)
+    split_export(second, out, 3, "id", mode="overwrite")                 # chunks 1..2
+    rows = spark.read.text(out).select(F.col("chunk"), F.get_json_object("value", "$.id").alias("id"),
+                                       F.get_json_object("value", "$.v").alias("v")).collect()
+    got = sorted((r["chunk"], int(r["id"]), r["v"]) for r in rows)
+    assert got == [(1, 1, "new"), (1, 2, "new"), (1, 3, "new"), (2, 4, "new"), (3, 7, "old")]
+    for chunk in (1, 2, 3):
+        files = [f for f in glob.glob(f"{out}/chunk={chunk}/part-*") if not f.endswith(".crc")]
+        assert len(files) == 1
+
+
 @pytest.mark.parametrize("limit", [0, -1])
 def test_split_limit_refused(spark, tmpdir_path, limit):
     with pytest.raises(ValueError):
