@@ -612,20 +612,25 @@ def _mixed_lines(df, general, schema, base, leaves, doc_cols, broadcast_bytes, b
                 .select(QUERY_NO, "__prog", "__leaves", "__anchors", "__depth", "__bytes",
                         F.explode("__anchors").alias("__j"))
                 .withColumn("__leaf", F.get(F.col("__leaves"), F.col("__j"))))
-    # one small job: per (kind, field) of anchor leaves, rows and plan bytes
-    # (bounded by the schema width), and whether any line falls back
-    stats = (anchored.groupBy(F.col("__leaf.kind").alias("kind"), F.col("__leaf.field").alias("field"))
-             .agg(F.count(F.lit(1)).alias("n"), F.sum("__bytes").alias("bytes"))
-             .filter(F.col("field").isin(*leaves) if leaves else F.lit(False))
-             .collect())
-    has_fallback = lines.filter(F.col("__fallback")).limit(1).count() > 0
-    # text fields some match leaf reads: tokenised once per document on the
-    # document side of every join, not once per candidate (bounded by the schema)
-    text_paths = [p for p, (_, t) in leaves.items() if isinstance(_elem(t), T.StringType)]
-    match_fields = sorted(r["f"] for r in (
-        lines.filter(~F.col("__fallback")).select(F.explode("__leaves").alias("l"))
-        .filter((F.col("l.kind") == "match") & F.col("l.field").isin(*text_paths))
-        .select(F.col("l.field").alias("f")).distinct().collect())) if text_paths else []
+    # one small job over the stored plans, bounded by kinds x schema paths:
+    # rows and plan bytes per (kind, field) of anchor leaves, the text fields
+    # some match leaf reads (tokenised once per document on the document side
+    # of every join, not once per candidate), and whether any line falls back
+    leaf_rows = lines.select(
+        "__fallback", "__bytes",
+        F.explode_outer(F.transform("__leaves", lambda l, i: F.struct(
+            l["kind"].alias("kind"), l["field"].alias("field"),
+            F.coalesce(F.array_contains("__anchors", i), F.lit(False)).alias("anchor")))).alias("l"))
+    summary = (leaf_rows.groupBy("__fallback", F.col("l.kind").alias("kind"), F.col("l.field").alias("field"),
+                                 F.col("l.anchor").alias("anchor"))
+               .agg(F.count(F.lit(1)).alias("n"), F.sum("__bytes").alias("bytes"))
+               .collect())
+    known_paths = set(leaves)
+    text_paths = {p for p, (_, t) in leaves.items() if isinstance(_elem(t), T.StringType)}
+    stats = [r for r in summary if not r["__fallback"] and r["anchor"] and r["field"] in known_paths]
+    has_fallback = any(r["__fallback"] for r in summary)
+    match_fields = sorted({r["field"] for r in summary
+                           if not r["__fallback"] and r["kind"] == "match" and r["field"] in text_paths})
     tok_cols = {p: f"__tok{i}" for i, p in enumerate(match_fields)}
     tok_exprs = [_doc_tokens(_column(base, leaves[p][0]), isinstance(leaves[p][1], T.ArrayType)).alias(n)
                  for p, n in tok_cols.items()]
