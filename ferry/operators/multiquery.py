@@ -8,19 +8,26 @@ A query list is a bag union: a document matching two lines appears twice
 * ``batch_query`` (E2): a query *table* of any length. Lines are classified
   on the executors from their VARIANT form:
 
-  - ``term`` and ``bool.should``-of-``term`` lines become rows
-    ``(query_no, field, value)`` and are answered with one hash join per
-    queried field (value cast to the column type, so numbers never compare as
-    strings);
+  - single-field ``term`` lines (and ``bool.should`` of such terms) on a
+    scalar field become rows ``(query_no, field, value)`` and are answered
+    with one hash join per queried field (value cast to the column type, so
+    numbers never compare as strings);
   - single-field ``range`` lines are answered with an equi-join on equi-depth
     value buckets (boundaries from ``approxQuantile``; a heavy value gets its
     own one-value bucket) followed by an exact recheck of the bounds, so the
     join never degrades to a nested loop;
-  - any other line shape is compiled with the DSL compiler and evaluated in
-    slices with ``multi_query``, streaming the lines with ``toLocalIterator``.
-
-  The query side of a join is broadcast only when its row count (measured) is
-  below ``broadcast_rows``; otherwise both sides shuffle and AQE splits skewed
+  - every other line (terms over several fields or array fields, nested
+    ``bool``, ``match``, mixes) is planned per line in the tasks
+    (:mod:`.lineplan`): candidates come from joins on its anchor leaves, and
+    the JVM verifies the whole line on each candidate; a document is kept
+    only on the row of the first anchor it meets, so no de-duplication
+    shuffle is needed;
+  - lines with no anchor set (e.g. only ``must_not``: they match most of the
+    collection anyway) are compiled with the DSL compiler and evaluated in
+    slices of lines with ``multi_query``.
+
+  A query side is broadcast only below a measured bound (rows, or plan bytes
+  for the mixed path); otherwise both sides shuffle and AQE splits skewed
   keys.
 * ``multi_query_cap`` (E3): the shared cap over the concatenated results.
 """
@@ -265,9 +272,8 @@ def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: st
             v = F.try_variant_get(spec, f"$.{k}", "variant")
             return F.when(_is_scalar(v), _typed_literal(v, etype)).alias(f"__{k}")
         rq = ranges.filter(F.col("field") == field).select(QUERY_NO, *[bound(k) for k in _OPS])
-        n = _count(rq)
         parts.append(_range_join(df, rq, [], base, cparts, dtype, etype, doc_cols,
-                                 n <= broadcast_rows, buckets))
+                                 broadcast_rows, buckets))
 
     # ---- other shapes (and text ranges): anchor joins + verification on the JVM;
     # lines without an anchor set are compiled and evaluated in slices
@@ -358,7 +364,8 @@ def _in_bounds(x: Column) -> Column:
     return out
 
 
-def _range_join(df, rq, carry, base, cparts, dtype, etype, doc_cols, broadcast_q, buckets, doc_extra=()):
+def _range_join(df, rq, carry, base, cparts, dtype, etype, doc_cols, max_broadcast_rows, buckets,
+                doc_extra=()):
     """``(query_no, *carry, *doc_cols)`` for range rows ``rq(query_no, __gte.., *carry)``.
 
     The bounds arrive typed as the field's element type (null = absent), so the
@@ -385,6 +392,10 @@ def _range_join(df, rq, carry, base, cparts, dtype, etype, doc_cols, broadcast_q
     bz = Bucketizer(splitsArray=[splits, splits], inputCols=["__lo", "__hi"],
                     outputCols=["__blo", "__bhi"], handleInvalid="keep")
     q = bz.transform(q)
+    # the broadcast side is the exploded one (a wide range covers many
+    # buckets): its row count is measured before choosing the join
+    n_rows = q.agg(F.sum(F.col("__bhi") - F.col("__blo") + 1)).first()[0] or 0
+    broadcast_q = n_rows <= max_broadcast_rows
     q = q.select(QUERY_NO, *carry, *bcols,
                  F.explode(F.sequence(F.col("__blo").cast("int"), F.col("__bhi").cast("int"))).alias("__b"))
     dside = Bucketizer(splits=splits, inputCol="__d", outputCol="__bd", handleInvalid="keep").transform(dside)
@@ -651,8 +662,10 @@ def _mixed_lines(df, general, schema, base, leaves, doc_cols, broadcast_bytes, b
         col = _column(base, cparts)
         if kind == "range":
             rq = rows.select(QUERY_NO, *carry, *[leaf[f"{k}_{slot}"].alias(f"__{k}") for k in _OPS])
-            cands.append(_range_join(df, rq, _CARRY, base, cparts, dtype, etype, doc_cols, small, buckets,
-                                     tok_exprs))
+            # plan bytes per anchor row turn the byte budget into a row budget
+            per_row = 2 * max(1, int(r["bytes"] or 0) // max(1, int(r["n"])))
+            cands.append(_range_join(df, rq, _CARRY, base, cparts, dtype, etype, doc_cols,
+                                     broadcast_bytes // per_row, buckets, tok_exprs))
             continue
         if kind == "match" and isinstance(etype, T.StringType):
             qside = rows.select(QUERY_NO, *carry, leaf["tokens"].alias("__qt"),

@@ -163,3 +163,14 @@ def test_planner_travels_without_installed_package(tmp_path):
                          env={"PATH": "/usr/bin:/bin"}, timeout=120)
     assert res.returncode == 0, res.stderr[-2000:]
     assert '"tokens": ["a", "b"]' in res.stdout
+
+
+def test_wide_ranges_over_the_broadcast_bound_shuffle(spark, docs):
+    # the exploded range side is what would be broadcast: over the bound the
+    # join shuffles instead, with the same answer
+    qs = [{"range": {"p": {"gte": 0}}}, {"range": {"n": {"gt": 5, "lte": 40}}},
+          {"bool": {"must": {"range": {"p": {"lt": 100}}}, "must_not": {"term": {"s": "c"}}}}]
+    res = batch_query(docs, _query_table(spark, qs), broadcast_rows=1, broadcast_bytes=1)
+    plan = res._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert _pairs(res) == _pairs(multi_query(docs, qs))
