@@ -231,10 +231,11 @@ def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: st
     ranges = (classified.filter(F.col("kind") == "range")
               .select(QUERY_NO, F.col("range_field").alias("field"), "range_spec"))
     # one small job: row counts per (kind, known field) and of general lines;
-    # bounded by the schema width, and an upper bound for every join side
+    # bounded by the schema width. A terms line counts once per value, so the
+    # count bounds the rows of that field's query side (the broadcast check)
     kind = F.col("kind")
     per_line = classified.select(kind, F.explode(
-        F.when(kind == "terms", F.array_distinct(fields_of))
+        F.when(kind == "terms", fields_of)
         .when(kind == "range", F.array(F.col("range_field")))
         .otherwise(F.array(F.lit(None).cast("string")))).alias("field"))
     stats = (per_line.join(F.broadcast(known), "field", "left")
