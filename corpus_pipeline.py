@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferry.llm.frames import stored
+from ferry.llm.frames import stored, without_ids
 from ferry.llm.op1_decontaminate import contaminated
 from ferry.llm.op2_bpe import decode, encode, n_ids
 from ferry.llm.op3_partenum import jaccard_classes
@@ -34,13 +34,13 @@ def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest doc_id, of each class of near duplicates."""
     classes = jaccard_classes(docs, gram=5, percent=80)
     gone = classes.where("component_id <> doc_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return without_ids(docs, gone)
 
 
 def drop_contaminated(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that hold a passage of the benchmark."""
     found = contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    return without_ids(docs, found)
 
 
 def redact(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

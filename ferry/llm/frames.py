@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,39 @@ def identified(docs: DataFrame, doc_col: str, text_col: str) -> DataFrame:
     return narrowed(docs, doc_id=doc_col, text=text_col).select("doc_id", F.xxhash64("text").alias("sum"), "text")
 
 
+HASH_BITS = 1 << 26
+
+
+def split_by_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """(rows whose key may be among ids, rows whose key certainly is not); null keys are in the second.
+
+    A join that only some documents take part in then shuffles the texts of these alone. The test is a hash
+    bitmap of a fixed 8 MB, gathered as at most 2**20 words and broadcast. With very many ids it fills up
+    and the first frame nears all rows: the split never changes a result, only what is shuffled.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(HASH_BITS))
+    words = (ids.select(place.alias("h")).groupBy(F.shiftright("h", 6).alias("word"))
+             .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("h") % 64).cast("int"))).alias("bits")).toArrow())
+    table = np.zeros(HASH_BITS // 64, dtype=np.uint64)
+    table[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    held = docs.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf("boolean")
+    def there(h: pd.Series) -> pd.Series:
+        at = h.to_numpy(dtype=np.int64)
+        return pd.Series((held.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1)
+
+    found = F.col(f"`{key}`").isNotNull() & there(F.pmod(F.xxhash64(F.coalesce(F.col(f"`{key}`"), F.lit(0))), F.lit(HASH_BITS)))
+    return docs.where(found), docs.where(~found)
+
+
+def without_ids(docs: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """The rows whose key is not among ids (an anti join that shuffles only rows that may go)."""
+    ids = stored(ids.select(key).distinct(), "ids")
+    maybe, rest = split_by_ids(docs, ids, key)
+    return rest.unionByName(maybe.join(ids, key, "left_anti").select(*docs.columns))
+
+
 def components(edges: DataFrame, label: str = "cc") -> DataFrame:
     """Connected components by alternating large-star and small-star rounds.
 

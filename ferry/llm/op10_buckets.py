@@ -16,9 +16,13 @@ Spark, each level only on what the one before left unsettled:
 
 1. bucket = first gram of the representative: buckets of one member are unique.
 2. bucket = whole block: a block found twice is repeated as a whole.
-3. bucket = single window, for blocks that share level 1 but not level 2.
+3. For blocks that share level 1 but not level 2, the bucket is a cell: the windows whose representative lies 32
+   bytes of distances away, by the bytes that all of them share (core). A core found once: all its windows are
+   unique. A cell found twice as a whole: all are repeated. Else it is left for the next level.
+4. bucket = single window.
 
-All levels count by aggregates with map-side combine; nothing is paired.
+Each level counts occurrences by grouping on identifiers; nothing is paired. Texts are read again for levels 3 and 4, only
+those of documents with unsettled windows.
 
 Null or empty text: no bytes, nothing removed. Repeated rows and rows with equal
 doc_id count as occurrences of their own. Null doc_id: kept whole and not counted.
@@ -32,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferry.llm import textkit as K
-from ferry.llm.frames import identified, stored
+from ferry.llm.frames import identified, split_by_ids, stored
 
 U = np.uint64
 
@@ -54,7 +58,7 @@ def gram_identifiers(buf: np.ndarray, gram: int, cache: dict) -> np.ndarray:
 
 
 def byte_blocks(buf: np.ndarray, offsets: np.ndarray, width: int, gram: int, cache: dict):
-    """Blocks of a chunk: row, first window (byte in the chunk), number of windows, bucket, content name."""
+    """Blocks of a chunk: row, first window (byte in the chunk), windows, distance of the representative, bucket, content name."""
     if len(buf) < width:
         return None
     ids = gram_identifiers(buf, gram, cache)
@@ -73,7 +77,7 @@ def byte_blocks(buf: np.ndarray, offsets: np.ndarray, width: int, gram: int, cac
     count = np.diff(np.append(at, total))
     lo = first[at]
     name = (refined(ids, lo, gram, width) + U(7) * K.mix(refined(ids, lo + count - 1, gram, width))) ^ count.astype(U)
-    return row[at], lo, count, K.mix(ids[place[at]]), K.mix(name)
+    return row[at], lo, count, place[at] - lo, K.mix(ids[place[at]]), K.mix(name)
 
 
 def _emit_blocks(width: int, gram: int):
@@ -85,34 +89,53 @@ def _emit_blocks(width: int, gram: int):
                 found = byte_blocks(buf, offsets, width, gram, cache)
                 if found is None:
                     continue
-                row, first, count, key, name = found
+                row, first, count, off, key, name = found
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(pa.array(row + lo)), sums.take(pa.array(row + lo)), K.long_array(key), K.long_array(name),
-                     K.long_array(first - offsets[row]), pa.array(count.astype(np.int32))],
-                    names=["doc_id", "sum", "key", "name", "lo", "n"])
+                     K.long_array(first - offsets[row]), pa.array(count.astype(np.int32)),
+                     pa.array(off.astype(np.int32))],
+                    names=["doc_id", "sum", "key", "name", "lo", "n", "off"])
     return run
 
 
-def _emit_windows(width: int, gram: int):
-    """Of each row's listed blocks (lo, n, key, weight): every window's place and identifier."""
+def _emit_cells(width: int, gram: int, cell: int):
+    """Of each row's listed runs of windows (lo, n, off, key, weight): the parts that lie in one cell of offsets.
+
+    off is the distance of the representative from the run's first window. Windows at distances
+    [a, a + cell) form a cell: core names the bytes that all of them share, whole the bytes of the part's windows.
+    """
     def run(batches):
         cache: dict = {}
         for batch in batches:
             ids, sums, wanted = batch.column("doc_id"), batch.column("sum"), batch.column("wanted")
             for lo, hi, buf, offsets in K.text_chunks(batch.column("text")):
+                ranges = K.Ranges(K.BYTE_VALUES[buf], cache) if cell > 1 else None
                 grams = gram_identifiers(buf, gram, cache)
                 for i in range(hi - lo):
                     mine = wanted.slice(lo + i, 1).flatten()
-                    first, count, key, weight = (mine.field(c).to_numpy(zero_copy_only=False)
-                                                 for c in ("lo", "n", "key", "weight"))
-                    total = int(count.sum())
-                    place = np.repeat(first - np.cumsum(count) + count, count) + np.arange(total)
+                    first, count, off, key, weight = (mine.field(c).to_numpy(zero_copy_only=False)
+                                                      for c in ("lo", "n", "off", "key", "weight"))
+                    top, bottom = off // cell, (off - count + 1) // cell
+                    parts = top - bottom + 1
+                    which = np.repeat(np.arange(len(first)), parts)
+                    a = (top[which] - (np.arange(len(which)) - np.repeat(np.cumsum(parts) - parts, parts))) * cell
+                    place = (first + off)[which]  # of the representative
+                    start = np.maximum(first[which], place - a - cell + 1)
+                    end = np.minimum((first + count)[which], place - a + 1)
+                    at = start + offsets[i]
+                    n = end - start
+                    whole = refined(grams, at, gram, width)
+                    if cell > 1:
+                        core = ranges.at(place - a + offsets[i], place - a - cell + 1 + width + offsets[i])
+                        whole = K.mix(whole + U(7) * K.mix(refined(grams, at + n - 1, gram, width)) ^ n.astype(U))
+                    else:
+                        core = whole
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(total, ids[lo + i].as_py(), dtype=np.int64)),
-                         pa.array(np.full(total, sums[lo + i].as_py(), dtype=np.int64)), pa.array(np.repeat(key, count)),
-                         K.long_array(refined(grams, place + offsets[i], gram, width)), K.long_array(place),
-                         pa.array(np.repeat(weight, count))],
-                        names=["doc_id", "sum", "key", "name", "lo", "weight"])
+                        [pa.array(np.full(len(at), ids[lo + i].as_py(), dtype=np.int64)),
+                         pa.array(np.full(len(at), sums[lo + i].as_py(), dtype=np.int64)), pa.array(key[which]),
+                         pa.array(a.astype(np.int32)), K.long_array(core), K.long_array(whole), K.long_array(start),
+                         pa.array(n.astype(np.int32)), pa.array((place - start).astype(np.int32)), pa.array(weight[which])],
+                        names=["doc_id", "sum", "key", "cell", "core", "whole", "lo", "n", "off", "weight"])
     return run
 
 
@@ -140,15 +163,15 @@ def _emit_kept():
 
 
 def repeated_spans(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
-                   width: int = 400, gram: int = 64) -> DataFrame:
+                   width: int = 400, gram: int = 64, cells: tuple[int, ...] = (32, 1)) -> DataFrame:
     """doc_id, sum, lo, hi: byte ranges covered by strings of width bytes that occur at least twice.
 
     sum is a hash of the row's text: rows are told apart by both.
     """
-    if not 0 < gram <= width:
-        raise ValueError("gram must be between 1 and width")
+    if not 0 < gram <= width or cells[-1] != 1 or cells[0] > width:
+        raise ValueError("gram must be between 1 and width, cells must end with 1")
     plain = identified(docs, doc_col, text_col).where("doc_id is not null")
-    blocks = plain.mapInArrow(_emit_blocks(width, gram), "doc_id long, sum long, key long, name long, lo long, n int")
+    blocks = plain.mapInArrow(_emit_blocks(width, gram), "doc_id long, sum long, key long, name long, lo long, n int, off int")
     level1 = (blocks.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("key"))
     kept = stored(blocks.join(level1, "key"), "buckets")
     level2 = kept.groupBy("key", "name").agg(F.count(F.lit(1)).alias("weight"),
@@ -157,13 +180,23 @@ def repeated_spans(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "te
     info = stored(level2.join(mixed, "key"), "blocks")
     told = kept.join(info, ["key", "name"])
     whole = told.where("weight > 1").select("doc_id", "sum", "lo", (F.col("lo") + F.col("n") + width - 1).alias("hi"))
-    wanted = (told.where(F.col("mixed") & (F.struct("doc_id", "sum", "lo") == F.col("sample")))
-              .groupBy("doc_id", "sum").agg(F.collect_list(F.struct("lo", "n", "key", "weight")).alias("wanted")))
-    level3 = (plain.join(wanted, ["doc_id", "sum"])
-              .mapInArrow(_emit_windows(width, gram), "doc_id long, sum long, key long, name long, lo long, weight long"))
-    found = level3.withColumn("all", F.sum("weight").over(Window.partitionBy("key", "name")))
-    single = found.where("weight = 1 and all > 1").select("doc_id", "sum", "lo", (F.col("lo") + width).alias("hi"))
-    return whole.union(single)
+    left = told.where(F.col("mixed") & (F.struct("doc_id", "sum", "lo") == F.col("sample")))
+    spans = whole
+    for cell in cells:
+        wanted = stored(left.groupBy("doc_id", "sum")
+                        .agg(F.collect_list(F.struct("lo", "n", "off", "key", "weight")).alias("wanted")), f"wanted-{cell}")
+        parts = (split_by_ids(plain, wanted)[0].join(wanted, ["doc_id", "sum"])
+                 .mapInArrow(_emit_cells(width, gram, cell), "doc_id long, sum long, key long, cell int, core long, whole long, "
+                             "lo long, n int, off int, weight long"))
+        core, same = Window.partitionBy("key", "cell", "core"), Window.partitionBy("key", "cell", "core", "whole")
+        told = stored(parts.withColumns({"all": F.sum("weight").over(core), "alike": F.sum("weight").over(same),
+                                         "sample": F.min(F.struct("doc_id", "sum", "lo")).over(same)})
+                      .where("all > 1"), f"cells-{cell}")
+        spans = spans.union(told.where("alike > 1 and weight = 1")
+                            .select("doc_id", "sum", "lo", (F.col("lo") + F.col("n") + width - 1).alias("hi")))
+        left = (told.where((F.col("all") > F.col("alike")) & (F.struct("doc_id", "sum", "lo") == F.col("sample")))
+                .withColumn("weight", F.col("alike")))
+    return spans
 
 
 def dedup_bytes(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
@@ -174,8 +207,10 @@ def dedup_bytes(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text"
     """
     plain = identified(docs, doc_col, text_col)
     spans = repeated_spans(docs, doc_col, text_col, width, gram)
-    per_doc = spans.groupBy("doc_id", "sum").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    return (plain.join(per_doc, ["doc_id", "sum"], "left")
+    per_doc = stored(spans.groupBy("doc_id", "sum").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")), "spans")
+    touched, rest = split_by_ids(plain, per_doc)
+    spanned = touched.join(per_doc, ["doc_id", "sum"], "left")
+    return (spanned.unionByName(rest, allowMissingColumns=True)
             .mapInArrow(_emit_kept(), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"))
 
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferry.llm import textkit as K
-from ferry.llm.frames import components, narrowed, stored
+from ferry.llm.frames import components, narrowed, split_by_ids, stored
 
 U = np.uint64
 BAND_RATIO = 1.3
@@ -310,7 +310,8 @@ def jaccard_classes(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "t
     whole = F.array(F.struct(F.col("component").cast("string").alias("cell"), F.lit(2).cast("int").alias("side")))
     wanted = member.select(F.col("rep").alias("doc_id"), F.col("sid").alias("wanted"), "copies",
                            F.when(F.col("members") <= block, whole).otherwise(F.concat(own, up, down)).alias("cells"))
-    held = (plain.join(wanted, "doc_id")
+    wanted = stored(wanted, "wanted")
+    held = (split_by_ids(plain, wanted)[0].join(wanted, "doc_id")
             .mapInArrow(_emit_cells(gram), "cell string, side int, sid long, copies long, elements binary"))
     links = stored(held.repartition("cell").sortWithinPartitions("cell")
                    .mapInArrow(_verify(percent), "u long, v long, links long"), "links")
