@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferry.llm import textkit as K
-from ferry.llm.frames import identified, stored
+from ferry.llm.frames import identified, split_by_ids, stored
 
 U = np.uint64
 FAR = 1 << 60
@@ -200,7 +200,7 @@ def _emit_kept():
 
 
 def repeated_spans(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
-                   width: int = 50, rounds: int = 2, margin: int = 9) -> DataFrame:
+                   width: int = 50, rounds: int = 3, margin: int = 14) -> DataFrame:
     """doc_id, sum (hash of the text), lo, hi: word ranges covered by windows that a smaller doc_id holds too."""
     if width < 2 * margin:
         raise ValueError("width must be at least twice the margin")
@@ -214,9 +214,9 @@ def repeated_spans(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "te
     info = stored(by_name.join(mixed, "key"), "blocks")
     told = kept.join(info, ["key", "name"])
     whole = told.where("doc_id > source").select("doc_id", "sum", "lo", (F.col("lo") + F.col("n") + width - 1).alias("hi"))
-    wanted = (told.where("mixed and doc_id = source").groupBy("doc_id", "sum")
-              .agg(F.collect_list(F.struct("lo", "n", "key")).alias("wanted")))
-    windows = (plain.join(wanted, ["doc_id", "sum"])
+    wanted = stored(told.where("mixed and doc_id = source").groupBy("doc_id", "sum")
+                    .agg(F.collect_list(F.struct("lo", "n", "key")).alias("wanted")), "wanted")
+    windows = (split_by_ids(plain, wanted)[0].join(wanted, ["doc_id", "sum"])
                .mapInArrow(_emit_windows(width), "doc_id long, sum long, key long, name long, lo long"))
     least = windows.withColumn("least", F.min("doc_id").over(Window.partitionBy("key", "name")))
     single = least.where("least < doc_id").select("doc_id", "sum", "lo", (F.col("lo") + width).alias("hi"))
@@ -224,16 +224,17 @@ def repeated_spans(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "te
 
 
 def dedup_substrings(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
-                     width: int = 50, rounds: int = 2, margin: int = 9) -> DataFrame:
+                     width: int = 50, rounds: int = 3, margin: int = 14) -> DataFrame:
     """Each document with the words of repeated windows removed.
 
     Returns doc_id, n_words, n_removed, kept (binary: the words left, joined by
     one space), one row per input row.
     """
     spans = repeated_spans(docs, doc_col, text_col, width, rounds, margin)
-    per_doc = spans.groupBy("doc_id", "sum").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))
-    plain = identified(docs, doc_col, text_col)
-    return (plain.join(per_doc, ["doc_id", "sum"], "left")
+    per_doc = stored(spans.groupBy("doc_id", "sum").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")), "spans")
+    touched, rest = split_by_ids(identified(docs, doc_col, text_col), per_doc)
+    spanned = touched.join(per_doc, ["doc_id", "sum"], "left")
+    return (spanned.unionByName(rest, allowMissingColumns=True)
             .mapInArrow(_emit_kept(), "doc_id long, n_words long, n_removed long, kept binary"))
 
 
