@@ -15,8 +15,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return materialize(df, f"llm-{label}")
 
 
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark) -> None:
+    """Limits Arrow batches to about 4 MB, so that a task's memory does not follow the length of the texts.
+
+    The setting is Spark's own and holds for the session; a smaller one is left alone.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).lower().removesuffix("b")
+    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def narrowed(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under fixed names; other (possibly clashing) columns are left behind."""
+    small_batches(df.sparkSession)
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
 
 

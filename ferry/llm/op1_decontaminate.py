@@ -1,9 +1,9 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
 Method. Test items and documents are sequences of words (runs of ASCII letters, digits and
-non-ASCII bytes, A-Z lower-cased). In every stretch of ``stretch`` n-grams of an item, the one that
-the fewest documents hold is a seed (document frequencies are counted over all
-documents), so each part of an item has a seed however common its text has become. A
+non-ASCII bytes, A-Z lower-cased). In every stretch of ``stretch`` n-grams of an item, the rarest that
+some document holds is a seed, and so are those at most RARE times as frequent (document
+frequencies are counted over all documents). So each part of an item has seeds however common its text has become. A
 document's passages that hold seeds are aligned with the item by Smith-Waterman over
 words (match +2, mismatch -1, gap -1). Seed hits are grouped by diagonal; the passage
 reaches over the whole item at these diagonals plus a slack on both sides. Before the
@@ -33,6 +33,7 @@ from ferry.llm import textkit as K
 from ferry.llm.frames import narrowed, stored
 
 U = np.uint64
+RARE = 4
 PLAIN = np.full(256, 0x20, dtype=np.uint8)
 for _a, _b, _to in ((48, 58, 48), (97, 123, 97), (65, 91, 97), (128, 256, 128)):
     PLAIN[_a:_b] = np.arange(_to, _to + _b - _a)
@@ -181,8 +182,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_col: str = "doc_id",
         for item, grams_at in by_item.items():
             n = len(grams_at)
             for lo in range(0, n, stretch):
-                p = min(range(lo, min(n, lo + stretch)), key=lambda q: (frequency.get(grams_at[q], 0), q))
-                seeds[grams_at[p]].append((item, p))
+                held_at = [(frequency[grams_at[q]], q) for q in range(lo, min(n, lo + stretch)) if grams_at[q] in frequency]
+                for often, p in held_at:
+                    if often <= RARE * min(held_at)[0]:
+                        seeds[grams_at[p]].append((item, p))
         held = context.broadcast((items, dict(seeds), np.array(sorted(seeds), dtype=U)))
 
         def align(batches, held=held):

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ferry.llm.frames import small_batches
+
 RANK_BYTES_MAX = 64 << 20
 PIECE_CHARS = 1 << 17
 MERGE_CHARS = 1 << 12
@@ -118,6 +120,7 @@ def _with_column(df: DataFrame, drop: str | None, name: str, kind: str):
 def encode(df: DataFrame, rank_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids",
            keep: list[str] | None = None) -> DataFrame:
     """The columns in keep (all others by default) and ids_col: the text's ids, packed. The text column goes."""
+    small_batches(df.sparkSession)
     ranks = df.sparkSession.sparkContext.broadcast(read_ranks(rank_path))
     keep = [c for c in (df.columns if keep is None else keep) if c not in (text_col, ids_col)]
     plain = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("__text"))
@@ -135,6 +138,7 @@ def encode(df: DataFrame, rank_path: str, pattern: str, text_col: str = "text",
 
 def decode(df: DataFrame, rank_path: str, pattern: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
     """The frame with bytes_col: the raw bytes that the packed ids stand for (null ids: empty)."""
+    small_batches(df.sparkSession)
     ranks = df.sparkSession.sparkContext.broadcast(read_ranks(rank_path))
     plain = df.drop(bytes_col)
     at = plain.columns.index(ids_col)

@@ -240,12 +240,13 @@ def verify_cell(side: np.ndarray, sid: np.ndarray, copies: np.ndarray, sets: lis
 
 def _verify(percent: int):
     def run(batches):
-        held: list[tuple] = []
+        held: dict[int, tuple] = {}  # by set: a repeated row brings its set twice
+        cell = None
 
         def flush():
             if len(held) < 2:
                 return None
-            _, side, sid, copies, data = zip(*held)
+            _, side, sid, copies, data = zip(*held.values())
             sid = np.array(sid, dtype=np.int64)
             u, v, links = verify_cell(np.array(side), sid, np.array(copies), [np.frombuffer(d, dtype=U) for d in data], percent)
             some = links > 0
@@ -256,10 +257,11 @@ def _verify(percent: int):
         for batch in batches:
             columns = [batch.column(c) for c in ("cell", "side", "sid", "copies", "elements")]
             for r in zip(*[c.to_pylist() for c in columns]):
-                if held and held[0][0] != r[0]:
+                if cell != r[0]:
                     ready.append(flush())
                     held.clear()
-                held.append(r)
+                    cell = r[0]
+                held[r[2]] = r
             ready = [x for x in ready if x is not None]
             if ready:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*ready)], names=["u", "v", "links"])

@@ -29,6 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ferry.llm.frames import small_batches
+
 KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -156,6 +158,7 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", spans_col: str = "secr
                  min_guesses: float = 11.0, words: list[str] | None = None) -> DataFrame:
     """The frame with spans_col: array of (start, end, kind) by start, then kind, in code points."""
     words = WORDS if words is None else words
+    small_batches(docs.sparkSession)
 
     @F.pandas_udf("array<struct<start:int,end:int,kind:string>>")
     def scan(texts: pd.Series) -> pd.Series:
@@ -172,6 +175,8 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", spans_col: str = "secr
 
 def redact_secrets(docs: DataFrame, text_col: str = "text", mark: str = "<SECRET>", min_guesses: float = 11.0) -> DataFrame:
     """The frame with every span (overlapping ones together) replaced by the mark; texts without one, and nulls, unchanged."""
+    small_batches(docs.sparkSession)
+
     @F.pandas_udf("string")
     def redact(texts: pd.Series) -> pd.Series:
         cost = GuessCost()

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferry.llm import textkit as K
-from ferry.llm.frames import narrowed, stored
+from ferry.llm.frames import narrowed, small_batches, stored
 
 U = np.uint64
 LETTERS = np.full(256, 0x20, dtype=np.uint8)
@@ -179,6 +179,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], doc
 
 def score(docs: DataFrame, model, names: list[str], text_col: str = "text") -> DataFrame:
     """The frame with one column p_<name> a category: its probability for the whole text."""
+    small_batches(docs.sparkSession)
     features, weights = model
     mask = mask_of(features)
     n = len(features)
