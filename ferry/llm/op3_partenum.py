@@ -9,16 +9,18 @@ parts, each into n2 sub-parts. By the pigeonhole principle some part holds at mo
 leaving out some k2 of its sub-parts leaves equal projections: each set enumerates
 these subsets and emits a hash of every projection, salted with the band. Sets whose size reaches into the next
 band's range emit signatures there as well, so each linked pair shares a band. (n1, n2, k2) are chosen per
-band: the fewest signatures whose projections hold 5 elements on average in its smallest sets. An empty projection says
-nothing; a set that has one emits its prefix tokens instead (the elements of smallest
-hash that any linked set must share), so no pair is lost and no crowd of unrelated sets meets there.
+band: the fewest signatures whose projections hold 5 elements on average in its smallest sets.
 
-Sets that share a signature are candidates. Each task that holds a range of signatures
+Sets that share a signature are candidates. Signatures of projections with STRONG or more elements are strong:
+sets that share one are mostly alike. Each task that holds a range of strong signatures
 emits a forest of its candidates (not pairs); the forests' connected components are
 the candidate classes. A class is verified exactly in cells of two blocks of at most
 about ``block`` sets (blocks of sizes too far apart never meet), so a large class is spread over tasks and no task holds
 it whole. A cell counts all its intersections as one matrix product and emits a forest of the true links and
-their number per set; no list of pairs is ever made.
+their number per set; no list of pairs is made. Weak signatures (fewer elements, or an empty
+projection) must be heard too, or pairs would be lost, but would chain unrelated sets together. Their groups form no classes:
+each is verified by itself in such cells, for links between sets of different classes, unless all its sets are of one class.
+Before their sets are fetched, a sketch (elements per bucket, whose distance never exceeds that of the sets) rules out most.
 
 Null or empty text, or no words: empty set, linked with nothing, its own component. Rows with equal
 doc_id count as documents of their own with one id. Null doc_id: n_shingles is given, component_id is null.
@@ -26,7 +28,6 @@ doc_id count as documents of their own with one id. Null doc_id: n_shingles is g
 
 from __future__ import annotations
 
-import functools
 from itertools import combinations
 from math import comb
 
@@ -41,6 +42,7 @@ from ferry.llm.frames import components, narrowed, split_by_ids, stored
 U = np.uint64
 BAND_RATIO = 1.3
 FILL = 5.0
+STRONG = 4
 
 
 def shingle_sets(buf: np.ndarray, offsets: np.ndarray, gram: int, cache: dict):
@@ -65,7 +67,12 @@ def shingle_sets(buf: np.ndarray, offsets: np.ndarray, gram: int, cache: dict):
     return row, element, size, K.mix(sums[ends] - sums[ends - size] + U(11) * size.astype(U))
 
 
-@functools.cache
+def sketches(row: np.ndarray, element: np.ndarray, rows: int) -> np.ndarray:
+    """Per row, how many elements fall into each of 128 buckets, at most 255 (uint8, rows x 128)."""
+    count = np.bincount(row * 128 + (element >> U(57)).astype(np.int64), minlength=rows * 128)
+    return np.minimum(count, 255).astype(np.uint8).reshape(rows, 128)
+
+
 def bands(percent: int, largest: int) -> list[tuple[int, int, int, int, int]]:
     """(smallest size of its larger sets, largest, n1, n2, k2) of each band up to the given size."""
     out, lo = [], 1
@@ -85,7 +92,7 @@ def bands(percent: int, largest: int) -> list[tuple[int, int, int, int, int]]:
 
 
 def signatures(row, element, size, percent: int):
-    """(row, signature) pairs of a chunk's sets."""
+    """(row, signature) pairs of a chunk's sets; the lowest bit marks a weak signature."""
     largest = int(size.max()) if len(size) else 0
     out_row, out_sig = [], []
     ends = np.cumsum(size)
@@ -103,7 +110,6 @@ def signatures(row, element, size, percent: int):
         held = np.bincount(cell, minlength=len(sums)).reshape(len(mine), n1, n2)
         sums = sums.reshape(len(mine), n1, n2)
         total, all_held = sums.sum(axis=2, dtype=U), held.sum(axis=2)
-        lacking = np.zeros(len(mine), dtype=bool)
         part = np.arange(n1, dtype=U)[None, :]
         for s, left_out in enumerate(combinations(range(n2), k2)):
             sig, there = total.copy(), all_held.copy()
@@ -111,16 +117,8 @@ def signatures(row, element, size, percent: int):
                 sig -= sums[:, :, x]
                 there -= held[:, :, x]
             sig = K.mix(sig + K.mix((part << U(20)) + U((number << 8) + s)))
-            full = there > 0
-            lacking |= ~full.all(axis=1)
-            out_row.append(np.broadcast_to(mine[:, None], full.shape)[full])
-            out_sig.append(sig[full])
-        for i in np.flatnonzero(lacking):
-            n = int(size[mine[i]])
-            prefix = n - -(-percent * n // 100) + 1
-            tokens = element[ends[mine[i]] - n: ends[mine[i]] - n + prefix]
-            out_row.append(np.full(prefix, mine[i]))
-            out_sig.append(K.mix(tokens ^ U(0xC0FFEE + number)))
+            out_row.append(np.broadcast_to(mine[:, None], sig.shape).ravel())
+            out_sig.append(((sig & ~U(1)) | (there < STRONG).astype(U)).ravel())
     if not out_row:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=U)
     return np.concatenate(out_row), np.concatenate(out_sig)
@@ -131,9 +129,10 @@ def _emit_sets(gram: int):
         cache: dict = {}
         for batch in batches:
             for lo, hi, buf, offsets in K.text_chunks(batch.column("text")):
-                _, _, size, sid = shingle_sets(buf, offsets, gram, cache)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), K.long_array(size), K.long_array(sid)],
-                                                 names=["doc_id", "n", "sid"])
+                row, element, size, sid = shingle_sets(buf, offsets, gram, cache)
+                sketch = [x.tobytes() for x in sketches(row, element, hi - lo)]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), K.long_array(size), K.long_array(sid),
+                                                  pa.array(sketch, pa.binary())], names=["doc_id", "n", "sid", "sketch"])
     return run
 
 
@@ -149,7 +148,8 @@ def _emit_signatures(gram: int, percent: int):
 
 
 def _emit_forest(batches):
-    """Edges that connect, within this partition, the sets that share a signature."""
+    """Edges u, v that connect, within this partition, the sets that share a strong signature (weak 0), and the sets v of
+    each weak signature u that several sets share (weak 1)."""
     parts = [(b.column("sig").to_numpy(), b.column("sid").to_numpy()) for b in batches]
     if not parts:
         return
@@ -159,13 +159,21 @@ def _emit_forest(batches):
     sig, sid = sig[order], sid[order]
     new = np.ones(len(sig), dtype=bool)
     new[1:] = sig[1:] != sig[:-1]
-    head = sid[new][np.cumsum(new) - 1]
+    group = np.cumsum(new) - 1
+    head = sid[new][group]
     edge = head != sid
+    shared = np.zeros(int(new.sum()), dtype=bool)
+    shared[group[edge]] = True
+    weak = shared[group] & (sig & 1 == 1)
+    members = np.unique(np.stack([sig[weak], sid[weak]], axis=1), axis=0)
+    edge &= sig & 1 == 0
     pairs = np.unique(np.stack([head[edge], sid[edge]], axis=1), axis=0)
     nodes, at = np.unique(pairs, return_inverse=True)
     roots = forest_roots(len(nodes), at.reshape(-1, 2))
     some = roots != np.arange(len(nodes))
-    yield pa.RecordBatch.from_arrays([pa.array(nodes[some]), pa.array(nodes[roots[some]])], names=["u", "v"])
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate([nodes[some], members[:, 0]])), pa.array(np.concatenate([nodes[roots[some]], members[:, 1]])),
+         pa.array(np.repeat([0, 1], [int(some.sum()), len(members)]).astype(np.int32))], names=["u", "v", "weak"])
 
 
 def forest_roots(n: int, edges: np.ndarray) -> np.ndarray:
@@ -201,13 +209,14 @@ def _emit_cells(gram: int):
                     data = element[ends[i] - size[i]: ends[i]].tobytes()
                     yield pa.RecordBatch.from_arrays(
                         [mine.field("cell"), mine.field("side"), pa.array(np.full(n, wanted[lo + i])),
-                         batch.column("copies").take(pa.array(np.full(n, lo + i))), pa.array([data] * n, pa.binary())],
-                        names=["cell", "side", "sid", "copies", "elements"])
+                         batch.column("copies").take(pa.array(np.full(n, lo + i))), pa.array([data] * n, pa.binary()),
+                         batch.column("component").take(pa.array(np.full(n, lo + i)))],
+                        names=["cell", "side", "sid", "copies", "elements", "component"])
     return run
 
 
-def verify_cell(side: np.ndarray, sid: np.ndarray, copies: np.ndarray, sets: list[np.ndarray], percent: int):
-    """Forest edges (u, v) and links per set of one cell; sides 0 and 1 are two blocks, side 2 alone is one block with itself."""
+def cell_links(side: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which sets of a cell link; sides 0 and 1 are two blocks, side 2 alone is one block with itself."""
     n = len(sets)
     size = np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(n), size)
@@ -227,15 +236,48 @@ def verify_cell(side: np.ndarray, sid: np.ndarray, copies: np.ndarray, sets: lis
     link = (100 + percent) * both >= percent * (size[:, None] + size[None, :])
     link &= (side[:, None] != side[None, :]) | (side[:, None] == 2)
     np.fill_diagonal(link, False)
+    return link
+
+
+def link_forest(link: np.ndarray) -> np.ndarray:
+    """Smallest index of each index's component."""
+    n = len(link)
     label = np.arange(n)
     while True:
         low = np.minimum(label, np.where(link, label[None, :], n).min(axis=1))
         low = low[low]
         if (low == label).all():
-            break
+            return label
         label = low
-    edge = label != np.arange(n)
-    return sid[edge], sid[label[edge]], link @ copies
+
+
+def _screen(percent: int):
+    """Of each cell of a weak group, the sets whose sketch lets them link with some set of another class."""
+    def run(batches):
+        def flush():
+            name, side, sid, n, sketch, own = zip(*held.values())
+            side, n, own = np.array(side), np.array(n, dtype=np.int64), np.array(own)
+            counts = np.stack([np.frombuffer(x, dtype=np.uint8) for x in sketch]).astype(np.int16)
+            for i in range(len(n)):  # the sketches' distance is at most that of the sets
+                far = np.abs(counts - counts[i]).sum(axis=1)
+                may = ((100 + percent) * far <= (100 - percent) * (n + n[i])) & (own != own[i])
+                if (may & ((side != side[i]) | (side == 2))).any():
+                    out.append((name[i], int(side[i]), sid[i]))
+
+        held: dict[int, tuple] = {}
+        cell, out = None, []
+        for batch in batches:
+            for r in zip(*[batch.column(c).to_pylist() for c in ("cell", "side", "sid", "n", "sketch", "own")]):
+                if cell != r[0]:
+                    if len(held) > 1:
+                        flush()
+                    held, cell = {}, r[0]
+                held[r[2]] = r
+        if len(held) > 1:
+            flush()
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.string(), pa.int32(), pa.int64()))],
+                                         names=["cell", "side", "sid"])
+    return run
 
 
 def _verify(percent: int):
@@ -246,16 +288,21 @@ def _verify(percent: int):
         def flush():
             if len(held) < 2:
                 return None
-            _, side, sid, copies, data = zip(*held.values())
-            sid = np.array(sid, dtype=np.int64)
-            u, v, links = verify_cell(np.array(side), sid, np.array(copies), [np.frombuffer(d, dtype=U) for d in data], percent)
-            some = links > 0
-            return (np.concatenate([u, sid[some]]), np.concatenate([v, sid[some]]),
-                    np.concatenate([np.zeros(len(u), dtype=np.int64), links[some]]))
+            name, side, sid, copies, data, component = zip(*held.values())
+            sid, copies = np.array(sid, dtype=np.int64), np.array(copies, dtype=np.int64)
+            link = cell_links(np.array(side), [np.frombuffer(d, dtype=U) for d in data], percent)
+            if name[0][0] == "w":  # links between classes, one by one: several weak signatures may lead to the same one
+                own = np.array([x if x is not None else i for i, x in zip(sid.tolist(), component)], dtype=np.int64)
+                a, b = np.nonzero(link & (own[:, None] != own[None, :]))
+                return sid[a], sid[b], copies[b], np.ones(len(a), dtype=np.int32)
+            label, links = link_forest(link), link @ copies
+            edge, some = label != np.arange(len(sid)), links > 0
+            u, v = np.concatenate([sid[edge], sid[some]]), np.concatenate([sid[label[edge]], sid[some]])
+            return u, v, np.concatenate([np.zeros(int(edge.sum()), dtype=np.int64), links[some]]), np.zeros(len(u), dtype=np.int32)
 
         ready = []
         for batch in batches:
-            columns = [batch.column(c) for c in ("cell", "side", "sid", "copies", "elements")]
+            columns = [batch.column(c) for c in ("cell", "side", "sid", "copies", "elements", "component")]
             for r in zip(*[c.to_pylist() for c in columns]):
                 if cell != r[0]:
                     ready.append(flush())
@@ -264,11 +311,11 @@ def _verify(percent: int):
                 held[r[2]] = r
             ready = [x for x in ready if x is not None]
             if ready:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*ready)], names=["u", "v", "links"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*ready)], names=["u", "v", "links", "weak"])
                 ready = []
         last = flush()
         if last is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in last], names=["u", "v", "links"])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in last], names=["u", "v", "links", "weak"])
     return run
 
 
@@ -278,16 +325,17 @@ def jaccard_classes(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "t
     if not 50 < percent <= 100 or gram < 1:
         raise ValueError("percent must be in 51..100, gram at least 1")
     plain = narrowed(docs, doc_id=doc_col, text=text_col)
-    sized = stored(plain.mapInArrow(_emit_sets(gram), "doc_id long, n long, sid long"), "sets")
-    distinct = sized.where("n > 0").groupBy("sid", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    sized = stored(plain.mapInArrow(_emit_sets(gram), "doc_id long, n long, sid long, sketch binary"), "sets")
+    distinct = sized.where("n > 0").groupBy("sid", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
+                                                             F.first("sketch").alias("sketch"))
     distinct = stored(distinct, "distinct")
     sigs = plain.mapInArrow(_emit_signatures(gram, percent), "sig long, sid long")
-    forest = stored(sigs.repartition("sig").mapInArrow(_emit_forest, "u long, v long"), "candidates")
-    classes = components(forest, "classes")
+    forest = stored(sigs.repartition("sig").mapInArrow(_emit_forest, "u long, v long, weak int"), "candidates")
+    classes = stored(components(forest.where("weak = 0").select("u", "v"), "classes").withColumnRenamed("node", "sid"), "classes")
 
     # cells: a class in blocks by size class and hash; neighbouring size classes meet
     step = float(np.log(100 / percent)) if percent < 100 else 1.0
-    member = (distinct.join(classes.withColumnRenamed("node", "sid"), "sid")
+    member = (distinct.join(classes, "sid")
               .withColumn("sc", F.floor(F.log(F.col("n").cast("double")) / step).cast("int")))
     in_class = member.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
     in_size = member.groupBy("component", "sc").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
@@ -310,21 +358,38 @@ def jaccard_classes(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "t
     up = F.transform(places(n_blocks(sc + 1)), lambda b: cells(sc, mine, sc + 1, b, F.lit(0)))
     down = F.transform(places(n_blocks(sc - 1)), lambda b: cells(sc - 1, b, sc, mine, F.lit(1)))
     whole = F.array(F.struct(F.col("component").cast("string").alias("cell"), F.lit(2).cast("int").alias("side")))
-    wanted = member.select(F.col("rep").alias("doc_id"), F.col("sid").alias("wanted"), "copies",
-                           F.when(F.col("members") <= block, whole).otherwise(F.concat(own, up, down)).alias("cells"))
+    strong = member.select("sid", F.when(F.col("members") <= block, whole).otherwise(F.concat(own, up, down)).alias("cells"))
+
+    # weak groups that reach over several classes, each in blocks by hash
+    crowd = forest.where("weak = 1").select(F.col("u").alias("sig"), F.col("v").alias("sid")).join(classes, "sid", "left")
+    own_class = F.coalesce("component", "sid")
+    wide = (crowd.groupBy("sig").agg(F.min(own_class).alias("a"), F.max(own_class).alias("z"),
+                                     F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts")).where("a <> z"))
+    at = F.pmod(F.xxhash64("sid"), F.col("parts").cast("long")).cast("int")
+    several = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda b: F.struct(
+        F.concat_ws("/", F.lit("w"), F.col("sig").cast("string"), F.least(b, at), F.greatest(b, at)).alias("cell"),
+        F.when(b == at, 2).when(at < b, 0).otherwise(1).cast("int").alias("side")))
+    seats = (crowd.withColumn("own", own_class).join(wide, "sig").select("sid", "own", F.explode(several).alias("c"))
+             .join(distinct.select("sid", "n", "sketch"), "sid").select("c.cell", "c.side", "sid", "n", "sketch", "own"))
+    weak = (seats.repartition("cell").sortWithinPartitions("cell").mapInArrow(_screen(percent), "cell string, side int, sid long")
+            .select("sid", F.array(F.struct("cell", "side")).alias("cells")))
+    wanted = (strong.union(weak).groupBy("sid").agg(F.flatten(F.collect_list("cells")).alias("cells"))
+              .join(distinct, "sid").join(classes, "sid", "left")
+              .select(F.col("rep").alias("doc_id"), F.col("sid").alias("wanted"), "copies", "component", "cells"))
     wanted = stored(wanted, "wanted")
     held = (split_by_ids(plain, wanted)[0].join(wanted, "doc_id")
-            .mapInArrow(_emit_cells(gram), "cell string, side int, sid long, copies long, elements binary"))
+            .mapInArrow(_emit_cells(gram), "cell string, side int, sid long, copies long, elements binary, component long"))
     links = stored(held.repartition("cell").sortWithinPartitions("cell")
-                   .mapInArrow(_verify(percent), "u long, v long, links long"), "links")
+                   .mapInArrow(_verify(percent), "u long, v long, links long, weak int"), "links")
+    links = links.where("weak = 0").union(links.where("weak = 1").distinct())
 
     joined = components(links.where("u <> v").select("u", "v"), "components").withColumnRenamed("node", "sid")
     least = (joined.join(distinct, "sid").groupBy("component").agg(F.min("rep").alias("least")))
     of_set = (distinct.join(joined.join(least, "component").select("sid", "least"), "sid", "left")
-              .join(links.where("u = v").groupBy(F.col("u").alias("sid")).agg(F.sum("links").alias("links")), "sid", "left")
+              .join(links.where("links > 0").groupBy(F.col("u").alias("sid")).agg(F.sum("links").alias("links")), "sid", "left")
               .select("sid", F.coalesce("least", "rep").alias("least"),
                       (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")))
-    out = sized.join(of_set, "sid", "left")
+    out = sized.drop("sketch").join(of_set, "sid", "left")
     empty = F.col("n") == 0
     return out.select("doc_id", F.col("n").alias("n_shingles"),
                       F.when(F.col("doc_id").isNull() | empty, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
