@@ -44,7 +44,20 @@ def canonical_json(text) -> Column:
     return F.to_json(F.parse_json(_c(text)))
 
 
-def flatten_paths(df: DataFrame, key: str, doc, depth: int = 8) -> DataFrame:
+def nesting_depth(doc: Column) -> Column:
+    """Levels of objects and arrays in a VARIANT (0 for a scalar): brackets of its JSON outside strings."""
+    bare = F.regexp_replace(F.to_json(doc), r'"(?:[^"\\]++|\\.)*+"', "")
+    marks = F.regexp_extract_all(bare, F.lit(r"([{}\[\]])"), F.lit(1))
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("most"))
+
+    def step(s, mark):
+        at = s["at"] + F.when(mark.isin("{", "["), 1).otherwise(-1)
+        return F.struct(at.alias("at"), F.greatest(s["most"], at).alias("most"))
+
+    return F.aggregate(marks, start, step, lambda s: s["most"])
+
+
+def flatten_paths(df: DataFrame, key: str, doc) -> DataFrame:
     """One row ``(key, path, value VARIANT)`` per leaf of each document.
 
     Objects add ``.name``, arrays ``[i]``; empty objects and arrays give no
@@ -53,8 +66,9 @@ def flatten_paths(df: DataFrame, key: str, doc, depth: int = 8) -> DataFrame:
 
     One scan, one ``explode`` per level: a container row expands into its
     children, a leaf passes through as a one-element array, so the plan is a
-    linear chain of generators. Containers deeper than ``depth`` are emitted
-    as values.
+    linear chain of generators. The number of levels is the deepest nesting in
+    the data (one narrow aggregate); a container left after them is an error,
+    never a value.
     """
     from pyspark.sql import types as T
 
@@ -65,7 +79,8 @@ def flatten_paths(df: DataFrame, key: str, doc, depth: int = 8) -> DataFrame:
     no = F.lit(False)
     level = df.select(F.col(key).alias("__key"),
                       F.struct(F.lit("").alias("path"), d.alias("value"), no.alias("done")).alias("n"))
-    for _ in range(depth):
+    depth = df.select(F.max(nesting_depth(d)).alias("n")).first()["n"] or 0
+    for _ in range(depth + 1):
         path, value = F.col("n.path"), F.col("n.value")
         as_map = F.try_variant_get(value, "$", "map<string,variant>")
         as_arr = F.try_variant_get(value, "$", "array<variant>")
@@ -82,4 +97,6 @@ def flatten_paths(df: DataFrame, key: str, doc, depth: int = 8) -> DataFrame:
                      .otherwise(F.array(F.struct(path.alias("path"), value.alias("value"),
                                                  F.lit(True).alias("done")))))
         level = level.select("__key", F.explode(children).alias("n"))
-    return level.select(F.col("__key").alias(key), F.col("n.path").alias("path"), F.col("n.value").alias("value"))
+    done = F.when(F.col("n.done"), True).otherwise(
+        F.raise_error(F.lit("nested deeper than its JSON tells")).cast("boolean"))
+    return level.filter(done).select(F.col("__key").alias(key), F.col("n.path").alias("path"), F.col("n.value").alias("value"))

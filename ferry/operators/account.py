@@ -27,7 +27,7 @@ def check_written(obs: Observation, written: DataFrame) -> int:
     got = int(obs.get["rows"])
     wrote = int(written.count())
     if got != wrote:
-        raise TransferMismatch(f"got items {got}, but wrote {wrote}")
+        raise TransferMismatch(f"the target holds {wrote} rows where {got} were sent")
     return wrote
 
 

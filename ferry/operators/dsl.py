@@ -26,6 +26,7 @@ from __future__ import annotations
 import datetime as _dt
 import decimal
 import json
+import math
 from collections.abc import Callable
 
 import regex as _regex
@@ -179,10 +180,21 @@ def _term(body, r, path) -> Column:
         value = spec
     if value is None or isinstance(value, (dict, list)):
         raise QueryError(f"{path}.{field}: term value must be a scalar")
-    return r.on_field(field, lambda c, t: c == literal_for(value, t, f"{path}.{field}"),
+    def leaf(c: Column, t: T.DataType) -> Column:
+        if _fraction_for_integer(value, t):
+            return F.when(c.isNotNull(), F.lit(False))
+        return c == literal_for(value, t, f"{path}.{field}")
+
+    return r.on_field(field, leaf,
                       probe=value, eq_value=value, path=f"{path}.{field}")
 
 
+def _fraction_for_integer(value, t: T.DataType) -> bool:
+    """A number with a fraction equals no integer; as a bound it stands for the neighbouring one."""
+    return (isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)) and isinstance(value, float)
+            and math.isfinite(value) and not value.is_integer())
+
+
 def _range(body, r, path) -> Column:
     field, spec = _single_field(body, path)
     if not isinstance(spec, dict) or not spec:
@@ -198,6 +210,8 @@ def _range(body, r, path) -> Column:
     def leaf(c: Column, t: T.DataType) -> Column:
         conds = []
         for op, v in bounds.items():
+            if _fraction_for_integer(v, t):
+                v = math.ceil(v) if op in ("gte", "lt") else math.floor(v)
             lit = literal_for(v, t, f"{path}.{field}.{op}")
             conds.append({"gte": c >= lit, "gt": c > lit, "lte": c <= lit, "lt": c < lit}[op])
         return _and(conds)
@@ -305,13 +319,13 @@ def variant_type_for(value) -> str:
     if isinstance(value, bool):
         return "boolean"
     if isinstance(value, int):
-        return "bigint"
+        return "double" if abs(value) <= 1 << 53 else "decimal(38,9)"  # by value: 5.7 is neither 5 nor below it
     if isinstance(value, float):
         return "double"
     return "string"
 
 
-_VARIANT_PROBE = {"boolean": T.BooleanType(), "bigint": T.LongType(),
+_VARIANT_PROBE = {"boolean": T.BooleanType(), "decimal(38,9)": T.DecimalType(38, 9),
                   "double": T.DoubleType(), "string": T.StringType()}
 
 
@@ -357,7 +371,7 @@ def _missing() -> Column:
 def _walk(base: Column | None, dtype, parts: list[str], leaf: Leaf, probe, eq_value, path) -> Column:
     if isinstance(dtype, T.ArrayType):
         elem = dtype.elementType
-        if not parts and eq_value is not None and not isinstance(elem, (T.ArrayType, T.StructType,
+        if not parts and eq_value is not None and not _fraction_for_integer(eq_value, elem) and not isinstance(elem, (T.ArrayType, T.StructType,
                                                                         T.MapType, T.VariantType)):
             return F.array_contains(base, literal_for(eq_value, elem, path))
         return F.exists(base, lambda x: _walk(x, elem, parts, leaf, probe, eq_value, path))

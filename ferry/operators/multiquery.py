@@ -64,15 +64,14 @@ def multi_query(df: DataFrame, queries: list, root: str | None = None, first_no:
     Rows matching no query are dropped before the explode by the OR of all
     predicates, which also reaches the scan as a pushed filter when possible.
     """
-    conds = []
-    for i, q in enumerate(queries):
-        c = compile_query(q, df.schema, root)
-        conds.append(F.lit(True) if c is None else F.coalesce(c, F.lit(False)))
+    plain = [compile_query(q, df.schema, root) for q in queries]
+    plain = [F.lit(True) if c is None else c for c in plain]
+    conds = [F.coalesce(c, F.lit(False)) for c in plain]
     if not conds:
         return df.select(F.lit(None).cast("long").alias(query_col), "*").limit(0)
     hits = F.filter(F.array(*[F.when(c, F.lit(first_no + i).cast("long")) for i, c in enumerate(conds)]),
                     lambda x: x.isNotNull())
-    any_hit = reduce(lambda a, b: a | b, conds)
+    any_hit = reduce(lambda a, b: a | b, plain)  # not coalesced, so that it can be pushed into the scan
     return (df.filter(any_hit)
             .select(F.explode(hits).alias(query_col), *[F.col(quote(c)) for c in df.columns]))
 
@@ -173,6 +172,24 @@ def _leaf_paths(schema: T.StructType, prefix: str = "") -> list[tuple[str, list[
     return out
 
 
+def _opaque_paths(schema: T.StructType, prefix: str = "") -> list[str]:
+    """Paths whose contents are no listed leaves but can be addressed: maps, VARIANTs, arrays of objects."""
+    out = []
+    for f in schema.fields:
+        dt = f.dataType
+        if isinstance(dt, T.StructType):
+            out += _opaque_paths(dt, f"{prefix}{f.name}.")
+        elif isinstance(dt, (T.MapType, T.VariantType)) or (isinstance(dt, T.ArrayType) and not isinstance(dt.elementType, _SCALAR_TYPES)):
+            out.append(prefix + f.name)
+    return out
+
+
+def _untyped_root(df: DataFrame, root: str | None) -> bool:
+    if root is None and {"_id", "_source"} <= set(df.columns):
+        root = "_source"
+    return root is not None and isinstance(df.schema[root].dataType, T.VariantType)
+
+
 def _doc_space(df: DataFrame, root: str | None):
     """Schema and column base that query fields address."""
     if root is None and {"_id", "_source"} <= set(df.columns):
@@ -208,6 +225,10 @@ def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: st
     construction. ``id_col`` is accepted for callers that pass one.
     """
     spark = df.sparkSession
+    if _untyped_root(df, root):
+        parts = _general(df, queries, root, slice_size)
+        none = df.select(F.lit(None).cast("long").alias(QUERY_NO), *df.columns).limit(0)
+        return reduce(DataFrame.unionByName, parts) if parts else none
     schema, base = _doc_space(df, root)
     leaves = {p: (parts, t) for p, parts, t in _leaf_paths(schema)}
     doc_cols = [F.col(quote(c)) for c in df.columns]
@@ -221,8 +242,18 @@ def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: st
     multi = F.size(F.array_distinct(fields_of)) > 1
     if array_fields:
         multi = multi | F.exists(fields_of, lambda f: f.isin(*array_fields))
+    # a path into a map, a VARIANT or an array of objects is no listed leaf, but
+    # the schema can resolve it: such lines are compiled like a single query
+    opaque = _opaque_paths(schema)
+
+    def resolvable(f):
+        hits = [(f == p) | f.startswith(p + ".") for p in opaque]
+        return reduce(lambda a, b: a | b, hits) if hits else F.lit(False)
+
+    multi = multi | F.exists(fields_of, resolvable)
+    inside = (F.col("kind") == "range") & F.coalesce(resolvable(F.col("range_field")), F.lit(False))
     classified = classified.withColumn(
-        "kind", F.when((F.col("kind") == "terms") & multi, F.lit("general")).otherwise(F.col("kind")))
+        "kind", F.when(((F.col("kind") == "terms") & multi) | inside, F.lit("general")).otherwise(F.col("kind")))
     known = spark.createDataFrame([(p, True) for p in leaves], "field string, __known boolean")
 
     terms = (classified.filter(F.col("kind") == "terms")
@@ -253,7 +284,7 @@ def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: st
     for field in sorted(term_counts):
         cparts, dtype = leaves[field]
         qside = (terms.filter(F.col("field") == field)
-                 .select(QUERY_NO, F.variant_get("value", "$", dtype.simpleString()).alias("__k"))
+                 .select(QUERY_NO, _typed_literal(F.col("value"), dtype).alias("__k"))
                  .dropDuplicates([QUERY_NO, "__k"]))
         dside = df.select(*doc_cols, _column(base, cparts).alias("__k")).filter(F.col("__k").isNotNull())
         q_join = F.broadcast(qside) if term_counts[field] <= broadcast_rows else qside
@@ -271,7 +302,7 @@ def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: st
 
         def bound(k, etype=etype):
             v = F.try_variant_get(spec, f"$.{k}", "variant")
-            return F.when(_is_scalar(v), _typed_literal(v, etype)).alias(f"__{k}")
+            return F.when(_is_scalar(v), _typed_literal(v, etype, k)).alias(f"__{k}")
         rq = ranges.filter(F.col("field") == field).select(QUERY_NO, *[bound(k) for k in _OPS])
         parts.append(_range_join(df, rq, [], base, cparts, dtype, etype, doc_cols,
                                  broadcast_rows, buckets))
@@ -346,9 +377,21 @@ def _splits(values: DataFrame, buckets: int) -> list[float]:
 _OPS = ("gte", "gt", "lte", "lt")
 
 
-def _typed_literal(v: Column, etype: T.DataType) -> Column:
-    """A JSON scalar (VARIANT) as a value of ``etype``; numbers are epoch ms for times."""
+def _typed_literal(v: Column, etype: T.DataType, op: str = "term") -> Column:
+    """A JSON scalar (VARIANT) as a value of ``etype``; numbers are epoch ms for times.
+
+    On an integer field a fraction equals nothing, and a fractional bound is
+    the next integer (gte, lt) or the previous one (gt, lte).
+    """
     ts = etype.simpleString()
+    if isinstance(etype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        kind = F.schema_of_variant(v)
+        fraction = kind.startswith("DECIMAL") | kind.startswith("DOUBLE") | kind.startswith("FLOAT")
+        n = F.try_variant_get(v, "$", "decimal(38,9)")
+        whole = F.ceil(n) if op in ("gte", "lt") else F.floor(n)
+        exact = whole if op != "term" else F.when(whole == n, whole)
+        refused = F.raise_error(F.concat(F.lit("boolean for a number field: "), F.to_json(v))).cast(ts)
+        return F.when(kind == "BOOLEAN", refused).when(fraction, exact.cast(ts)).otherwise(F.variant_get(v, "$", ts))
     if isinstance(etype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         ms = F.timestamp_millis(F.variant_get(v, "$", "bigint")).cast(ts)
         return F.when(F.schema_of_variant(v) == "STRING", F.variant_get(v, "$", ts)).otherwise(ms)
@@ -447,7 +490,7 @@ def _typed_leaves(raw: Column, leaves: dict) -> Column:
             on = l["field"].isin(*by_type[ts])
             for k in ("value",) + _OPS:
                 v = F.parse_json(l[k])
-                cols.append(F.when(on & _is_scalar(v), _typed_literal(v, dtypes[ts])).alias(f"{k}_{i}"))
+                cols.append(F.when(on & _is_scalar(v), _typed_literal(v, dtypes[ts], k if k in _OPS else "term")).alias(f"{k}_{i}"))
         return F.struct(*cols)
     return F.transform(raw, one)
 
@@ -704,8 +747,3 @@ def _mixed_lines(df, general, schema, base, leaves, doc_cols, broadcast_bytes, b
     if has_fallback:
         fallback = lines.filter(F.col("__fallback")).join(general.select(QUERY_NO, "query"), QUERY_NO)
     return out, fallback
-
-
-def sort_results(results: DataFrame, spec=None, tiebreak=None) -> DataFrame:
-    """Results in reference order: by query number, then the sort spec."""
-    return results.orderBy(F.col(QUERY_NO), *sort_columns(results, spec, tiebreak))

@@ -92,8 +92,8 @@ def cap(df: DataFrame, max_docs: int, spec=None, tiebreak=None) -> DataFrame:
     """At most ``max_docs`` rows after the sort; 0 = no cap.
 
     Small caps plan as ``TakeOrderedAndProject`` (per-task top-k, then a merge
-    of at most ``tasks × max`` rows); large caps number rows exactly and
-    filter, which stays distributed.
+    of at most ``tasks × max`` rows); large caps number rows exactly, filter
+    and sort by the number, which stays distributed. Both come in order.
     """
     if max_docs < 0:
         raise ValueError("max must be >= 0")
@@ -103,7 +103,7 @@ def cap(df: DataFrame, max_docs: int, spec=None, tiebreak=None) -> DataFrame:
     if max_docs <= TOPK_MAX:
         return (df.orderBy(*cols) if cols else df).limit(max_docs)
     numbered = number_rows(df, cols, "_rn")
-    return numbered.filter(F.col("_rn") <= max_docs).drop("_rn")
+    return numbered.filter(F.col("_rn") <= max_docs).orderBy("_rn").drop("_rn")
 
 
 def number_rows(df: DataFrame, order_cols: list[Column], name: str = "_rn") -> DataFrame:

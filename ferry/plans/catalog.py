@@ -36,14 +36,8 @@ def register(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. A scan with fewer splits than the cluster has cores (one
-    small file of one row group) is spread round-robin so the work after the
-    scan runs on every core; a large table keeps its file splits untouched."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
-    return df
+    """A given table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def orders_collection(spark, sf_dir) -> DataFrame:

@@ -55,6 +55,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return conf.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="ferry-ckpt-")
     sc.setCheckpointDir(local)
     return local
@@ -76,18 +78,3 @@ def materialize(df, label: str = "stage"):
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.parquet(path)
 
-
-def cut_lineage(df):
-    """Reliable checkpoint (never ``localCheckpoint``): survives executor loss.
-
-    The frame is persisted first so the checkpoint write reads the computed
-    blocks instead of running the plan a second time (a non-deterministic
-    plan, e.g. a sampled range sort, must not be evaluated twice).
-    """
-    from pyspark import StorageLevel
-
-    checkpoint_root(df.sparkSession)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    out = cached.checkpoint(eager=True)
-    cached.unpersist()
-    return out

@@ -13,9 +13,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators.dsl import quote
+from ..session import materialize
 
 
 def latest_per_key(df: DataFrame, key: str | list[str], order: str | list[str]) -> DataFrame:
@@ -34,18 +34,19 @@ def upsert(target: DataFrame, batch: DataFrame, id_col: str = "_id", order=None,
            index: str | None = None, broadcast_rows: int | None = None) -> DataFrame:
     """Replace target rows whose id occurs in the batch, add the new ones.
 
-    ``order`` (column names) picks the last write per id inside the batch;
-    without it the batch must hold unique ids. ``index`` renames ``_index`` to
+    One row per id of the batch is written: the last by ``order`` (column
+    names), or by arrival (partition, then place in it) without one. The batch
+    is computed once, into the shared scratch folder. ``index`` renames ``_index`` to
     the target's name. A batch below ``broadcast_rows`` (counted) is broadcast
     for the anti join; otherwise both sides shuffle on the id.
     """
-    if order is not None:
-        batch = latest_per_key(batch, id_col, order)
+    if order is None:
+        batch = batch.withColumn("__arrival", F.monotonically_increasing_id())
+    batch = latest_per_key(batch, id_col, "__arrival" if order is None else order).drop("__arrival")
     if index is not None and "_index" in batch.columns:
         batch = batch.withColumn("_index", F.lit(index))
-    # distinct: a hot id is combined map-side (partial aggregate) before the
-    # anti join, so no task receives all copies of one id on its build side
-    ids = batch.select(id_col).distinct()
+    batch = materialize(batch, "upsert")
+    ids = batch.select(id_col)
     if broadcast_rows is not None and ids.count() <= broadcast_rows:
         ids = F.broadcast(ids)
     kept = target.join(ids, id_col, "left_anti")
@@ -75,7 +76,3 @@ def create_like(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     """An empty collection with the schema of ``df``; error if present."""
     df.limit(0).write.mode("errorifexists").format(fmt).save(path)
     return df.sparkSession.read.format(fmt).load(path)
-
-
-def schema_of(df: DataFrame) -> T.StructType:
-    return df.schema

@@ -35,13 +35,23 @@ def stream_copy(spark: SparkSession, src_dir: str, out_dir: str, checkpoint: str
                 max_files_per_trigger: int | None = None) -> int:
     """Copy new NDJSON files to ``out_dir`` (canonical lines); returns batches run."""
     docs = stream_ndjson(spark, src_dir, max_files_per_trigger)
+    before = _last_commit(spark, checkpoint)
     q = (docs.select(F.to_json("doc").alias("value"))
          .writeStream.format("text")
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start(out_dir))
     q.awaitTermination()
-    return len(q.recentProgress)
+    return _last_commit(spark, checkpoint) - before
+
+
+def _last_commit(spark: SparkSession, checkpoint: str) -> int:
+    """Newest batch id in the checkpoint's commit log, -1 before the first."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    return max([int(n) for n in names if n.isdigit()], default=-1)
 
 
 def _committed_versions(spark: SparkSession, target: str) -> list[int]:

@@ -83,12 +83,20 @@ def test_match_tokens(spark):
     assert match_tokens("Ünïcode_x, 42") == ["42", "ünïcode_x"]
 
 
+def test_fraction_on_an_integer_field(spark):
+    # as a term it equals nothing, as a bound it is the neighbouring integer (the list path has the same rule)
+    d = spark.createDataFrame([(i, i) for i in range(1, 5)], "id int, n int")
+    assert ids(d, {"term": {"n": 1.5}}) == []
+    assert ids(d, {"bool": {"must_not": {"term": {"n": 1.5}}}}) == [1, 2, 3, 4]
+    assert ids(d, {"range": {"n": {"gte": 1.5, "lte": 3.5}}}) == ids(d, {"range": {"n": {"gt": 1.5, "lt": 3.5}}}) == [2, 3]
+
+
 @pytest.mark.parametrize("q", [
     {"wildcard": {"s": "a*"}},
     {"bool": {"filter": []}},
     {"term": {"s": "a", "n": 1}},
     {"term": {"n": "abc"}},
-    {"term": {"n": 1.5}},
+    {"term": {"n": True}},
     {"range": {"n": {"from": 1}}},
     {"term": {"s": {"value": "a", "boost": 2}}},
     {"a": 1, "b": 2},
