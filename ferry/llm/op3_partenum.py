@@ -9,7 +9,7 @@ parts, each into n2 sub-parts. By the pigeonhole principle some part holds at mo
 leaving out some k2 of its sub-parts leaves equal projections: each set enumerates
 these subsets and emits a hash of every projection, salted with the band. Sets whose size reaches into the next
 band's range emit signatures there as well, so each linked pair shares a band. (n1, n2, k2) are chosen per
-band: the fewest signatures whose projections hold 5 elements on average in its smallest sets.
+band: the fewest signatures whose projections hold FILL elements on average in its smallest sets.
 
 Sets that share a signature are candidates. Signatures of projections with STRONG or more elements are strong:
 sets that share one are mostly alike. Each task that holds a range of strong signatures
@@ -41,7 +41,7 @@ from ferry.llm.frames import components, narrowed, split_by_ids, stored
 
 U = np.uint64
 BAND_RATIO = 1.3
-FILL = 5.0
+FILL = 3.5
 STRONG = 4
 
 
@@ -67,10 +67,13 @@ def shingle_sets(buf: np.ndarray, offsets: np.ndarray, gram: int, cache: dict):
     return row, element, size, K.mix(sums[ends] - sums[ends - size] + U(11) * size.astype(U))
 
 
-def sketches(row: np.ndarray, element: np.ndarray, rows: int) -> np.ndarray:
-    """Per row, how many elements fall into each of 128 buckets, at most 255 (uint8, rows x 128)."""
-    count = np.bincount(row * 128 + (element >> U(57)).astype(np.int64), minlength=rows * 128)
-    return np.minimum(count, 255).astype(np.uint8).reshape(rows, 128)
+def sketches(row: np.ndarray, element: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """Per row, how many elements (at most 255) have each prefix of 7 bits, and of one bit more for each doubling beyond 800 elements."""
+    bits = 7 + np.maximum(0, np.ceil(np.log2(np.maximum(size, 1) / 800))).astype(np.int64)
+    first = np.concatenate([[0], np.cumsum(1 << bits)])
+    at = first[row] + (element >> (64 - bits[row]).astype(U)).astype(np.int64)
+    count = np.minimum(np.bincount(at, minlength=int(first[-1])), 255).astype(np.uint8)
+    return [count[x:y].tobytes() for x, y in zip(first.tolist(), first[1:].tolist())]
 
 
 def bands(percent: int, largest: int) -> list[tuple[int, int, int, int, int]]:
@@ -81,9 +84,9 @@ def bands(percent: int, largest: int) -> list[tuple[int, int, int, int, int]]:
         k = 2 * hi * (100 - percent) // (100 + percent)
         least = -(-lo * percent // 100)
         options = []
-        for k2 in range(0, min(k, 3) + 1):
+        for k2 in range(1, min(k, 3) + 1):
             n1 = -(-(k + 1) // (k2 + 1))
-            for n2 in range(k2 + 1, k2 + 4):
+            for n2 in range(k2 + 2, k2 + 4):
                 fill = least * (n2 - k2) / (n1 * n2)
                 options.append((fill < FILL, n1 * comb(n2, k2) if fill >= FILL else -fill, n1, n2, k2))
         out.append((lo, hi, *min(options)[2:]) if k else (lo, hi, 0, 0, 0))
@@ -130,7 +133,7 @@ def _emit_sets(gram: int):
         for batch in batches:
             for lo, hi, buf, offsets in K.text_chunks(batch.column("text")):
                 row, element, size, sid = shingle_sets(buf, offsets, gram, cache)
-                sketch = [x.tobytes() for x in sketches(row, element, hi - lo)]
+                sketch = sketches(row, element, size)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), K.long_array(size), K.long_array(sid),
                                                   pa.array(sketch, pa.binary())], names=["doc_id", "n", "sid", "sketch"])
     return run
@@ -257,7 +260,8 @@ def _screen(percent: int):
         def flush():
             name, side, sid, n, sketch, own = zip(*held.values())
             side, n, own = np.array(side), np.array(n, dtype=np.int64), np.array(own)
-            counts = np.stack([np.frombuffer(x, dtype=np.uint8) for x in sketch]).astype(np.int16)
+            width = min(map(len, sketch))  # longer sketches are folded: sums of counts keep the bound
+            counts = np.stack([np.frombuffer(x, dtype=np.uint8).astype(np.int32).reshape(width, -1).sum(axis=1) for x in sketch])
             for i in range(len(n)):  # the sketches' distance is at most that of the sets
                 far = np.abs(counts - counts[i]).sum(axis=1)
                 may = ((100 + percent) * far <= (100 - percent) * (n + n[i])) & (own != own[i])
