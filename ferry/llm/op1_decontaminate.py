@@ -172,7 +172,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_col: str = "doc_id",
                 some = np.flatnonzero(total)
                 yield pa.RecordBatch.from_arrays([K.long_array(grams[some]), K.long_array(total[some])], names=["gram", "n"])
 
-        counted = plain.mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+        counted = plain.mapInArrow(K.frugal(count), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
         frequency = {r.gram % (1 << 64): r.n for r in counted.toLocalIterator()}  # at most the block's n-grams
         seeds = defaultdict(list)
         by_item = defaultdict(dict)
@@ -191,7 +191,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_col: str = "doc_id",
         def align(batches, held=held):
             yield from _align(*held.value, min_similarity)(batches)
 
-        parts.append(plain.mapInArrow(align, "doc_id long, item_id long, score long, similarity double, lo long, hi long"))
+        parts.append(plain.mapInArrow(K.frugal(align), "doc_id long, item_id long, score long, similarity double, lo long, hi long"))
     found = parts[0]
     for part in parts[1:]:
         found = found.union(part)

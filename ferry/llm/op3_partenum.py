@@ -329,12 +329,12 @@ def jaccard_classes(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "t
     if not 50 < percent <= 100 or gram < 1:
         raise ValueError("percent must be in 51..100, gram at least 1")
     plain = narrowed(docs, doc_id=doc_col, text=text_col)
-    sized = stored(plain.mapInArrow(_emit_sets(gram), "doc_id long, n long, sid long, sketch binary"), "sets")
+    sized = stored(plain.mapInArrow(K.frugal(_emit_sets(gram)), "doc_id long, n long, sid long, sketch binary"), "sets")
     distinct = sized.where("n > 0").groupBy("sid", "n").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"),
                                                              F.first("sketch").alias("sketch"))
     distinct = stored(distinct, "distinct")
-    sigs = plain.mapInArrow(_emit_signatures(gram, percent), "sig long, sid long")
-    forest = stored(sigs.repartition("sig").mapInArrow(_emit_forest, "u long, v long, weak int"), "candidates")
+    sigs = plain.mapInArrow(K.frugal(_emit_signatures(gram, percent)), "sig long, sid long")
+    forest = stored(sigs.repartition("sig").mapInArrow(K.frugal(_emit_forest), "u long, v long, weak int"), "candidates")
     classes = stored(components(forest.where("weak = 0").select("u", "v"), "classes").withColumnRenamed("node", "sid"), "classes")
 
     # cells: a class in blocks by size class and hash; neighbouring size classes meet
@@ -375,16 +375,16 @@ def jaccard_classes(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "t
         F.when(b == at, 2).when(at < b, 0).otherwise(1).cast("int").alias("side")))
     seats = (crowd.withColumn("own", own_class).join(wide, "sig").select("sid", "own", F.explode(several).alias("c"))
              .join(distinct.select("sid", "n", "sketch"), "sid").select("c.cell", "c.side", "sid", "n", "sketch", "own"))
-    weak = (seats.repartition("cell").sortWithinPartitions("cell").mapInArrow(_screen(percent), "cell string, side int, sid long")
+    weak = (seats.repartition("cell").sortWithinPartitions("cell").mapInArrow(K.frugal(_screen(percent)), "cell string, side int, sid long")
             .select("sid", F.array(F.struct("cell", "side")).alias("cells")))
     wanted = (strong.union(weak).groupBy("sid").agg(F.flatten(F.collect_list("cells")).alias("cells"))
               .join(distinct, "sid").join(classes, "sid", "left")
               .select(F.col("rep").alias("doc_id"), F.col("sid").alias("wanted"), "copies", "component", "cells"))
     wanted = stored(wanted, "wanted")
     held = (split_by_ids(plain, wanted)[0].join(wanted, "doc_id")
-            .mapInArrow(_emit_cells(gram), "cell string, side int, sid long, copies long, elements binary, component long"))
+            .mapInArrow(K.frugal(_emit_cells(gram)), "cell string, side int, sid long, copies long, elements binary, component long"))
     links = stored(held.repartition("cell").sortWithinPartitions("cell")
-                   .mapInArrow(_verify(percent), "u long, v long, links long, weak int"), "links")
+                   .mapInArrow(K.frugal(_verify(percent)), "u long, v long, links long, weak int"), "links")
     links = links.where("weak = 0").union(links.where("weak = 1").distinct())
 
     joined = components(links.where("u <> v").select("u", "v"), "components").withColumnRenamed("node", "sid")

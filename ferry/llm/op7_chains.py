@@ -143,7 +143,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], doc
                         [K.long_array(feature[at]), K.long_array(np.diff(np.append(at, len(feature)))),
                          *[K.long_array(np.add.reduceat(v[row + lo], at)) for v in y]], names=["feature", "n", *ys])
 
-    sums = (rows.mapInArrow(count, ", ".join(f"{c} long" for c in ["feature", "n", *ys]))
+    sums = (rows.mapInArrow(K.frugal(count), ", ".join(f"{c} long" for c in ["feature", "n", *ys]))
             .groupBy("feature").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in ys]).where(F.col("n") >= min_docs))
     total = rows.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ys]).first()
     sums = stored(sums, "features")
@@ -167,7 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], doc
                     [batch.column("doc_id").slice(lo, hi - lo), *[batch.column(c).slice(lo, hi - lo).cast(pa.int32()) for c in ys],
                      pa.ListArray.from_arrays(pa.array(cut), pa.array(at.astype(np.int32)))], names=["doc_id", *ys, "at"])
 
-    got = rows.mapInArrow(matrix, "doc_id long, " + "".join(f"{c} int, " for c in ys) + "at array<int>").toPandas()
+    got = rows.mapInArrow(K.frugal(matrix), "doc_id long, " + "".join(f"{c} int, " for c in ys) + "at array<int>").toPandas()
     got = got.sort_values("doc_id", kind="stable").reset_index(drop=True)
     x = np.zeros((len(got), len(features)), dtype=np.float32)
     for i, at in enumerate(got["at"]):
@@ -195,6 +195,7 @@ def score(docs: DataFrame, model, names: list[str], text_col: str = "text") -> D
                 earlier = np.column_stack([earlier, 1 / (1 + np.exp(-np.clip(logit, -30, 30)))])
             parts.append(earlier)
         out = np.concatenate(parts) if parts else np.zeros((0, len(weights)))
+        K.give_back()
         return pd.DataFrame(out, columns=[f"p_{x}" for x in names])
 
     run.__annotations__ = {"texts": pd.Series, "return": pd.DataFrame}

@@ -115,7 +115,7 @@ def text_counts(docs: DataFrame, keep: list[str], text_col: str = "text") -> Dat
                     names=[*keep, *COUNTS])
 
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema[:-1]], *[f"{c} long" for c in COUNTS]])
-    return plain.mapInArrow(run, schema)
+    return plain.mapInArrow(K.frugal(run), schema)
 
 
 def transformed(df: DataFrame) -> DataFrame:
