@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ferry.llm.frames import stored, without_ids
 from ferry.llm.op1_decontaminate import contaminated
-from ferry.llm.op2_bpe import decode, encode, n_ids
+from ferry.llm.op2_bpe import encode, n_ids
 from ferry.llm.op3_partenum import jaccard_classes
 from ferry.llm.op5_secrets import redact_secrets
 from ferry.llm.op7_chains import scored_documents
@@ -55,7 +55,7 @@ def tokenize(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = P.path(RANKS)
     plain = docs.select("doc_id", "lang", "source", "n_chars", "text",
                         F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
-    coded = decode(encode(plain, path, P.PATTERN), path, P.PATTERN)
+    coded = encode(plain, path, P.PATTERN, bytes_col="decoded")
     return coded.select("doc_id", "lang", "source", "n_chars", n_ids(F.col("ids")).alias("n_tokens"), "ids",
                         (F.sha2("decoded", 256) == F.col("text_sha256")).alias("intact"))
 

@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ferry.llm import textkit as K
 from ferry.llm.frames import small_batches
 
 RANK_BYTES_MAX = 64 << 20
@@ -118,22 +119,29 @@ def _with_column(df: DataFrame, drop: str | None, name: str, kind: str):
 
 
 def encode(df: DataFrame, rank_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids",
-           keep: list[str] | None = None) -> DataFrame:
-    """The columns in keep (all others by default) and ids_col: the text's ids, packed. The text column goes."""
+           keep: list[str] | None = None, bytes_col: str | None = None) -> DataFrame:
+    """The columns in keep (all others by default) and ids_col: the text's ids, packed. The text column goes.
+
+    With bytes_col, also the raw bytes that the packed ids stand for, decoded in the same pass (as :func:`decode`
+    of the result, but with one Python worker and one rank table a task instead of two).
+    """
     small_batches(df.sparkSession)
     ranks = df.sparkSession.sparkContext.broadcast(read_ranks(rank_path))
-    keep = [c for c in (df.columns if keep is None else keep) if c not in (text_col, ids_col)]
+    keep = [c for c in (df.columns if keep is None else keep) if c not in (text_col, ids_col, bytes_col)]
     plain = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("__text"))
 
     def run(batches):
         coder = Coder(ranks.value, pattern)
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
-            ids = [np.asarray(coder.encode(t.as_py() or ""), dtype="<u4").tobytes() for t in texts]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(ids, pa.binary())],
-                                             names=[*batch.schema.names[:-1], ids_col])
+            out = [pa.array([np.asarray(coder.encode(t.as_py() or ""), dtype="<u4").tobytes() for t in texts], pa.binary())]
+            if bytes_col:
+                out.append(pa.array([coder.decode(np.frombuffer(x.as_py(), dtype="<u4")) for x in out[0]], pa.binary()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *out], names=[*batch.schema.names[:-1], *added])
 
-    return plain.mapInArrow(run, _with_column(plain, "__text", ids_col, "binary"))
+    added = [ids_col, bytes_col] if bytes_col else [ids_col]
+    schema = _with_column(plain, "__text", ids_col, "binary") + (f", `{bytes_col}` binary" if bytes_col else "")
+    return plain.mapInArrow(K.frugal(run), schema)
 
 
 def decode(df: DataFrame, rank_path: str, pattern: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
@@ -150,7 +158,7 @@ def decode(df: DataFrame, rank_path: str, pattern: str, ids_col: str = "ids", by
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())],
                                              names=[*batch.schema.names, bytes_col])
 
-    return plain.mapInArrow(run, _with_column(plain, None, bytes_col, "binary"))
+    return plain.mapInArrow(K.frugal(run), _with_column(plain, None, bytes_col, "binary"))
 
 
 def n_ids(ids: Column) -> Column:
@@ -174,6 +182,6 @@ def op2_bpe(spark, sf_dir: str) -> DataFrame:
 
     path = P.path("byte_bpe_multi_50k.tiktoken")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    coded = decode(encode(docs, path, P.PATTERN), path, P.PATTERN)
+    coded = encode(docs, path, P.PATTERN, bytes_col="decoded")
     return coded.select("doc_id", n_ids(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))

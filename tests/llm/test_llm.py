@@ -76,6 +76,8 @@ def test_bpe_equals_the_library_and_decodes_back(spark, docs, none):
     ranks = op2.read_ranks(path)
     library = tiktoken.Encoding("x", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     coded = op2.decode(op2.encode(docs, path, P.PATTERN), path, P.PATTERN)
+    same(op2.encode(docs, path, P.PATTERN, bytes_col="decoded").select("doc_id", "ids", "decoded").collect(),
+         [tuple(r) for r in coded.select("doc_id", "ids", "decoded").collect()])
     got = coded.select("doc_id", op2.n_ids(F.col("ids")), F.sha2("ids", 256), F.sha2("decoded", 256)).collect()
     want = []
     for i, t, *_ in ROWS:
