@@ -3,7 +3,7 @@
 Method. A tree's nodes point to their parents. Root-to-leaf paths are enumerated by
 iterative self-joins that double their reach: after round r every node knows its
 2**r-th ancestor and the score and length of the path in between, so a tree of depth d takes log2(d)
-rounds, of narrow rows only. Leaves carry the path's mean score; the best ``paths_per_tree`` leaves of each
+rounds, of narrow rows only; a node that has reached its root takes no further part but as an ancestor. Leaves carry the path's mean score; the best ``paths_per_tree`` leaves of each
 tree are chosen (ties: longer path, then smaller node id). The chosen paths are written out by
 the same ancestor tables, from the longest jump to the shortest, then joined to the texts once and
 formatted as one conversation each.
@@ -21,6 +21,8 @@ on a cycle have no leaf and are left out. Null tree or node ids are left out. Bu
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,22 +65,27 @@ def reply_paths(nodes: DataFrame, paths_per_tree: int = 1) -> DataFrame:
     nodes: tree, node, parent (null at a root), score; one row per (tree, node).
     """
     key = ["tree", "node"]
+
+    def ended(table):
+        return table.where("up is null")
+
     known = nodes.select(F.col("tree"), F.col("node").alias("parent")).withColumn("there", F.lit(True))
     start = (nodes.join(known, ["tree", "parent"], "left")
              .select("tree", "node", F.when(F.col("there"), F.col("parent")).alias("up"),
                      F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"), F.lit(1).cast("long").alias("length")))
     now = stored(start, "tree-0")
-    jumps = [now]  # jumps[r]: up is the 2**r-th ancestor
+    jumps = [now]  # jumps[r]: up is the 2**r-th ancestor, null where the root is nearer; only nodes that were not there before
     total = now.count()
     while now.where("up is not null").limit(1).count() and 2 ** (len(jumps) - 1) <= total:
-        above = now.select("tree", F.col("node").alias("up"), F.col("up").alias("far"),
-                           F.col("score").alias("more"), F.col("length").alias("longer"))
-        now = stored(now.join(above, ["tree", "up"], "left")
+        above = (reduce(DataFrame.union, [ended(t) for t in jumps], now.where("up is not null"))
+                 .select("tree", F.col("node").alias("up"), F.col("up").alias("far"),
+                         F.col("score").alias("more"), F.col("length").alias("longer")))
+        now = stored(now.where("up is not null").join(above, ["tree", "up"], "left")
                      .select("tree", "node", F.col("far").alias("up"), (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"),
                              (F.col("length") + F.coalesce("longer", F.lit(0))).alias("length")), f"tree-{len(jumps)}")
         jumps.append(now)
     parents = nodes.where("parent is not null").select("tree", F.col("parent").alias("node")).distinct()
-    leaves = now.where("up is null").join(parents, key, "left_anti").withColumn("mean", F.col("score") / F.col("length"))
+    leaves = reduce(DataFrame.union, [ended(t) for t in jumps]).join(parents, key, "left_anti").withColumn("mean", F.col("score") / F.col("length"))
     best = F.row_number().over(Window.partitionBy("tree").orderBy(F.desc("mean"), F.desc("length"), "node"))
     if paths_per_tree == 1:
         chosen = (leaves.groupBy("tree").agg(F.max_by(F.struct("node", "length"), F.struct("mean", "length", -F.col("node"))).alias("b"))
