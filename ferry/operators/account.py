@@ -50,6 +50,7 @@ def response_health(responses: DataFrame) -> DataFrame:
     """Totals over saved search responses (``scan_response_pages`` output)."""
     return responses.agg(
         F.count(F.lit(1)).alias("pages"),
+        F.sum(F.col("error").cast("int")).cast("long").alias("error_pages"),
         F.sum(F.col("timed_out").cast("int")).cast("long").alias("timed_out_pages"),
         F.sum("shards_failed").cast("long").alias("shards_failed"),
         F.max("took").cast("long").alias("max_took"),

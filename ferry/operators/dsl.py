@@ -1,7 +1,9 @@
 """Query DSL → Spark ``Column``.
 
-A query is one JSON object built from the clauses ``bool`` (``must``,
-``must_not``, ``should``), ``term``, ``range``, ``match`` and ``match_all``.
+A query is one JSON object built from the clauses ``bool`` (``must``, ``filter``,
+``must_not``, ``should``, ``minimum_should_match``), ``term``, ``terms``, ``range``,
+``match`` (with ``operator``), ``match_phrase``, ``prefix``, ``wildcard``,
+``exists``, ``ids`` and ``match_all``.
 It compiles into a single boolean ``Column`` so Catalyst sees one filter it
 can simplify and push into the scan.
 
@@ -13,8 +15,10 @@ Truth rules
   ``PushedFilters``.
 * ``must_not`` coalesces its child to false *before* negating, so a document
   lacking the field is kept.
-* ``should`` filters only when the bool has no ``must``; next to ``must`` it
-  would only change ranking, which is not part of the result.
+* ``should`` filters only when the bool has no ``must`` or ``filter``, or where
+  ``minimum_should_match`` asks for it; otherwise it would only change ranking,
+  which is not part of the result.
+* ``exists`` takes null, an empty list and a list of nulls as missing.
 * Array fields match when any element matches (``term``, ``match``) or when one
   element satisfies all bounds (``range``).
 * Literals are converted to the column type while the plan is built; a literal
@@ -28,6 +32,7 @@ import decimal
 import json
 import math
 from collections.abc import Callable
+from functools import reduce
 
 import regex as _regex
 
@@ -110,6 +115,14 @@ def _clause(q, r: "_Resolver", path: str) -> Column:
         return _range(body, r, f"{path}.range")
     if name == "match":
         return _match(body, r, f"{path}.match")
+    if name in _TEXT_CLAUSES:
+        return _text(name, body, r, f"{path}.{name}")
+    if name == "terms":
+        return _terms(body, r, f"{path}.terms")
+    if name == "exists":
+        return _exists(body, r, f"{path}.exists")
+    if name == "ids":
+        return _ids(body, r, f"{path}.ids")
     if name == "match_all":
         if body not in ({}, None):
             raise QueryError(f"{path}.match_all: takes no arguments")
@@ -128,17 +141,22 @@ def _as_list(body, path: str) -> list:
 def _bool(body, r, path) -> Column:
     if not isinstance(body, dict):
         raise QueryError(f"{path}: must be an object")
-    unknown = set(body) - {"must", "must_not", "should"}
+    unknown = set(body) - {"must", "filter", "must_not", "should", "minimum_should_match"}
     if unknown:
         raise QueryError(f"unsupported clause '{sorted(unknown)[0]}' at {path}")
-    must = [_clause(c, r, f"{path}.must[{i}]") for i, c in enumerate(_as_list(body.get("must", []), path))]
+    must = [_clause(c, r, f"{path}.{role}[{i}]") for role in ("must", "filter")
+            for i, c in enumerate(_as_list(body.get(role, []), path))]
     must_not = [_clause(c, r, f"{path}.must_not[{i}]")
                 for i, c in enumerate(_as_list(body.get("must_not", []), path))]
     should = [_clause(c, r, f"{path}.should[{i}]")
               for i, c in enumerate(_as_list(body.get("should", []), path))]
     parts: list[Column] = list(must)
-    if should and not must:
+    wanted = _wanted(body.get("minimum_should_match"), len(should), bool(must), path)
+    if should and wanted == 1:
         parts.append(_or(should))
+    elif should and wanted > 1:
+        parts.append(reduce(lambda a, b: a + b, [F.coalesce(c, F.lit(False)).cast("int") for c in should])
+                     >= wanted)
     for c in must_not:
         parts.append(~F.coalesce(c, F.lit(False)))
     if not parts:
@@ -146,6 +164,24 @@ def _bool(body, r, path) -> Column:
     return _and(parts)
 
 
+def _wanted(spec, n: int, required: bool, path: str) -> int:
+    """How many of ``n`` should clauses must hold: a count, a negative count (so many may fail) or a percentage."""
+    if spec is None:
+        return 0 if required else 1
+    text = str(spec).strip()
+    try:
+        if isinstance(spec, (bool, float)):
+            raise ValueError
+        if text.endswith("%"):
+            share = int(text[:-1])
+            count = n * abs(share) // 100
+            return count if share >= 0 else n - count
+        count = int(text)
+    except ValueError as e:
+        raise QueryError(f"{path}.minimum_should_match: not a count or percentage: {spec!r}") from e
+    return count if count >= 0 else n + count
+
+
 def _and(cols: list[Column]) -> Column:
     out = cols[0]
     for c in cols[1:]:
@@ -233,19 +269,104 @@ def match_tokens(text) -> list[str]:
     return sorted({t for t in _PY_TOKEN_SPLIT.split(s) if t})
 
 
+def _terms(body, r, path) -> Column:
+    field, values = _single_field(body, path)
+    if not isinstance(values, list) or any(v is None or isinstance(v, (dict, list)) for v in values):
+        raise QueryError(f"{path}.{field}: terms takes a list of scalars")
+    groups: dict[str, list] = {}
+    for v in values:  # untyped fields are read by the type of what they are compared with
+        groups.setdefault(variant_type_for(v), []).append(v)
+
+    def leaf_of(group):
+        def leaf(c: Column, t: T.DataType) -> Column:
+            lits = [literal_for(v, t, f"{path}.{field}") for v in group if not _fraction_for_integer(v, t)]
+            return c.isin(*lits) if lits else F.when(c.isNotNull(), F.lit(False))
+        return leaf
+
+    if not groups:
+        return F.lit(False)
+    return _or([r.on_field(field, leaf_of(g), probe=g[0], path=f"{path}.{field}") for g in groups.values()])
+
+
+def _exists(body, r, path) -> Column:
+    if not isinstance(body, dict) or set(body) != {"field"} or not isinstance(body["field"], str):
+        raise QueryError(f"{path}: takes 'field' only")
+    return r.on_field(body["field"], lambda c, t: c.isNotNull(), probe=_PRESENT, path=path)
+
+
+def _ids(body, r, path) -> Column:
+    values = body.get("values") if isinstance(body, dict) and set(body) == {"values"} else None
+    if not isinstance(values, list) or any(v is None or isinstance(v, (bool, dict, list)) for v in values):
+        raise QueryError(f"{path}: takes a list of ids as 'values'")
+    if "_id" not in r.schema.fieldNames():
+        return _missing()
+    return F.col("_id").isin(*[str(v) for v in values]) if values else F.lit(False)
+
+
+_TEXT_CLAUSES = ("prefix", "wildcard", "match_phrase")
+
+
+def _text(name, body, r, path) -> Column:
+    """``prefix`` and ``wildcard`` on the whole value, ``match_phrase`` on consecutive tokens of it."""
+    field, spec = _single_field(body, path)
+    key = "query" if name == "match_phrase" else "value"
+    if isinstance(spec, dict):
+        if set(spec) != {key}:
+            raise QueryError(f"{path}.{field}: {name} takes '{key}' only")
+        spec = spec[key]
+    if not isinstance(spec, str):
+        raise QueryError(f"{path}.{field}: {name} takes a text")
+
+    def leaf(c: Column, t: T.DataType) -> Column:
+        if not isinstance(t, T.StringType):
+            raise QueryError(f"{path}.{field}: {name} needs a text field, not {t.simpleString()}")
+        if name == "prefix":
+            return c.startswith(spec)
+        if name == "wildcard":
+            return c.like(_like_pattern(spec))
+        tokens = [w for w in _PY_TOKEN_SPLIT.split(spec.lower()) if w]
+        return F.lower(c).rlike(_token_pattern([f"[^{_TOKEN_CHARS}]+".join(tokens)])) if tokens else F.lit(False)
+
+    return r.on_field(field, leaf, probe=spec, path=f"{path}.{field}")
+
+
+def _like_pattern(wildcard: str) -> str:
+    """``*`` and ``?`` as SQL wildcards; a backslash takes the next character as it is."""
+    out, chars = [], iter(wildcard)
+    for ch in chars:
+        if ch == "*":
+            out.append("%")
+        elif ch == "?":
+            out.append("_")
+        else:
+            ch = next(chars, ch) if ch == "\\" else ch
+            out.append("\\" + ch if ch in "%_\\" else ch)
+    return "".join(out)
+
+
 def _match(body, r, path) -> Column:
     field, spec = _single_field(body, path)
+    every = False
     if isinstance(spec, dict):
-        unknown = set(spec) - {"query"}
+        unknown = set(spec) - {"query", "operator"}
         if unknown or "query" not in spec:
-            raise QueryError(f"{path}.{field}: match takes 'query' only")
+            raise QueryError(f"{path}.{field}: match takes 'query' and 'operator' only")
         text = spec["query"]
+        operator = str(spec.get("operator", "or")).lower()
+        if operator not in ("and", "or"):
+            raise QueryError(f"{path}.{field}: operator must be and or or")
+        every = operator == "and"
     else:
         text = spec
     if text is None or isinstance(text, (dict, list)):
         raise QueryError(f"{path}.{field}: match query must be a scalar")
     tokens = match_tokens(text) if not isinstance(text, bool) else [str(text).lower()]
 
+    if every and len(tokens) > 1 and not isinstance(text, bool):
+        # one test a token, so that a list field may hold them in different elements
+        return _and([_match({field: w}, r, path) if _is_text(r, field) else _match({field: text}, r, path)
+                     for w in tokens])
+
     def leaf(c: Column, t: T.DataType) -> Column:
         if isinstance(t, T.StringType):
             if not tokens:
@@ -332,6 +453,16 @@ _VARIANT_PROBE = {"boolean": T.BooleanType(), "decimal(38,9)": T.DecimalType(38,
 # --------------------------------------------------------------------------
 # field resolution
 
+#: probe of ``exists``: whether the field is there, whatever its type
+_PRESENT = object()
+
+
+def _is_text(r: "_Resolver", field: str) -> bool:
+    """Whether ``field`` holds texts (untyped fields are compared as texts)."""
+    kinds: list[bool] = []
+    r.on_field(field, lambda c, t: kinds.append(isinstance(t, T.StringType)) or F.lit(True), probe="", path=field)
+    return all(kinds)
+
 
 def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -378,6 +509,8 @@ def _walk(base: Column | None, dtype, parts: list[str], leaf: Leaf, probe, eq_va
     if isinstance(dtype, T.VariantType):
         return _variant_leaf(base, "$" + "".join(f"[{json.dumps(p)}]" for p in parts), leaf, probe)
     if not parts:
+        if probe is _PRESENT:
+            return base.isNotNull()
         if isinstance(dtype, (T.StructType, T.MapType)):
             raise QueryError(f"{path}: field is an object, not a value")
         return leaf(base, dtype)
@@ -403,9 +536,11 @@ def _walk(base: Column | None, dtype, parts: list[str], leaf: Leaf, probe, eq_va
 
 
 def _variant_leaf(base: Column, jpath: str, leaf: Leaf, probe) -> Column:
+    node = F.try_variant_get(base, jpath, "variant")
+    if probe is _PRESENT:
+        return ~F.schema_of_variant(node).isin("VOID", "ARRAY<VOID>", "OBJECT<>")
     vtype = variant_type_for(probe)
     stype = _VARIANT_PROBE[vtype]
-    node = F.try_variant_get(base, jpath, "variant")
     scalar = leaf(F.try_variant_get(node, "$", vtype), stype)
     arr = F.try_variant_get(node, "$", f"array<{vtype}>")
     any_elem = F.exists(arr, lambda x: leaf(x, stype))

@@ -8,6 +8,7 @@ collapses ``struct(...).field`` back to the scanned column and filters on
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
@@ -81,6 +82,25 @@ def _pick(base: Column, dtype: T.DataType, tree: dict) -> Column | None:
     return None  # a scalar cannot have named children
 
 
+def _pick_untyped(v: Column, tree: dict | None) -> Column:
+    """Rebuild the VARIANT ``v`` with the branches named in ``tree`` only; SQL null where none is there."""
+    if tree is None:
+        return v
+
+    def branches(x: Column) -> Column:
+        found = F.array(*[F.struct(F.lit(name).alias("k"),
+                                   _pick_untyped(F.try_variant_get(x, f"$[{json.dumps(name, ensure_ascii=False)}]",
+                                                                   "variant"), sub).alias("v"))
+                          for name, sub in tree.items()])
+        found = F.filter(found, lambda e: e["v"].isNotNull())
+        return F.when(F.size(found) > 0, F.to_variant_object(F.map_from_entries(found)))
+
+    kept = F.filter(F.transform(F.try_variant_get(v, "$", "array<variant>"), branches), lambda e: e.isNotNull())
+    shape = F.schema_of_variant(v)
+    return (F.when(shape.startswith("OBJECT"), branches(v))
+            .when(shape.startswith("ARRAY") & (F.size(kept) > 0), F.to_variant_object(kept)))
+
+
 def _path_tree(fields: list[str]) -> dict:
     tree: dict = {}
     for path in fields:
@@ -102,6 +122,8 @@ def include_fields(df: DataFrame, fields: str | Iterable[str] | None) -> DataFra
 
     Works on enveloped frames (restricts ``_source``) and on flat frames.
     Unknown names are omitted without error. An empty list keeps everything.
+    Untyped (VARIANT) sources keep their nesting: objects without a listed
+    branch are left out, lists of objects keep the listed branches of each.
     """
     names = split_fields(fields)
     if not names:
@@ -110,9 +132,7 @@ def include_fields(df: DataFrame, fields: str | Iterable[str] | None) -> DataFra
     if is_envelope(df):
         src_type = df.schema["_source"].dataType
         if isinstance(src_type, T.VariantType):
-            kept = [F.try_variant_get(F.col("_source"), "$" + "".join(f'["{p}"]' for p in n.split(".")),
-                                      "variant").alias(n) for n in names]
-            source = F.to_variant_object(F.struct(*kept))
+            source = F.coalesce(_pick_untyped(F.col("_source"), tree), F.parse_json(F.lit("{}")))
         else:
             picked = _pick(F.col("_source"), src_type, tree)
             source = picked if picked is not None else F.struct()

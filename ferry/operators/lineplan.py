@@ -24,6 +24,8 @@ from .dsl import RANGE_OPS, QueryError, match_tokens
 
 #: cost of a leaf as a candidate source (lower = fewer candidates expected)
 _COST = {"term": 1, "range": 4, "match": 8}
+#: clauses without a join form
+COMPILED_CLAUSES = ("terms", "exists", "ids", "prefix", "wildcard", "match_phrase")
 
 
 def _as_list(body, path):
@@ -81,19 +83,24 @@ class _Planner:
             return self.range(body, f"{path}.range")
         if name == "match":
             return self.match(body, f"{path}.match")
+        if name in COMPILED_CLAUSES:
+            self.supported = False  # compiled like a single query
+            return None
         raise QueryError(f"unsupported clause '{name}' at {path}")
 
     def bool(self, body, path):
         if not isinstance(body, dict):
             raise QueryError(f"{path}: must be an object")
-        unknown = set(body) - {"must", "must_not", "should"}
+        if "minimum_should_match" in body:
+            self.supported = False
+        unknown = set(body) - {"must", "filter", "must_not", "should", "minimum_should_match"}
         if unknown:
             raise QueryError(f"unsupported clause '{sorted(unknown)[0]}' at {path}")
         groups = {}
-        for role in ("must", "must_not", "should"):
+        for role in ("must", "filter", "must_not", "should"):
             groups[role] = [self.clause(c, f"{path}.{role}[{i}]")
                             for i, c in enumerate(_as_list(body.get(role, []), path))]
-        must, must_not, should = groups["must"], groups["must_not"], groups["should"]
+        must, must_not, should = groups["must"] + groups["filter"], groups["must_not"], groups["should"]
         if not (must or must_not or should):
             self.prog.append({"op": 2, "a": 0, "b": 0, "c": 0})
             return None
@@ -155,8 +162,10 @@ class _Planner:
     def match(self, body, path):
         field, spec = _single_field(body, path)
         if isinstance(spec, dict):
-            if set(spec) - {"query"} or "query" not in spec:
-                raise QueryError(f"{path}.{field}: match takes 'query' only")
+            if set(spec) - {"query", "operator"} or "query" not in spec:
+                raise QueryError(f"{path}.{field}: match takes 'query' and 'operator' only")
+            if "operator" in spec:
+                self.supported = False
             text = spec["query"]
         else:
             text = spec

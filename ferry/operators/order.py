@@ -10,6 +10,8 @@ partition.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,6 +46,20 @@ def parse_sort(spec) -> list[tuple[str, bool]]:
     return out
 
 
+def _untyped_key(field: str) -> Column:
+    """Sort key of an untyped field: numbers by value, then texts; null for a missing field, null, list or object."""
+    path = "$" + "".join(f"[{json.dumps(p, ensure_ascii=False)}]" for p in field.split("."))
+    node = F.try_variant_get(F.col("_source"), path, "variant")
+    shape = F.schema_of_variant(node)
+    number = F.when(shape.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)"),
+                    F.struct(F.try_variant_get(node, "$", "double").alias("d"),
+                             F.try_variant_get(node, "$", "decimal(38,9)").alias("n"), F.lit(None).cast("string").alias("s")))
+    text = F.when(~shape.rlike("^(OBJECT|ARRAY|VOID)"),
+                  F.struct(F.lit(float("nan")).alias("d"), F.lit(None).cast("decimal(38,9)").alias("n"),
+                           F.try_variant_get(node, "$", "string").alias("s")))
+    return F.coalesce(number, text)
+
+
 def field_column(df: DataFrame, field: str) -> Column:
     """A sortable column for a (dotted) document field."""
     names = df.columns
@@ -52,7 +68,7 @@ def field_column(df: DataFrame, field: str) -> Column:
     if is_envelope(df):
         src = df.schema["_source"].dataType
         if isinstance(src, T.VariantType):
-            raise QueryError("cannot sort untyped (VARIANT) documents; read them with a schema")
+            return _untyped_key(field)
         col, dtype = F.col("_source"), src
     else:
         col, dtype = None, df.schema

@@ -144,6 +144,69 @@ def q_bool_should(spark, sf_dir):
     return apply_query(table(spark, sf_dir, "customer"), Q_SHOULD).select("c_custkey")
 
 
+@register("bool_filter", """
+select o_orderkey from orders
+where o_orderstatus = 'F' and (o_orderpriority = '1-URGENT')::int + (o_totalprice >= 18000)::int + (o_custkey < 500)::int >= 2""")
+def q_bool_filter(spark, sf_dir):
+    q = {"bool": {"filter": Q_STATUS_F, "minimum_should_match": 2,
+                  "should": [{"term": {"o_orderpriority": "1-URGENT"}}, {"range": {"o_totalprice": {"gte": 18000}}},
+                             {"range": {"o_custkey": {"lt": 500}}}]}}
+    return apply_query(table(spark, sf_dir, "orders"), q).select("o_orderkey")
+
+
+@register("terms", "select o_orderkey from orders where o_orderstatus in ('F', 'P')")
+def q_terms(spark, sf_dir):
+    return apply_query(table(spark, sf_dir, "orders"), {"terms": {"o_orderstatus": ["F", "P"]}}).select("o_orderkey")
+
+
+@register("exists_untyped", """
+select doc_id from documents where text is not null and length(text) % 2 = 0""")
+def q_exists_untyped(spark, sf_dir):
+    even = F.when(F.length("text") % 2 == 0, F.col("doc_id"))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", F.parse_json(F.to_json(F.struct(even.alias("even")))).alias("doc"))
+    return apply_query(docs, {"exists": {"field": "doc.even"}}).select("doc_id")
+
+
+@register("ids", "select o_orderkey from orders where o_orderkey in (1, 7, 32)")
+def q_ids(spark, sf_dir):
+    return apply_query(orders_collection(spark, sf_dir), {"ids": {"values": [1, "7", 32]}}) \
+        .select(F.col("_source.o_orderkey").alias("o_orderkey"))
+
+
+@register("prefix", "select o_orderkey from orders where starts_with(o_orderpriority, '1-')")
+def q_prefix(spark, sf_dir):
+    return apply_query(table(spark, sf_dir, "orders"), {"prefix": {"o_orderpriority": "1-"}}).select("o_orderkey")
+
+
+@register("wildcard", "select o_orderkey from orders where o_orderpriority like '_-%I%'")
+def q_wildcard(spark, sf_dir):
+    return apply_query(table(spark, sf_dir, "orders"), {"wildcard": {"o_orderpriority": "?-*I*"}}).select("o_orderkey")
+
+
+@register("match_phrase", r"""
+select doc_id from documents
+where regexp_matches(lower(text), '(^|[^\p{L}\p{N}_])attion[^\p{L}\p{N}_]+to([^\p{L}\p{N}_]|$)')""")
+def q_match_phrase(spark, sf_dir):
+    return apply_query(table(spark, sf_dir, "documents"), {"match_phrase": {"text": "Attion to"}}).select("doc_id")
+
+
+@register("match_and", r"""
+select doc_id from documents
+where list_has_all(regexp_split_to_array(lower(text), '[^\p{L}\p{N}_]+'), ['the', 'to'])""")
+def q_match_and(spark, sf_dir):
+    q = {"match": {"text": {"query": "the to", "operator": "and"}}}
+    return apply_query(table(spark, sf_dir, "documents"), q).select("doc_id")
+
+
+@register("field_include_variant", """
+select cast(event_id as varchar) as _id,
+       '{"props":{"k":' || json_extract_string(props, '$.k') || '},"user_id":' || user_id || '}' as kept from events""")
+def q_field_include_variant(spark, sf_dir):
+    docs = include_fields(scan_dump(spark, events_dump(spark, sf_dir)), "user_id,props.k,props.none,none")
+    return docs.select("_id", F.to_json("_source").alias("kept"))
+
+
 @register("bool_nested", """
 select o_orderkey from orders
 where coalesce(o_orderstatus = 'F', false) and not coalesce(o_totalprice >= 18000 and o_totalprice < 60000, false)""")
@@ -403,7 +466,7 @@ from ..operators.account import reconcile_counts, response_health  # noqa: E402
 from ..operators.order import page_progress, paginate  # noqa: E402
 from ..sinks.ndjson import read_split, split_export  # noqa: E402
 from ..sinks.responses import export_response_pages  # noqa: E402
-from ..sinks.upsert import append_auto_id, create_like, latest_per_key, upsert_to  # noqa: E402
+from ..sinks.upsert import append_to, create_like, latest_per_key, upsert_to  # noqa: E402
 from ..sources.collection import scan_multi  # noqa: E402
 from ..sources.responses import scan_response_pages, scan_responses  # noqa: E402
 
@@ -492,11 +555,15 @@ def q_last_write_wins(spark, sf_dir):
     return latest_per_key(ev, "user_id", ["ts", "event_id"]).select("user_id", "event_id", "event_type")
 
 
-@register("append_auto_id", "select 'orders_copy' as _index, o_orderkey, 64 as id_len from orders")
+@register("append_auto_id", """
+select 'orders_copy' as _index, o_orderkey, 64 as id_len, o_orderstatus = 'F' as second from orders""")
 def q_append_auto_id(spark, sf_dir):
-    env = append_auto_id(table(spark, sf_dir, "orders"), "orders_copy")
+    orders = table(spark, sf_dir, "orders")
+    finished, path = F.col("o_orderstatus") == "F", scratch_path(spark, "orders-copy")
+    append_to(orders.where(~F.coalesce(finished, F.lit(False))), path, "orders_copy")
+    env = append_to(orders.where(finished), path, "orders_copy")
     return env.select("_index", F.col("_source.o_orderkey").alias("o_orderkey"),
-                      F.length("_id").alias("id_len"))
+                      F.length("_id").alias("id_len"), (F.col("_source.o_orderstatus") == "F").alias("second"))
 
 
 @register("create_like", "select o_orderkey, o_orderstatus from orders limit 0")
@@ -519,10 +586,11 @@ def events_dump(spark, sf_dir) -> str:
 
 
 @register("scan_typed", """
-select cast(event_id as varchar) as _id, user_id, value, cast(json_extract(props, '$.k') as bigint) as k from events""")
+select cast(event_id as varchar) as _id, user_id, value, cast(json_extract(props, '$.k') as bigint) as k,
+       epoch_us(ts) as ts_us from events""")
 def q_scan_typed(spark, sf_dir):
     docs = scan_typed(spark, events_dump(spark, sf_dir), EVENTS_MAPPING)
-    return docs.select("_id", F.col("_source.user_id").alias("user_id"), F.col("_source.value").alias("value"),
+    return docs.select("_id", F.unix_micros("_source.ts").alias("ts_us"), F.col("_source.user_id").alias("user_id"), F.col("_source.value").alias("value"),
                        F.col("_source.props.k").alias("k"))
 
 
@@ -550,12 +618,16 @@ def q_scan_responses(spark, sf_dir):
 
 
 @register("response_health", f"""
-select cast(ceil(count(*) / {PAGE}.0) as bigint) as pages, cast(0 as bigint) as timed_out_pages,
+select cast(ceil(count(*) / {PAGE}.0) as bigint) + (select count(*) from region) as pages,
+       (select count(*) from region) as error_pages, cast(0 as bigint) as timed_out_pages,
        cast(0 as bigint) as shards_failed, cast(1 as bigint) as max_took, count(*) as hits,
        count(*) as reported_total
 from orders""")
 def q_response_health(spark, sf_dir):
-    return response_health(scan_response_pages(spark, orders_responses(spark, sf_dir)))
+    failed = scratch_path(spark, "failed-responses")  # one error answer for each region
+    answer = F.to_json(F.struct(F.col("r_name").alias("error"), F.lit(500).alias("status")))
+    table(spark, sf_dir, "region").select(answer.alias("value")).write.text(failed)
+    return response_health(scan_response_pages(spark, [orders_responses(spark, sf_dir), failed]))
 
 
 # ---------------------------------------------------------------- streams

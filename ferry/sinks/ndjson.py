@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.account import check_written, counted
 from ..operators.dsl import quote
 from ..operators.order import number_rows, sort_columns
 
@@ -29,12 +30,21 @@ def json_line(df: DataFrame, sorted_keys: bool = True, exclude=()) -> Column:
 
 
 def export_ndjson(df: DataFrame, path: str, sorted_keys: bool = True,
-                  compression: str | None = None, mode: str = "errorifexists") -> None:
-    """G1: write one object per line; the target must not exist (default mode)."""
-    w = df.select(json_line(df, sorted_keys).alias("value")).write.mode(mode)
+                  compression: str | None = None, mode: str = "errorifexists", check: bool = False) -> None:
+    """G1: write one object per line; the target must not exist (default mode).
+
+    ``check`` counts the lines of the target afterwards and raises
+    ``TransferMismatch`` where they differ from the rows written (F1).
+    """
+    lines = df.select(json_line(df, sorted_keys).alias("value"))
+    if check:
+        lines, sent = counted(lines, f"export {path}")
+    w = lines.write.mode(mode)
     if compression:
         w = w.option("compression", compression)
     w.text(path)
+    if check:
+        check_written(sent, df.sparkSession.read.text(path))
 
 
 def assign_chunks(df: DataFrame, split_limit: int, spec=None, tiebreak=None,

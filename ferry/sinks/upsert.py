@@ -72,6 +72,12 @@ def append_auto_id(df: DataFrame, index: str, content_id: bool = True) -> DataFr
     return df.select(doc_id.alias("_id"), F.lit(index).alias("_index"), source.alias("_source"))
 
 
+def append_to(df: DataFrame, path: str, index: str, content_id: bool = True, fmt: str = "parquet") -> DataFrame:
+    """G4 as a write: add the rows of ``df`` to the collection at ``path``; returns the whole collection."""
+    append_auto_id(df, index, content_id).write.mode("append").format(fmt).save(path)
+    return df.sparkSession.read.format(fmt).load(path)
+
+
 def create_like(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     """An empty collection with the schema of ``df``; error if present."""
     df.limit(0).write.mode("errorifexists").format(fmt).save(path)

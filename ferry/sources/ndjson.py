@@ -8,6 +8,8 @@ object; anything else aborts the job unless quarantine mode is asked for.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,7 @@ from pyspark.sql import types as T
 from ..functions.schema import mapping_to_schema
 
 _NOT_OBJECT = "ndjson: line is not a JSON object"
+_NOT_TYPED = "ndjson: a field does not convert to its schema type"
 
 
 def _paths(path) -> list[str]:
@@ -58,22 +61,32 @@ def number_lines(lines: DataFrame, name: str = "line_no") -> DataFrame:
             .drop("__mid", "__adj"))
 
 
-def _checked(v):
-    """Raise on anything but an object; ``parse_json`` already raised on bad JSON."""
-    return F.when(F.schema_of_variant(v).startswith("OBJECT"), v) \
-            .otherwise(F.raise_error(F.lit(_NOT_OBJECT)))
+def _each(lines: DataFrame, value, name: str) -> DataFrame:
+    """``lines`` with ``value`` as a column that is computed even where nothing reads it.
+
+    The optimizer drops an unread projection, and its errors with it, but keeps
+    a generator, since a generator may change the number of rows.
+    """
+    return lines.withColumn(name, F.explode(F.array(value)))
+
+
+def _objects(lines: DataFrame, name: str) -> DataFrame:
+    """Every line parsed once, as an object; ``parse_json`` raises on bad JSON, the check on anything else."""
+    parsed = _each(lines, F.parse_json("value"), "__json")
+    v = F.col("__json")
+    obj = F.when(F.schema_of_variant(v).startswith("OBJECT"), v).otherwise(F.raise_error(F.lit(_NOT_OBJECT)))
+    return _each(parsed, obj, name).drop("__json")
 
 
 def scan_ndjson(spark: SparkSession, path, with_file: bool = False) -> DataFrame:
-    """A1: one ``doc VARIANT`` per line. Bad JSON, blank lines and non-objects abort.
+    """A1: one ``doc VARIANT`` per line. Bad JSON, blank lines and non-objects abort,
+    also where ``doc`` itself is not read (as under ``count()``).
 
     VARIANT keeps the difference between a missing key and ``null``, and big
     integers exactly.
     """
-    lines = read_lines(spark, path)
-    doc = _checked(F.parse_json("value")).alias("doc")
-    cols = [doc] + ([F.col("_file")] if with_file else [])
-    return lines.select(*cols)
+    lines = _objects(read_lines(spark, path), "doc")
+    return lines.select("doc", *(["_file"] if with_file else []))
 
 
 def scan_ndjson_quarantine(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
@@ -107,51 +120,93 @@ def scan_dump(spark: SparkSession, path, index: str | None = None) -> DataFrame:
     return as_envelope(scan_ndjson(spark, path), index)
 
 
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _struct_of(schema) -> T.StructType:
+    if isinstance(schema, dict):
+        return mapping_to_schema(schema)
+    return schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+
+
+def _key(v, name: str):
+    return F.try_variant_get(v, f"$[{json.dumps(name, ensure_ascii=False)}]", "variant")
+
+
+def _is_number(v):
+    return F.schema_of_variant(v).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
+
+
+def _fits(v, dtype: T.DataType):
+    """Whether the VARIANT ``v`` converts to ``dtype`` without a loss (missing and null do)."""
+    absent = v.isNull() | F.is_variant_null(v)
+    if isinstance(dtype, T.VariantType):
+        return F.lit(True)
+    if isinstance(dtype, T.StructType):
+        ok = F.schema_of_variant(v).startswith("OBJECT")
+        for f in dtype.fields:
+            ok = ok & _fits(_key(v, f.name), f.dataType)
+        return absent | ok
+    ok = F.try_variant_get(v, "$", dtype.simpleString()).isNotNull()
+    if isinstance(dtype, _WHOLE):
+        exact = F.try_variant_get(v, "$", "decimal(38,9)")
+        ok = ok & (F.schema_of_variant(v).startswith("BIGINT") | (exact == F.floor(exact)))
+    if isinstance(dtype, T.TimestampType):
+        ok = ok | F.when(_is_number(v), F.try_variant_get(v, "$", "bigint").isNotNull())
+    return absent | F.coalesce(ok, F.lit(False))
+
+
+def _converted(v, dtype: T.DataType):
+    """The VARIANT ``v`` as ``dtype``; what does not convert is null. A number in a date field counts milliseconds."""
+    if isinstance(dtype, T.StructType):
+        parts = [_converted(_key(v, f.name), f.dataType).alias(f.name) for f in dtype.fields]
+        return F.when(F.schema_of_variant(v).startswith("OBJECT"), F.struct(*parts))
+    if isinstance(dtype, T.TimestampType):
+        return (F.when(_is_number(v), F.timestamp_millis(F.try_variant_get(v, "$", "bigint")))
+                .otherwise(F.try_variant_get(v, "$", "timestamp")))
+    return F.try_variant_get(v, "$", dtype.simpleString())
+
+
 def scan_typed(spark: SparkSession, path, schema, envelope: bool | None = None) -> DataFrame:
     """A2/H2: NDJSON read against a schema (``StructType``, DDL or mapping dict).
 
-    ``variant_get`` to the struct raises on a field of the wrong type, on an
-    array line and on a blank line; a missing key or ``null`` gives null.
+    A field of the wrong type, a fraction in a whole-number field, an array
+    line and a blank line abort the job, whichever columns are read; a missing
+    key or ``null`` gives null. A number in a ``timestamp`` field is taken as
+    milliseconds since the epoch, a text as a date.
     ``envelope=None`` detects dump lines (``_source`` present) per line.
     """
-    if isinstance(schema, dict):
-        schema = mapping_to_schema(schema)
-    ddl = schema.simpleString() if isinstance(schema, T.StructType) else schema
-    lines = read_lines(spark, path)
-    v = _checked(F.parse_json("value"))
+    schema = _struct_of(schema)
+    lines = _objects(read_lines(spark, path), "__v")
+    v = F.col("__v")
     if envelope is False:
-        return lines.select(F.variant_get(v, "$", ddl).alias("__s")).select("__s.*")
-    src = F.try_variant_get(v, "$._source", "variant")
-    body = F.when(src.isNotNull(), src).otherwise(v) if envelope is None else src
-    out = lines.select(F.try_variant_get(v, "$._id", "string").alias("_id"),
-                       F.try_variant_get(v, "$._index", "string").alias("_index"),
-                       F.variant_get(body, "$", ddl).alias("_source"))
-    return out
+        body = v
+    else:
+        src = F.try_variant_get(v, "$._source", "variant")
+        body = F.when(src.isNotNull(), src).otherwise(v) if envelope is None else src
+    lines = lines.withColumn("__b", body)
+    b = F.col("__b")
+    checked = F.when(_fits(b, schema), _converted(b, schema)).otherwise(F.raise_error(F.lit(_NOT_TYPED)))
+    typed = _each(lines, checked, "_source")
+    if envelope is False:
+        return typed.select("_source.*")
+    return typed.select(F.try_variant_get(v, "$._id", "string").alias("_id"),
+                        F.try_variant_get(v, "$._index", "string").alias("_index"), "_source")
 
 
 def scan_typed_quarantine(spark: SparkSession, path, schema) -> tuple[DataFrame, DataFrame]:
-    """A2 quarantine: a line is bad if it is not an object, or if a field that is
-    present in it does not convert to the schema type (``try_variant_get`` gives
-    null for a non-null input)."""
-    if isinstance(schema, dict):
-        schema = mapping_to_schema(schema)
+    """A2 quarantine: ``(good docs, bad lines)``; a line is bad where :func:`scan_typed` would abort."""
+    schema = _struct_of(schema)
     lines = read_lines(spark, path).withColumn("__v", F.try_parse_json("value"))
     v = F.col("__v")
     src = F.try_variant_get(v, "$._source", "variant")
     body = F.when(src.isNotNull(), src).otherwise(v)
-    checks = [F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))]
-    for f in schema.fields:
-        raw = F.try_variant_get(body, f"$['{f.name}']", "variant")
-        typed = F.try_variant_get(body, f"$['{f.name}']", f.dataType.simpleString())
-        checks.append(raw.isNull() | F.is_variant_null(raw) | typed.isNotNull())
-    ok = checks[0]
-    for c in checks[1:]:
-        ok = ok & c
-    tagged = lines.withColumn("__ok", ok)
+    ok = F.schema_of_variant(v).startswith("OBJECT") & _fits(body, schema)
+    tagged = lines.withColumn("__ok", F.coalesce(ok, F.lit(False)))
     good = (tagged.filter("__ok")
             .select(F.try_variant_get(v, "$._id", "string").alias("_id"),
                     F.try_variant_get(v, "$._index", "string").alias("_index"),
-                    F.try_variant_get(body, "$", schema.simpleString()).alias("_source")))
+                    _converted(body, schema).alias("_source")))
     bad = tagged.filter(~F.col("__ok")).select("value", "_file")
     return good, bad
 
@@ -162,4 +217,4 @@ def scan_query_list(spark: SparkSession, path) -> DataFrame:
     A blank or malformed line, or a line that is not an object, aborts.
     """
     numbered = number_lines(read_lines(spark, path), "query_no")
-    return numbered.select("query_no", _checked(F.parse_json("value")).alias("query"))
+    return _objects(numbered, "query").select("query_no", "query")
