@@ -18,6 +18,7 @@ Truth rules
 * ``should`` filters only when the bool has no ``must`` or ``filter``, or where
   ``minimum_should_match`` asks for it; otherwise it would only change ranking,
   which is not part of the result.
+* An empty ``filter`` list and the short form ``{"wildcard": {field: text}}`` are refused.
 * ``exists`` takes null, an empty list and a list of nulls as missing.
 * Array fields match when any element matches (``term``, ``match``) or when one
   element satisfies all bounds (``range``).
@@ -144,6 +145,8 @@ def _bool(body, r, path) -> Column:
     unknown = set(body) - {"must", "filter", "must_not", "should", "minimum_should_match"}
     if unknown:
         raise QueryError(f"unsupported clause '{sorted(unknown)[0]}' at {path}")
+    if body.get("filter") == []:
+        raise QueryError(f"{path}.filter: needs a clause")
     must = [_clause(c, r, f"{path}.{role}[{i}]") for role in ("must", "filter")
             for i, c in enumerate(_as_list(body.get(role, []), path))]
     must_not = [_clause(c, r, f"{path}.must_not[{i}]")
@@ -314,6 +317,8 @@ def _text(name, body, r, path) -> Column:
         if set(spec) != {key}:
             raise QueryError(f"{path}.{field}: {name} takes '{key}' only")
         spec = spec[key]
+    elif name == "wildcard":
+        raise QueryError(f"{path}.{field}: wildcard takes an object with 'value'")
     if not isinstance(spec, str):
         raise QueryError(f"{path}.{field}: {name} takes a text")
 

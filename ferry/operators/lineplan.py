@@ -96,6 +96,8 @@ class _Planner:
         unknown = set(body) - {"must", "filter", "must_not", "should", "minimum_should_match"}
         if unknown:
             raise QueryError(f"unsupported clause '{sorted(unknown)[0]}' at {path}")
+        if body.get("filter") == []:
+            raise QueryError(f"{path}.filter: needs a clause")
         groups = {}
         for role in ("must", "filter", "must_not", "should"):
             groups[role] = [self.clause(c, f"{path}.{role}[{i}]")

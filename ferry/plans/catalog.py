@@ -181,7 +181,7 @@ def q_prefix(spark, sf_dir):
 
 @register("wildcard", "select o_orderkey from orders where o_orderpriority like '_-%I%'")
 def q_wildcard(spark, sf_dir):
-    return apply_query(table(spark, sf_dir, "orders"), {"wildcard": {"o_orderpriority": "?-*I*"}}).select("o_orderkey")
+    return apply_query(table(spark, sf_dir, "orders"), {"wildcard": {"o_orderpriority": {"value": "?-*I*"}}}).select("o_orderkey")
 
 
 @register("match_phrase", r"""

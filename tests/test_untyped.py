@@ -136,9 +136,9 @@ CASES = [
     ({"ids": {"values": []}}, set()),
     ({"prefix": {"s": "quick"}}, {"1"}),
     ({"prefix": {"t": {"value": "red"}}}, {"3"}),
-    ({"wildcard": {"s": "100%_*"}}, {"2"}),
-    ({"wildcard": {"s": "*sure\\*"}}, {"2"}),
-    ({"wildcard": {"s": "?uick*"}}, {"1"}),
+    ({"wildcard": {"s": {"value": "100%_*"}}}, {"2"}),
+    ({"wildcard": {"s": {"value": "*sure\\*"}}}, {"2"}),
+    ({"wildcard": {"s": {"value": "?uick*"}}}, {"1"}),
     ({"match_phrase": {"s": "RED fox"}}, {"0", "1"}),
     ({"match_phrase": {"s": "fox quick"}}, {"0"}),
     ({"match_phrase": {"s": "--"}}, set()),
