@@ -716,6 +716,15 @@ def q_field_profile(spark, sf_dir):
     return field_profile(flatten_paths(docs, "event_id", "doc"))
 
 
+@register("field_profile_documents", " union all ".join(f"""
+select '{c}' as path, case when {c} is null then 'VOID' else '{t}' end as type, count(*) as docs
+from documents group by all""" for c, t in (("doc_id", "BIGINT"), ("text", "STRING"), ("lang", "STRING"),
+                                            ("source", "STRING"), ("n_chars", "BIGINT"))))
+def q_field_profile_documents(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    return field_profile(flatten_paths(docs, "doc_id", F.to_variant_object(F.struct(*docs.columns))))
+
+
 @register("shape_profile", "select 'OBJECT<k: BIGINT>' as shape, count(*) as docs from events")
 def q_shape_profile(spark, sf_dir):
     return shape_profile(props_docs(spark, sf_dir))
