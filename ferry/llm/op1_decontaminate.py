@@ -1,19 +1,18 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment.
 
 Method. Test items and documents are sequences of words (runs of ASCII letters, digits and
-non-ASCII bytes, A-Z lower-cased). In every stretch of ``stretch`` n-grams of an item, the rarest that
-some document holds is a seed, and so are those at most RARE times as frequent (document
-frequencies are counted over all documents). So each part of an item has seeds however common its text has become. A
-document's passages that hold seeds are aligned with the item by Smith-Waterman over
-words (match +2, mismatch -1, gap -1). Seed hits are grouped by diagonal; the passage
-reaches over the whole item at these diagonals plus a slack on both sides. Before the
-alignment, an exact bound (twice the item's words that occur in the passage at all)
-drops passages that cannot reach ``min_similarity``. The score over its maximum is the
-similarity: an exact copy has 1, and a copy with a fifth of its words changed about 0.7.
+non-ASCII bytes, A-Z lower-cased). Every n-gram of an item is a seed, rare or not: which pairs are found does not
+depend on what other documents hold. A document's passages that hold seeds are aligned with the item by
+Smith-Waterman over words (match +2, mismatch -1, gap -1). A seed hit lies on a diagonal; its passage
+reaches over the whole item at this diagonal plus a slack on both sides, and passages that overlap are one. Before the
+alignment, two exact bounds drop passages that cannot reach ``min_similarity``: the best run of the passage's
+words (+2 a word that the item has, -1 another), and twice the item's words that occur in the passage at all. The score
+over its maximum is the similarity: an exact copy has 1, and a copy with a fifth of its words changed about 0.7.
+An alignment without a single common n-gram has no seed and is not looked for.
 
 The items are the query side. They are read in blocks of at most ``block_bytes`` of text;
-a block and its n-gram table are broadcast, and every block meets all documents in two
-passes over the texts (count, align) without a shuffle of texts. Frequencies are pre-aggregated in the tasks.
+a block and its n-gram table are broadcast, and every block meets all documents in one
+pass over the texts without a shuffle of texts.
 
 Items shorter than ``gram`` words have one seed, the whole item, and need an exact
 copy. Null or empty items and texts match nothing. Repeated rows are treated alike; of
@@ -33,7 +32,7 @@ from ferry.llm import textkit as K
 from ferry.llm.frames import narrowed, stored
 
 U = np.uint64
-RARE = 4
+EXPANDED = 1 << 20
 PLAIN = np.full(256, 0x20, dtype=np.uint8)
 for _a, _b, _to in ((48, 58, 48), (97, 123, 97), (65, 91, 97), (128, 256, 128)):
     PLAIN[_a:_b] = np.arange(_to, _to + _b - _a)
@@ -82,8 +81,16 @@ class Items:
             self.ids.append(item_id)
             self.words.append(words)
         self.grams = np.array(sorted(table), dtype=U)
-        self.places = table
+        places = [table[g] for g in self.grams.tolist()]
+        # the places of gram i: entries first[i] to first[i + 1] of owner (item) and offset (word of the item)
+        self.first = np.cumsum([0, *map(len, places)])
+        self.owner, self.offset = np.array([x for at in places for x in at], dtype=np.int64).reshape(-1, 2).T
+        self.lengths = np.array([len(w) for w in self.words], dtype=np.int64)
         self.sizes = sorted({min(gram, len(w)) for w in self.words})
+        # (item, word) pairs as sorted numbers
+        flat = np.concatenate([np.zeros(0, dtype=U), *self.words])
+        self.vocabulary = np.unique(flat)
+        self.holds = np.unique(np.repeat(np.arange(len(self.ids)), self.lengths) * len(self.vocabulary) + np.searchsorted(self.vocabulary, flat))
 
 
 def gram_hits(words: K.Words, sizes: list[int], grams: np.ndarray, cache: dict):
@@ -108,35 +115,82 @@ def _chunks(batch, cache):
         yield lo, hi, K.Words(PLAIN[buf], offsets, cache)
 
 
-def _align(items: Items, seeds: dict[int, list[tuple[int, int]]], grams: np.ndarray, min_similarity: float):
+def _slices(sizes: np.ndarray):
+    """Consecutive ranges of entries of about EXPANDED in all (a larger entry is alone)."""
+    total, a = np.cumsum(sizes), 0
+    while a < len(sizes):
+        b = max(a + 1, int(np.searchsorted(total, (total[a - 1] if a else 0) + EXPANDED, "right")))
+        yield a, b
+        a = b
+
+
+def _expanded(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """first, first + 1, .. of each entry, one after the other."""
+    return np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
+def _passages(items: Items, words: K.Words, place: np.ndarray, gram: np.ndarray, reach: np.ndarray):
+    """(row, item, first, end) of the passages around the seed hits, sorted, those of a pair disjoint."""
+    span = len(words.hash) + 2
+    at = np.searchsorted(items.grams, gram)
+    many = items.first[at + 1] - items.first[at]
+    lo = hi = np.zeros(0, dtype=np.int64)
+    for a, b in _slices(many):
+        k = _expanded(items.first[at[a:b]], many[a:b])
+        item, p = items.owner[k], np.repeat(place[a:b], many[a:b])
+        row, start = words.doc[p], p - items.offset[k]
+        shift = (row * len(items.ids) + item) * span
+        lo, hi = K.join_intervals(
+            np.append(lo, shift + np.maximum(words.first[row], start - reach[item])),
+            np.append(hi, shift + np.minimum(words.first[row + 1], start + items.lengths[item] + reach[item])))
+    pair = lo // span
+    return pair // max(1, len(items.ids)), pair % max(1, len(items.ids)), lo % span, hi - pair * span
+
+
+def _best_runs(items: Items, words: K.Words, item: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Upper bound of each passage's score: its best run of words, +2 a word that the item has, -1 another."""
+    out, sizes = np.zeros(len(item), dtype=np.int64), end - first
+    rank = np.minimum(np.searchsorted(items.vocabulary, words.hash), len(items.vocabulary) - 1)
+    known = items.vocabulary[rank] == words.hash
+    for a, b in _slices(sizes):
+        n = sizes[a:b]
+        k = _expanded(first[a:b], n)
+        key = np.repeat(item[a:b], n) * len(items.vocabulary) + rank[k]
+        there = known[k] & (items.holds[np.minimum(np.searchsorted(items.holds, key), len(items.holds) - 1)] == key)
+        gain = np.where(there, 2, -1)
+        total = np.cumsum(gain)
+        # the running minimum starts anew in each passage
+        low = np.repeat(np.arange(len(n)), n) * (4 * len(k) + 4)
+        run = total - (np.minimum.accumulate(total - gain - low) + low)
+        out[a:b] = np.maximum.reduceat(run, np.cumsum(n) - n)
+    return out
+
+
+def _align(items: Items, min_similarity: float):
+    need = min_similarity * 2 * items.lengths
+    reach = items.lengths // 4 + 5
+
     def run(batches):
         cache: dict = {}
         for batch in batches:
             ids = batch.column("doc_id")
             out = []
             for lo, hi, words in _chunks(batch, cache):
-                place, gram = gram_hits(words, items.sizes, grams, cache)
-                hits = defaultdict(list)
-                for p, g in zip(place.tolist(), gram.tolist()):
-                    for item, q in seeds[g]:
-                        hits[int(words.doc[p]), item].append(p - q)
-                for (row, item), diagonals in hits.items():
-                    mine = items.words[item]
-                    slack = len(mine) // 4 + 5
-                    diagonals.sort()
-                    cuts = [0, *[i for i in range(1, len(diagonals)) if diagonals[i] - diagonals[i - 1] > slack], len(diagonals)]
-                    best = (0, 0, 0)
-                    for a, b in zip(cuts, cuts[1:]):
-                        first = max(int(words.first[row]), diagonals[a] - slack)
-                        end = min(int(words.first[row + 1]), diagonals[b - 1] + len(mine) + slack)
-                        passage = words.hash[first:end]
-                        if 2 * int(np.isin(mine, passage).sum()) < min_similarity * 2 * len(mine):
-                            continue
-                        s, x, y = smith_waterman(mine, passage)
-                        if s > best[0]:
-                            best = (s, first + x - int(words.first[row]), first + y - int(words.first[row]))
-                    if best[0] >= min_similarity * 2 * len(mine):
-                        out.append((ids[lo + row].as_py(), items.ids[item], best[0], best[0] / (2 * len(mine)), best[1], best[2]))
+                place, gram = gram_hits(words, items.sizes, items.grams, cache)
+                if not len(place):
+                    continue
+                row, item, first, end = _passages(items, words, place, gram, reach)
+                may = _best_runs(items, words, item, first, end) >= need[item]
+                best: dict = {}
+                for r, i, a, b in zip(*(x[may].tolist() for x in (row, item, first, end))):
+                    mine, passage = items.words[i], words.hash[a:b]
+                    if 2 * int(np.isin(mine, passage).sum()) < need[i]:
+                        continue
+                    s, x, y = smith_waterman(mine, passage)
+                    if s >= need[i] and s > best.get((r, i), (0,))[0]:
+                        best[r, i] = (s, a + x - int(words.first[r]), a + y - int(words.first[r]))
+                for (r, i), (s, x, y) in best.items():
+                    out.append((ids[lo + r].as_py(), items.ids[i], s, s / (2 * len(items.words[i])), x, y))
             if out:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()))],
@@ -145,7 +199,7 @@ def _align(items: Items, seeds: dict[int, list[tuple[int, int]]], grams: np.ndar
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
-                 item_col: str = "item_id", item_text_col: str = "text", gram: int = 3, stretch: int = 5,
+                 item_col: str = "item_id", item_text_col: str = "text", gram: int = 3,
                  min_similarity: float = 0.5, block_bytes: int = 32 << 20) -> DataFrame:
     """doc_id, item_id, score, similarity, lo, hi (words of the passage): the best alignment of each pair that reaches min_similarity."""
     plain = narrowed(docs, doc_id=doc_col, text=text_col).where("doc_id is not null")
@@ -157,39 +211,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, doc_col: str = "doc_id",
     for block in range(n_blocks):
         mine = queries.where(F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)) == block)
         items = Items([(r.item_id, r.text) for r in mine.toLocalIterator()], gram)
-        table = context.broadcast((items.grams, items.sizes))
-
-        def count(batches, table=table):
-            cache: dict = {}
-            grams, sizes = table.value
-            for batch in batches:
-                total = np.zeros(len(grams), dtype=np.int64)
-                for _, _, words in _chunks(batch, cache):
-                    place, gram = gram_hits(words, sizes, grams, cache)
-                    at = np.searchsorted(grams, gram)
-                    pair = np.unique(words.doc[place] * max(1, len(grams)) + at)
-                    total += np.bincount(pair % max(1, len(grams)), minlength=len(grams))
-                some = np.flatnonzero(total)
-                yield pa.RecordBatch.from_arrays([K.long_array(grams[some]), K.long_array(total[some])], names=["gram", "n"])
-
-        counted = plain.mapInArrow(K.frugal(count), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-        frequency = {r.gram % (1 << 64): r.n for r in counted.toLocalIterator()}  # at most the block's n-grams
-        seeds = defaultdict(list)
-        by_item = defaultdict(dict)
-        for g, places in items.places.items():
-            for item, p in places:
-                by_item[item][p] = g
-        for item, grams_at in by_item.items():
-            n = len(grams_at)
-            for lo in range(0, n, stretch):
-                held_at = [(frequency[grams_at[q]], q) for q in range(lo, min(n, lo + stretch)) if grams_at[q] in frequency]
-                for often, p in held_at:
-                    if often <= RARE * min(held_at)[0]:
-                        seeds[grams_at[p]].append((item, p))
-        held = context.broadcast((items, dict(seeds), np.array(sorted(seeds), dtype=U)))
+        held = context.broadcast(items)
 
         def align(batches, held=held):
-            yield from _align(*held.value, min_similarity)(batches)
+            yield from _align(held.value, min_similarity)(batches)
 
         parts.append(plain.mapInArrow(K.frugal(align), "doc_id long, item_id long, score long, similarity double, lo long, hi long"))
     found = parts[0]
