@@ -4,7 +4,9 @@ Method. Test items and documents are sequences of words (runs of ASCII letters,
 non-ASCII bytes, A-Z lower-cased). Every n-gram of an item is a seed, rare or not: which pairs are found does not
 depend on what other documents hold. A document's passages that hold seeds are aligned with the item by
 Smith-Waterman over words (match +2, mismatch -1, gap -1). A seed hit lies on a diagonal; its passage
-reaches over the whole item at this diagonal plus a slack on both sides, and passages that overlap are one. Before the
+reaches over the whole item at this diagonal and by all words that gaps may add to an alignment of ``min_similarity``
+(2 * (1 - min_similarity) times the item's) on both sides; passages that overlap are one. So each
+alignment that holds a seed and reaches ``min_similarity`` lies in one passage. Before the
 alignment, two exact bounds drop passages that cannot reach ``min_similarity``: the best run of the passage's
 words (+2 a word that the item has, -1 another), and twice the item's words that occur in the passage at all. The score
 over its maximum is the similarity: an exact copy has 1, and a copy with a fifth of its words changed about 0.7.
@@ -168,7 +170,8 @@ def _best_runs(items: Items, words: K.Words, item: np.ndarray, first: np.ndarray
 
 def _align(items: Items, min_similarity: float):
     need = min_similarity * 2 * items.lengths
-    reach = items.lengths // 4 + 5
+    # a gap costs one a word and the score is at most 2 a word of the item: a longer gap cannot pay off
+    reach = np.floor(2 * items.lengths - need + 1e-6).astype(np.int64)
 
     def run(batches):
         cache: dict = {}
