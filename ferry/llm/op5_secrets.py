@@ -4,7 +4,7 @@ Base patterns find assignments, access keys and hex strings (spans in code point
 leftmost and non-overlapping per kind; short values are dropped after matching, so a
 short match still consumes its text). The method adds values that stand in a
 credential context (a keyword, then ``:``, ``=`` or ``is``, or a user:password@ URL
-part) when guessing them is expensive: the cheapest segmentation of the value into
+part; user and password of any length) when guessing them is expensive: the cheapest segmentation of the value into
 dictionary words, dates, repeats, keyboard walks, sequences and brute-force spans is
 found by dynamic programming over log10 guesses, and a value of at least
 ``min_guesses`` decimal digits of cost is a secret of kind ``guess``. Placeholder-like values
@@ -17,6 +17,9 @@ character. Values longer than ``dp_chars`` characters are segmented in consecuti
 blocks of that size and the costs added (a block seen before costs one bit): every
 character counts.
 
+After a bare ``is`` (no ``:`` or ``=``) a value of lower-case letters only, or Capitalised, counts as a word of
+prose whatever its cost ("the token is obtained"); everywhere else the cost alone decides.
+
 Null or empty text: no spans. Nothing is cut; a text is scanned whole.
 """
 
@@ -39,7 +42,7 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 CONTEXT = re.compile(
     r"""(?:pass(?:word|wd|phrase|code)?|pwd|secret|token|credentials?|api[_ -]?key|auth(?:orization)?|login|pin)"""
     r"""["']?(?:\x20+is\x20*:?|\x20*(?:[:=]|=>|:=))\x20*(?:bearer\x20+)?["'`]?([!-~]{6,})""", re.I | re.A)
-URL = re.compile(r"""[a-z][a-z0-9+.-]{1,15}://[^\s:/@]{1,64}:([^\s/@]{6,256})@""", re.I | re.A)
+URL = re.compile(r"""[a-z][a-z0-9+.-]{1,15}://[^\s:/@]*+:([^\s/@]{6,}+)@""", re.I | re.A)
 #: Common words of passwords and placeholders, most common first (a small own list; pass words= for another).
 WORDS = """password secret token admin welcome login master dragon monkey letmein sunshine princess shadow football
 baseball superman batman trustno hello freedom whatever computer internet service server system root user test guest
@@ -147,9 +150,10 @@ def guess_spans(text: str, cost: GuessCost, min_guesses: float) -> list[tuple[in
         for pattern in (CONTEXT, URL) if "://" in text else (CONTEXT,):
             for m in pattern.finditer(text):
                 value = m.group(1).rstrip("\"'`.,;:!?)]}>")
-                # a plain word of prose ("the token is obtained") is no value
-                if len(value) >= 6 and not (value.isalpha() and (value.islower() or value.istitle())) \
-                        and cost(value) >= min_guesses:
+                # a plain word after a bare "is" ("the token is obtained") is prose and no value
+                lead = text[m.start(): m.start(1)]
+                prose = ":" not in lead and "=" not in lead and value.isalpha() and (value.islower() or value.istitle())
+                if len(value) >= 6 and not prose and cost(value) >= min_guesses:
                     out.append((m.start(1), 3, m.start(1) + len(value)))
     return sorted(set(out))
 

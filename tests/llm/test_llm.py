@@ -329,6 +329,21 @@ def test_secret_spans(spark, none):
     assert clean[2].text == "<SECRET> x" and clean[1].text is None and clean[10].text == texts[10] and "h8F" not in clean[11].text
 
 
+def test_guess_cost_decides_on_plain_words_and_urls_of_any_length(spark):
+    r = random.Random(17)
+    token = "".join(r.choice("abcdefgh0123456789KLMNOP") for _ in range(280))
+    cases = [("pwd=kfjqzmxwplvtbnrd", ["kfjqzmxwplvtbnrd"]), ("password: xkqjzvwpnm, ok", ["xkqjzvwpnm"]), ("my pwd is: Xkqjzvwpnm", ["Xkqjzvwpnm"]),
+             (f"https://u:{token}@host", [token]), ("redis://:h8Fkq2Zp9x@host", ["h8Fkq2Zp9x"]), ("ftp://joe:kfjqzmxwplvt@host", ["kfjqzmxwplvt"]),
+             (f"x://{token}:h8Fkq2Zp9x@host xy://{token}:h8Fkq2Zp9x@host", ["h8Fkq2Zp9x"]),
+             ("the token is straightforwardly obtained", []), ("password: sunshine", []), ("https://joe:Password@host", []),
+             ("ab://" + "c:" * 20000 + "ab://u:" + "d" * 20000, [])]
+    frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    for x in op5.scan_secrets(frame).collect():
+        assert [x.text[s.start: s.end] for s in x.secret_spans if s.kind == "guess"] == cases[x.doc_id][1], x.text[:80]
+    clean = {x.doc_id: x.text for x in op5.redact_secrets(frame).collect()}
+    assert clean[0] == "pwd=<SECRET>" and clean[3] == "https://u:<SECRET>@host" and clean[4] == "redis://:<SECRET>@host"
+
+
 def test_guess_cost_is_the_cheapest_segmentation():
     import math
 
