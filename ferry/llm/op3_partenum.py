@@ -142,10 +142,16 @@ def _emit_sets(gram: int):
 def _emit_signatures(gram: int, percent: int):
     def run(batches):
         cache: dict = {}
+        seen: set[int] = set()  # a set sends its signatures once a task, however many rows hold it
         for batch in batches:
             for _, _, buf, offsets in K.text_chunks(batch.column("text")):
                 row, element, size, sid = shingle_sets(buf, offsets, gram, cache)
                 rows, sig = signatures(row, element, size, percent)
+                fresh = np.zeros(len(sid), dtype=bool)
+                different, at = np.unique(sid, return_index=True)
+                fresh[[i for s, i in zip(different.tolist(), at.tolist()) if s not in seen]] = True
+                seen.update(different.tolist())
+                rows, sig = rows[fresh[rows]], sig[fresh[rows]]
                 yield pa.RecordBatch.from_arrays([K.long_array(sig), K.long_array(sid[rows])], names=["sig", "sid"])
     return run
 

@@ -344,6 +344,21 @@ def test_guess_cost_decides_on_plain_words_and_urls_of_any_length(spark):
     assert clean[0] == "pwd=<SECRET>" and clean[3] == "https://u:<SECRET>@host" and clean[4] == "redis://:<SECRET>@host"
 
 
+def test_equal_sets_send_their_signatures_once_a_task():
+    import pyarrow as pa
+
+    r = random.Random(27)
+    texts = [" ".join(r.choice("abcdefgh") * 3 for _ in range(60)) for _ in range(4)]
+
+    def pairs(rows):
+        batches = [pa.RecordBatch.from_arrays([pa.array(rows[i: i + 50])], names=["text"]) for i in range(0, len(rows), 50)]
+        out = pa.Table.from_batches(list(op3._emit_signatures(4, 85)(batches)))
+        return Counter(zip(out.column("sig").to_pylist(), out.column("sid").to_pylist()))
+
+    once, often = pairs(texts), pairs(texts[:2] * 100 + [None, ""] + texts + texts[:1] * 30)
+    assert once and often == once
+
+
 def test_guess_cost_is_the_cheapest_segmentation():
     import math
 
