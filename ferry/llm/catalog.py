@@ -12,6 +12,9 @@ from ferry.llm.op7_chains import op7_chains
 from ferry.llm.op8_recompression import op8_recompression
 from ferry.llm.op9_outliers import op9_outliers
 from ferry.llm.op10_buckets import op10_buckets
+from ferry.llm.op11_repair import op11_repair
+from ferry.llm.op12_phrases import OP12_SQL, op12_phrases
+from ferry.llm.op13_mixing import OP13_SQL, op13_mixing
 
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
@@ -24,8 +27,13 @@ QUERIES = {
     "op8_recompression": op8_recompression,
     "op9_outliers": op9_outliers,
     "op10_buckets": op10_buckets,
+    "op11_repair": op11_repair,
+    "op12_phrases": op12_phrases,
+    "op13_mixing": op13_mixing,
 }
 
 ORACLE: dict[str, str] = {
     "op4_chat": OP4_SQL,
+    "op12_phrases": OP12_SQL,
+    "op13_mixing": OP13_SQL,
 }
