@@ -28,54 +28,20 @@ Truth rules
 
 from __future__ import annotations
 
-import datetime as _dt
-import decimal
 import json
-import math
 from collections.abc import Callable
 from functools import reduce
 
-import regex as _regex
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-class QueryError(ValueError):
-    """A query that is not a valid object of the supported clauses."""
-
-
-# Token rule of the ``match`` clause (lower-cased text split on
-# every run of characters that are not letters, digits or underscore).
-TOKEN_SPLIT = r"[^\p{L}\p{N}_]+"
-_PY_TOKEN_SPLIT = _regex.compile(TOKEN_SPLIT)
-
-RANGE_OPS = ("gte", "gt", "lte", "lt")
-_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-_FRACTIONAL = (T.FloatType, T.DoubleType)
-_TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
+from . import clauses as C
+from .clauses import RANGE_OPS, TOKEN_SPLIT, QueryError, match_tokens, parse_query, variant_type_for  # noqa: F401
 
 Leaf = Callable[[Column, T.DataType], Column]
 
 
-def parse_query(query) -> dict | None:
-    """Accept a dict, a JSON string or None; return a dict or None (= all)."""
-    if query is None:
-        return None
-    if isinstance(query, (str, bytes)):
-        text = query.decode() if isinstance(query, bytes) else query
-        if not text.strip():
-            return None
-        try:
-            query = json.loads(text)
-        except json.JSONDecodeError as e:
-            raise QueryError(f"query is not valid JSON: {e}") from e
-    if not isinstance(query, dict):
-        raise QueryError("query must be a JSON object")
-    return query
-
-
 def compile_query(query, schema: T.StructType, root: str | None = None) -> Column | None:
     """Compile ``query`` against ``schema``. ``None`` means match everything.
 
@@ -86,8 +52,7 @@ def compile_query(query, schema: T.StructType, root: str | None = None) -> Colum
     q = parse_query(query)
     if not q:
         return None
-    resolver = _Resolver(schema, root)
-    return _clause(q, resolver, "query")
+    return compile_tree(C.clause(q), _Resolver(schema, root))
 
 
 def apply_query(df: DataFrame, query, root: str | None = None) -> DataFrame:
@@ -100,277 +65,97 @@ def apply_query(df: DataFrame, query, root: str | None = None) -> DataFrame:
 # clauses
 
 
-def _clause(q, r: "_Resolver", path: str) -> Column:
-    if not isinstance(q, dict):
-        raise QueryError(f"{path}: clause must be an object")
-    if len(q) == 0:
-        return F.lit(True)
-    if len(q) != 1:
-        raise QueryError(f"{path}: a clause object holds exactly one clause, got {sorted(q)}")
-    (name, body), = q.items()
-    if name == "bool":
-        return _bool(body, r, f"{path}.bool")
-    if name == "term":
-        return _term(body, r, f"{path}.term")
-    if name == "range":
-        return _range(body, r, f"{path}.range")
-    if name == "match":
-        return _match(body, r, f"{path}.match")
-    if name in _TEXT_CLAUSES:
-        return _text(name, body, r, f"{path}.{name}")
-    if name == "terms":
-        return _terms(body, r, f"{path}.terms")
-    if name == "exists":
-        return _exists(body, r, f"{path}.exists")
-    if name == "ids":
-        return _ids(body, r, f"{path}.ids")
-    if name == "match_all":
-        if body not in ({}, None):
-            raise QueryError(f"{path}.match_all: takes no arguments")
-        return F.lit(True)
-    raise QueryError(f"unsupported clause '{name}' at {path}")
-
-
-def _as_list(body, path: str) -> list:
-    if isinstance(body, dict):
-        return [body]
-    if isinstance(body, list):
-        return body
-    raise QueryError(f"{path}: expected an object or a list of objects")
-
-
-def _bool(body, r, path) -> Column:
-    if not isinstance(body, dict):
-        raise QueryError(f"{path}: must be an object")
-    unknown = set(body) - {"must", "filter", "must_not", "should", "minimum_should_match"}
-    if unknown:
-        raise QueryError(f"unsupported clause '{sorted(unknown)[0]}' at {path}")
-    if body.get("filter") == []:
-        raise QueryError(f"{path}.filter: needs a clause")
-    must = [_clause(c, r, f"{path}.{role}[{i}]") for role in ("must", "filter")
-            for i, c in enumerate(_as_list(body.get(role, []), path))]
-    must_not = [_clause(c, r, f"{path}.must_not[{i}]")
-                for i, c in enumerate(_as_list(body.get("must_not", []), path))]
-    should = [_clause(c, r, f"{path}.should[{i}]")
-              for i, c in enumerate(_as_list(body.get("should", []), path))]
-    parts: list[Column] = list(must)
-    wanted = _wanted(body.get("minimum_should_match"), len(should), bool(must), path)
-    if should and wanted == 1:
-        parts.append(_or(should))
-    elif should and wanted > 1:
-        parts.append(reduce(lambda a, b: a + b, [F.coalesce(c, F.lit(False)).cast("int") for c in should])
-                     >= wanted)
-    for c in must_not:
-        parts.append(~F.coalesce(c, F.lit(False)))
-    if not parts:
-        return F.lit(True)
-    return _and(parts)
-
-
-def _wanted(spec, n: int, required: bool, path: str) -> int:
-    """How many of ``n`` should clauses must hold: a count, a negative count (so many may fail) or a percentage."""
-    if spec is None:
-        return 0 if required else 1
-    text = str(spec).strip()
-    try:
-        if isinstance(spec, (bool, float)):
-            raise ValueError
-        if text.endswith("%"):
-            share = int(text[:-1])
-            count = n * abs(share) // 100
-            return count if share >= 0 else n - count
-        count = int(text)
-    except ValueError as e:
-        raise QueryError(f"{path}.minimum_should_match: not a count or percentage: {spec!r}") from e
-    return count if count >= 0 else n + count
-
-
-def _and(cols: list[Column]) -> Column:
-    out = cols[0]
-    for c in cols[1:]:
-        out = out & c
-    return out
-
-
-def _or(cols: list[Column]) -> Column:
-    out = cols[0]
-    for c in cols[1:]:
-        out = out | c
-    return out
-
-
-def _single_field(body, path) -> tuple[str, object]:
-    if not isinstance(body, dict) or len(body) != 1:
-        raise QueryError(f"{path}: expected an object with exactly one field")
-    (field, spec), = body.items()
-    if not isinstance(field, str) or not field:
-        raise QueryError(f"{path}: field name must be a non-empty string")
-    return field, spec
-
-
-def _term(body, r, path) -> Column:
-    field, spec = _single_field(body, path)
-    if isinstance(spec, dict):
-        unknown = set(spec) - {"value"}
-        if unknown or "value" not in spec:
-            raise QueryError(f"{path}.{field}: term takes 'value' only")
-        value = spec["value"]
-    else:
-        value = spec
-    if value is None or isinstance(value, (dict, list)):
-        raise QueryError(f"{path}.{field}: term value must be a scalar")
-    def leaf(c: Column, t: T.DataType) -> Column:
-        if _fraction_for_integer(value, t):
-            return F.when(c.isNotNull(), F.lit(False))
-        return c == literal_for(value, t, f"{path}.{field}")
-
-    return r.on_field(field, leaf,
-                      probe=value, eq_value=value, path=f"{path}.{field}")
+def compile_tree(node: dict, r: "_Resolver") -> Column:
+    """The predicate of a clause tree (see :mod:`.clauses`)."""
+    return _COMPILERS[node["k"]](node, r)
 
 
-def _fraction_for_integer(value, t: T.DataType) -> bool:
-    """A number with a fraction equals no integer; as a bound it stands for the neighbouring one."""
-    return (isinstance(t, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)) and isinstance(value, float)
-            and math.isfinite(value) and not value.is_integer())
+def _bool(node, r) -> Column:
+    parts = [compile_tree(c, r) for c in node["must"]]
+    should, wanted = [compile_tree(c, r) for c in node["should"]], node["wanted"]
+    nots = [compile_tree(c, r) for c in node["not"]]
+    if wanted == 1:
+        parts.append(reduce(lambda a, b: a | b, should))
+    elif wanted > 1:
+        parts.append(reduce(lambda a, b: a + b, [F.coalesce(c, F.lit(False)).cast("int") for c in should]) >= wanted)
+    parts += [~F.coalesce(c, F.lit(False)) for c in nots]
+    return reduce(lambda a, b: a & b, parts) if parts else F.lit(True)
 
 
-def _range(body, r, path) -> Column:
-    field, spec = _single_field(body, path)
-    if not isinstance(spec, dict) or not spec:
-        raise QueryError(f"{path}.{field}: range needs at least one of {RANGE_OPS}")
-    unknown = set(spec) - set(RANGE_OPS)
-    if unknown:
-        raise QueryError(f"{path}.{field}: unsupported range key(s) {sorted(unknown)}")
-    bounds = {k: v for k, v in spec.items() if v is not None}
-    if not bounds:
-        raise QueryError(f"{path}.{field}: range needs a non-null bound")
-    probe = next(iter(bounds.values()))
+def _term(node, r) -> Column:
+    value, path = node["v"], node["path"]
 
     def leaf(c: Column, t: T.DataType) -> Column:
-        conds = []
-        for op, v in bounds.items():
-            if _fraction_for_integer(v, t):
-                v = math.ceil(v) if op in ("gte", "lt") else math.floor(v)
-            lit = literal_for(v, t, f"{path}.{field}.{op}")
-            conds.append({"gte": c >= lit, "gt": c > lit, "lte": c <= lit, "lt": c < lit}[op])
-        return _and(conds)
-
-    return r.on_field(field, leaf, probe=probe, path=f"{path}.{field}")
-
+        if C.fraction_for_integer(value, t.simpleString()):
+            return F.when(c.isNotNull(), F.lit(False))
+        return c == literal_for(value, t, path)
 
-_TOKEN_CHARS = r"\p{L}\p{N}_"
+    return r.on_field(node["f"], leaf, probe=value, eq_value=value, path=path)
 
 
-def _token_pattern(tokens: list[str]) -> str:
-    """Whole-token alternation; tokens hold only token characters (no escaping needed)."""
-    return f"(?<![{_TOKEN_CHARS}])(?:{'|'.join(tokens)})(?![{_TOKEN_CHARS}])"
+def _range(node, r) -> Column:
+    bounds, path = node["b"], node["path"]
 
+    def leaf(c: Column, t: T.DataType) -> Column:
+        conds = []
+        for op, v in bounds.items():
+            lit = literal_for(C.bound_for(v, t.simpleString(), op), t, f"{path}.{op}")
+            conds.append({"gte": c >= lit, "gt": c > lit, "lte": c <= lit, "lt": c < lit}[op])
+        return reduce(lambda a, b: a & b, conds)
 
-def match_tokens(text) -> list[str]:
-    """Query-side tokens of ``match``: same rule as the column side."""
-    s = str(text).lower()
-    return sorted({t for t in _PY_TOKEN_SPLIT.split(s) if t})
+    return r.on_field(node["f"], leaf, probe=next(iter(bounds.values())), path=path)
 
 
-def _terms(body, r, path) -> Column:
-    field, values = _single_field(body, path)
-    if not isinstance(values, list) or any(v is None or isinstance(v, (dict, list)) for v in values):
-        raise QueryError(f"{path}.{field}: terms takes a list of scalars")
+def _terms(node, r) -> Column:
+    path = node["path"]
     groups: dict[str, list] = {}
-    for v in values:  # untyped fields are read by the type of what they are compared with
+    for v in node["vs"]:  # untyped fields are read by the type of what they are compared with
         groups.setdefault(variant_type_for(v), []).append(v)
 
     def leaf_of(group):
         def leaf(c: Column, t: T.DataType) -> Column:
-            lits = [literal_for(v, t, f"{path}.{field}") for v in group if not _fraction_for_integer(v, t)]
+            lits = [literal_for(v, t, path) for v in group if not C.fraction_for_integer(v, t.simpleString())]
             return c.isin(*lits) if lits else F.when(c.isNotNull(), F.lit(False))
         return leaf
 
     if not groups:
         return F.lit(False)
-    return _or([r.on_field(field, leaf_of(g), probe=g[0], path=f"{path}.{field}") for g in groups.values()])
+    return reduce(lambda a, b: a | b, [r.on_field(node["f"], leaf_of(g), probe=g[0], path=path) for g in groups.values()])
 
 
-def _exists(body, r, path) -> Column:
-    if not isinstance(body, dict) or set(body) != {"field"} or not isinstance(body["field"], str):
-        raise QueryError(f"{path}: takes 'field' only")
-    return r.on_field(body["field"], lambda c, t: c.isNotNull(), probe=_PRESENT, path=path)
+def _exists(node, r) -> Column:
+    return r.on_field(node["f"], lambda c, t: c.isNotNull(), probe=_PRESENT, path=node["path"])
 
 
-def _ids(body, r, path) -> Column:
-    values = body.get("values") if isinstance(body, dict) and set(body) == {"values"} else None
-    if not isinstance(values, list) or any(v is None or isinstance(v, (bool, dict, list)) for v in values):
-        raise QueryError(f"{path}: takes a list of ids as 'values'")
+def _ids(node, r) -> Column:
     if "_id" not in r.schema.fieldNames():
         return _missing()
-    return F.col("_id").isin(*[str(v) for v in values]) if values else F.lit(False)
-
+    return F.col("_id").cast("string").isin(*node["vs"]) if node["vs"] else F.lit(False)
 
-_TEXT_CLAUSES = ("prefix", "wildcard", "match_phrase")
 
-
-def _text(name, body, r, path) -> Column:
+def _text(node, r) -> Column:
     """``prefix`` and ``wildcard`` on the whole value, ``match_phrase`` on consecutive tokens of it."""
-    field, spec = _single_field(body, path)
-    key = "query" if name == "match_phrase" else "value"
-    if isinstance(spec, dict):
-        if set(spec) != {key}:
-            raise QueryError(f"{path}.{field}: {name} takes '{key}' only")
-        spec = spec[key]
-    elif name == "wildcard":
-        raise QueryError(f"{path}.{field}: wildcard takes an object with 'value'")
-    if not isinstance(spec, str):
-        raise QueryError(f"{path}.{field}: {name} takes a text")
+    kind, spec, path = node["k"], node["v"], node["path"]
 
     def leaf(c: Column, t: T.DataType) -> Column:
         if not isinstance(t, T.StringType):
-            raise QueryError(f"{path}.{field}: {name} needs a text field, not {t.simpleString()}")
-        if name == "prefix":
+            raise QueryError(f"{path}: {kind} needs a text field, not {t.simpleString()}")
+        if kind == "prefix":
             return c.startswith(spec)
-        if name == "wildcard":
-            return c.like(_like_pattern(spec))
-        tokens = [w for w in _PY_TOKEN_SPLIT.split(spec.lower()) if w]
-        return F.lower(c).rlike(_token_pattern([f"[^{_TOKEN_CHARS}]+".join(tokens)])) if tokens else F.lit(False)
-
-    return r.on_field(field, leaf, probe=spec, path=f"{path}.{field}")
-
-
-def _like_pattern(wildcard: str) -> str:
-    """``*`` and ``?`` as SQL wildcards; a backslash takes the next character as it is."""
-    out, chars = [], iter(wildcard)
-    for ch in chars:
-        if ch == "*":
-            out.append("%")
-        elif ch == "?":
-            out.append("_")
-        else:
-            ch = next(chars, ch) if ch == "\\" else ch
-            out.append("\\" + ch if ch in "%_\\" else ch)
-    return "".join(out)
-
-
-def _match(body, r, path) -> Column:
-    field, spec = _single_field(body, path)
-    every = False
-    if isinstance(spec, dict):
-        unknown = set(spec) - {"query", "operator"}
-        if unknown or "query" not in spec:
-            raise QueryError(f"{path}.{field}: match takes 'query' and 'operator' only")
-        text = spec["query"]
-        operator = str(spec.get("operator", "or")).lower()
-        if operator not in ("and", "or"):
-            raise QueryError(f"{path}.{field}: operator must be and or or")
-        every = operator == "and"
-    else:
-        text = spec
-    if text is None or isinstance(text, (dict, list)):
-        raise QueryError(f"{path}.{field}: match query must be a scalar")
-    tokens = match_tokens(text) if not isinstance(text, bool) else [str(text).lower()]
-
-    if every and len(tokens) > 1 and not isinstance(text, bool):
+        if kind == "wildcard":
+            return c.like(C.like_pattern(spec))
+        tokens = C.tokens_in_order(spec)
+        return F.lower(c).rlike(C.phrase_pattern(tokens)) if tokens else F.lit(False)
+
+    return r.on_field(node["f"], leaf, probe=spec, path=path)
+
+
+def _match(node, r) -> Column:
+    text, tokens, path = node["v"], node["tokens"], node["path"]
+    if node["every"]:
         # one test a token, so that a list field may hold them in different elements
-        return _and([_match({field: w}, r, path) if _is_text(r, field) else _match({field: text}, r, path)
-                     for w in tokens])
+        single = [{**node, "tokens": [w], "every": False} for w in tokens] if _is_text(r, node["f"]) else [{**node, "every": False}]
+        return reduce(lambda a, b: a & b, [_match(n, r) for n in single])
 
     def leaf(c: Column, t: T.DataType) -> Column:
         if isinstance(t, T.StringType):
@@ -379,11 +164,15 @@ def _match(body, r, path) -> Column:
             # a query token is a whole token of the text when no token
             # character touches it on either side: one compiled pattern scans
             # the text, no token array is built per row
-            return F.lower(c).rlike(_token_pattern(tokens))
+            return F.lower(c).rlike(C.token_pattern(tokens))
         # non-text columns behave like term
-        return c == literal_for(text, t, f"{path}.{field}")
+        return c == literal_for(text, t, path)
+
+    return r.on_field(node["f"], leaf, probe=str(text), path=path)
+
 
-    return r.on_field(field, leaf, probe=str(text), path=f"{path}.{field}")
+_COMPILERS = {"all": lambda node, r: F.lit(True), "bool": _bool, "term": _term, "terms": _terms, "range": _range,
+              "match": _match, "phrase": _text, "prefix": _text, "wildcard": _text, "exists": _exists, "ids": _ids}
 
 
 # --------------------------------------------------------------------------
@@ -392,63 +181,16 @@ def _match(body, r, path) -> Column:
 
 def literal_for(value, dtype: T.DataType, path: str = "value") -> Column:
     """Convert a JSON scalar to a literal of ``dtype`` at plan-build time."""
-    try:
-        if isinstance(dtype, T.StringType):
-            if isinstance(value, str):
-                return F.lit(value)
-            return F.lit(json.dumps(value))
-        if isinstance(dtype, _INTEGRAL):
-            if isinstance(value, bool):
-                raise ValueError("boolean for a numeric field")
-            if isinstance(value, float):
-                if not value.is_integer():
-                    raise ValueError(f"{value} is not integral")
-                value = int(value)
-            iv = int(str(value).strip())
-            bits = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}[type(dtype)]
-            if not -(1 << (bits - 1)) <= iv < (1 << (bits - 1)):
-                raise ValueError(f"{iv} out of range")
-            return F.lit(iv).cast(dtype)
-        if isinstance(dtype, _FRACTIONAL):
-            if isinstance(value, bool):
-                raise ValueError("boolean for a numeric field")
-            return F.lit(float(str(value).strip()) if isinstance(value, str) else float(value)).cast(dtype)
-        if isinstance(dtype, T.DecimalType):
-            d = decimal.Decimal(str(value).strip())
-            return F.lit(d).cast(dtype)
-        if isinstance(dtype, T.BooleanType):
-            if isinstance(value, bool):
-                return F.lit(value)
-            s = str(value).strip().lower()
-            if s in ("true", "false"):
-                return F.lit(s == "true")
-            raise ValueError(f"{value!r} is not a boolean")
-        if isinstance(dtype, _TEMPORAL):
-            if isinstance(value, bool):
-                raise ValueError("boolean for a date field")
-            if isinstance(value, (int, float)):
-                # epoch milliseconds, as search stores take them
-                ts = _dt.datetime(1970, 1, 1) + _dt.timedelta(milliseconds=value)
-                lit = F.lit(ts.isoformat(sep=" "))
-            else:
-                s = str(value).strip()
-                _dt.datetime.fromisoformat(s.replace("Z", "+00:00"))
-                lit = F.lit(s)
-            return lit.cast(dtype)
-    except (ValueError, decimal.InvalidOperation, OverflowError) as e:
-        raise QueryError(f"{path}: cannot use {value!r} for a {dtype.simpleString()} field ({e})") from e
-    raise QueryError(f"{path}: fields of type {dtype.simpleString()} cannot be queried")
-
-
-def variant_type_for(value) -> str:
-    """Type used to read a VARIANT field compared with ``value``."""
-    if isinstance(value, bool):
-        return "boolean"
-    if isinstance(value, int):
-        return "double" if abs(value) <= 1 << 53 else "decimal(38,9)"  # by value: 5.7 is neither 5 nor below it
-    if isinstance(value, float):
-        return "double"
-    return "string"
+    text = C.literal_text(value, "string" if isinstance(dtype, T.StringType) else dtype.simpleString(), path)
+    if isinstance(dtype, T.StringType):
+        return F.lit(text)
+    if dtype.simpleString() in C.INTEGRAL_BITS:
+        return F.lit(int(text)).cast(dtype)
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return F.lit(float(text)).cast(dtype)
+    if isinstance(dtype, T.BooleanType):
+        return F.lit(text == "true")
+    return F.lit(text).cast(dtype)
 
 
 _VARIANT_PROBE = {"boolean": T.BooleanType(), "decimal(38,9)": T.DecimalType(38, 9),
@@ -507,8 +249,8 @@ def _missing() -> Column:
 def _walk(base: Column | None, dtype, parts: list[str], leaf: Leaf, probe, eq_value, path) -> Column:
     if isinstance(dtype, T.ArrayType):
         elem = dtype.elementType
-        if not parts and eq_value is not None and not _fraction_for_integer(eq_value, elem) and not isinstance(elem, (T.ArrayType, T.StructType,
-                                                                        T.MapType, T.VariantType)):
+        if not parts and eq_value is not None and not C.fraction_for_integer(eq_value, elem.simpleString()) and not isinstance(
+                elem, (T.ArrayType, T.StructType, T.MapType, T.VariantType)):
             return F.array_contains(base, literal_for(eq_value, elem, path))
         return F.exists(base, lambda x: _walk(x, elem, parts, leaf, probe, eq_value, path))
     if isinstance(dtype, T.VariantType):

@@ -5,35 +5,44 @@ A query list is a bag union: a document matching two lines appears twice
 
 * ``multi_query`` (E1): a short list of DSL objects evaluated in one scan:
   every row computes the array of query numbers it matches and is exploded.
-* ``batch_query`` (E2): a query *table* of any length. Lines are classified
-  on the executors from their VARIANT form:
-
-  - single-field ``term`` lines (and ``bool.should`` of such terms) on a
-    scalar field become rows ``(query_no, field, value)`` and are answered
-    with one hash join per queried field (value cast to the column type, so
-    numbers never compare as strings);
-  - single-field ``range`` lines are answered with an equi-join on equi-depth
-    value buckets (boundaries from ``approxQuantile``; a heavy value gets its
-    own one-value bucket) followed by an exact recheck of the bounds, so the
-    join never degrades to a nested loop;
-  - every other line (terms over several fields or array fields, nested
-    ``bool``, ``match``, mixes) is planned per line in the tasks
-    (:mod:`.lineplan`): candidates come from joins on its anchor leaves, and
-    the JVM verifies the whole line on each candidate; a document is kept
-    only on the row of the first anchor it meets, so no de-duplication
-    shuffle is needed;
-  - lines with no anchor set (e.g. only ``must_not``: they match most of the
-    collection anyway) are compiled with the DSL compiler and evaluated in
-    slices of lines with ``multi_query``.
-
-  A query side is broadcast only below a measured bound (rows, or plan bytes
-  for the mixed path); otherwise both sides shuffle and AQE splits skewed
+* ``batch_query`` (E2): a query *table* of any length, over typed or untyped documents.
+
+  1. Each line is planned in the tasks (:mod:`.lineplan`): canonical form, literals
+     typed once, a postfix program, and anchors, i.e. leaves of which every matching document
+     meets at least one. Equal lines have equal plans; each different plan is answered once and
+     its result fanned out to the line numbers at the end.
+  2. Candidates come from one equi-join per kind and field of the anchors:
+
+     - ``value`` (term, terms, ids): hash join on the typed value;
+     - ``range``: a dyadic cover. The list's own end points cut the number line into cells;
+       a range is the O(log n) dyadic nodes that make it up, a document's value has one cell and
+       O(log n) ancestors, and they meet by equality. No statistics of the documents are needed, and a
+       pair that meets is a hit (only values equal to an open bound may still be rejected);
+     - ``token`` (match): the tokens of the list, looked for in the documents' tokens;
+     - ``rare`` (match with ``and``, match_phrase): only the line's rarest token, by document frequency;
+     - ``head`` (prefix, wildcards that begin with literal characters): hash join on the first characters, one length at a time;
+     - ``gram`` (other wildcards): the first characters of the longest literal run, looked for among the values' n-grams.
+
+     Documents' tokens are first tested against a small bitmap of the list's tokens, so a
+     document is copied only for tokens that the list holds.
+  3. Lines that are one leaf are decided by their join. The others are verified on the JVM: lines
+     that differ in their literals only share a *shape*, and each of the most frequent shapes is one compiled
+     predicate over the document's columns and the line's literals; lines of rarer shapes run their program on a bit stack.
+     A document is kept only for the first anchor it meets, so no de-duplication shuffle and no
+     document id is needed.
+
+  Fields inside VARIANT, maps and arrays of objects become lists of values of the type that the query compares with,
+  once per document, and then take the same joins. Lines with no anchor (e.g. only ``must_not``: they match most of the
+  collection anyway) are compiled with the DSL compiler and evaluated in slices with ``multi_query``.
+
+  A query side is broadcast only below a measured bound (rows and plan bytes); otherwise both sides shuffle and AQE splits skewed
   keys.
 * ``multi_query_cap`` (E3): the shared cap over the concatenated results.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from functools import reduce
 
@@ -43,15 +52,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .dsl import TOKEN_SPLIT, QueryError, compile_query, quote
-from .order import cap, sort_columns
+from .clauses import RANGE_OPS, TOKEN_SPLIT
+from .dsl import _VARIANT_PROBE, _Resolver, _exists, _field, compile_query, quote
+from .lineplan import AS, GRAM, ID_KEY  # noqa: F401
+from .order import cap, number_rows
 
 QUERY_NO = "query_no"
-_SCALAR_TYPES = (T.StringType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
-                 T.DoubleType, T.DecimalType, T.BooleanType, T.DateType, T.TimestampType,
-                 T.TimestampNTZType)
-_BUCKETABLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
-               T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 # --------------------------------------------------------------------------- E1
@@ -84,473 +90,232 @@ def multi_query_cap(results: DataFrame, max_docs: int, spec=None, tiebreak=None,
     return cap(results, max_docs, spec_all, tiebreak)
 
 
-# --------------------------------------------------------------------------- E2 helpers
+# --------------------------------------------------------------------------- E2: documents
 
-def _vmap(v: Column, path: str = "$") -> Column:
-    return F.try_variant_get(v, path, "map<string,variant>")
 
+def _all(parts):
+    return reduce(lambda a, b: a & b, parts)
 
-def _is_scalar(v: Column) -> Column:
-    s = F.schema_of_variant(v)
-    return v.isNotNull() & ~F.is_variant_null(v) & ~s.startswith("OBJECT") & ~s.startswith("ARRAY")
 
+def _element_types(t) -> set[str]:
+    """Types (simple names) of the values that fields of a schema (``jsonValue``) can hold; VARIANT: those it is read as."""
+    if t == "variant":
+        return set(_VARIANT_PROBE)
+    if not isinstance(t, dict):
+        return {T._parse_datatype_json_value(t).simpleString()}
+    if t["type"] == "struct":
+        return set().union(*[_element_types(f["type"]) for f in t["fields"]], set())
+    return _element_types(t.get("elementType") or t.get("valueType") or "string")
 
-def _term_value(spec: Column) -> Column:
-    """``v`` or ``{"value": v}`` → ``v`` (VARIANT); anything else → null."""
-    m = _vmap(spec)
-    inner = F.try_element_at(m, F.lit("value"))
-    obj_ok = (F.size(m) == 1) & inner.isNotNull() & _is_scalar(inner)
-    return F.when(_is_scalar(spec), spec).when(obj_ok, inner)
-
-
-def classify(queries: DataFrame) -> DataFrame:
-    """Add ``kind`` (``terms`` / ``range`` / ``general``) and the extracted parts.
-
-    Built as staged projections so every sub-expression is evaluated once
-    per line (Catalyst does not inline a multiply-used expensive column).
-    """
-    q = F.col("query")
-    should_v = F.try_variant_get(q, "$.bool.should", "variant")
-    s1 = queries.select(
-        QUERY_NO, "query",
-        F.coalesce(F.size(_vmap(q)) == 1, F.lit(False)).alias("one_key"),
-        _vmap(q, "$.term").alias("term_map"),
-        F.size(_vmap(q, "$.bool")).alias("bool_size"),
-        F.coalesce(F.try_variant_get(q, "$.bool.should", "array<variant>"),
-                   F.when(F.schema_of_variant(should_v).startswith("OBJECT"), F.array(should_v)))
-        .alias("should_arr"),
-        _vmap(q, "$.range").alias("range_map"))
-    one_key = F.col("one_key")
-    clauses = (F.when(one_key & (F.size("term_map") == 1), F.array(q))
-                .when(one_key & F.coalesce(F.col("bool_size") == 1, F.lit(False))
-                      & (F.size("should_arr") > 0), F.col("should_arr")))
-
-    def term_entry(e):
-        tm = _vmap(e, "$.term")
-        ok = (F.size(_vmap(e)) == 1) & (F.size(tm) == 1)
-        return F.when(ok, F.struct(F.map_keys(tm)[0].alias("field"),
-                                   _term_value(F.map_values(tm)[0]).alias("value")))
-
-    s2 = s1.select(QUERY_NO, "query", "one_key", "range_map",
-                   F.transform(clauses, term_entry).alias("entries"),
-                   F.map_values("range_map")[0].alias("rspec"))
-    s3 = s2.select(QUERY_NO, "query", "one_key", "range_map", "entries", "rspec",
-                   _vmap(F.col("rspec")).alias("rmap"))
-    bound_keys = F.array(*[F.lit(k) for k in ("gte", "gt", "lte", "lt")])
-    entries, rmap = F.col("entries"), F.col("rmap")
-    all_terms = F.coalesce(F.forall(entries, lambda x: x.isNotNull() & x["value"].isNotNull()), F.lit(False)) \
-        & F.coalesce(F.size(entries) > 0, F.lit(False))
-    range_ok = F.coalesce(
-        F.col("one_key") & (F.size("range_map") == 1) & (F.size(rmap) > 0)
-        & F.forall(F.map_keys(rmap), lambda k: F.array_contains(bound_keys, k))
-        & F.forall(F.map_values(rmap), lambda v: _is_scalar(v) | F.is_variant_null(v))
-        & F.exists(F.map_values(rmap), lambda v: _is_scalar(v)), F.lit(False))
-    s4 = s3.select(QUERY_NO, "query", "entries", "range_map", "rspec",
-                   F.when(all_terms, F.lit("terms")).when(range_ok, F.lit("range"))
-                   .otherwise(F.lit("general")).alias("kind"))
-    kind = F.col("kind")
-    return s4.select(
-        QUERY_NO, "query", "kind",
-        F.when(kind == "terms", F.col("entries")).alias("terms"),
-        F.when(kind == "range", F.map_keys("range_map")[0]).alias("range_field"),
-        F.when(kind == "range", F.col("rspec")).alias("range_spec"))
-
-
-def _leaf_paths(schema: T.StructType, prefix: str = "") -> list[tuple[str, list[str], T.DataType]]:
-    """Queryable leaves: (dotted path, column path parts, type). Arrays of scalars count."""
-    out = []
-    for f in schema.fields:
-        name = prefix + f.name
-        dt = f.dataType
-        if isinstance(dt, T.StructType):
-            for p, parts, t in _leaf_paths(dt, name + "."):
-                out.append((p, [f.name] + parts, t))
-        elif isinstance(dt, _SCALAR_TYPES):
-            out.append((name, [f.name], dt))
-        elif isinstance(dt, T.ArrayType) and isinstance(dt.elementType, _SCALAR_TYPES):
-            out.append((name, [f.name], dt))
-    return out
-
-
-def _opaque_paths(schema: T.StructType, prefix: str = "") -> list[str]:
-    """Paths whose contents are no listed leaves but can be addressed: maps, VARIANTs, arrays of objects."""
-    out = []
-    for f in schema.fields:
-        dt = f.dataType
-        if isinstance(dt, T.StructType):
-            out += _opaque_paths(dt, f"{prefix}{f.name}.")
-        elif isinstance(dt, (T.MapType, T.VariantType)) or (isinstance(dt, T.ArrayType) and not isinstance(dt.elementType, _SCALAR_TYPES)):
-            out.append(prefix + f.name)
-    return out
-
-
-def _untyped_root(df: DataFrame, root: str | None) -> bool:
-    if root is None and {"_id", "_source"} <= set(df.columns):
-        root = "_source"
-    return root is not None and isinstance(df.schema[root].dataType, T.VariantType)
-
-
-def _doc_space(df: DataFrame, root: str | None):
-    """Schema and column base that query fields address."""
-    if root is None and {"_id", "_source"} <= set(df.columns):
-        root = "_source"
-    if root is None:
-        return df.schema, None
-    dt = df.schema[root].dataType
-    if not isinstance(dt, T.StructType):
-        raise QueryError("batch queries need a typed document struct (read with a schema)")
-    return dt, F.col(quote(root))
-
-
-def _column(base: Column | None, parts: list[str]) -> Column:
-    col = base
-    for p in parts:
-        col = F.col(quote(p)) if col is None else col.getField(p)
-    return col
-
-
-def _count(df: DataFrame) -> int:
-    return int(df.count())
-
-
-# --------------------------------------------------------------------------- E2
-
-
-def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: str | None = None,
-                broadcast_rows: int = 2_000_000, slice_size: int = 128, buckets: int = 1024,
-                broadcast_bytes: int = 256 << 20) -> DataFrame:
-    """``(query_no, *df)`` for a query table ``(query_no, query VARIANT)``.
-
-    No join path needs a document id: a document is emitted once per line by
-    construction. ``id_col`` is accepted for callers that pass one.
-    """
-    spark = df.sparkSession
-    if _untyped_root(df, root):
-        parts = _general(df, queries, root, slice_size)
-        none = df.select(F.lit(None).cast("long").alias(QUERY_NO), *df.columns).limit(0)
-        return reduce(DataFrame.unionByName, parts) if parts else none
-    schema, base = _doc_space(df, root)
-    leaves = {p: (parts, t) for p, parts, t in _leaf_paths(schema)}
-    doc_cols = [F.col(quote(c)) for c in df.columns]
-    # classified once, stored: every branch below reads the stored columns
-    classified = materialize(classify(queries), "classified")
-    # a terms line that can meet one document twice (terms on two fields, or on
-    # an array field) is answered by the mixed-line path, whose ownership rule
-    # emits a document once per line without a de-duplication shuffle
-    array_fields = [p for p, (_, t) in leaves.items() if isinstance(t, T.ArrayType)]
-    fields_of = F.transform("terms", lambda t: t["field"])
-    multi = F.size(F.array_distinct(fields_of)) > 1
-    if array_fields:
-        multi = multi | F.exists(fields_of, lambda f: f.isin(*array_fields))
-    # a path into a map, a VARIANT or an array of objects is no listed leaf, but
-    # the schema can resolve it: such lines are compiled like a single query
-    opaque = _opaque_paths(schema)
-
-    def resolvable(f):
-        hits = [(f == p) | f.startswith(p + ".") for p in opaque]
-        return reduce(lambda a, b: a | b, hits) if hits else F.lit(False)
-
-    multi = multi | F.exists(fields_of, resolvable)
-    inside = (F.col("kind") == "range") & F.coalesce(resolvable(F.col("range_field")), F.lit(False))
-    classified = classified.withColumn(
-        "kind", F.when(((F.col("kind") == "terms") & multi) | inside, F.lit("general")).otherwise(F.col("kind")))
-    known = spark.createDataFrame([(p, True) for p in leaves], "field string, __known boolean")
-
-    terms = (classified.filter(F.col("kind") == "terms")
-             .select(QUERY_NO, F.explode("terms").alias("t"))
-             .select(QUERY_NO, F.col("t.field").alias("field"), F.col("t.value").alias("value")))
-    ranges = (classified.filter(F.col("kind") == "range")
-              .select(QUERY_NO, F.col("range_field").alias("field"), "range_spec"))
-    # one small job: row counts per (kind, known field) and of general lines;
-    # bounded by the schema width. A terms line counts once per value, so the
-    # count bounds the rows of that field's query side (the broadcast check)
-    kind = F.col("kind")
-    per_line = classified.select(kind, F.explode(
-        F.when(kind == "terms", fields_of)
-        .when(kind == "range", F.array(F.col("range_field")))
-        .otherwise(F.array(F.lit(None).cast("string")))).alias("field"))
-    stats = (per_line.join(F.broadcast(known), "field", "left")
-             .filter((F.col("kind") == "general") | F.col("__known").isNotNull())
-             .groupBy("kind", "field")
-             .agg(F.count(F.lit(1)).alias("count"))
-             .collect())
-    term_counts = {r["field"]: r["count"] for r in stats if r["kind"] == "terms"}
-    range_counts = {r["field"]: r["count"] for r in stats if r["kind"] == "range"}
-    n_general = sum(r["count"] for r in stats if r["kind"] == "general")
-    parts: list[DataFrame] = []
-
-    # ---- single-field term lines on scalar fields: one hash join per field
-    # (a document holds one value there, so it meets a line at most once)
-    for field in sorted(term_counts):
-        cparts, dtype = leaves[field]
-        qside = (terms.filter(F.col("field") == field)
-                 .select(QUERY_NO, _typed_literal(F.col("value"), dtype).alias("__k"))
-                 .dropDuplicates([QUERY_NO, "__k"]))
-        dside = df.select(*doc_cols, _column(base, cparts).alias("__k")).filter(F.col("__k").isNotNull())
-        q_join = F.broadcast(qside) if term_counts[field] <= broadcast_rows else qside
-        parts.append(dside.join(q_join, "__k").select(QUERY_NO, *doc_cols))
-
-    # ---- range lines on numeric / time fields: bucketed equi-join
-    text_ranges = []
-    for field in sorted(range_counts):
-        cparts, dtype = leaves[field]
-        etype = dtype.elementType if isinstance(dtype, T.ArrayType) else dtype
-        if not isinstance(etype, _BUCKETABLE):
-            text_ranges.append(field)
-            continue
-        spec = F.col("range_spec")
-
-        def bound(k, etype=etype):
-            v = F.try_variant_get(spec, f"$.{k}", "variant")
-            return F.when(_is_scalar(v), _typed_literal(v, etype, k)).alias(f"__{k}")
-        rq = ranges.filter(F.col("field") == field).select(QUERY_NO, *[bound(k) for k in _OPS])
-        parts.append(_range_join(df, rq, [], base, cparts, dtype, etype, doc_cols,
-                                 broadcast_rows, buckets))
-
-    # ---- other shapes (and text ranges): anchor joins + verification on the JVM;
-    # lines without an anchor set are compiled and evaluated in slices
-    if n_general or text_ranges:
-        general = classified.filter((F.col("kind") == "general")
-                                    | ((F.col("kind") == "range") & F.col("range_field").isin(*text_ranges)))
-        joined, fallback = _mixed_lines(df, general, schema, base, leaves, doc_cols, broadcast_bytes, buckets)
-        parts.extend(joined)
-        if fallback is not None:
-            parts.extend(_general(df, fallback, root, slice_size))
 
+def _values(base: Column | None, dtype, parts: list[str], vtype: str | None):
+    """(column, element type, whether a list) of a field; a list holds what the compiler would test one by one."""
+    if isinstance(dtype, T.ArrayType):
+        _, etype, nested = _values(base, dtype.elementType, parts, vtype)
+        if not parts and not isinstance(dtype.elementType, (T.ArrayType, T.VariantType)):
+            return base, dtype.elementType, True
+        lists = F.transform(base, lambda x: _values(x, dtype.elementType, parts, vtype)[0])
+        return (F.flatten(F.filter(lists, lambda x: x.isNotNull())) if nested else lists), etype, True
+    if isinstance(dtype, T.VariantType):
+        node = F.try_variant_get(base, "$" + "".join(f"[{json.dumps(p)}]" for p in parts), "variant")
+        found = F.when(F.schema_of_variant(node).startswith("ARRAY"), F.try_variant_get(node, "$", f"array<{vtype}>")) \
+                 .when(node.isNotNull(), F.array(F.try_variant_get(node, "$", vtype)))
+        return found, _VARIANT_PROBE[vtype], True
     if not parts:
-        return df.select(F.lit(None).cast("long").alias(QUERY_NO), *doc_cols).limit(0)
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _general(df: DataFrame, general: DataFrame, root, slice_size: int) -> list[DataFrame]:
-    """Other line shapes, compiled on the driver one slice at a time."""
-    import json as _json
-    out, batch_nos, batch_qs = [], [], []
-
-    def flush():
-        if batch_qs:
-            part = multi_query(df, batch_qs, root)
-            mapping = F.element_at(F.array(*[F.lit(n) for n in batch_nos]), F.col(QUERY_NO).cast("int") + 1)
-            cols = [c for c in part.columns if c != QUERY_NO]
-            out.append(part.select(mapping.cast("long").alias(QUERY_NO), *[F.col(quote(c)) for c in cols]))
-            batch_nos.clear()
-            batch_qs.clear()
-
-    rows = general.select(QUERY_NO, F.to_json("query").alias("q")).orderBy(QUERY_NO).toLocalIterator()
-    for r in rows:
-        batch_nos.append(int(r[QUERY_NO]))
-        batch_qs.append(_json.loads(r["q"]))
-        if len(batch_qs) >= slice_size:
-            flush()
-    flush()
-    return out
+        return base, dtype, False
+    if isinstance(dtype, T.MapType):
+        return _values(F.try_element_at(base, F.lit(parts[0])), dtype.valueType, parts[1:], vtype)
+    for n in (1, *range(len(parts), 1, -1)):
+        name = ".".join(parts[:n])
+        f = _field(dtype, name)
+        if f is not None:
+            return _values(F.col(quote(name)) if base is None else base.getField(name), f.dataType, parts[n:], vtype)
+    raise KeyError(".".join(parts))
 
 
-def _as_double(c: Column, etype: T.DataType) -> Column:
-    if isinstance(etype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(etype, T.DateType):
-        return F.unix_date(c).cast("double")
-    return c.cast("double")
-
+def _tokens(c: Column) -> Column:
+    return F.split(F.lower(c), TOKEN_SPLIT)
 
-def _splits(values: DataFrame, buckets: int) -> list[float]:
-    """Equi-depth boundaries; a value that fills several quantiles gets its own bucket."""
-    probs = [i / buckets for i in range(1, buckets)]
-    qs = values.approxQuantile("__d", probs, 1.0 / (4 * buckets)) if probs else []
-    cuts: list[float] = []
-    prev = None
-    heavy = set()
-    for v in qs:
-        if v is None or math.isnan(v):
-            continue
-        if prev is not None and v == prev:
-            heavy.add(v)
-        prev = v
-    for v in sorted(set(x for x in qs if x is not None and not math.isnan(x))):
-        cuts.append(v)
-        if v in heavy:
-            cuts.append(math.nextafter(v, math.inf))
-    return [-math.inf] + sorted(set(cuts)) + [math.inf]
 
+class _Docs:
+    """The documents with the field values and tokens that a join or a predicate needs, computed once per document."""
 
-_OPS = ("gte", "gt", "lte", "lt")
+    def __init__(self, df: DataFrame, root: str | None):
+        self.df, self.resolver = df, _Resolver(df.schema, root)
+        self.columns = [F.col(quote(c)) for c in df.columns]
+        self.names: dict[str, int] = {}
+        self.found: dict[str, tuple] = {}
 
+    def field(self, key: str):
+        """(column, element type, whether a list) of a field key."""
+        if key not in self.found:
+            if key == ID_KEY:
+                self.found[key] = F.col("_id").cast("string"), T.StringType(), False
+            else:
+                name, _, vtype = key.partition(AS)
+                self.found[key] = _values(self.resolver.base, self.resolver.base_type, name.split("."), vtype or None)
+        return self.found[key]
 
-def _typed_literal(v: Column, etype: T.DataType, op: str = "term") -> Column:
-    """A JSON scalar (VARIANT) as a value of ``etype``; numbers are epoch ms for times.
+    def stored_name(self, kind: str, key: str) -> str:
+        return f"__ferry_{kind}{self.names.setdefault(key, len(self.names))}"
 
-    On an integer field a fraction equals nothing, and a fractional bound is
-    the next integer (gte, lt) or the previous one (gt, lte).
-    """
-    ts = etype.simpleString()
-    if isinstance(etype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        kind = F.schema_of_variant(v)
-        fraction = kind.startswith("DECIMAL") | kind.startswith("DOUBLE") | kind.startswith("FLOAT")
-        n = F.try_variant_get(v, "$", "decimal(38,9)")
-        whole = F.ceil(n) if op in ("gte", "lt") else F.floor(n)
-        exact = whole if op != "term" else F.when(whole == n, whole)
-        refused = F.raise_error(F.concat(F.lit("boolean for a number field: "), F.to_json(v))).cast(ts)
-        return F.when(kind == "BOOLEAN", refused).when(fraction, exact.cast(ts)).otherwise(F.variant_get(v, "$", ts))
-    if isinstance(etype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        ms = F.timestamp_millis(F.variant_get(v, "$", "bigint")).cast(ts)
-        return F.when(F.schema_of_variant(v) == "STRING", F.variant_get(v, "$", ts)).otherwise(ms)
-    return F.variant_get(v, "$", ts)
+    def frame(self, needs: set[tuple[str, str]], *more: Column) -> DataFrame:
+        """All columns, a column per need (``value`` or ``tokens`` of a field), and more."""
+        extra = []
+        for kind, key in sorted(needs):
+            col, _, is_list = self.field(key)
+            if kind == "tokens":
+                col = F.array_distinct(F.flatten(F.transform(F.filter(col, lambda x: x.isNotNull()), _tokens)) if is_list else _tokens(col))
+                col = F.filter(col, lambda t: t != "")
+            extra.append(col.alias(self.stored_name(kind, key)))
+        return self.df.select(*self.columns, *extra, *more)
 
 
-def _in_bounds(x: Column) -> Column:
-    """``x`` within the row's typed bounds ``__gte`` .. ``__lt`` (null = absent)."""
-    out = None
-    for k, cmp in (("gte", x.__ge__), ("gt", x.__gt__), ("lte", x.__le__), ("lt", x.__lt__)):
-        b = F.col(f"__{k}")
-        c = b.isNull() | cmp(b)
-        out = c if out is None else out & c
-    return out
+# --------------------------------------------------------------------------- E2: lines
 
+_ANCHOR = "struct<j:int,how:string,key:string,ty:int,keys:array<string>,gte:string,gt:string,lte:string,lt:string>"
+_PROG = "array<struct<op:int,a:int,b:int,c:int,w:int>>"
+_LEAVES = "array<struct<kind:string,key:string,ty:int,a:int,li:int,t:int,gte:int,gt:int,lte:int,lt:int>>"
+_PLAN = (f"struct<never:boolean,exact:boolean,q:string,shape:string,depth:int,prog:{_PROG},leaves:{_LEAVES},anchors:array<{_ANCHOR}>,"
+         "lits:array<array<string>>,lists:array<array<array<string>>>,tokens:array<array<string>>>")
 
-def _range_join(df, rq, carry, base, cparts, dtype, etype, doc_cols, max_broadcast_rows, buckets,
-                doc_extra=()):
-    """``(query_no, *carry, *doc_cols)`` for range rows ``rq(query_no, __gte.., *carry)``.
 
-    The bounds arrive typed as the field's element type (null = absent), so the
-    recheck on every joined row is a plain comparison.
+def _typed(x: Column, type_name: str) -> Column:
+    """A literal's text as a value of the type (a float by way of the double that a single query compares with).
 
-    Bucketed equi-join plus an exact recheck. An array document meets a range
-    once: only the row of its smallest distinct element inside the bounds is
-    kept, so no de-duplication shuffle (and no document id) is needed.
+    The planner has checked the text against its field's type; a text meant for another type becomes null here.
     """
-    from pyspark.ml.feature import Bucketizer
+    if type_name == "string":
+        return x
+    return x.try_cast("double").cast("float") if type_name == "float" else x.try_cast(type_name)
 
-    is_array = isinstance(dtype, T.ArrayType)
-    col = _column(base, cparts)
-    key = F.explode(F.array_distinct(col)) if is_array else col
-    dside = df.select(*doc_cols, *doc_extra, key.alias("__v")).filter(F.col("__v").isNotNull())
-    dside = dside.withColumn("__d", _as_double(F.col("__v"), etype)).filter(~F.isnan("__d"))
-    splits = _splits(dside.select("__d"), buckets)
-
-    bcols = [f"__{k}" for k in _OPS]
-    q = rq.select(QUERY_NO, *carry, *bcols)
-    lo = F.coalesce(*[_as_double(F.col(b), etype) for b in ("__gte", "__gt")], F.lit(-math.inf))
-    hi = F.coalesce(*[_as_double(F.col(b), etype) for b in ("__lte", "__lt")], F.lit(math.inf))
-    q = q.withColumn("__lo", lo).withColumn("__hi", hi).filter(F.col("__lo") <= F.col("__hi"))
-    bz = Bucketizer(splitsArray=[splits, splits], inputCols=["__lo", "__hi"],
-                    outputCols=["__blo", "__bhi"], handleInvalid="keep")
-    q = bz.transform(q)
-    # the broadcast side is the exploded one (a wide range covers many
-    # buckets): its row count is measured before choosing the join
-    n_rows = q.agg(F.sum(F.col("__bhi") - F.col("__blo") + 1)).first()[0] or 0
-    broadcast_q = n_rows <= max_broadcast_rows
-    q = q.select(QUERY_NO, *carry, *bcols,
-                 F.explode(F.sequence(F.col("__blo").cast("int"), F.col("__bhi").cast("int"))).alias("__b"))
-    dside = Bucketizer(splits=splits, inputCol="__d", outputCol="__bd", handleInvalid="keep").transform(dside)
-    dside = dside.withColumn("__b", F.col("__bd").cast("int")).drop("__bd", "__d")
-    joined = dside.join(F.broadcast(q) if broadcast_q else q, "__b")
-    ok = _in_bounds(F.col("__v"))
-    if is_array:
-        ok = ok & (F.col("__v") == F.array_min(F.filter(col, _in_bounds)))
-    extra = [F.col(quote(c)) for c in dside.columns if c.startswith("__tok")]
-    return joined.filter(ok).select(QUERY_NO, *carry, *doc_cols, *extra)
-
-
-# --------------------------------------------------------------------------- mixed lines
-
-_PLAN_SCHEMA = ("struct<fallback:boolean, depth:int, prog:array<struct<op:int,a:int,b:int,c:int>>, anchors:array<int>, "
-                "leaves:array<struct<kind:string,field:string,value:string,gte:string,gt:string,lte:string,"
-                "lt:string,tokens:array<string>>>>")
-_CARRY = ["__prog", "__leaves", "__anchors", "__depth", "__j"]
 
+def _typed_list(xs: Column, type_name: str) -> Column:
+    return F.transform(xs, lambda x: _typed(x, type_name))
 
-def _tokens(c: Column) -> Column:
-    return F.split(F.lower(c), TOKEN_SPLIT)
 
+def _typed_lists(lists: Column, type_name: str) -> Column:
+    return F.transform(lists, lambda xs: _typed_list(xs, type_name))
 
-def _elem(dtype: T.DataType) -> T.DataType:
-    return dtype.elementType if isinstance(dtype, T.ArrayType) else dtype
 
+def _plan_lines(queries: DataFrame, schema, has_id: bool, slots: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(lines, numbers): the different plans with a number each, and ``(line, query_no)``; both stored."""
+    from . import clauses, lineplan
 
-def _slot_types(leaves: dict) -> list[str]:
-    """Element types of the queryable paths: one typed literal slot per type."""
-    return sorted({_elem(t).simpleString() for _, t in leaves.values()})
+    # the planner and the parser travel with the task, so the executors need no installed copy of this package
+    for mod in (clauses, lineplan):
+        cloudpickle.register_pickle_by_value(mod)
+    planned = materialize(queries.select(QUERY_NO, F.to_json("query").alias("q"))
+                          .mapInPandas(lineplan.plan_batches(schema, has_id, slots), "query_no long, same string, plan string"), "line-plans")
+    p = F.from_json("plan", _PLAN)
+    different = planned.groupBy("same").agg(F.first("plan").alias("plan"))
+    typed = [_typed_list(F.get("p.lits", i), t).alias(f"l{i}") for i, t in enumerate(slots)] + \
+            [_typed_lists(F.get("p.lists", i), t).alias(f"x{i}") for i, t in enumerate(slots)]
+    lines = materialize(
+        different.select("same", p.alias("p"), F.octet_length("plan").alias("bytes")).where(~F.coalesce("p.never", F.lit(False)))
+        .select(F.monotonically_increasing_id().alias("line"), "same", "bytes", "p.exact", "p.q", "p.shape", F.md5("p.shape").alias("shape_id"),
+                "p.depth", "p.prog", "p.leaves", "p.anchors", "p.tokens", *typed), "lines")
+    numbers = planned.select(QUERY_NO, "same").join(lines.select("line", "same"), "same").select("line", QUERY_NO)
+    return lines, numbers
+
+
+# --------------------------------------------------------------------------- E2: predicates
+
+
+class _Verifier:
+    """Predicates over a candidate row: the document's columns, the line's literals ``__c`` and the anchor met ``__j``."""
+
+    def __init__(self, docs: _Docs, slots: list[str]):
+        self.docs, self.slots = docs, slots
+
+    def needs(self, leaves) -> set[tuple[str, str]]:
+        """What predicates on leaves (kind, key) read of the documents."""
+        out = set()
+        for kind, key in leaves:
+            if kind in ("match", "every"):
+                out.add(("tokens", key))
+            elif kind != "exists" and (AS in key or self.docs.field(key)[2]):
+                out.add(("value", key))
+        return out
+
+    def truth(self, kind: str, key: str, leaf) -> Column:
+        """Truth (never null) of a leaf; ``leaf`` holds the places of its literals (numbers or columns)."""
+        c = F.col("__c")
+        if kind == "exists":
+            return F.coalesce(_exists({"f": key, "path": key}, self.docs.resolver), F.lit(False))
+        if kind in ("match", "every"):
+            have, want = F.col(self.docs.stored_name("tokens", key)), F.get(c["tokens"], leaf["t"])
+            test = F.arrays_overlap(have, want) if kind == "match" else have.isNotNull() & (F.size(F.array_except(want, have)) == 0)
+            return F.coalesce(test, F.lit(False))
+        col, etype, is_list = self.docs.field(key)
+        if AS in key or is_list:
+            col = F.col(self.docs.stored_name("value", key))
+        slot = self.slots.index(etype.simpleString())
+
+        def lit(place):
+            return F.get(c[f"l{slot}"], place)
+
+        if kind == "terms":
+            values = F.get(c[f"x{slot}"], leaf["li"])
+            test = F.arrays_overlap(col, values) if is_list else F.array_contains(values, col)
+        elif kind == "range":
+            def inside(x):
+                return _all([lit(leaf[op]).isNull() | cmp(lit(leaf[op])) for op, cmp in _compare(x) if not isinstance(leaf[op], int) or leaf[op] >= 0])
+            test = F.exists(col, inside) if is_list else inside(col)
+        else:
+            one = {"term": lambda x: x == lit(leaf["a"]), "prefix": lambda x: x.startswith(lit(leaf["a"])),
+                   "wildcard": lambda x: F.like(x, lit(leaf["a"])), "phrase": lambda x: F.rlike(F.lower(x), lit(leaf["a"]))}[kind]
+            test = F.exists(col, one) if is_list else one(col)
+        return F.coalesce(test, F.lit(False))
+
+    def compiled(self, shape: dict) -> Column:
+        """The predicate of all lines of a shape."""
+        truths = [self.truth(leaf["kind"], leaf["key"], leaf) for leaf in shape["leaves"]]
+        stack: list[Column] = []
+        for op in shape["prog"]:
+            if op["op"] == 0:
+                stack.append(truths[op["a"]])
+            elif op["op"] == 2:
+                stack.append(F.lit(True))
+            else:
+                k = op["a"] + op["b"] + op["c"]
+                top, stack = stack[len(stack) - k:], stack[:len(stack) - k]
+                must, nots, should = top[:op["a"]], top[op["a"]: op["a"] + op["b"]], top[op["a"] + op["b"]:]
+                parts = must + [~x for x in nots]
+                if op["w"] == 1:
+                    parts.append(reduce(lambda a, b: a | b, should))
+                elif op["w"] > 1:
+                    parts.append(reduce(lambda a, b: a + b, [x.cast("int") for x in should]) >= op["w"])
+                stack.append(_all(parts) if parts else F.lit(True))
+        keep, places = stack[0], [a["j"] for a in shape["anchors"]]
+        if len(places) > 1:  # only for the first anchor that the document meets
+            first = reduce(lambda w, j: w.when(truths[j], F.lit(j)), places[1:], F.when(truths[places[0]], F.lit(places[0])))
+            keep = keep & (F.col("__j") == first)
+        return keep
+
+    def interpreted(self, leaves) -> Column:
+        """The predicate of lines of any shape whose leaves are of the given (kind, key) pairs."""
+        c = F.col("__c")
+
+        def one(leaf):
+            out = None
+            for kind, key in sorted(leaves):
+                cond = (leaf["kind"] == kind) & (leaf["key"] == key)
+                test = self.truth(kind, key, leaf)
+                out = F.when(cond, test) if out is None else out.when(cond, test)
+            return out.otherwise(F.lit(False))
 
+        def verdict(t):
+            owner = F.array_min(F.filter(c["places"], lambda j: F.get(t, j)))
+            ok = F.when(c["depth"] <= _BIT_DEPTH, _run_bits(c["prog"], t)).otherwise(_run_prog(c["prog"], t))
+            return ok & (F.col("__j") == owner)
+        # the truths are bound once (a one-element transform acts as "let"):
+        # as a plain column Catalyst would inline them at every use
+        return F.get(F.transform(F.array(F.transform(c["leaves"], one)), verdict), 0)
 
-def _typed_leaves(raw: Column, leaves: dict) -> Column:
-    """Planned leaves with every literal parsed and typed once, at plan time.
 
-    Slot ``value_<i>`` / ``gte_<i>`` … holds the literal as slot type ``i``,
-    filled for the leaf whose field has that element type. A literal that
-    cannot take the field's type is an error here, as in the compiler.
-    """
-    types = _slot_types(leaves)
-    by_type = {ts: [p for p, (_, t) in leaves.items() if _elem(t).simpleString() == ts] for ts in types}
-    dtypes = {ts: _elem(t) for _, t in leaves.values() for ts in [_elem(t).simpleString()]}
-
-    def one(l):
-        cols = [l["kind"].alias("kind"), l["field"].alias("field"), l["tokens"].alias("tokens")]
-        for i, ts in enumerate(types):
-            on = l["field"].isin(*by_type[ts])
-            for k in ("value",) + _OPS:
-                v = F.parse_json(l[k])
-                cols.append(F.when(on & _is_scalar(v), _typed_literal(v, dtypes[ts], k if k in _OPS else "term")).alias(f"{k}_{i}"))
-        return F.struct(*cols)
-    return F.transform(raw, one)
-
-
-def _leaf_bounds(leaf: Column, slot: int):
-    def within(x: Column) -> Column:
-        c = None
-        for k, cmp in (("gte", x.__ge__), ("gt", x.__gt__), ("lte", x.__le__), ("lt", x.__lt__)):
-            b = leaf[f"{k}_{slot}"]
-            part = b.isNull() | cmp(b)
-            c = part if c is None else c & part
-        return c
-    return within
-
-
-def _doc_tokens(col: Column, is_array: bool) -> Column:
-    """Distinct match tokens of a text field (or of all elements of a text array)."""
-    if is_array:
-        return F.array_distinct(F.flatten(F.transform(F.filter(col, lambda x: x.isNotNull()), _tokens)))
-    return F.array_distinct(_tokens(col))
-
-
-def _leaf_truth(leaf: Column, base, leaves: dict, tok_cols: dict | None = None) -> Column:
-    """Truth (never null) of one planned leaf against the row's document.
-
-    One branch per (kind, typed path) of the schema, so the cost is bounded by
-    the schema width; a field the schema lacks never matches. Literals come
-    from the typed slots: no JSON is parsed per document.
-    """
-    slots = {ts: i for i, ts in enumerate(_slot_types(leaves))}
-    out = None
-    for path in sorted(leaves):
-        cparts, dtype = leaves[path]
-        col = _column(base, cparts)
-        is_array = isinstance(dtype, T.ArrayType)
-        etype = _elem(dtype)
-        slot = slots[etype.simpleString()]
-        val = leaf[f"value_{slot}"]
-        term = F.array_contains(col, val) if is_array else col == val
-        branches = [("term", term)]
-        if isinstance(etype, _BUCKETABLE):
-            rng = _leaf_bounds(leaf, slot)
-            branches.append(("range", F.exists(col, rng) if is_array else rng(col)))
-        if isinstance(etype, T.StringType):
-            def overlaps(x):
-                return F.arrays_overlap(_tokens(x), leaf["tokens"])
-            if tok_cols and path in tok_cols:
-                # tokens computed once per document, before the join (codegen)
-                m = F.arrays_overlap(F.col(tok_cols[path]), leaf["tokens"])
-            else:
-                m = F.exists(col, overlaps) if is_array else overlaps(col)
-            branches.append(("match", (F.size(leaf["tokens"]) > 0) & m))
-        else:
-            branches.append(("match", term))
-        for kind, expr in branches:
-            cond = (leaf["field"] == F.lit(path)) & (leaf["kind"] == F.lit(kind))
-            out = F.when(cond, expr) if out is None else out.when(cond, expr)
-    if out is None:
-        return F.lit(False)
-    return F.coalesce(out, F.lit(False))
+def _compare(x: Column):
+    return (("gte", x.__ge__), ("gt", x.__gt__), ("lte", x.__le__), ("lt", x.__lt__))
 
 
 #: deepest program stack the bit machine holds (one bit per entry in a bigint)
@@ -584,7 +349,7 @@ def _run_bits(prog: Column, truths: Column) -> Column:
         m_not = _shl(mask(op["b"]), op["a"])
         m_should = _shl(mask(op["c"]), op["a"] + op["b"])
         res = ((top.bitwiseAND(m_must) == m_must) & (top.bitwiseAND(m_not) == 0)
-               & ((op["a"] > 0) | (op["c"] == 0) | (top.bitwiseAND(m_should) != 0)))
+               & (F.bit_count(top.bitwiseAND(m_should)) >= op["w"]))
         pushed = F.struct(bits.bitwiseOR(_shl(val.cast("long"), n)).alias("bits"), (n + 1).alias("n"))
         popped = F.struct(bits.bitwiseAND(mask(n - k)).bitwiseOR(_shl(res.cast("long"), n - k))
                           .alias("bits"), (n - k + 1).alias("n"))
@@ -603,147 +368,261 @@ def _run_prog(prog: Column, truths: Column) -> Column:
         m, nn, s = op["a"], op["b"], op["c"]
         res = (F.forall(F.slice(top, F.lit(1), m), lambda x: x)
                & ~F.exists(F.slice(top, m + 1, nn), lambda x: x)
-               & ((m > 0) | (s == 0) | F.exists(F.slice(top, m + nn + 1, s), lambda x: x)))
+               & (F.size(F.filter(F.slice(top, m + nn + 1, s), lambda x: x)) >= op["w"]))
         return (F.when(op["op"] == 0, F.concat(st, F.array(F.get(truths, op["a"]))))
                 .when(op["op"] == 2, F.concat(st, F.array(F.lit(True))))
                 .otherwise(F.concat(rest, F.array(res))))
     return F.get(F.aggregate(prog, F.array().cast("array<boolean>"), step), 0)
 
 
-def _field_info(leaves: dict) -> dict:
-    out = {}
-    for path, (_, dtype) in leaves.items():
-        is_array = isinstance(dtype, T.ArrayType)
-        etype = dtype.elementType if is_array else dtype
-        kind = "string" if isinstance(etype, T.StringType) else \
-            "number" if isinstance(etype, _BUCKETABLE) else "other"
-        out[path] = (kind, is_array)
-    return out
+# --------------------------------------------------------------------------- E2: joins
 
+#: Places of the token bitmap (one byte each).
+_PLACES = 1 << 16
+#: Most cells that the end points of the ranges on one field cut; beyond it every k-th end point cuts.
+_CELLS = 1 << 20
 
-def _is_complex(dt: T.DataType) -> bool:
-    if isinstance(dt, (T.MapType, T.VariantType)):
-        return True
-    if isinstance(dt, T.ArrayType):
-        return not isinstance(dt.elementType, _SCALAR_TYPES)
-    if isinstance(dt, T.StructType):
-        return any(_is_complex(f.dataType) for f in dt.fields)
-    return False
-
-
-def _mixed_lines(df, general, schema, base, leaves, doc_cols, broadcast_bytes, buckets):
-    """Lines of any shape: ``(joined parts, fallback lines or None)``.
-
-    1. Each line is planned in the tasks (:mod:`.lineplan`) into leaves, a
-       postfix bool program and an anchor set; the plans are stored.
-    2. Candidates: per (kind, field) of the anchor leaves, one join with the
-       documents (hash join on the typed value, on match tokens, or the
-       bucketed range join), the line's plan carried along.
-    3. Verification on the JVM: every leaf of the line against the candidate
-       document, the program over those truths, and ownership — the row is
-       kept only for the first anchor leaf the document meets, so a document
-       is emitted once per line without a de-duplication shuffle.
-    """
-    from . import dsl, lineplan
-    from .lineplan import plan_batches
 
-    # the planner (and the DSL helpers it uses) travel with the task, so the
-    # executors need no installed copy of this package
-    for mod in (dsl, lineplan):
-        cloudpickle.register_pickle_by_value(mod)
+def _listed(keys: DataFrame):
+    """A test whether a text may be among ``keys`` (column ``k``): a bitmap of fixed size in the expression."""
+    bits = bytearray(_PLACES)
+    for r in keys.select(F.pmod(F.xxhash64("k"), F.lit(_PLACES)).cast("int").alias("at")).distinct().collect():  # at most _PLACES
+        bits[r["at"]] = 1
+    table = F.lit(bytes(bits))
+    return lambda t: F.substring(table, (F.pmod(F.xxhash64(t), F.lit(_PLACES)) + 1).cast("int"), F.lit(1)) == F.lit(b"\x01")
 
-    fields = _field_info(leaves)
-    planned = (general.select(QUERY_NO, F.to_json("query").alias("q"))
-               .mapInPandas(plan_batches(fields, _is_complex(schema)), "query_no long, plan string"))
-    p = F.from_json("plan", _PLAN_SCHEMA)
-    lines = materialize(planned.select(QUERY_NO, p.alias("p"), F.octet_length("plan").alias("__bytes")).select(
-        QUERY_NO, F.col("p.fallback").alias("__fallback"), F.col("p.prog").alias("__prog"),
-        F.col("p.depth").alias("__depth"),
-        F.col("p.anchors").alias("__anchors"), "__bytes",
-        _typed_leaves(F.col("p.leaves"), leaves).alias("__leaves")),
-        "line-plans")
-
-    anchored = (lines.filter(~F.col("__fallback"))
-                .select(QUERY_NO, "__prog", "__leaves", "__anchors", "__depth", "__bytes",
-                        F.explode("__anchors").alias("__j"))
-                .withColumn("__leaf", F.get(F.col("__leaves"), F.col("__j"))))
-    # one small job over the stored plans, bounded by kinds x schema paths:
-    # rows and plan bytes per (kind, field) of anchor leaves, the text fields
-    # some match leaf reads (tokenised once per document on the document side
-    # of every join, not once per candidate), and whether any line falls back
-    leaf_rows = lines.select(
-        "__fallback", "__bytes",
-        F.explode_outer(F.transform("__leaves", lambda l, i: F.struct(
-            l["kind"].alias("kind"), l["field"].alias("field"),
-            F.coalesce(F.array_contains("__anchors", i), F.lit(False)).alias("anchor")))).alias("l"))
-    summary = (leaf_rows.groupBy("__fallback", F.col("l.kind").alias("kind"), F.col("l.field").alias("field"),
-                                 F.col("l.anchor").alias("anchor"))
-               .agg(F.count(F.lit(1)).alias("n"), F.sum("__bytes").alias("bytes"))
-               .collect())
-    known_paths = set(leaves)
-    text_paths = {p for p, (_, t) in leaves.items() if isinstance(_elem(t), T.StringType)}
-    stats = [r for r in summary if not r["__fallback"] and r["anchor"] and r["field"] in known_paths]
-    has_fallback = any(r["__fallback"] for r in summary)
-    match_fields = sorted({r["field"] for r in summary
-                           if not r["__fallback"] and r["kind"] == "match" and r["field"] in text_paths})
-    tok_cols = {p: f"__tok{i}" for i, p in enumerate(match_fields)}
-    tok_exprs = [_doc_tokens(_column(base, leaves[p][0]), isinstance(leaves[p][1], T.ArrayType)).alias(n)
-                 for p, n in tok_cols.items()]
-    tok_names = [F.col(n) for n in tok_cols.values()]
-
-    leaf = F.col("__leaf")
-    carry = [F.col(c) for c in _CARRY]
-    slots = {ts: i for i, ts in enumerate(_slot_types(leaves))}
-    cands: list[DataFrame] = []
-    for r in sorted(stats, key=lambda r: (r["kind"], r["field"])):
-        kind, field = r["kind"], r["field"]
-        cparts, dtype = leaves[field]
-        is_array = isinstance(dtype, T.ArrayType)
-        etype = _elem(dtype)
-        slot = slots[etype.simpleString()]
-        small = 2 * int(r["bytes"] or 0) <= broadcast_bytes
-        rows = anchored.filter((leaf["kind"] == kind) & (leaf["field"] == field))
-        col = _column(base, cparts)
-        if kind == "range":
-            rq = rows.select(QUERY_NO, *carry, *[leaf[f"{k}_{slot}"].alias(f"__{k}") for k in _OPS])
-            # plan bytes per anchor row turn the byte budget into a row budget
-            per_row = 2 * max(1, int(r["bytes"] or 0) // max(1, int(r["n"])))
-            cands.append(_range_join(df, rq, _CARRY, base, cparts, dtype, etype, doc_cols,
-                                     broadcast_bytes // per_row, buckets, tok_exprs))
-            continue
-        if kind == "match" and isinstance(etype, T.StringType):
-            qside = rows.select(QUERY_NO, *carry, leaf["tokens"].alias("__qt"),
-                                F.explode(leaf["tokens"]).alias("__k"))
-            toks = F.col(tok_cols[field])
-            dside = (df.select(*doc_cols, *tok_exprs).select("*", F.explode(toks).alias("__k"))
-                     .filter(F.col("__k") != ""))
-            j = dside.join(F.broadcast(qside) if small else qside, "__k")
-            # a document meeting several tokens of the leaf: keep its smallest one
-            own = F.col("__k") == F.array_min(F.array_intersect(toks, F.col("__qt")))
-            cands.append(j.filter(own).select(QUERY_NO, *carry, *doc_cols, *tok_names))
+
+def _as_double(c: Column, etype: T.DataType) -> Column:
+    """An order-preserving double; wall clocks without a zone are read without one."""
+    if isinstance(etype, T.TimestampType):
+        return F.unix_micros(c).cast("double")
+    if isinstance(etype, T.TimestampNTZType):
+        seconds = F.unix_date(c.cast("date")).cast("long") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60
+        return seconds.cast("double") * 1e6 + (F.extract(F.lit("SECOND"), c) * 1000000).cast("double")
+    if isinstance(etype, T.DateType):
+        return F.unix_date(c).cast("double")
+    return c.cast("double")
+
+
+def _in_bounds(x: Column) -> Column:
+    """``x`` within the row's typed bounds ``__gte`` .. ``__lt`` (null = absent)."""
+    return _all([F.col(f"__{op}").isNull() | cmp(F.col(f"__{op}")) for op, cmp in _compare(x)])
+
+
+def _cuts(ends: DataFrame) -> tuple[list[float], bool]:
+    """(ascending cuts, whether every end point is one) of the distinct end points ``e``."""
+    n = ends.count()
+    step = -(-2 * n // _CELLS) if n else 1
+    if step > 1:
+        ends = number_rows(ends, [F.col("e").asc()], "rn").where(F.col("rn") % step == 0)
+    points = sorted(r["e"] for r in ends.select("e").collect())  # at most _CELLS / 2
+    cuts = {x for e in points if math.isfinite(e) for x in (e, math.nextafter(e, math.inf)) if math.isfinite(x)}
+    return [-math.inf, *sorted(cuts), math.inf], step == 1
+
+
+def _range_join(docs: _Docs, needs, rows: DataFrame, key: str, type_name: str, most_rows: int) -> DataFrame:
+    """Candidates of range anchors: dyadic nodes of the ranges against the ancestors of the documents' cells."""
+    from pyspark.ml.feature import Bucketizer
+
+    col, etype, is_list = docs.field(key)
+    rows = rows.select("line", "__exact", "__c", "__j", *[_typed(F.col(f"a.{op}"), type_name).alias(f"__{op}") for op in RANGE_OPS])
+    rows = rows.select("*", *[_as_double(F.col(f"__{op}"), etype).alias(f"__d{op}") for op in RANGE_OPS])
+    ends = rows.select(F.explode(F.array(*[f"__d{op}" for op in RANGE_OPS])).alias("e")).where("e is not null and not isnan(e)").distinct()
+    cuts, all_cut = _cuts(ends)
+    # a double stands for one value only: then open bounds exclude their own cell
+    plain = not isinstance(etype, T.DecimalType) and all(abs(x) < 2.0 ** 53 for x in cuts[1:-1])
+    sharp = all_cut and (plain or isinstance(etype, (T.FloatType, T.DoubleType)))
+    top = len(cuts) - 1  # cells 0 .. top - 1, and NaN, above all numbers, in cell top
+
+    def placed(frame, columns):
+        return Bucketizer(splitsArray=[cuts] * len(columns), inputCols=columns, outputCols=[f"{c}_at" for c in columns], handleInvalid="keep").transform(frame)
+
+    for op in RANGE_OPS:  # the bucketizer takes no nulls: absent bounds are replaced and ignored again
+        rows = rows.withColumn(f"__b{op}", F.coalesce(F.col(f"__d{op}"), F.lit(0.0)))
+    rows = placed(rows, [f"__b{op}" for op in RANGE_OPS])
+
+    def cell(op, shift):
+        at = F.col(f"__b{op}_at").cast("long")
+        finite = F.abs(F.col(f"__d{op}")) < math.inf  # infinite and NaN bounds share a cell with other values
+        return F.when(F.col(f"__d{op}").isNotNull(), at + F.when(finite & ~F.isnan(f"__d{op}"), F.lit(shift if sharp else 0)).otherwise(0))
+
+    lo = F.greatest(cell("gte", 0), cell("gt", 1), F.lit(0).cast("long"))
+    hi = F.least(cell("lte", 0), cell("lt", -1), F.lit(top).cast("long"))
+    height = (top + 1).bit_length()
+
+    def cover(j):
+        left = F.call_function("shiftright", F.col("__lo") + F.call_function("shiftleft", F.lit(1).cast("long"), j) - 1, j)
+        right = F.call_function("shiftright", F.col("__hi") + 1, j)
+        node = lambda i: F.struct(j.alias("level"), i.alias("i"))
+        odd_left = (left < right) & (left % 2 == 1)
+        odd_right = (left < right) & (right % 2 == 1) & (left + F.when(odd_left, 1).otherwise(0) <= right - 1)
+        return F.array(F.when(odd_left, node(left)), F.when(odd_right, node(right - 1)))
+
+    nodes = (rows.withColumns({"__lo": lo, "__hi": hi}).where("__lo <= __hi")
+             .withColumn("__n", F.explode(F.filter(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(height)), cover)), lambda x: x.isNotNull())))
+             .select("line", "__exact", "__c", "__j", *[f"__{op}" for op in RANGE_OPS],
+                     F.col("__n.level").alias("__level"), (F.col("__n.level").cast("long") * (1 << 32) + F.col("__n.i")).alias("__node")))
+    used = nodes.groupBy("__level").agg(F.count(F.lit(1)).alias("n")).collect()  # one row a level
+    if not used:
+        return None
+    small = sum(r["n"] for r in used) <= most_rows
+    values = F.explode(F.array_distinct(col)) if is_list else col
+    dside = docs.frame(needs, values.alias("__v")).where(F.col("__v").isNotNull()).withColumn("__d", _as_double(F.col("__v"), etype))
+    dside = placed(dside, ["__d"])
+    at = F.col("__d_at").cast("long")
+    ancestors = F.array(*[F.lit(r["__level"] * (1 << 32)).cast("long") + F.shiftright(at, r["__level"]) for r in sorted(used)])
+    joined = dside.withColumn("__node", F.explode(ancestors)).join(F.broadcast(nodes) if small else nodes, "__node")
+    hit = _in_bounds(F.col("__v"))
+    if is_list:  # a document meets a range once: for its smallest value inside
+        hit = hit & (F.col("__v") == F.array_min(F.filter(col, _in_bounds)))
+    return joined.where(hit)
+
+
+def _rarest(docs: _Docs, rows: DataFrame, key: str) -> DataFrame:
+    """The rows of ``rare`` anchors with the token of the least document frequency as ``__k``; without one that no document has."""
+    wanted = rows.select("line", "__j", F.explode("a.keys").alias("k"))
+    vocabulary = wanted.select("k").distinct()
+    tokens = docs.frame({("tokens", key)}).select(F.explode(F.filter(docs.stored_name("tokens", key), _listed(vocabulary))).alias("k"))
+    counts = tokens.groupBy("k").agg(F.count(F.lit(1)).alias("df"))
+    best = (wanted.join(counts, "k", "left").groupBy("line", "__j")
+            .agg(F.min(F.struct("df", "k")).alias("m"), F.max(F.col("df").isNull()).alias("absent"))
+            .where("not absent").select("line", "__j", F.col("m.k").alias("__k")))
+    return rows.join(materialize(best, "rare-tokens"), ["line", "__j"])
+
+
+def _candidates(docs: _Docs, needs, rows: DataFrame, how: str, key: str, type_name: str, lengths: list[int], small: bool, most_rows: int):
+    """Rows of documents and anchors (line, __exact, __c, __j) that meet, each pair once per anchor."""
+    base = ["line", "__exact", "__c", "__j"]
+    if how == "range":
+        return _range_join(docs, needs, rows, key, type_name, most_rows)
+    col, etype, is_list = docs.field(key)
+    own = None
+    if how == "value":
+        qside = rows.select(*base, _typed_list(F.col("a.keys"), type_name).alias("__ks"))
+        qside = qside.select("*", F.explode("__ks").alias("__k"))
+        dside = docs.frame(needs, (F.explode(F.array_distinct(col)) if is_list else col).alias("__k")).where(F.col("__k").isNotNull())
+        if is_list:  # a document with several of the values: for the smallest one
+            own = (F.size("__ks") < 2) | (F.col("__k") == F.array_min(F.array_intersect(col, F.col("__ks"))))
+        else:
+            qside = qside.drop("__ks")
+    elif how in ("token", "rare"):
+        needs = needs | {("tokens", key)}
+        have = F.col(docs.stored_name("tokens", key))
+        if how == "token":
+            qside = rows.select(*base, F.col("a.keys").alias("__ks"), F.explode("a.keys").alias("__k"))
+            own = F.col("__k") == F.array_min(F.array_intersect(have, F.col("__ks")))
+        else:
+            qside = _rarest(docs, rows, key).select(*base, "__k")
+        listed = _listed(qside.select(F.col("__k").alias("k")))
+        dside = docs.frame(needs).select("*", F.explode(F.filter(have, listed)).alias("__k"))
+    else:
+        qside = rows.select(*base, F.get("a.keys", 0).alias("__k"))
+        if how == "head":
+            def keys(x):
+                return F.array(*[F.when(F.length(x) >= n, F.substring(x, 1, n)) for n in lengths])
+        else:
+            def keys(x):
+                return F.flatten(F.array(*[F.regexp_extract_all(x, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in lengths]))
+        found = F.flatten(F.transform(F.filter(col, lambda x: x.isNotNull()), keys)) if is_list else keys(col)
+        listed = _listed(qside.select(F.col("__k").alias("k")))
+        found = F.array_distinct(F.filter(found, lambda x: x.isNotNull() & listed(x)))
+        dside = docs.frame(needs, F.explode(found).alias("__k"))
+    joined = dside.join(F.broadcast(qside) if small else qside, "__k")
+    return joined if own is None else joined.where(own)
+
+
+# --------------------------------------------------------------------------- E2
+
+
+def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: str | None = None,
+                broadcast_rows: int = 2_000_000, slice_size: int = 128, broadcast_bytes: int = 256 << 20,
+                compiled_shapes: int = 24) -> DataFrame:
+    """``(query_no, *df)`` for a query table ``(query_no, query VARIANT)``.
+
+    No join path needs a document id: a document is emitted once per line by
+    construction. ``id_col`` is accepted for callers that pass one. ``compiled_shapes``: so many of the most
+    frequent line shapes get a predicate of their own; the other lines are interpreted, with equal results.
+    """
+    docs = _Docs(df, root)
+    schema = docs.resolver.base_type.jsonValue()
+    slots = sorted(_element_types(schema) | {"string"})
+    lines, numbers = _plan_lines(queries, schema, "_id" in df.columns, slots)
+    anchors = lines.where(F.col("anchors").isNotNull())
+    # small jobs over the stored plans, bounded by kinds x fields and by the shapes asked for
+    each = anchors.select("exact", "bytes", F.explode("anchors").alias("a"))
+    weight = F.greatest(F.size("a.keys"), F.lit(1))
+    stats = (each.groupBy(F.col("a.how").alias("how"), F.col("a.key").alias("key"))
+             .agg(F.max("a.ty").alias("ty"), F.sum(weight).alias("rows"), F.sum(weight * F.when(F.col("exact"), 64).otherwise(F.col("bytes"))).alias("bytes"),
+                  F.collect_set(F.when(F.col("a.how").isin("head", "gram"), F.length(F.get("a.keys", 0)))).alias("lengths"))
+             .collect())
+    shapes = (lines.where(~F.col("exact")).groupBy("shape_id").agg(F.count(F.lit(1)).alias("n"), F.first("shape").alias("shape"))
+              .orderBy(F.desc("n"), "shape_id").limit(compiled_shapes + 1).collect())
+    every = len(shapes) <= compiled_shapes
+    shapes = [(r["shape_id"], json.loads(r["shape"])) for r in shapes[:compiled_shapes]]
+    counts = lines.agg(F.count("q").alias("open"), F.count(F.lit(1)).alias("n")).first()
+    doubled = numbers.count() != counts["n"]
+    verifier = _Verifier(docs, slots)
+    others: set[tuple[str, str]] = set()
+    if not every:
+        rest = lines.where(~F.col("exact") & ~F.col("shape_id").isin(*[s for s, _ in shapes]))
+        others = {(r["kind"], r["key"]) for r in rest.select(F.explode("leaves").alias("f")).select("f.kind", "f.key").distinct().collect()}
+
+    sid = reduce(lambda w, x: w.when(F.col("shape_id") == x[1][0], F.lit(x[0])), list(enumerate(shapes))[1:],
+                 F.when(F.col("shape_id") == shapes[0][0], F.lit(0))).otherwise(-1) if shapes else F.lit(-1)
+    carried = ["tokens", *[f"l{i}" for i in range(len(slots))], *[f"x{i}" for i in range(len(slots))]]
+    program = [F.when(F.col("__sid") < 0, F.col(c)).alias(c) for c in ("prog", "leaves", "depth")]
+    program.append(F.when(F.col("__sid") < 0, F.transform("anchors", lambda a: a["j"])).alias("places"))
+    carry = F.struct(F.col("__sid").alias("sid"), *carried, *([] if every else program))
+    anchored = (anchors.withColumn("__sid", sid).withColumn("__c", carry)
+                .select("line", F.col("exact").alias("__exact"), F.when(~F.col("exact"), F.col("__c")).alias("__c"), F.explode("anchors").alias("a"))
+                .withColumn("__j", F.col("a.j")))
+
+    parts: list[DataFrame] = []
+    for r in sorted(stats, key=lambda r: (r["how"], r["key"])):
+        how, key = r["how"], r["key"]
+        mine = [(i, s) for i, (_, s) in enumerate(shapes) if any((a["how"], a["key"]) == (how, key) for a in s["anchors"])]
+        tested = bool(mine) or not every
+        leaves = {(f["kind"], f["key"]) for _, s in mine for f in s["leaves"]} | others
+        rows = anchored.where((F.col("a.how") == how) & (F.col("a.key") == key))
+        if not tested:
+            rows = rows.withColumn("__c", F.lit(None).cast("boolean"))
+        size = 2 * int(r["bytes"])
+        small = r["rows"] <= broadcast_rows and size <= broadcast_bytes
+        # plan bytes per anchor row turn the byte budget into a row budget
+        most_rows = min(broadcast_rows, broadcast_bytes // max(1, size // int(r["rows"])))
+        found = _candidates(docs, verifier.needs(leaves), rows, how, key, slots[r["ty"]], sorted(r["lengths"]), small, most_rows)
+        if found is None:
             continue
-        # term, and match on a non-text field (behaves like term)
-        qside = rows.select(QUERY_NO, *carry, leaf[f"value_{slot}"].alias("__k"))
-        key = F.explode(F.array_distinct(col)) if is_array else col
-        dside = df.select(*doc_cols, *tok_exprs, key.alias("__k")).filter(F.col("__k").isNotNull())
-        j = dside.join(F.broadcast(qside) if small else qside, "__k")
-        cands.append(j.select(QUERY_NO, *carry, *doc_cols, *tok_names))
-
-    out = []
-    if cands:
-        c = reduce(DataFrame.unionByName, cands)
-        truths = F.transform("__leaves", lambda l: _leaf_truth(l, base, leaves, tok_cols))
+        if tested:
+            keep = F.when(F.col("__exact"), F.lit(True))
+            for i, s in mine:
+                keep = keep.when(F.col("__c.sid") == i, verifier.compiled(s))
+            found = found.where(keep.otherwise(F.lit(False) if every else verifier.interpreted(others)))
+        parts.append(found.select("line", *docs.columns))
+    if counts["open"]:
+        parts.extend(_unanchored(df, lines.where(F.col("q").isNotNull()), root, slice_size))
+    if not parts:
+        return df.select(F.lit(None).cast("long").alias(QUERY_NO), *docs.columns).limit(0)
+    out = reduce(DataFrame.unionByName, parts)
+    few = counts["n"] and numbers.count() <= broadcast_rows if doubled else True
+    numbers = materialize(numbers, "line-numbers")
+    return out.join(F.broadcast(numbers) if few else numbers, "line").select(QUERY_NO, *docs.columns)
 
-        def verdict(t):
-            owner = F.array_min(F.filter("__anchors", lambda i: F.get(t, i)))
-            ok = F.when(F.col("__depth") <= _BIT_DEPTH, _run_bits(F.col("__prog"), t)) \
-                  .otherwise(_run_prog(F.col("__prog"), t))
-            return ok & (F.col("__j") == owner)
-        # the truths are bound once (a one-element transform acts as "let"):
-        # as a plain column Catalyst would inline them at every use
-        keep = F.get(F.transform(F.array(truths), verdict), 0)
-        out.append(c.filter(keep).select(QUERY_NO, *doc_cols))
-    fallback = None
-    if has_fallback:
-        fallback = lines.filter(F.col("__fallback")).join(general.select(QUERY_NO, "query"), QUERY_NO)
-    return out, fallback
+
+def _unanchored(df: DataFrame, lines: DataFrame, root, slice_size: int) -> list[DataFrame]:
+    """Lines that match most documents, compiled on the driver one slice at a time."""
+    out, batch = [], []
+
+    def flush():
+        if batch:
+            part = multi_query(df, [json.loads(q) for _, q in batch], root, query_col="__at")
+            mapping = F.element_at(F.array(*[F.lit(n) for n, _ in batch]), F.col("__at").cast("int") + 1)
+            out.append(part.select(mapping.cast("long").alias("line"), *[F.col(quote(c)) for c in df.columns]))
+            batch.clear()
+
+    for r in lines.select("line", "q").orderBy("line").toLocalIterator():
+        batch.append((int(r["line"]), r["q"]))
+        if len(batch) >= slice_size:
+            flush()
+    flush()
+    return out

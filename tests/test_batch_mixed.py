@@ -5,9 +5,10 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ferry.operators.lineplan import plan_line
-from ferry.operators.multiquery import batch_query, multi_query
+from ferry.operators.lineplan import Fields, plan_line
+from ferry.operators.multiquery import _element_types, batch_query, multi_query
 
 # ids repeat on purpose: the mixed path must not need a document id
 ROWS = [
@@ -64,29 +65,57 @@ def _query_table(spark, qs):
 def test_random_mixed_lines_equal_compiled(spark, docs):
     rng = random.Random(11)
     qs = [_tree(rng) for _ in range(80)]
-    got = _pairs(batch_query(docs, _query_table(spark, qs), id_col="id"))
     want = _pairs(multi_query(docs, qs))
-    assert got == want
+    for shapes in (3, 24):  # most lines interpreted, and most compiled
+        assert _pairs(batch_query(docs, _query_table(spark, qs), id_col="id", compiled_shapes=shapes)) == want
 
 
-def test_anchor_sets(docs):
-    fields = {"s": ("string", False), "n": ("number", False), "tags": ("string", True),
-              "p": ("number", False)}
+def _fields(ddl):
+    return Fields(T._parse_datatype_string(ddl).jsonValue(), False), sorted(_element_types(T._parse_datatype_string(ddl).jsonValue()))
+
+
+def _met(plan):
+    """(kind, field) of the anchors of a plan; None for a line without."""
+    if "q" in plan:
+        return None
+    return [({"value": "term", "token": "match"}.get(a["how"], a["how"]), a["key"]) for a in plan["anchors"]]
+
+
+def test_anchor_sets():
+    fields = _fields("s string, n int, tags array<string>, p double")
     # must: the cheapest anchored child; should (alone): all of them
     p = plan_line(json.dumps({"bool": {"must": [{"match": {"s": "a b"}}, {"term": {"n": 1}}],
-                                       "must_not": {"term": {"s": "x"}}}}), fields, False)
-    assert not p["fallback"] and p["anchors"] == [1]
-    p = plan_line(json.dumps({"bool": {"should": [{"term": {"s": "a"}}, {"range": {"p": {"gt": 1}}}]}}),
-                  fields, False)
-    assert p["anchors"] == [0, 1]
+                                       "must_not": {"term": {"s": "x"}}}}), *fields)
+    assert _met(p) == [("term", "n")]
+    p = plan_line(json.dumps({"bool": {"should": [{"term": {"s": "a"}}, {"range": {"p": {"gt": 1}}}]}}), *fields)
+    assert sorted(_met(p)) == [("range", "p"), ("term", "s")]
     # nothing positive: compiled path
-    assert plan_line(json.dumps({"bool": {"must_not": {"term": {"s": "a"}}}}), fields, False)["fallback"]
+    assert _met(plan_line(json.dumps({"bool": {"must_not": {"term": {"s": "a"}}}}), *fields)) is None
     # should next to must does not filter, so it cannot anchor
     p = plan_line(json.dumps({"bool": {"must": {"bool": {"must_not": {"term": {"s": "a"}}}},
-                                       "should": {"term": {"s": "b"}}}}), fields, False)
-    assert p["fallback"]
+                                       "should": {"term": {"s": "b"}}}}), *fields)
+    assert _met(p) is None
     # text range: compiled path
-    assert plan_line(json.dumps({"range": {"s": {"gte": "a"}}}), fields, False)["fallback"]
+    assert _met(plan_line(json.dumps({"range": {"s": {"gte": "a"}}}), *fields)) is None
+    # two of three must hold: any two of them are met by every document
+    p = plan_line(json.dumps({"bool": {"should": [{"term": {"n": 1}}, {"match": {"s": "a b"}}, {"range": {"s": {"gte": "a"}}}],
+                                       "minimum_should_match": 2}}), *fields)
+    assert sorted(_met(p)) == [("match", "s"), ("term", "n")]
+
+
+def test_equal_lines_have_equal_plans():
+    fields = _fields("s string, n int, tags array<string>, p double")
+    same = [
+        {"bool": {"should": [{"term": {"n": 1}}, {"term": {"n": {"value": "2"}}}, {"term": {"s": "x"}}]}},
+        {"bool": {"should": [{"term": {"s": "x"}}, {"terms": {"n": [2, 1, 1, 2.5]}}]}},
+        {"bool": {"must": {"bool": {"should": [{"bool": {"should": [{"term": {"n": 2.0}}, {"term": {"n": 1}}]}}, {"term": {"s": "x"}}]}}}},
+        {"bool": {"filter": {"bool": {"should": [{"term": {"s": "x"}}, {"terms": {"n": [1, 2]}}], "minimum_should_match": 1}},
+                  "must": [{}, {"match_all": {}}], "should": {"term": {"p": 3}}, "must_not": {"term": {"nope": 1}}}},
+    ]
+    assert len({json.dumps(plan_line(json.dumps(q), *fields), sort_keys=True) for q in same}) == 1
+    never = [{"term": {"nope": 1}}, {"terms": {"n": []}}, {"bool": {"must": {"term": {"n": 1.5}}}}, {"match": {"s": "!!"}},
+             {"bool": {"must_not": {"match_all": {}}}}, {"bool": {"should": {"term": {"n": 1}}, "minimum_should_match": 2}}]
+    assert all(plan_line(json.dumps(q), *fields) == {"never": True} for q in never)
 
 
 def test_mixed_plan_is_hash_joins(spark, docs):
@@ -103,11 +132,12 @@ def test_deep_line_uses_array_stack(spark, docs):
     wide = {"bool": {"should": [{"term": {"n": v}} for v in range(0, 70)]
                      + [{"match": {"s": "cat"}}],
                      "must_not": {"term": {"tags": "y"}}}}
-    assert plan_line(json.dumps(wide), {"s": ("string", False), "n": ("number", False),
-                                         "tags": ("string", True)}, False)["depth"] > 62
+    wide["bool"]["should"] = [{"range": {"n": {"gte": v, "lte": v}}} for v in range(70)] + wide["bool"]["should"][-1:]
+    assert plan_line(json.dumps(wide), *_fields("s string, n int, tags array<string>"))["depth"] > 62
     qs = [wide, {"bool": {"must": [{"range": {"p": {"gte": 1}}}], "should": [{"term": {"n": 10}}]}}]
-    got = _pairs(batch_query(docs, _query_table(spark, qs)))
-    assert got == _pairs(multi_query(docs, qs))
+    for shapes in (24, 0):  # compiled, and interpreted
+        got = _pairs(batch_query(docs, _query_table(spark, qs), compiled_shapes=shapes))
+        assert got == _pairs(multi_query(docs, qs))
 
 
 def test_hot_value_third_of_rows(spark):
@@ -147,11 +177,11 @@ def test_planner_travels_without_installed_package(tmp_path):
 
     from pyspark import cloudpickle
 
-    from ferry.operators import dsl, lineplan
+    from ferry.operators import clauses, lineplan
 
-    for mod in (dsl, lineplan):
+    for mod in (clauses, lineplan):
         cloudpickle.register_pickle_by_value(mod)
-    fn = lineplan.plan_batches({"s": ("string", False)}, False)
+    fn = lineplan.plan_batches({"type": "struct", "fields": [{"name": "s", "type": "string"}]}, False, ["string"])
     blob = tmp_path / "fn.pkl"
     blob.write_bytes(cloudpickle.dumps(fn))
     code = ("import pickle, sys, pandas as pd\n"
@@ -162,7 +192,7 @@ def test_planner_travels_without_installed_package(tmp_path):
     res = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), capture_output=True, text=True,
                          env={"PATH": "/usr/bin:/bin"}, timeout=120)
     assert res.returncode == 0, res.stderr[-2000:]
-    assert '"tokens": ["a", "b"]' in res.stdout
+    assert '"keys": ["a", "b"]' in res.stdout
 
 
 def test_wide_ranges_over_the_broadcast_bound_shuffle(spark, docs):
