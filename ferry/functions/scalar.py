@@ -64,11 +64,10 @@ def flatten_paths(df: DataFrame, key: str, doc) -> DataFrame:
     row, a JSON null leaf gives a row with a VARIANT null. ``doc`` may be a
     VARIANT or a struct column (converted with ``to_variant_object``).
 
-    One scan, one ``explode`` per level: a container row expands into its
-    children, a leaf passes through as a one-element array, so the plan is a
-    linear chain of generators. The number of levels is the deepest nesting in
-    the data (one narrow aggregate); a container left after them is an error,
-    never a value.
+    One read of the documents, at any depth: a container row expands into its children by a generator,
+    ``_EAGER_LEVELS`` times; a leaf passes through as a one-element array. What is still a container then is
+    expanded inside its row by a loop over the levels that it has itself; documents
+    without such depth never enter that branch. A container left at the end is an error, never a value.
     """
     from pyspark.sql import types as T
 
@@ -79,24 +78,31 @@ def flatten_paths(df: DataFrame, key: str, doc) -> DataFrame:
     no = F.lit(False)
     level = df.select(F.col(key).alias("__key"),
                       F.struct(F.lit("").alias("path"), d.alias("value"), no.alias("done")).alias("n"))
-    depth = df.select(F.max(nesting_depth(d)).alias("n")).first()["n"] or 0
-    for _ in range(depth + 1):
-        path, value = F.col("n.path"), F.col("n.value")
-        as_map = F.try_variant_get(value, "$", "map<string,variant>")
-        as_arr = F.try_variant_get(value, "$", "array<variant>")
-        obj_children = F.transform(F.map_entries(as_map), lambda e: F.struct(
-            F.when(path == "", e["key"]).otherwise(F.concat(path, F.lit("."), e["key"])).alias("path"),
-            e["value"].alias("value"), no.alias("done")))
-        arr_children = F.transform(as_arr, lambda x, i: F.struct(
-            F.concat(path, F.lit("["), i.cast("string"), F.lit("]")).alias("path"), x.alias("value"),
-            no.alias("done")))
-        # a leaf is marked once and passes through later levels without being parsed again
-        children = (F.when(F.col("n.done"), F.array(F.col("n")))
-                     .when(as_map.isNotNull(), obj_children)
-                     .when(as_arr.isNotNull(), arr_children)
-                     .otherwise(F.array(F.struct(path.alias("path"), value.alias("value"),
-                                                 F.lit(True).alias("done")))))
-        level = level.select("__key", F.explode(children).alias("n"))
+    for _ in range(_EAGER_LEVELS):
+        level = level.select("__key", F.explode(_expanded(F.col("n"))).alias("n"))
+    n = F.col("n")
+    deep = F.aggregate(F.sequence(F.lit(0), nesting_depth(n["value"])), F.array(n),
+                       lambda nodes, _: F.flatten(F.transform(nodes, _expanded)))
+    level = level.select("__key", F.explode(F.when(n["done"], F.array(n)).otherwise(deep)).alias("n"))
     done = F.when(F.col("n.done"), True).otherwise(
         F.raise_error(F.lit("nested deeper than its JSON tells")).cast("boolean"))
     return level.filter(done).select(F.col("__key").alias(key), F.col("n.path").alias("path"), F.col("n.value").alias("value"))
+
+
+#: Levels of nesting that flatten_paths expands by generators.
+_EAGER_LEVELS = 2
+
+
+def _expanded(n: Column) -> Column:
+    """The children of a node (path, value, done); of a leaf the leaf itself, marked once and not parsed again."""
+    path, value = n["path"], n["value"]
+    as_map = F.try_variant_get(value, "$", "map<string,variant>")
+    as_arr = F.try_variant_get(value, "$", "array<variant>")
+    no = F.lit(False)
+    objects = F.transform(F.map_entries(as_map), lambda e: F.struct(
+        F.when(path == "", e["key"]).otherwise(F.concat(path, F.lit("."), e["key"])).alias("path"),
+        e["value"].alias("value"), no.alias("done")))
+    items = F.transform(as_arr, lambda x, i: F.struct(
+        F.concat(path, F.lit("["), i.cast("string"), F.lit("]")).alias("path"), x.alias("value"), no.alias("done")))
+    leaf = F.array(F.struct(path.alias("path"), value.alias("value"), F.lit(True).alias("done")))
+    return F.when(n["done"], F.array(n)).when(as_map.isNotNull(), objects).when(as_arr.isNotNull(), items).otherwise(leaf)

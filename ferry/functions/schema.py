@@ -86,3 +86,44 @@ def field_profile(flat: DataFrame) -> DataFrame:
     """
     return (flat.groupBy("path", F.schema_of_variant("value").alias("type"))
             .agg(F.count(F.lit(1)).alias("docs")))
+
+
+#: Kinds of a typed value as bits; a path's bits are combined by a bitwise or.
+_KINDS = (("BOOLEAN", 1), ("BIGINT", 2), ("DECIMAL", 4), ("DOUBLE", 8), ("FLOAT", 8), ("DATE", 16), ("TIMESTAMP_NTZ", 32),
+          ("TIMESTAMP", 64), ("STRING", 128), ("BINARY", 256), ("UUID", 512))
+
+
+def merged_schema(flat: DataFrame, key: str) -> DataFrame:
+    """H3 typed: ``(path, type, docs, nulls)`` over flattened ``(key, path, value VARIANT)`` rows.
+
+    List positions fold into ``[]``. ``type`` is the narrowest type that holds all values of the path: BIGINT, then DECIMAL
+    wide enough for the integer digits and the scale seen, then DOUBLE; DATE, then TIMESTAMP_NTZ, then TIMESTAMP; STRING for
+    any other mixture of scalars; VOID if all are null. ``docs``: documents that have the path, ``nulls``: values that are null.
+    The merge is an associative aggregate of a few integers (kinds seen as bits, digits, scale), first per document, then per
+    path, both combined where they are read.
+    """
+    shape = F.schema_of_variant("value")
+    path = F.regexp_replace("path", r"\[[0-9]+\]", "[]")
+    bits = F.lit(0)
+    for name, bit in reversed(_KINDS):
+        bits = F.when(shape.startswith(name), F.lit(bit)).otherwise(bits)
+    digits = F.regexp_extract(shape, r"^DECIMAL\((\d+),", 1).try_cast("int")
+    scale = F.regexp_extract(shape, r",\s*(\d+)\)$", 1).try_cast("int")
+    whole = F.when(shape == "BIGINT", F.lit(19)).otherwise(digits - scale)
+    rows = flat.select(F.col(key).alias("k"), path.alias("path"), bits.alias("bits"), whole.alias("whole"), scale.alias("scale"),
+                       (shape == "VOID").cast("long").alias("void"))
+    merged = [F.bit_or("bits").alias("bits"), F.max("whole").alias("whole"), F.max("scale").alias("scale")]
+    docs = rows.groupBy("k", "path").agg(*merged, F.sum("void").alias("void"))
+    paths = docs.groupBy("path").agg(*merged, F.count(F.lit(1)).alias("docs"), F.sum("void").alias("nulls"))
+    seen = F.col("bits")
+
+    def only(*kinds):
+        mask = sum({bit for name, bit in _KINDS if name in kinds})
+        return seen.bitwiseAND(F.lit(~mask)) == 0
+
+    wide = F.least(F.col("whole") + F.col("scale"), F.lit(38))
+    kind = (F.when(seen == 0, "VOID").when(only("BOOLEAN"), "BOOLEAN").when(only("BIGINT"), "BIGINT")
+            .when(only("BIGINT", "DECIMAL"), F.format_string("DECIMAL(%d,%d)", wide, F.col("scale")))
+            .when(only("BIGINT", "DECIMAL", "DOUBLE"), "DOUBLE").when(only("DATE"), "DATE").when(only("DATE", "TIMESTAMP_NTZ"), "TIMESTAMP_NTZ")
+            .when(only("DATE", "TIMESTAMP_NTZ", "TIMESTAMP"), "TIMESTAMP").when(only("BINARY"), "BINARY").when(only("UUID"), "UUID").otherwise("STRING"))
+    return paths.select("path", kind.alias("type"), "docs", "nulls")

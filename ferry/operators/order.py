@@ -20,9 +20,10 @@ from ..session import materialize
 from .dsl import QueryError, quote
 from .envelope import is_envelope
 
-#: above this cap a sort + limit would gather too much in the final task;
-#: larger caps use exact numbering and a distributed filter instead
-TOPK_MAX = 100_000
+#: a sort + limit sends so many rows of each task to the final one; larger caps are selected first
+TOPK_MAX = 10_000
+#: values of the first sort key that a selection looks at on the driver
+_SAMPLE = 10_000
 
 
 def parse_sort(spec) -> list[tuple[str, bool]]:
@@ -107,9 +108,9 @@ def sort_docs(df: DataFrame, spec, tiebreak=None) -> DataFrame:
 def cap(df: DataFrame, max_docs: int, spec=None, tiebreak=None) -> DataFrame:
     """At most ``max_docs`` rows after the sort; 0 = no cap.
 
-    Small caps plan as ``TakeOrderedAndProject`` (per-task top-k, then a merge
-    of at most ``tasks × max`` rows); large caps number rows exactly, filter
-    and sort by the number, which stays distributed. Both come in order.
+    Small caps plan as ``TakeOrderedAndProject`` (per-task top-k, then a merge of at most ``tasks × TOPK_MAX`` rows).
+    Larger ones select first (:func:`selected`): only rows up to a bracket of the ``max``-th key are numbered
+    and sorted, each task its share. Both come in order.
     """
     if max_docs < 0:
         raise ValueError("max must be >= 0")
@@ -118,10 +119,42 @@ def cap(df: DataFrame, max_docs: int, spec=None, tiebreak=None) -> DataFrame:
     cols = sort_columns(df, spec, tiebreak)
     if max_docs <= TOPK_MAX:
         return (df.orderBy(*cols) if cols else df).limit(max_docs)
-    numbered = number_rows(df, cols, "_rn")
+    numbered = number_rows(selected(df, max_docs, spec, tiebreak), cols, "_rn")
     return numbered.filter(F.col("_rn") <= max_docs).orderBy("_rn").drop("_rn")
 
 
+def selected(df: DataFrame, n: int, spec=None, tiebreak=None) -> DataFrame:
+    """Rows that may be among the first ``n`` of the sort: all of those, and few others.
+
+    A sample of the first sort key proposes a bracket of the ``n``-th key; one narrow count tells whether it
+    holds ``n`` rows. If not it is widened fourfold, up to all rows. Keys of untyped fields are not bracketed.
+    """
+    keys = parse_sort(spec) + [(f, True) for f in _tiebreak(df, tiebreak)]
+    if not keys:
+        return df
+    key, asc = field_column(df, keys[0][0]), keys[0][1]
+    dtype = df.select(key.alias("k")).schema["k"].dataType
+    if isinstance(dtype, (T.StructType, T.BinaryType)):
+        return df
+    narrow = df.select(key.alias("k"))
+    known = narrow.agg(F.count(F.lit(1)).alias("all"), F.count("k").alias("some")).first()
+    if n >= known["some"]:
+        return df  # nulls, which come last, are among them
+    share = min(1.0, 2 * _SAMPLE / known["some"])
+    # values travel as text and are cast back: the same for every scalar type
+    sample = narrow.where("k is not null").sample(share, 7).orderBy(F.col("k").asc() if asc else F.col("k").desc()) \
+        .limit(2 * _SAMPLE).select(F.col("k").cast("string").alias("t")).collect()
+    at = n * len(sample) / known["some"]
+    slack = 4 * (at + 1) ** 0.5 + 1
+    while at + slack < len(sample):
+        bound = F.lit(sample[int(at + slack)]["t"]).cast(dtype)
+        keep = (key <= bound) if asc else (key >= bound)
+        if df.where(keep).count() >= n:
+            return df.where(keep)
+        slack *= 4
+    return df.where(key.isNotNull())
+
+
 def number_rows(df: DataFrame, order_cols: list[Column], name: str = "_rn") -> DataFrame:
     """Exact 1-based global row number in ``order_cols`` order (unique order assumed).
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.dsl import apply_query
+from ..operators.dsl import TOKEN_SPLIT, apply_query
 from ..operators.envelope import include_fields, pack, unpack
 from ..operators.order import cap, sort_docs
 from ..session import scratch_path
@@ -438,6 +438,60 @@ def q_batch_query_mixed(spark, sf_dir):
     return res.select("query_no", F.col("_source.o_orderkey").alias("o_orderkey"))
 
 
+@register("batch_query_variant", ORACLE["batch_query_mixed"])
+def q_batch_query_variant(spark, sf_dir):
+    """The mixed list over the same documents without a schema."""
+    ql = scan_query_list(spark, mixed_query_list(spark, sf_dir))
+    docs = orders_collection(spark, sf_dir).withColumn("_source", F.to_variant_object("_source"))
+    return batch_query(docs, ql).select("query_no", F.variant_get("_source", "$.o_orderkey", "bigint").alias("o_orderkey"))
+
+
+@register("batch_query_prefix", """
+with q as (select row_number() over (order by s_suppkey) - 1 as query_no, s_suppkey as k from supplier)
+select q.query_no, c.c_custkey from q join customer c
+  on q.k % 2 = 0 and starts_with(c.c_name, 'Customer#' || lpad(cast(q.k as varchar), 7, '0'))
+union all
+select q.query_no, c.c_custkey from q join customer c
+  on q.k % 2 = 1 and c.c_name like '%' || lpad(cast(q.k as varchar), 4, '0')""")
+def q_batch_query_prefix(spark, sf_dir):
+    """Prefix and wildcard lines, one per supplier, over customer names."""
+    k = F.col("s_suppkey")
+    line = F.when(k % 2 == 0, F.format_string('{"prefix":{"c_name":"Customer#%07d"}}', k)) \
+            .otherwise(F.format_string('{"wildcard":{"c_name":{"value":"*%04d"}}}', k))
+    ql = scan_query_list(spark, write_query_list(table(spark, sf_dir, "supplier").select("s_suppkey", line.alias("line")), "s_suppkey",
+                                                 scratch_path(spark, "name-queries")))
+    return batch_query(table(spark, sf_dir, "customer"), ql).select("query_no", "c_custkey")
+
+
+@register("batch_query_match_text", r"""
+with q as (select row_number() over (order by item_id) - 1 as query_no, item_id,
+                  regexp_split_to_array(lower(text), '[^\p{L}\p{N}_]+') as t from benchmark),
+d as (select doc_id, regexp_split_to_array(lower(text), '[^\p{L}\p{N}_]+') as t from documents)
+select q.query_no, d.doc_id from q join d on q.item_id % 2 = 0 and list_has_all(d.t, q.t[1:4])
+union all
+select q.query_no, d.doc_id from q join d
+  on q.item_id % 2 = 1 and contains(' ' || array_to_string(d.t, ' ') || ' ', ' ' || array_to_string(q.t[2:3], ' ') || ' ')""")
+def q_batch_query_match_text(spark, sf_dir):
+    """One line per benchmark item over the documents' texts: all of its first four tokens, or two of them as a phrase."""
+    b = table(spark, sf_dir, "benchmark")
+    words = F.split(F.lower("text"), TOKEN_SPLIT)
+    line = F.when(F.col("item_id") % 2 == 0, F.format_string('{"match":{"text":{"query":"%s","operator":"and"}}}', F.array_join(F.slice(words, 1, 4), " "))) \
+            .otherwise(F.format_string('{"match_phrase":{"text":"%s"}}', F.array_join(F.slice(words, 2, 2), " ")))
+    ql = scan_query_list(spark, write_query_list(b.select("item_id", line.alias("line")), "item_id", scratch_path(spark, "text-queries")))
+    return batch_query(table(spark, sf_dir, "documents"), ql).select("query_no", "doc_id")
+
+
+@register("batch_query_repeated", """
+select q.query_no, c.c_custkey from (select row_number() over (order by event_id) - 1 as query_no, user_id from events) q
+join customer c on c.c_custkey = q.user_id""")
+def q_batch_query_repeated(spark, sf_dir):
+    """One line per event; the few different ones are answered once each."""
+    line = F.format_string('{"bool":{"must":[{"term":{"c_custkey":%d}},{"match_all":{}}]}}', F.col("user_id"))
+    ql = scan_query_list(spark, write_query_list(table(spark, sf_dir, "events").select("event_id", line.alias("line")), "event_id",
+                                                 scratch_path(spark, "user-queries")))
+    return batch_query(table(spark, sf_dir, "customer"), ql).select("query_no", "c_custkey")
+
+
 Q_TWO = [Q_STATUS_F, Q_PRICE]
 
 
@@ -462,9 +516,9 @@ def q_multi_query_cap(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- numbering, pages, splits
-from ..operators.account import reconcile_counts, response_health  # noqa: E402
+from ..operators.account import reconcile_contents, reconcile_counts, response_health  # noqa: E402
 from ..operators.order import page_progress, paginate  # noqa: E402
-from ..sinks.ndjson import read_split, split_export  # noqa: E402
+from ..sinks.ndjson import read_split, read_split_files, split_export, split_files  # noqa: E402
 from ..sinks.responses import export_response_pages  # noqa: E402
 from ..sinks.upsert import append_to, create_like, latest_per_key, upsert_to  # noqa: E402
 from ..sources.collection import scan_multi  # noqa: E402
@@ -555,6 +609,28 @@ def q_last_write_wins(spark, sf_dir):
     return latest_per_key(ev, "user_id", ["ts", "event_id"]).select("user_id", "event_id", "event_type")
 
 
+@register("reconcile_contents", """
+select cast(o_orderkey as varchar) as id, case when o_orderkey % 7 = 0 then 'missing' when o_orderkey % 11 = 0 then 'rows' else 'changed' end as what,
+       cast(1 as bigint) as source_rows, cast(case when o_orderkey % 7 = 0 then 0 when o_orderkey % 11 = 0 then 2 else 1 end as bigint) as target_rows
+from orders where o_orderkey % 7 = 0 or o_orderkey % 11 = 0 or o_orderkey % 13 = 0""")
+def q_reconcile_contents(spark, sf_dir):
+    """A copy that lost rows, doubled rows and changed values, compared with its source by content."""
+    orders, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    path = scratch_path(spark, "copied-orders")
+    (orders.where(k % 7 != 0).withColumn("o_totalprice", F.when(k % 13 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+     .withColumn("copy", F.explode(F.sequence(F.lit(1), F.when(k % 11 == 0, 2).otherwise(1)))).drop("copy").write.parquet(path))
+    return reconcile_contents(orders, spark.read.parquet(path), "o_orderkey")
+
+
+@register("split_files", f"select o_orderkey, chunk from {SPLIT_NUMBERED}")
+def q_split_files(spark, sf_dir):
+    """Split export to single named files, read back by their names."""
+    path = scratch_path(spark, "split-files")
+    split_files(orders_collection(spark, sf_dir), path, SPLIT, "o_orderkey", base="orders")
+    back = read_split_files(spark, path, "orders")
+    return back.select(F.variant_get("doc", "$._source.o_orderkey", "bigint").alias("o_orderkey"), "chunk")
+
+
 @register("append_auto_id", """
 select 'orders_copy' as _index, o_orderkey, 64 as id_len, o_orderstatus = 'F' as second from orders""")
 def q_append_auto_id(spark, sf_dir):
@@ -669,9 +745,22 @@ def q_stream_upsert(spark, sf_dir):
     return spark.read.parquet(newest).select("user_id", "event_id", "event_type")
 
 
+@register("stream_upsert_buckets", LWW_SQL)
+def q_stream_upsert_buckets(spark, sf_dir):
+    """The streaming upsert into hash buckets with deltas, one file a micro-batch."""
+    s = F.col("doc")
+    rows = stream_ndjson(spark, events_files(spark, sf_dir), max_files_per_trigger=1).select(
+        F.variant_get(s, "$._source.user_id", "bigint").alias("user_id"), F.variant_get(s, "$._source.ts", "timestamp_ntz").alias("ts"),
+        F.variant_get(s, "$._source.event_id", "bigint").alias("event_id"), F.variant_get(s, "$._source.event_type", "string").alias("event_type"))
+    target = BucketTable(spark, scratch_path(spark, "users-buckets"), "user_id", ["ts", "event_id"], buckets=8, most_deltas=2)
+    stream_upsert_buckets(rows, target, scratch_path(spark, "buckets-ckpt"))
+    return target.read().select("user_id", "event_id", "event_type")
+
+
 # ---------------------------------------------------------------- functions and schemas
+from ..sinks.buckets import BucketTable, stream_upsert_buckets  # noqa: E402
 from ..functions.scalar import canonical_json, flatten_paths, index_name, text_preview  # noqa: E402
-from ..functions.schema import field_profile, infer_schema, shape_profile  # noqa: E402
+from ..functions.schema import field_profile, infer_schema, merged_schema, shape_profile  # noqa: E402
 
 
 @register("index_name", r"""
@@ -706,6 +795,16 @@ def q_canonical_json(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", canonical_json("props").alias("canon"))
 
 
+@register("canonical_json_documents", """
+select event_id, '{"event_id":' || event_id || ',"event_type":"' || event_type || '","props":' || replace(props, ' ', '')
+       || ',"seen":[null,' || user_id || '],"user_id":' || user_id || '}' as canon from events""")
+def q_canonical_json_documents(spark, sf_dir):
+    """Several keys in another order, nested, with a list and a null."""
+    text = F.format_string('{"user_id": %d, "seen": [null, %d ], "props": %s, "event_type" : "%s", "event_id":%d}',
+                           "user_id", "user_id", "props", "event_type", "event_id")
+    return table(spark, sf_dir, "events").select("event_id", canonical_json(text).alias("canon"))
+
+
 def props_docs(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", F.parse_json("props").alias("doc"))
 
@@ -730,8 +829,28 @@ def q_shape_profile(spark, sf_dir):
     return shape_profile(props_docs(spark, sf_dir))
 
 
-@register("infer_schema")
-def q_infer_schema(spark, sf_dir):
+_DOC_TYPES = (("doc_id", "BIGINT"), ("lang", "STRING"), ("n_chars", "BIGINT"), ("source", "STRING"), ("text", "STRING"))
+
+
+@register("shape_profile_documents", "select 'OBJECT<' || " + " || ', ' || ".join(
+    f"'{c}: ' || case when {c} is null then 'VOID' else '{t}' end" for c, t in _DOC_TYPES) + " || '>' as shape, count(*) as docs from documents group by 1")
+def q_shape_profile_documents(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(*[c for c, _ in _DOC_TYPES])
+    return shape_profile(docs.select(F.to_variant_object(F.struct(*docs.columns)).alias("doc")))
+
+
+def event_docs(spark, sf_dir) -> DataFrame:
     ev = table(spark, sf_dir, "events").withColumn("props", F.parse_json("props"))
-    docs = ev.select(F.to_variant_object(F.struct(*ev.columns)).alias("doc"))
-    return infer_schema(docs)
+    return ev.select("event_id", F.to_variant_object(F.struct(*ev.columns)).alias("doc"))
+
+
+@register("infer_schema", " union all ".join(f"""
+select '{path}' as path, '{t}' as type, count(*) as docs, cast(count(*) filter ({path.split('.')[0]} is null) as bigint) as nulls from events""" for path, t in (
+    ("event_id", "BIGINT"), ("ts", "TIMESTAMP_NTZ"), ("user_id", "BIGINT"), ("event_type", "STRING"), ("value", "DOUBLE"), ("props.k", "BIGINT"))))
+def q_infer_schema(spark, sf_dir):
+    return merged_schema(flatten_paths(event_docs(spark, sf_dir), "event_id", "doc"), "event_id")
+
+
+@register("infer_schema_text", "select 'OBJECT<event_id: BIGINT, event_type: STRING, props: OBJECT<k: BIGINT>, ts: TIMESTAMP_NTZ, user_id: BIGINT, value: DOUBLE>' as schema")
+def q_infer_schema_text(spark, sf_dir):
+    return infer_schema(event_docs(spark, sf_dir))

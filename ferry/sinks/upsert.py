@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.account import check_written, counted, files_of
 from ..operators.dsl import quote
 from ..session import materialize
 
@@ -54,27 +55,46 @@ def upsert(target: DataFrame, batch: DataFrame, id_col: str = "_id", order=None,
 
 
 def upsert_to(target: DataFrame, batch: DataFrame, out_path: str, id_col: str = "_id", order=None,
-              index: str | None = None, fmt: str = "parquet") -> str:
-    """Materialise an upsert as a new version directory (errors if it exists)."""
-    upsert(target, batch, id_col, order, index).write.mode("errorifexists").format(fmt).save(out_path)
+              index: str | None = None, fmt: str = "parquet", check: bool = True) -> str:
+    """Materialise an upsert as a new version directory (errors if it exists).
+
+    ``check`` (F1): the version holds as many rows as were sent, or ``TransferMismatch``.
+    """
+    _saved(upsert(target, batch, id_col, order, index), out_path, "errorifexists", fmt, check)
     return out_path
 
 
-def append_auto_id(df: DataFrame, index: str, content_id: bool = True) -> DataFrame:
+def _saved(rows: DataFrame, path: str, mode: str, fmt: str, check: bool) -> None:
+    """Writes the rows and counts those of the files added."""
+    spark = rows.sparkSession
+    there = files_of(spark, path) if check and mode == "append" else set()
+    if check:
+        rows, sent = counted(rows, f"write {path}")
+    rows.write.mode(mode).format(fmt).save(path)
+    if check:
+        added = sorted(files_of(spark, path) - there)
+        data = [f for f in added if not f.rsplit("/", 1)[-1].startswith(("_", "."))]
+        check_written(sent, spark.read.format(fmt).load(data) if data else spark.range(0))
+
+
+def append_auto_id(df: DataFrame, index: str, content_id: bool = False) -> DataFrame:
     """Envelope rows with generated ids.
 
-    ``content_id`` derives the id from the canonical JSON of the document, so
-    a retried task or a re-run writes the same ids (equal documents collapse
-    to one id); otherwise a random ``uuid()`` per row.
+    By default every row gets an id of its own, also if an equal document is there already or comes again (a random uuid, hashed to
+    64 hex digits; its seed is fixed with the plan, so a retried task writes the same ids). ``content_id`` derives
+    the id from the canonical JSON of the document instead: equal documents get equal ids, for upserts.
     """
     source = F.struct(*[F.col(quote(c)) for c in df.columns])
-    doc_id = F.sha2(F.to_json(F.to_variant_object(source)), 256) if content_id else F.expr("uuid()")
+    doc_id = F.sha2(F.to_json(F.to_variant_object(source)) if content_id else F.expr("uuid()"), 256)
     return df.select(doc_id.alias("_id"), F.lit(index).alias("_index"), source.alias("_source"))
 
 
-def append_to(df: DataFrame, path: str, index: str, content_id: bool = True, fmt: str = "parquet") -> DataFrame:
-    """G4 as a write: add the rows of ``df`` to the collection at ``path``; returns the whole collection."""
-    append_auto_id(df, index, content_id).write.mode("append").format(fmt).save(path)
+def append_to(df: DataFrame, path: str, index: str, content_id: bool = False, fmt: str = "parquet", check: bool = True) -> DataFrame:
+    """G4 as a write: add the rows of ``df`` to the collection at ``path``; returns the whole collection.
+
+    ``check`` (F1): the files added hold as many rows as were sent, or ``TransferMismatch``.
+    """
+    _saved(append_auto_id(df, index, content_id), path, "append", fmt, check)
     return df.sparkSession.read.format(fmt).load(path)
 
 
