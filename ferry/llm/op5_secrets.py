@@ -11,24 +11,31 @@ found by dynamic programming over log10 guesses, and a value of at least
 ("password", "changeme1", "aaaaaaaaaaaa", "qwertyuiop") are cheap and stay.
 
 The cost of a segmentation of k spans is the sum of the spans' log10 guesses plus
-log10(k!), for the unknown order. The search is exact over the span kinds: a value
-of n characters has n*n/2 spans at most, and brute force costs one unit a
-character. Values longer than ``dp_chars`` characters are segmented in consecutive
-blocks of that size and the costs added (a block seen before costs one bit): every
-character counts.
+log10(k!), for the unknown order. The search is exact over the span kinds and over the whole value, however long: a
+position keeps only numbers of spans that no smaller number undercuts. Repeats may have a unit of any
+length; they are found by comparing the value with itself at each distance (quadratic in its length, as array operations).
 
-After a bare ``is`` (no ``:`` or ``=``) a value of lower-case letters only, or Capitalised, counts as a word of
-prose whatever its cost ("the token is obtained"); everywhere else the cost alone decides.
+Words are ranked by a short list of common passwords, then by the corpus: the words of letters that most texts hold, counted by
+Spark outside credential values, so that a secret many copies repeat does not become a word. The list is a model of bounded size
+(``most`` words, in at least ``least`` texts); a word beyond it costs what its characters cost.
 
-Null or empty text: no spans. Nothing is cut; a text is scanned whole.
+After a bare ``is`` (no ``:`` or ``=``) a plain word that another plain word follows is prose ("the token is easily
+obtained"); else the cost alone decides. Quotes and brackets at a value's end are not part of it; ``.,;:!?`` there
+are, if the value has such characters inside, too.
+
+Null or empty text: no spans. Nothing is cut; a text is scanned whole. Repeated rows: each scanned for itself. Spans that start
+together: in the order of the kinds. Other columns are kept; one that has the spans column's name is refused. Empty table: empty result.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,14 +66,29 @@ DATE = re.compile(r"(?:(?:19|20)\d\d([-/._]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d
 LEET = str.maketrans("430157$@!", "aeoistsai")
 
 
+def repeats(s: str) -> list[tuple[int, int, int]]:
+    """(start, end, unit length) of the longest runs of whole, primitive units, two at least, from each start."""
+    out: dict[tuple[int, int], int] = {}
+    codes = np.frombuffer(s.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    for unit in range(1, len(s) // 2 + 1):
+        same = codes[:-unit] == codes[unit:]
+        if np.count_nonzero(same) < unit:
+            continue
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], same.view(np.int8), [0]])))
+        for lo, hi in zip(edges[::2].tolist(), edges[1::2].tolist()):
+            if hi - lo >= unit:  # [lo, hi + unit) has the period; a smaller one has claimed the whole run before
+                out.setdefault((lo, hi + unit), unit)
+    return [(i, i + (hi - i) // unit * unit, unit) for (lo, hi), unit in out.items() for i in range(lo, hi - 2 * unit + 1)
+            if (hi - i) // unit * unit >= 3]
+
+
 class GuessCost:
     """log10 guesses of a value by its cheapest segmentation."""
 
-    def __init__(self, words: list[str] = WORDS, dp_chars: int = 64):
+    def __init__(self, words: list[str] = WORDS):
         self.rank = {w.lower(): i for i, w in reversed(list(enumerate(words, 1)))}
         self.longest = max(map(len, self.rank), default=0)
         self.walks = ROWS + SEQUENCES + tuple(r[::-1] for r in ROWS + SEQUENCES)
-        self.dp_chars = dp_chars
 
     def spans(self, s: str) -> list[tuple[int, int, float]]:
         """All non-brute-force spans (start, end, log10 guesses)."""
@@ -81,12 +103,6 @@ class GuessCost:
                         break
             if m := DATE.match(s, i):
                 out.append((i, m.end(), 2.1 if m.end() - i == 4 else 4.6))
-            for unit in range(1, min(8, (n - i) // 2) + 1):
-                j = i + unit
-                while s[j: j + unit] == s[i: i + unit]:
-                    j += unit
-                if j - i >= max(3, 2 * unit):
-                    out.append((i, j, self.brute(s[i: i + unit]) + math.log10((j - i) // unit)))
             for walk in self.walks:
                 at = walk.find(low[i: i + 3]) if i + 3 <= n else -1
                 if at >= 0:
@@ -94,6 +110,12 @@ class GuessCost:
                     while i + k < n and at + k < len(walk) and walk[at + k] == low[i + k]:
                         k += 1
                     out.append((i, i + k, 2.0 + math.log10(k)))
+        units: dict[str, float] = {}
+        for i, j, unit in repeats(s):
+            u = s[i: i + unit]
+            if u not in units:  # a unit costs what it costs alone
+                units[u] = min(self.brute(u), self.segmented(u)) if unit > 3 else self.brute(u)
+            out.append((i, j, units[u] + math.log10((j - i) // unit)))
         return out
 
     @staticmethod
@@ -103,30 +125,39 @@ class GuessCost:
                                       (26, any(c.isupper() for c in s)), (33, any(not c.isalnum() for c in s))) if there)
         return len(s) * math.log10(max(size, 2))
 
-    def block(self, s: str) -> float:
+    def segmented(self, s: str) -> float:
+        """The cheapest segmentation of the whole value."""
         n, unit = len(s), self.brute(s) / max(1, len(s))
         by_end: dict[int, list[tuple[int, float]]] = {}
         for i, j, cost in self.spans(s):
             by_end.setdefault(j, []).append((i, cost))
-        # best[k][j]: cheapest cover of s[:j] by k spans; brute-force characters in a row are one span
-        best: list[dict[int, tuple[float, bool]]] = [{0: (0.0, False)}]
+        # best[j]: (spans, ends in brute force) -> cheapest cover of s[:j]; brute-force characters in a row are one span
+        best: list[dict[tuple[int, bool], float]] = [{(0, False): 0.0}]
         for j in range(1, n + 1):
-            here: dict[int, tuple[float, bool]] = {}
-            for k, (cost, brute) in best[j - 1].items():
-                to = k if brute else k + 1
-                if to not in here or cost + unit < here[to][0]:
-                    here[to] = (cost + unit, True)
+            here: dict[tuple[int, bool], float] = {}
+            for (k, brute), cost in best[j - 1].items():
+                to = (k if brute else k + 1, True)
+                if cost + unit < here.get(to, math.inf):
+                    here[to] = cost + unit
             for i, extra in by_end.get(j, ()):
-                for k, (cost, _) in best[i].items():
-                    if k + 1 not in here or cost + extra < here[k + 1][0]:
-                        here[k + 1] = (cost + extra, False)
-            best.append(here)
-        return min(cost + math.lgamma(k + 1) / math.log(10) for k, (cost, _) in best[n].items())
+                for (k, _), cost in best[i].items():
+                    if cost + extra < here.get((k + 1, False), math.inf):
+                        here[k + 1, False] = cost + extra
+            best.append(self._undercut(here))
+        return min(cost + math.lgamma(k + 1) / math.log(10) for (k, _), cost in best[n].items())
+
+    @staticmethod
+    def _undercut(states: dict) -> dict:
+        """Without states that one of no more spans undercuts (one that ends in brute force can go on for a span less)."""
+        out, least = {}, {False: math.inf, True: math.inf}
+        for (k, brute), cost in sorted(states.items(), key=lambda x: (x[0][0], not x[0][1])):
+            if cost < least[True] and (brute or cost < least[False]):
+                out[k, brute] = cost
+                least[brute] = cost
+        return out
 
     def __call__(self, value: str) -> float:
-        blocks = [value[i: i + self.dp_chars] for i in range(0, len(value), self.dp_chars)]
-        different = dict.fromkeys(blocks)
-        return sum(map(self.block, different)) + (len(blocks) - len(different)) * math.log10(2)
+        return self.segmented(value)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -141,32 +172,92 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 MARKS = re.compile(r"[:=]| is ", re.I | re.A)
+PROSE = re.compile(r"\x20+[a-z]+(?![^\s.,;:!?])")
+CLOSERS = "\"'`)]}>"
+
+
+def values(text: str):
+    """(start, value) of what stands in a credential context."""
+    if MARKS.search(text):
+        for m in CONTEXT.finditer(text):
+            found = m.group(1)
+            core = found.rstrip(CLOSERS + ".,;:!?")
+            if any(not c.isalnum() for c in core):  # punctuation that the value uses elsewhere, too
+                core += re.match(r"[.,;:!?]*", found[len(core):]).group()
+            lead = text[m.start(): m.start(1)]
+            plain = core.isalpha() and (core.islower() or core.istitle())
+            if ":" not in lead and "=" not in lead and plain and PROSE.match(text, m.start(1) + len(core)):
+                continue
+            yield m.start(1), core
+        if "://" in text:
+            for m in URL.finditer(text):
+                yield m.start(1), m.group(1)
 
 
 def guess_spans(text: str, cost: GuessCost, min_guesses: float) -> list[tuple[int, int, int]]:
     """(start, 3, end) of the values that the method adds."""
-    out = []
-    if MARKS.search(text):
-        for pattern in (CONTEXT, URL) if "://" in text else (CONTEXT,):
-            for m in pattern.finditer(text):
-                value = m.group(1).rstrip("\"'`.,;:!?)]}>")
-                # a plain word after a bare "is" ("the token is obtained") is prose and no value
-                lead = text[m.start(): m.start(1)]
-                prose = ":" not in lead and "=" not in lead and value.isalpha() and (value.islower() or value.istitle())
-                if len(value) >= 6 and not prose and cost(value) >= min_guesses:
-                    out.append((m.start(1), 3, m.start(1) + len(value)))
-    return sorted(set(out))
+    return sorted({(at, 3, at + len(v)) for at, v in values(text) if len(v) >= 6 and cost(v) >= min_guesses})
+
+
+WORD = re.compile(r"[a-z]{3,24}")
+
+
+def _text_words(batches):
+    """(word, n): words of letters of the batches' texts outside credential values, with the number of texts that hold them."""
+    counts: Counter = Counter()
+
+    def run():
+        words, numbers = zip(*counts.items()) if counts else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(numbers, pa.int64())], names=["word", "n"])
+
+    for batch in batches:
+        for text in batch.column("text").to_pylist():
+            if text:
+                found = values(text)
+                for at, value in sorted(found, reverse=True):
+                    text = f"{text[:at]} {text[at + len(value):]}"
+                counts.update(set(WORD.findall(text.lower())))
+        if len(counts) > 1 << 18:  # partial counts: Spark adds them up
+            yield run()
+            counts.clear()
+    yield run()
+
+
+def corpus_words(docs: DataFrame, text_col: str = "text", most: int = 50_000, least: int = 3) -> list[str]:
+    """The common words of passwords, then those of the corpus by the number of texts that hold them (ties by the word)."""
+    small_batches(docs.sparkSession)
+    counts = (docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(_text_words, "word string, n long")
+              .groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least))
+    top = counts.orderBy(F.desc("n"), "word").limit(most).collect()  # at most `most` short words
+    return [*WORDS, *(r["word"] for r in top if r["word"] not in set(WORDS))]
+
+
+def _shared_cost(docs: DataFrame, text_col: str, words: list[str] | None):
+    """A function for tasks that gives the guess cost over the broadcast dictionary, built once a process."""
+    held = docs.sparkSession.sparkContext.broadcast(corpus_words(docs, text_col) if words is None else words)
+    small_batches(docs.sparkSession)
+    built: list[GuessCost] = []
+
+    def shared() -> GuessCost:
+        if not built:
+            built.append(GuessCost(held.value))
+        return built[0]
+    return shared
 
 
 def scan_secrets(docs: DataFrame, text_col: str = "text", spans_col: str = "secret_spans",
                  min_guesses: float = 11.0, words: list[str] | None = None) -> DataFrame:
-    """The frame with spans_col: array of (start, end, kind) by start, then kind, in code points."""
-    words = WORDS if words is None else words
-    small_batches(docs.sparkSession)
+    """The frame with spans_col: array of (start, end, kind) by start, then kind, in code points.
+
+    words: the ranked dictionary, by default the one of these texts (``corpus_words``).
+    """
+    if spans_col in docs.columns:
+        raise ValueError(f"column {spans_col!r} exists; choose another spans_col")
+    shared = _shared_cost(docs, text_col, words)
 
     @F.pandas_udf("array<struct<start:int,end:int,kind:string>>")
     def scan(texts: pd.Series) -> pd.Series:
-        cost = GuessCost(words)
+        cost = shared()
         out = []
         for t in texts:
             t = t or ""
@@ -177,13 +268,14 @@ def scan_secrets(docs: DataFrame, text_col: str = "text", spans_col: str = "secr
     return docs.withColumn(spans_col, scan(F.col(f"`{text_col}`")))
 
 
-def redact_secrets(docs: DataFrame, text_col: str = "text", mark: str = "<SECRET>", min_guesses: float = 11.0) -> DataFrame:
+def redact_secrets(docs: DataFrame, text_col: str = "text", mark: str = "<SECRET>", min_guesses: float = 11.0,
+                   words: list[str] | None = None) -> DataFrame:
     """The frame with every span (overlapping ones together) replaced by the mark; texts without one, and nulls, unchanged."""
-    small_batches(docs.sparkSession)
+    shared = _shared_cost(docs, text_col, words)
 
     @F.pandas_udf("string")
     def redact(texts: pd.Series) -> pd.Series:
-        cost = GuessCost()
+        cost = shared()
         out = []
         for t in texts:
             if t:

@@ -185,14 +185,13 @@ def test_buckets_equal_the_rule(docs, none):
     for width, gram, cells in ((400, 64, (32, 1)), (30, 8, (4, 1)), (20, 20, (1,))):
         count = Counter()
         data = [(i, (t or "").encode()) for i, t, *_ in ROWS]
-        for i, x in data:
-            if i is not None:
-                count.update(x[j: j + width] for j in range(len(x) - width + 1))
+        for i, x in data:  # a null doc_id is a document like any other
+            count.update(x[j: j + width] for j in range(len(x) - width + 1))
         want = []
         for i, x in data:
             gone = bytearray(len(x))
             for j in range(len(x) - width + 1):
-                if i is not None and count[x[j: j + width]] > 1:
+                if count[x[j: j + width]] > 1:
                     gone[j: j + width] = b"\1" * width
             want.append((i, len(x), sum(gone), len(re.findall(b"\1+", bytes(gone))), sha(bytes(c for c, g in zip(x, gone) if not g))))
         spans = op10.dedup_bytes
@@ -344,6 +343,54 @@ def test_guess_cost_decides_on_plain_words_and_urls_of_any_length(spark):
     assert clean[0] == "pwd=<SECRET>" and clean[3] == "https://u:<SECRET>@host" and clean[4] == "redis://:<SECRET>@host"
 
 
+def test_whole_values_are_segmented_at_once():
+    cost = op5.GuessCost()
+    four = "x" + "sunshineprincess" * 4
+    assert cost(four) < cost("x" + "sunshineprincess") + 2  # one repeat, however long its unit
+    long = "correcthorsebatterystaple" * 3
+    assert cost(long) <= cost("correcthorsebatterystaple") + 1
+    unit = "kq7Zv!2xWp0"
+    assert cost(unit * 50) < cost(unit) + 3
+    r = random.Random(3)
+    assert cost("".join(r.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(3000))) > 1000
+
+    def plain_repeats(s):
+        """Runs of whole units, of primitive units only, by comparing units."""
+        out = set()
+        for i in range(len(s)):
+            for unit in range(1, (len(s) - i) // 2 + 1):
+                u, j = s[i: i + unit], i + unit
+                if any(unit % p == 0 and u == u[:p] * (unit // p) for p in range(1, unit)):
+                    continue
+                while s[j: j + unit] == u:
+                    j += unit
+                if j - i >= max(3, 2 * unit):
+                    out.add((i, j, unit))
+        return out
+
+    r = random.Random(12)
+    for _ in range(200):
+        s = "".join(r.choice("ab") for _ in range(r.randrange(1, 16))) * r.randrange(1, 4)
+        assert set(op5.repeats(s)) == plain_repeats(s), s
+
+
+def test_words_after_is_and_characters_at_the_end(spark):
+    cases = [("secret is kqzvxwplmtrbn", ["kqzvxwplmtrbn"]), ("the secret is kqzvxwplmtrbn. So", ["kqzvxwplmtrbn"]), ("password: Tr0ub4dor&x9!Kq!", ["Tr0ub4dor&x9!Kq!"]),
+             ("password: 'Tr0ub4dor&x9!Kq!' ok", ["Tr0ub4dor&x9!Kq!"]), ("(password: xk7qjzvwpnm)", ["xk7qjzvwpnm"]), ("the token is notwithstanding", [])]
+    filler = [(100 + i, f"notwithstanding this, line {i} is here") for i in range(5)]
+    frame = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)] + filler + [(50, None), (51, "")], "doc_id long, text string")
+    got = {x.doc_id: [x.text[s.start: s.end] for s in x.secret_spans if s.kind == "guess"] for x in op5.scan_secrets(frame).collect()}
+    assert {i: got[i] for i in range(len(cases))} == {i: want for i, (_, want) in enumerate(cases)}
+    assert op5.redact_secrets(frame).where("doc_id = 2").first().text == "password: <SECRET>"
+    words = op5.corpus_words(frame)
+    assert "notwithstanding" in words and "kqzvxwplmtrbn" not in words
+
+
+def test_an_existing_spans_column_is_refused(spark):
+    with pytest.raises(ValueError):
+        op5.scan_secrets(spark.createDataFrame([(1, "x", 2)], "doc_id long, text string, secret_spans int"))
+
+
 def test_equal_sets_send_their_signatures_once_a_task():
     import pyarrow as pa
 
