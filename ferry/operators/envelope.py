@@ -35,7 +35,7 @@ def pack(df: DataFrame, index: str, id_col: str | Column | None = None) -> DataF
     cols = [F.col(quote(c)) for c in df.columns]
     source = F.struct(*cols)
     if id_col is None:
-        doc_id = F.sha2(F.to_json(source), 256)
+        doc_id = F.sha2(F.to_json(F.to_variant_object(source)), 256)
     elif isinstance(id_col, str):
         doc_id = F.col(quote(id_col)).cast("string")
     else:
@@ -43,14 +43,25 @@ def pack(df: DataFrame, index: str, id_col: str | Column | None = None) -> DataF
     return df.select(doc_id.alias("_id"), F.lit(index).alias("_index"), source.alias("_source"))
 
 
-def unpack(df: DataFrame, keep_id: bool = True) -> DataFrame:
-    """B2: the content keyed by id: ``_id`` plus the fields of ``_source``."""
-    src_type = df.schema["_source"].dataType
+def unpack(df: DataFrame, keep_id: bool = True, fields: Iterable[str] | None = None) -> DataFrame:
+    """B2: the content keyed by id: ``_id`` plus the fields of ``_source``.
+
+    Of untyped documents every field becomes a VARIANT column, null where a document lacks it. Their names are ``fields``, or
+    those that the documents have (one aggregate over the top-level keys, in order of the names).
+    """
+    src_type, ident = df.schema["_source"].dataType, [F.col("_id")] if keep_id else []
+    if isinstance(src_type, T.VariantType):
+        if fields is None:
+            keys = F.map_keys(F.try_variant_get("_source", "$", "map<string,variant>"))
+            fields = sorted(r["k"] for r in df.select(F.explode(keys).alias("k")).distinct().collect())
+        chosen = [f for f in fields if not (keep_id and f == "_id")]
+        return df.select(*ident, *[F.try_variant_get("_source", f"$[{json.dumps(f)}]", "variant").alias(f) for f in chosen])
     if not isinstance(src_type, T.StructType):
-        raise TypeError("unpack needs a typed _source; read untyped documents with a schema first")
-    fields = [F.col("_source").getField(f.name).alias(f.name) for f in src_type.fields
-              if not (keep_id and f.name == "_id")]
-    return df.select(*( [F.col("_id")] if keep_id else []), *fields)
+        raise TypeError("_source is neither a struct nor a VARIANT")
+    names = [f.name for f in src_type.fields if not (keep_id and f.name == "_id")]
+    if fields is not None:
+        names = [n for n in fields if n in names]
+    return df.select(*ident, *[F.col("_source").getField(n).alias(n) for n in names])
 
 
 def split_fields(spec: str | Iterable[str] | None) -> list[str]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ferry.operators.account import TransferMismatch, check_written, counted, response_health
 from ferry.operators.dsl import QueryError, apply_query
-from ferry.operators.envelope import include_fields
+from ferry.operators.envelope import include_fields, unpack
 from ferry.operators.multiquery import batch_query, multi_query
 from ferry.operators.order import cap, sort_docs
 from ferry.plans.transfer import Transfer, plan
@@ -100,6 +100,15 @@ def test_include_keeps_nesting(spark, tmpdir_path):
     assert json.loads(whole[0]["s"]) == {"u": {"n": 1, "m": 2}}
 
 
+def test_unpack_untyped(spark, tmpdir_path):
+    docs = dump(spark, tmpdir_path, [{"b": 1, "a": [1]}, {"a": None, "_id": "x", "c.d": "t"}, {}])
+    out = unpack(docs)
+    assert out.columns == ["_id", "a", "b", "c.d"]
+    rows = out.select("_id", *[F.to_json(f"`{c}`").alias(c) for c in ("a", "b", "c.d")]).collect()
+    assert sorted(map(tuple, rows)) == [("0", "[1]", "1", None), ("1", "null", None, '"t"'), ("2", None, None, None)]
+    assert unpack(docs, keep_id=False, fields=["b", "nope"]).columns == ["b", "nope"]
+
+
 def test_sort_untyped_and_by_a_field_left_out(spark, tmpdir_path):
     values = [10, 9.5, "b", None, 2, "a", [1], 9007199254740993, 9007199254740992]
     docs = dump(spark, tmpdir_path, [{"v": v, "o": {"p": i}} for i, v in enumerate(values)] + [{}])
