@@ -39,7 +39,8 @@ from ferry.llm.textkit import BYTE_VALUES, LOWER, Ranges, U, frugal, mix, text_c
 #: Characters that end a piece, and those that only part words.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 WORD_GAPS = b" \t"
-BURST = 1 << 14
+CHUNK_BYTES = 1 << 20
+BURST = 1 << 16
 ROOM = 1 << 20
 VOCABULARY = 1 << 20
 BITMAP = 1 << 27
@@ -70,18 +71,20 @@ class Tokens:
         lengths = end - start
         self.words = pa.Array.from_buffers(pa.large_binary(), len(start), [
             None, pa.py_buffer(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)), pa.py_buffer(low[inside[1: n + 1]].tobytes())])
-        self.hash = mix(Ranges(BYTE_VALUES[low], cache).at(start, end) ^ lang_hash[self.row]) if len(start) else np.zeros(0, U)
-
-    def phrases(self, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(place of the first word, hash) of all phrases of k words inside pieces."""
-        n = len(self.row) - k + 1
-        if n <= 0:
-            return np.zeros(0, np.int64), np.zeros(0, U)
-        at = np.flatnonzero((self.piece[:n] == self.piece[k - 1:]) & (self.row[:n] == self.row[k - 1:]))
-        out = self.hash[at]
+        self._hashed = lambda: mix(Ranges(BYTE_VALUES[low], cache).at(start, end) ^ lang_hash[self.row]) if len(start) else np.zeros(0, U)
+
+    def places(self, k: int) -> np.ndarray:
+        """Places of the first word of all phrases of k words inside pieces."""
+        n = max(0, len(self.row) - k + 1)
+        return np.flatnonzero((self.piece[:n] == self.piece[k - 1:]) & (self.row[:n] == self.row[k - 1:])) if n else np.zeros(0, np.int64)
+
+    def hashes(self, at: np.ndarray, k: int) -> np.ndarray:
+        """Hashes of the phrases of k words at the places."""
+        words = self._hashed()
+        out = words[at]
         for j in range(1, k):
-            out = mix(out * U(0x100000001B3) + self.hash[at + j])
-        return at, out
+            out = mix(out * U(0x100000001B3) + words[at + j])
+        return out
 
 
 def lang_hashes(langs: list[str]) -> np.ndarray:
@@ -97,32 +100,81 @@ def marked(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 # ------------------------------------------------------------------------------------------------ the trie
 
 
+FREE = -1
+
+
 class Container:
-    """A hash container of the keys whose word id at its depth is lo or more (up to the next container's lo)."""
+    """A hash container of the keys whose word id at its depth is lo or more (up to the next container's lo).
+
+    Open addressing in two arrays, at most half full; a batch of distinct keys is placed by a few array operations a probe.
+    """
+
+    __slots__ = ("counts", "keys", "lo", "node", "used")
 
-    __slots__ = ("counts", "lo", "node")
+    def __init__(self, lo: int, keys: np.ndarray | None = None, counts: np.ndarray | None = None):
+        self.lo, self.node = lo, None
+        self._clear(64)
+        if keys is not None and len(keys):
+            self.add(keys, counts)
 
-    def __init__(self, lo: int, counts: dict):
-        self.lo, self.counts, self.node = lo, counts, None
+    def _clear(self, room: int):
+        self.keys, self.counts, self.used = np.full(room, FREE, dtype=np.int64), np.zeros(room, dtype=np.int64), 0
 
     def size(self) -> int:
-        return len(self.counts) if self.node is None else sum(c.size() for c in self.node.children)
+        return self.used if self.node is None else sum(c.size() for c in self.node.children)
+
+    def entries(self) -> tuple[np.ndarray, np.ndarray]:
+        there = self.keys != FREE
+        return self.keys[there], self.counts[there]
 
     def items(self):
         if self.node is None:
-            yield self.counts
+            yield self.entries()
         else:
             for child in self.node.children:
                 yield from child.items()
 
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return (mix(keys.astype(U)) >> U(64 - (len(self.keys) - 1).bit_length())).astype(np.int64)
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        """Adds counts of distinct keys."""
+        if 2 * (self.used + len(keys)) > len(self.keys):
+            old = self.entries()
+            self._clear(1 << (4 * (self.used + len(keys)) - 1).bit_length())
+            self.add(*old)
+        at, mask, step = self._place(keys), len(self.keys) - 1, 0
+        while len(keys):
+            held = self.keys[at]
+            free = held == FREE
+            if free.any():  # of several keys that want one place, one gets it
+                spots = at[free]
+                self.keys[spots] = keys[free]
+                held = self.keys[at]
+            met = held == keys
+            self.used += int((met & free).sum())
+            self.counts[at[met]] += counts[met]
+            left, step = ~met, step + 1
+            keys, counts, at = keys[left], counts[left], (at[left] + step) & mask
+
+    def get(self, key: int) -> int:
+        wanted = np.array([key], dtype=np.int64)
+        at, step = int(self._place(wanted)[0]), 0
+        while self.keys[at] != FREE:
+            if self.keys[at] == key:
+                return int(self.counts[at])
+            step += 1
+            at = (at + step) & (len(self.keys) - 1)
+        return 0
+
 
 class Node:
     """A trie node at a depth: containers in order of the word id there."""
 
     __slots__ = ("children", "depth", "starts")
 
-    def __init__(self, depth: int, counts: dict):
-        self.depth, self.children, self.starts = depth, [Container(0, counts)], [0]
+    def __init__(self, depth: int, keys: np.ndarray | None = None, counts: np.ndarray | None = None):
+        self.depth, self.children, self.starts = depth, [Container(0, keys, counts)], [0]
 
 
 class HatTrie:
@@ -130,7 +182,7 @@ class HatTrie:
 
     def __init__(self, k: int, bits: int, burst: int = BURST):
         self.k, self.bits, self.burst = k, bits, burst
-        self.root = Node(0, {})
+        self.root = Node(0)
         self.size = 0
 
     def _id(self, key, depth: int):
@@ -150,45 +202,38 @@ class HatTrie:
             if child.node is not None:
                 self._add(child.node, keys[lo:hi], counts[lo:hi])
                 continue
-            held, before = child.counts, len(child.counts)
-            for key, n in zip(keys[lo:hi].tolist(), counts[lo:hi].tolist()):
-                held[key] = held.get(key, 0) + n
-            self.size += len(held) - before
-            if len(held) > self.burst:
+            before = child.used
+            child.add(keys[lo:hi], counts[lo:hi])
+            self.size += child.used - before
+            if child.used > self.burst:
                 self._split(node, c)
 
     def _split(self, node: Node, c: int) -> None:
         """Splits a hybrid container at its middle id; a pure one bursts into a node over the next word."""
-        work = [node.children[c]]
-        done = []
+        work, done = [(node.children[c].lo, *node.children[c].entries())], []
         while work:
-            child = work.pop()
-            if len(child.counts) <= self.burst:
-                done.append(child)
+            lo, keys, counts = work.pop()
+            ids = self._id(keys, node.depth)
+            if len(keys) <= self.burst:
+                done.append(Container(lo, keys, counts))
                 continue
-            ids = np.sort(self._id(np.fromiter(child.counts, dtype=np.int64, count=len(child.counts)), node.depth))
-            middle = int(ids[len(ids) // 2])
-            if middle == ids[0]:
-                later = ids[ids > middle]
-                if not len(later):  # pure: the id gets a node of its own, ids around it keep (empty) containers
+            middle = int(np.partition(ids, len(ids) // 2)[len(ids) // 2])
+            if middle == ids.min():
+                above = ids[ids > middle]
+                if not len(above):  # pure: the id gets a node of its own, ids around it keep (empty) containers
                     if node.depth + 1 < self.k:
-                        deep = Container(middle, {})
-                        deep.node = Node(node.depth + 1, child.counts)
+                        deep = Container(middle)
+                        deep.node = Node(node.depth + 1, keys, counts)
                         self._split(deep.node, 0)
-                        if child.lo < middle:
-                            done.append(Container(child.lo, {}))
-                        done.append(deep)
-                        if not any(x.lo == middle + 1 for x in (*work, *done)):
-                            done.append(Container(middle + 1, {}))
+                        done += [Container(lo)] * (lo < middle) + [deep]
+                        if not any(x.lo == middle + 1 for x in done) and not any(x[0] == middle + 1 for x in work):
+                            done.append(Container(middle + 1))
                     else:
-                        done.append(child)
+                        done.append(Container(lo, keys, counts))
                     continue
-                middle = int(later[0])
-            low, high = {}, {}
-            for key, n in child.counts.items():
-                (low if self._id(key, node.depth) < middle else high)[key] = n
-            child.counts = low
-            work += [Container(middle, high), child]
+                middle = int(above.min())
+            below = ids < middle
+            work += [(middle, keys[~below], counts[~below]), (lo, keys[below], counts[below])]
         done.sort(key=lambda x: x.lo)
         node.children[c: c + 1] = done
         node.starts[c: c + 1] = [x.lo for x in done]
@@ -198,7 +243,7 @@ class HatTrie:
         while True:
             child = node.children[bisect_right(node.starts, self._id(key, node.depth)) - 1]
             if child.node is None:
-                return child.counts.get(key, 0)
+                return child.get(key)
             node = child.node
 
     def spill(self, keep: int):
@@ -206,12 +251,11 @@ class HatTrie:
         for child in sorted(self.root.children, key=Container.size, reverse=True):
             if self.size <= keep:
                 break
-            parts = [p for p in child.items() if p]
-            if parts:
-                keys = np.concatenate([np.fromiter(p, dtype=np.int64, count=len(p)) for p in parts])
-                counts = np.concatenate([np.fromiter(p.values(), dtype=np.int64, count=len(p)) for p in parts])
+            keys, counts = (np.concatenate(x) for x in zip(*child.items()))
+            if len(keys):
                 self.size -= len(keys)
-                child.counts, child.node = {}, None
+                child._clear(64)
+                child.node = None
                 yield keys, counts
 
 
@@ -251,11 +295,11 @@ class Counter:
 
     def add(self, tokens: Tokens, langs: list[str], before: np.ndarray | None):
         """Counts a chunk's phrases; before: bitmap of the frequent phrases one word shorter."""
-        at, _ = tokens.phrases(self.k)
+        at = tokens.places(self.k)
         if before is not None and len(at):
-            place, hashes = tokens.phrases(self.k - 1)
+            place = tokens.places(self.k - 1)
             frequent = np.zeros(len(tokens.row) + 1, dtype=bool)
-            frequent[place] = marked(before, hashes)
+            frequent[place] = marked(before, tokens.hashes(place, self.k - 1))
             at = at[frequent[at] & frequent[at + 1]]
         if not len(at):
             return
@@ -304,7 +348,7 @@ def count_level(k: int, before, room: int = ROOM, burst: int = BURST, vocabulary
         bits = before.value if before is not None else None
         for batch in batches:
             langs = batch.column("lang").to_pylist()
-            for lo, hi, buf, offsets in text_chunks(batch.column("text")):
+            for lo, hi, buf, offsets in text_chunks(batch.column("text"), CHUNK_BYTES):
                 tokens = Tokens(buf, offsets, lang_hashes(langs[lo:hi]), cache)
                 yield from counter.add(tokens, langs[lo:hi], bits)
         yield from counter.flush()
@@ -318,8 +362,8 @@ def mark_places(k: int):
         for batch in batches:
             langs = batch.column("lang").to_pylist()
             for lo, hi, buf, offsets in text_chunks(batch.column("phrase")):
-                _, hashes = Tokens(buf, offsets, lang_hashes(langs[lo:hi]), cache).phrases(k)
-                yield pa.RecordBatch.from_arrays([pa.array((hashes & U(BITMAP - 1)).astype(np.int64))], ["place"])
+                tokens = Tokens(buf, offsets, lang_hashes(langs[lo:hi]), cache)
+                yield pa.RecordBatch.from_arrays([pa.array((tokens.hashes(tokens.places(k), k) & U(BITMAP - 1)).astype(np.int64))], ["place"])
     return run
 
 
@@ -344,8 +388,10 @@ def phrase_counts(docs: DataFrame, max_words: int = 3, min_count: int = 10, text
     for k in range(1, max_words + 1):
         runs = rows.mapInArrow(count_level(k, before, room, burst, vocabulary), "lang string, phrase binary, f long")
         runs = runs.withColumn("phrase", F.col("phrase").cast("string"))
-        prefix = F.substring_index("phrase", " ", 2)
-        merged = (runs.withColumn("prefix", prefix).repartition("lang", "prefix").groupBy("lang", "prefix", "phrase")
+        if k > 2:  # up to two words the phrase is its own prefix
+            runs = runs.withColumn("prefix", F.substring_index("phrase", " ", 2))
+        prefix = ["lang", "prefix"] if k > 2 else ["lang", "phrase"]
+        merged = (runs.repartition(*prefix).groupBy(*dict.fromkeys([*prefix, "phrase"]))
                   .agg(F.sum("f").alias("f")).select("lang", "phrase", "f"))
         if k == 1:
             words = stored(merged, "phrases-words")

@@ -240,7 +240,7 @@ def test_tokens_of_a_chunk():
     for lo, hi, buf, offsets in text_chunks(pa.array(texts, pa.string())):
         t = op12.Tokens(buf, offsets, op12.lang_hashes(["en"] * (hi - lo)), {})
         rows += [(lo + int(r), w.decode()) for r, w in zip(t.row, t.words.to_pylist())]
-        assert [(t.words[i].as_py(), t.words[i + 1].as_py()) for i in t.phrases(2)[0].tolist()] == [
+        assert [(t.words[i].as_py(), t.words[i + 1].as_py()) for i in t.places(2).tolist()] == [
             (b"ab", b"cd"), (b"f", b"g"), ("x y".encode(), b"z")]
     assert rows == [(0, "ab"), (0, "cd"), (3, "e"), (3, "f"), (3, "g"), (3, "h"), (4, "x y"), (4, "z"), (5, "last")]
 
