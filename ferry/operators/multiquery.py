@@ -199,7 +199,8 @@ def _typed_lists(lists: Column, type_name: str) -> Column:
 
 
 def _plan_lines(queries: DataFrame, schema, has_id: bool, slots: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(lines, numbers): the different plans with a number each, and ``(line, query_no)``; both stored."""
+    """(lines, numbers): the different plans, stored, with a number each (``line``), how many lines have it (``n``) and the least
+    of their numbers (``no``); and ``(line, query_no)``."""
     from . import clauses, lineplan
 
     # the planner and the parser travel with the task, so the executors need no installed copy of this package
@@ -208,12 +209,12 @@ def _plan_lines(queries: DataFrame, schema, has_id: bool, slots: list[str]) -> t
     planned = materialize(queries.select(QUERY_NO, F.to_json("query").alias("q"))
                           .mapInPandas(lineplan.plan_batches(schema, has_id, slots), "query_no long, same string, plan string"), "line-plans")
     p = F.from_json("plan", _PLAN)
-    different = planned.groupBy("same").agg(F.first("plan").alias("plan"))
+    different = planned.groupBy("same").agg(F.first("plan").alias("plan"), F.count(F.lit(1)).alias("n"), F.min(QUERY_NO).alias("no"))
     typed = [_typed_list(F.get("p.lits", i), t).alias(f"l{i}") for i, t in enumerate(slots)] + \
             [_typed_lists(F.get("p.lists", i), t).alias(f"x{i}") for i, t in enumerate(slots)]
     lines = materialize(
-        different.select("same", p.alias("p"), F.octet_length("plan").alias("bytes")).where(~F.coalesce("p.never", F.lit(False)))
-        .select(F.monotonically_increasing_id().alias("line"), "same", "bytes", "p.exact", "p.q", "p.shape", F.md5("p.shape").alias("shape_id"),
+        different.select("same", "n", "no", p.alias("p"), F.octet_length("plan").alias("bytes")).where(~F.coalesce("p.never", F.lit(False)))
+        .select(F.monotonically_increasing_id().alias("line"), "same", "n", "no", "bytes", "p.exact", "p.q", "p.shape", F.md5("p.shape").alias("shape_id"),
                 "p.depth", "p.prog", "p.leaves", "p.anchors", "p.tokens", *typed), "lines")
     numbers = planned.select(QUERY_NO, "same").join(lines.select("line", "same"), "same").select("line", QUERY_NO)
     return lines, numbers
@@ -411,11 +412,11 @@ def _in_bounds(x: Column) -> Column:
 
 def _cuts(ends: DataFrame) -> tuple[list[float], bool]:
     """(ascending cuts, whether every end point is one) of the distinct end points ``e``."""
-    n = ends.count()
-    step = -(-2 * n // _CELLS) if n else 1
-    if step > 1:
-        ends = number_rows(ends, [F.col("e").asc()], "rn").where(F.col("rn") % step == 0)
-    points = sorted(r["e"] for r in ends.select("e").collect())  # at most _CELLS / 2
+    most, step = _CELLS // 2, 1
+    points = [r["e"] for r in ends.limit(most + 1).collect()]
+    if len(points) > most:
+        step = -(-ends.count() // most)
+        points = [r["e"] for r in number_rows(ends, [F.col("e").asc()], "rn").where(F.col("rn") % step == 0).select("e").collect()]
     cuts = {x for e in points if math.isfinite(e) for x in (e, math.nextafter(e, math.inf)) if math.isfinite(x)}
     return [-math.inf, *sorted(cuts), math.inf], step == 1
 
@@ -547,6 +548,10 @@ def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: st
     schema = docs.resolver.base_type.jsonValue()
     slots = sorted(_element_types(schema) | {"string"})
     lines, numbers = _plan_lines(queries, schema, "_id" in df.columns, slots)
+    counts = lines.agg(F.count("q").alias("open"), F.count(F.lit(1)).alias("n"), F.sum("n").alias("all"), F.count_distinct("no").alias("nos")).first()
+    repeated = counts["n"] and not counts["n"] == counts["all"] == counts["nos"]
+    if not repeated:  # every plan has one number: nothing to fan out
+        lines = lines.withColumn("line", F.col("no"))
     anchors = lines.where(F.col("anchors").isNotNull())
     # small jobs over the stored plans, bounded by kinds x fields and by the shapes asked for
     each = anchors.select("exact", "bytes", F.explode("anchors").alias("a"))
@@ -559,8 +564,6 @@ def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: st
               .orderBy(F.desc("n"), "shape_id").limit(compiled_shapes + 1).collect())
     every = len(shapes) <= compiled_shapes
     shapes = [(r["shape_id"], json.loads(r["shape"])) for r in shapes[:compiled_shapes]]
-    counts = lines.agg(F.count("q").alias("open"), F.count(F.lit(1)).alias("n")).first()
-    doubled = numbers.count() != counts["n"]
     verifier = _Verifier(docs, slots)
     others: set[tuple[str, str]] = set()
     if not every:
@@ -604,9 +607,10 @@ def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: st
     if not parts:
         return df.select(F.lit(None).cast("long").alias(QUERY_NO), *docs.columns).limit(0)
     out = reduce(DataFrame.unionByName, parts)
-    few = counts["n"] and numbers.count() <= broadcast_rows if doubled else True
+    if not repeated:
+        return out.select(F.col("line").cast("long").alias(QUERY_NO), *docs.columns)
     numbers = materialize(numbers, "line-numbers")
-    return out.join(F.broadcast(numbers) if few else numbers, "line").select(QUERY_NO, *docs.columns)
+    return out.join(F.broadcast(numbers) if counts["all"] <= broadcast_rows else numbers, "line").select(QUERY_NO, *docs.columns)
 
 
 def _unanchored(df: DataFrame, lines: DataFrame, root, slice_size: int) -> list[DataFrame]:
