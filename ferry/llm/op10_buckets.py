@@ -25,7 +25,8 @@ Each level counts occurrences by grouping on identifiers; nothing is paired. Tex
 those of documents with unsettled windows.
 
 Null or empty text: no bytes, nothing removed. Repeated rows and rows with equal
-doc_id count as occurrences of their own. Null doc_id: kept whole and not counted.
+doc_id count as occurrences of their own; a null doc_id is a document like any other. A text of 2**28 bytes or more is an error (the
+place of a gram is packed into 28 bits). Other columns, whatever their names: ignored. Empty table: empty result.
 """
 
 from __future__ import annotations
@@ -61,6 +62,8 @@ def byte_blocks(buf: np.ndarray, offsets: np.ndarray, width: int, gram: int, cac
     """Blocks of a chunk: row, first window (byte in the chunk), windows, distance of the representative, bucket, content name."""
     if len(buf) < width:
         return None
+    if len(buf) >= 1 << 28:
+        raise ValueError("a text of 2**28 bytes or more")
     ids = gram_identifiers(buf, gram, cache)
     places = np.arange(len(ids), dtype=U)
     least = K.sliding_min((ids >> U(28) << U(28)) | places, width - gram + 1)
@@ -143,7 +146,7 @@ def _emit_kept():
     """The bytes outside each row's removed ranges."""
     def run(batches):
         for batch in batches:
-            spans, ids = batch.column("spans"), batch.column("doc_id")
+            spans, ids = batch.column("spans"), batch.column("own")
             n_bytes, n_removed, n_spans, kept = [], [], [], []
             for lo, hi, buf, offsets in K.text_chunks(batch.column("text")):
                 for i in range(hi - lo):
@@ -162,17 +165,29 @@ def _emit_kept():
     return run
 
 
+#: Stands for a null doc_id in joins. Rows are told apart by doc_id and text, and equal texts have equal spans, so a row
+#: that has this id itself loses nothing.
+NO_ID = -(1 << 63)
+
+
+def _rows(docs: DataFrame, doc_col: str, text_col: str) -> DataFrame:
+    """own (the doc_id as it is), doc_id (never null), sum, text."""
+    rows = identified(docs, doc_col, text_col)
+    return rows.select(F.col("doc_id").alias("own"), F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_id"), "sum", "text")
+
+
 def repeated_spans(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text",
                    width: int = 400, gram: int = 64, cells: tuple[int, ...] = (32, 1)) -> DataFrame:
     """doc_id, sum, lo, hi: byte ranges covered by strings of width bytes that occur at least twice.
 
-    sum is a hash of the row's text: rows are told apart by both.
+    sum is a hash of the row's text: rows are told apart by both. A null doc_id shows as NO_ID.
     """
     if not 0 < gram <= width or cells[-1] != 1 or cells[0] > width:
         raise ValueError("gram must be between 1 and width, cells must end with 1")
-    plain = identified(docs, doc_col, text_col).where("doc_id is not null")
+    plain = _rows(docs, doc_col, text_col).drop("own")
     blocks = plain.mapInArrow(_emit_blocks(width, gram), "doc_id long, sum long, key long, name long, lo long, n int, off int")
-    level1 = (blocks.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("key"))
+    # stored, so that the join has an exchange of its own on either side and a hot bucket can be split
+    level1 = stored(blocks.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1").select("key"), "bucket-keys")
     kept = stored(blocks.join(level1, "key"), "buckets")
     level2 = kept.groupBy("key", "name").agg(F.count(F.lit(1)).alias("weight"),
                                              F.min(F.struct("doc_id", "sum", "lo")).alias("sample"))
@@ -205,9 +220,10 @@ def dedup_bytes(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "text"
 
     Returns doc_id, n_bytes, n_removed, n_spans, kept (binary), one row per input row.
     """
-    plain = identified(docs, doc_col, text_col)
+    plain = _rows(docs, doc_col, text_col)
     spans = repeated_spans(docs, doc_col, text_col, width, gram)
-    per_doc = stored(spans.groupBy("doc_id", "sum").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")), "spans")
+    # rows that share doc_id and text have equal spans: each is kept once
+    per_doc = stored(spans.groupBy("doc_id", "sum").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")), "spans")
     touched, rest = split_by_ids(plain, per_doc)
     spanned = touched.join(per_doc, ["doc_id", "sum"], "left")
     return (spanned.unionByName(rest, allowMissingColumns=True)
