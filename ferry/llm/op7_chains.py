@@ -17,7 +17,9 @@ Scoring covers every document whole, in one pass without a shuffle.
 
 Labels may repeat (the largest value counts), lack documents or hold nulls (a null
 category counts as 0). Null or empty text: no features, the models' base rates. Without a usable label, or with
-one class only, a category's model is a constant.
+one class only, a category's model is a constant. Rows that repeat a doc_id: one training document (the least text), each scored for
+itself. Very long texts: whole, as one chunk of a task. Ties of features: by the feature's hash. Other columns are kept; one that has
+the name of a result is refused. Empty table: empty result, constant models.
 """
 
 from __future__ import annotations
@@ -123,8 +125,10 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], doc
               .agg(*[F.max(F.coalesce(e.cast("int"), F.lit(0))).alias(f"y{i}") for i, e in enumerate(categories.values())])
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows))
     sample = stored(sample, "labels")  # at most fit_rows small rows, so they may be broadcast
-    rows = stored(narrowed(docs, doc_id=doc_col, text=text_col).join(F.broadcast(sample), "doc_id"), "labelled")
     ys = [f"y{i}" for i in range(len(names))]
+    # one row a document, however often it is repeated: what is fitted on stays within fit_rows rows
+    found = narrowed(docs, doc_id=doc_col, text=text_col).join(F.broadcast(sample), "doc_id")
+    rows = stored(found.groupBy("doc_id", *ys).agg(F.min("text").alias("text")), "labelled")
 
     def count(batches):
         cache: dict = {}
@@ -178,7 +182,9 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], doc
 
 
 def score(docs: DataFrame, model, names: list[str], text_col: str = "text") -> DataFrame:
-    """The frame with one column p_<name> a category: its probability for the whole text."""
+    """The frame with one column p_<name> a category: its probability for the whole text. Columns of these names are refused."""
+    if taken := sorted({"__p", *(f"p_{x}" for x in names)} & set(docs.columns)):
+        raise ValueError(f"columns {taken} exist")
     small_batches(docs.sparkSession)
     features, weights = model
     mask = mask_of(features)
