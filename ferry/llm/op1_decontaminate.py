@@ -18,7 +18,8 @@ pass over the texts without a shuffle of texts.
 
 Items shorter than ``gram`` words have one seed, the whole item, and need an exact
 copy. Null or empty items and texts match nothing. Repeated rows are treated alike; of
-equal item_ids the best alignment counts.
+equal item_ids the best alignment counts, and of equally good ones the first in the text. Very long texts: whole, passage by passage.
+Empty tables: empty result. Other columns, whatever their names: ignored.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ Ids are packed as little-endian unsigned 32-bit integers in one binary column, a
 training shards store them; :func:`id_array` unpacks them with SQL functions. Decoding joins the
 tokens' raw bytes and returns binary, since a cut sequence need not be valid UTF-8.
 
-Null or empty text: no ids, empty bytes. An id without a token: the task fails. The rank file (about
+Repeated rows: each encoded for itself. Other columns are kept; one that has the name of a result is replaced. Ties between merges: as the
+library, the leftmost of the lowest rank. Empty table: empty result. Null or empty text: no ids, empty bytes. An id without a token: the task fails. The rank file (about
 1 MB) is read once on the driver and broadcast; its size is checked.
 """
 

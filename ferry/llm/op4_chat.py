@@ -16,7 +16,8 @@ loss mask is the list of (start, end) of the assistant texts in the formatted st
 
 Null text or role: empty. Equal (tree, node) rows: the one with the smallest (role, text) counts as the node
 and the others are its repeats, kept as turns right after it. A parent that does not exist makes a root; nodes
-on a cycle have no leaf and are left out. Null tree or node ids are left out. Built-in functions only.
+on a cycle have no leaf and are left out. Null tree or node ids are left out. Very long texts: formatted whole, one row each. Other columns,
+whatever their names: ignored. Empty table: empty results. Built-in functions only.
 """
 
 from __future__ import annotations

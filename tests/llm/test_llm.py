@@ -466,6 +466,36 @@ def test_shards(docs, none):
     assert op6.assign_shards(none).count() == 0
 
 
+def test_shards_have_the_smallest_capacity_of_the_groups(spark):
+    r = random.Random(31)
+    for bits, split_bits, n in ((1, 2, 40), (2, 3, 300), (16, 10, 200), (3, 61, 60)):
+        texts = ["x" * r.choice([1, 5, 300, r.randrange(2000)]) + str(r.randrange(n)) for _ in range(n)]
+        frame = spark.createDataFrame([(i % 9 if i % 5 else None, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, slot string")
+        got = op6.assign_shards(frame, shards=7, bits=bits, split_bits=split_bits, part_rows=3).collect()
+        groups = {x["text"]: x["h"] for x in frame.select("text", F.xxhash64("text").alias("h")).collect()}
+        count = Counter(texts)
+        sizes = [count[t] * (len(t) + 16) for t in sorted(groups, key=groups.get)]
+        held, slots = Counter(), defaultdict(list)
+        for x in got:
+            held[x.shard] += x.size
+            slots[x.shard].append(x.slot)
+        assert max(held.values()) <= op6.smallest_capacity(sizes, 7) and sum(held.values()) == sum(sizes)
+        assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+
+
+def test_write_shards_keeps_every_row(spark, tmpdir_path):
+    rows = [(1, "a", 0, "k"), (1, "a", 1, "k"), (None, "b", 2, None), (2, None, 3, "k"), (2, "a", 4, "k"), (3, "", 5, "k")] + [(i, f"t{i}", i, "k") for i in range(50)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, slot int, place string")
+    op6.write_shards(frame, tmpdir_path + "/s", shards=4)
+    back = spark.read.parquet(tmpdir_path + "/s")
+    same([(x.doc_id, x.text, x.slot, x.place) for x in back.collect()], rows)
+    assert {x.shard for x in back.collect()} <= set(range(4)) and back.where("text = 'a'").select("shard").distinct().count() == 1
+    with pytest.raises(ValueError):
+        op6.write_shards(back, tmpdir_path + "/t", shards=4)
+    op6.write_shards(back, tmpdir_path + "/u", shards=3, shard_col="piece")
+    assert spark.read.parquet(tmpdir_path + "/u").count() == len(rows)
+
+
 def test_chat_round_trip(spark):
     r = random.Random(2)
     parts = ["<", "s>", "/s>", "[", "INST]", " ", "\\", "/INST]", "<SYS>>", "</SYS>>", "<ROLE:", "x", "\n", ">", "%", "é"]
@@ -517,6 +547,134 @@ def test_classifier_chain(spark, none):
     assert all(x.p_toxic < 0.5 for x in op7.score(frame, empty, names).collect())
 
 
+def test_chain_equals_a_plain_one(spark):
+    """Features by strings, out-of-fold probabilities and scores, all plain; repeated rows and labels, clashing columns."""
+    r = random.Random(13)
+    vocabulary = ["".join(r.choice("abcdef") for _ in range(r.randrange(2, 9))) for _ in range(40)]
+    rows = []
+    for i in range(240):
+        a, b = r.random() < 0.4, r.random() < 0.3
+        words = [r.choice(vocabulary) for _ in range(12)] + ["lowly"] * (a and r.random() < 0.8) + ["vileness"] * ((a or b) and r.random() < 0.7)
+        rows.append((i, " ".join(words), int(not a), int(b or (a and r.random() < 0.5))))
+    docs = spark.createDataFrame([x[:2] for x in rows] + [rows[3][:2]] * 5 + [(7, "zzz later text")], "doc_id long, text string")
+    labels = spark.createDataFrame([(x[0], x[2], x[3]) for x in rows] + [(rows[0][0], None, 0)] * 3, "doc_id long, quality int, toxic int")
+    names = list(op7.label_categories())
+    got = op7.score(docs, op7.train(docs, labels, op7.label_categories(), per_category=15, min_docs=4), names).collect()
+
+    def features(text):
+        words = re.findall("[a-z]+", text.lower())
+        return {("w", w) for w in words} | {(n, w[:n]) for w in words for n in op7.PREFIXES if len(w) > n}
+
+    texts = {x[0]: min([x[1]] + ["zzz later text"] * (x[0] == 7)) for x in rows}
+    have = {i: features(t) for i, t in texts.items()}
+    ys = np.array([[1 - x[2], x[3]] for x in rows], dtype=float)
+    count = Counter(f for h in have.values() for f in h)
+    chosen, n = set(), len(rows)
+    for c in range(2):
+        n1 = ys[:, c].sum()
+        z = {}
+        for f, k in count.items():
+            if k >= 4:
+                k1 = sum(ys[i, c] for i in range(n) if f in have[i])
+                z[f] = round(abs(k1 / n1 - (k - k1) / (n - n1)) / (k / n * (1 - k / n + 1e-9) * (1 / n1 + 1 / (n - n1))) ** 0.5, 9)
+        best = sorted(z.values(), reverse=True)[:15]
+        assert len(best) == 15
+        chosen |= {f for f in z if z[f] >= best[-1]}
+    order = sorted(chosen, key=str)
+    x = np.array([[f in have[i] for f in order] for i in range(n)], dtype=float)
+    folds = np.array([int(op7.K.mix(np.array([i], dtype=np.uint64))[0] % np.uint64(3)) for i in range(n)])
+
+    def fitted(x, y):  # Newton's method
+        w = np.zeros(x.shape[1] + 1)
+        xs = np.column_stack([x, np.ones(len(x))])
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-xs @ w))
+            ridge = np.append(np.full(x.shape[1], 1.0), 0)
+            w -= np.linalg.solve((xs * (p * (1 - p))[:, None]).T @ xs + np.diag(ridge + 1e-9), xs.T @ (p - y) + ridge * w)
+        return w
+
+    def told(x, w):
+        return 1 / (1 + np.exp(-(x @ w[:-1] + w[-1])))
+
+    held = np.zeros(n)
+    for k in range(3):
+        held[folds == k] = told(x[folds == k], fitted(x[folds != k], ys[folds != k, 0]))
+    first, second = fitted(x, ys[:, 0]), fitted(np.column_stack([x, held]), ys[:, 1])
+    for g in got:
+        v = np.array([[f in features(g.text) for f in order]], dtype=float)
+        p = told(v, first)
+        assert abs(g.p_low_quality - p[0]) < 0.03 and abs(g.p_toxic - told(np.column_stack([v, p]), second)[0]) < 0.03, g.doc_id
+    with pytest.raises(ValueError):
+        op7.score(docs.withColumn("p_toxic", F.lit(1)), ([], []), names)
+
+
+def test_mcd_equals_a_plain_one(spark):
+    r = np.random.default_rng(5)
+    rows, floors, share = [], (0.01, 0.02, 0.0001), 0.75
+    for g in range(3):
+        base = r.normal(size=(90 + 40 * g, 3)) @ r.normal(size=(3, 3)) + g
+        base[:12] += 25
+        rows += [("l", f"s{g}", *map(float, x)) for x in base]
+    frame = spark.createDataFrame(rows, "g_lang string, g_source string, f0 double, f1 double, f2 double")
+    got = {x.g_source: x for x in op9.mcd_models(frame, 3, floors, share, steps=6).collect()}
+
+    def at(values, q):
+        return np.sort(values)[max(0, int(np.ceil(q * len(values))) - 1)]
+
+    groups = {f"s{g}": np.array([x[2:] for x in rows if x[1] == f"s{g}"]) for g in range(3)}
+    now, was = {}, {g: 1e9 for g in groups}
+    for g, x in groups.items():
+        m = np.array([at(c, 0.5) for c in x.T])
+        d = np.array([at(np.abs(c - k), 0.5) for c, k in zip(x.T, m)])
+        now[g] = m, np.diag(1 / ((1.4826 * d) ** 2 + np.square(floors)))
+    for _ in range(6):
+        falls = []
+        for g, x in groups.items():
+            m, inv = now[g]
+            d2 = np.einsum("ij,jk,ik->i", x - m, inv, x - m)
+            near = x[d2 <= at(d2, share)]
+            cov = np.cov(near.T, bias=True) + np.diag(np.square(floors))
+            now[g] = near.mean(axis=0), np.linalg.inv(cov)
+            log_det = np.linalg.slogdet(cov)[1]
+            falls.append(was[g] - log_det)
+            was[g] = log_det
+        if max(falls) < 1e-3:
+            break
+    for g, x in groups.items():
+        m, inv = now[g]
+        d2 = np.einsum("ij,jk,ik->i", x - m, inv, x - m)
+        assert np.allclose(got[g].centre, m, atol=1e-6) and np.allclose(got[g].inverse, inv.ravel(), rtol=1e-5)
+        assert abs(got[g].scale - max(1.0, at(d2, 0.5) / op9.chi_square(3, 0.0))) < 1e-6
+        far = d2 / got[g].scale > op9.chi_square(3, 9.0)
+        assert far[:12].all() and far.sum() <= 14  # the planted outliers do not move the estimate
+
+
+def test_stages_of_the_pipeline_on_hostile_rows(spark):
+    """Nulls in every column, repeated rows, a very long text and clashing columns go through every stage."""
+    import corpus_pipeline
+
+    r, sf = random.Random(3), "/root/testdata/sf0.001"
+    prose = [" ".join(r.choice(["alpha", "beta", "gamma", "delta", "omega", "sigma", "tau"]) + str(r.randrange(50)) for _ in range(80)) for _ in range(6)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(prose)]
+    rows += [rows[1], (1, prose[1], None, None, None), (None, prose[2], "en", None, 1), (None, None, None, None, None), (50, "", "en", "s", 0),
+             (51, "word " * 60000 + "token=" + "q7Zx" * 9, "en", "s", 1), (52, None, "en", "s", None)]
+    clash = "doc_id long, text string, lang string, source string, n_chars long, ck string, size long, place int, f0 double, sid string, component_id int, p long, ids string, word int"
+    docs = spark.createDataFrame([(*x, "c", 1, 2, 3.0, "s", 4, 5, "i", 6) for x in rows], clash).repartition(3)
+    kept = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, sf)
+        assert kept.columns == docs.columns, name
+    got = Counter((x.doc_id, x.text) for x in kept.collect())
+    masked = "word " * 60000 + "<SECRET>"
+    want = Counter({(i, t): 1 for i, t in enumerate(prose) if i != 1})
+    want += Counter({(1, prose[1]): 3, (None, prose[2]): 1, (None, None): 1, (50, ""): 1, (51, masked): 1, (52, None): 1})
+    assert got == want
+    last = corpus_pipeline.STAGES[-1][1](spark, kept, sf).collect()
+    assert len(last) == sum(got.values()) and all(x.intact for x in last)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), sf).count() == 0
+
+
 def test_pipeline_equals_its_parts(spark, tmp_path):
     import shutil
 
