@@ -47,7 +47,7 @@ import math
 from functools import reduce
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -198,9 +198,10 @@ def _typed_lists(lists: Column, type_name: str) -> Column:
     return F.transform(lists, lambda xs: _typed_list(xs, type_name))
 
 
-def _plan_lines(queries: DataFrame, schema, has_id: bool, slots: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(lines, numbers): the different plans, stored, with a number each (``line``), how many lines have it (``n``) and the least
-    of their numbers (``no``); and ``(line, query_no)``."""
+def _plan_lines(queries: DataFrame, schema, has_id: bool, slots: list[str]) -> tuple[DataFrame, DataFrame, dict]:
+    """(lines, numbers, told): the different plans, stored, with a number each (``uid``) and the least number of the lines that have it
+    (``no``); ``(uid, query_no)``; and how many plans there are (``plans``) of how many lines (``lines``), how many without
+    anchors (``open``) and how many to verify (``tested``), observed while they are written."""
     from . import clauses, lineplan
 
     # the planner and the parser travel with the task, so the executors need no installed copy of this package
@@ -212,12 +213,14 @@ def _plan_lines(queries: DataFrame, schema, has_id: bool, slots: list[str]) -> t
     different = planned.groupBy("same").agg(F.first("plan").alias("plan"), F.count(F.lit(1)).alias("n"), F.min(QUERY_NO).alias("no"))
     typed = [_typed_list(F.get("p.lits", i), t).alias(f"l{i}") for i, t in enumerate(slots)] + \
             [_typed_lists(F.get("p.lists", i), t).alias(f"x{i}") for i, t in enumerate(slots)]
-    lines = materialize(
-        different.select("same", "n", "no", p.alias("p"), F.octet_length("plan").alias("bytes")).where(~F.coalesce("p.never", F.lit(False)))
-        .select(F.monotonically_increasing_id().alias("line"), "same", "n", "no", "bytes", "p.exact", "p.q", "p.shape", F.md5("p.shape").alias("shape_id"),
-                "p.depth", "p.prog", "p.leaves", "p.anchors", "p.tokens", *typed), "lines")
-    numbers = planned.select(QUERY_NO, "same").join(lines.select("line", "same"), "same").select("line", QUERY_NO)
-    return lines, numbers
+    flat = (different.select("same", "n", "no", p.alias("p"), F.octet_length("plan").alias("bytes")).where(~F.coalesce("p.never", F.lit(False)))
+            .select(F.monotonically_increasing_id().alias("uid"), "same", "n", "no", "bytes", "p.exact", "p.q", "p.shape", F.md5("p.shape").alias("shape_id"),
+                    "p.depth", "p.prog", "p.leaves", "p.anchors", "p.tokens", *typed))
+    seen = Observation()
+    lines = materialize(flat.observe(seen, F.count(F.lit(1)).alias("plans"), F.coalesce(F.sum("n"), F.lit(0)).alias("lines"), F.count("q").alias("open"),
+                                     F.count(F.when(~F.col("exact"), 1)).alias("tested")).drop("n"), "lines")
+    numbers = planned.select(QUERY_NO, "same").join(lines.select("uid", "same"), "same").select("uid", QUERY_NO)
+    return lines, numbers, seen.get
 
 
 # --------------------------------------------------------------------------- E2: predicates
@@ -481,14 +484,14 @@ def _range_join(docs: _Docs, needs, rows: DataFrame, key: str, type_name: str, m
 
 def _rarest(docs: _Docs, rows: DataFrame, key: str) -> DataFrame:
     """The rows of ``rare`` anchors with the token of the least document frequency as ``__k``; without one that no document has."""
-    wanted = rows.select("line", "__j", F.explode("a.keys").alias("k"))
+    wanted = rows.select("uid", "__j", F.explode("a.keys").alias("k"))
     vocabulary = wanted.select("k").distinct()
     tokens = docs.frame({("tokens", key)}).select(F.explode(F.filter(docs.stored_name("tokens", key), _listed(vocabulary))).alias("k"))
     counts = tokens.groupBy("k").agg(F.count(F.lit(1)).alias("df"))
-    best = (wanted.join(counts, "k", "left").groupBy("line", "__j")
+    best = (wanted.join(counts, "k", "left").groupBy("uid", "__j")
             .agg(F.min(F.struct("df", "k")).alias("m"), F.max(F.col("df").isNull()).alias("absent"))
-            .where("not absent").select("line", "__j", F.col("m.k").alias("__k")))
-    return rows.join(materialize(best, "rare-tokens"), ["line", "__j"])
+            .where("not absent").select("uid", "__j", F.col("m.k").alias("__k")))
+    return rows.join(materialize(best, "rare-tokens"), ["uid", "__j"])
 
 
 def _candidates(docs: _Docs, needs, rows: DataFrame, how: str, key: str, type_name: str, lengths: list[int], small: bool, most_rows: int):
@@ -547,11 +550,10 @@ def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: st
     docs = _Docs(df, root)
     schema = docs.resolver.base_type.jsonValue()
     slots = sorted(_element_types(schema) | {"string"})
-    lines, numbers = _plan_lines(queries, schema, "_id" in df.columns, slots)
-    counts = lines.agg(F.count("q").alias("open"), F.count(F.lit(1)).alias("n"), F.sum("n").alias("all"), F.count_distinct("no").alias("nos")).first()
-    repeated = counts["n"] and not counts["n"] == counts["all"] == counts["nos"]
-    if not repeated:  # every plan has one number: nothing to fan out
-        lines = lines.withColumn("line", F.col("no"))
+    lines, numbers, told = _plan_lines(queries, schema, "_id" in df.columns, slots)
+    repeated = told["plans"] != told["lines"]
+    # the number to answer by: with one line a plan its own, else the plan's, fanned out at the end
+    lines = lines.withColumn("line", F.col("uid" if repeated else "no"))
     anchors = lines.where(F.col("anchors").isNotNull())
     # small jobs over the stored plans, bounded by kinds x fields and by the shapes asked for
     each = anchors.select("exact", "bytes", F.explode("anchors").alias("a"))
@@ -561,7 +563,7 @@ def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: st
                   F.collect_set(F.when(F.col("a.how").isin("head", "gram"), F.length(F.get("a.keys", 0)))).alias("lengths"))
              .collect())
     shapes = (lines.where(~F.col("exact")).groupBy("shape_id").agg(F.count(F.lit(1)).alias("n"), F.first("shape").alias("shape"))
-              .orderBy(F.desc("n"), "shape_id").limit(compiled_shapes + 1).collect())
+              .orderBy(F.desc("n"), "shape_id").limit(compiled_shapes + 1).collect()) if told["tested"] else []
     every = len(shapes) <= compiled_shapes
     shapes = [(r["shape_id"], json.loads(r["shape"])) for r in shapes[:compiled_shapes]]
     verifier = _Verifier(docs, slots)
@@ -577,7 +579,7 @@ def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: st
     program.append(F.when(F.col("__sid") < 0, F.transform("anchors", lambda a: a["j"])).alias("places"))
     carry = F.struct(F.col("__sid").alias("sid"), *carried, *([] if every else program))
     anchored = (anchors.withColumn("__sid", sid).withColumn("__c", carry)
-                .select("line", F.col("exact").alias("__exact"), F.when(~F.col("exact"), F.col("__c")).alias("__c"), F.explode("anchors").alias("a"))
+                .select("uid", "line", F.col("exact").alias("__exact"), F.when(~F.col("exact"), F.col("__c")).alias("__c"), F.explode("anchors").alias("a"))
                 .withColumn("__j", F.col("a.j")))
 
     parts: list[DataFrame] = []
@@ -602,15 +604,15 @@ def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: st
                 keep = keep.when(F.col("__c.sid") == i, verifier.compiled(s))
             found = found.where(keep.otherwise(F.lit(False) if every else verifier.interpreted(others)))
         parts.append(found.select("line", *docs.columns))
-    if counts["open"]:
+    if told["open"]:
         parts.extend(_unanchored(df, lines.where(F.col("q").isNotNull()), root, slice_size))
     if not parts:
         return df.select(F.lit(None).cast("long").alias(QUERY_NO), *docs.columns).limit(0)
     out = reduce(DataFrame.unionByName, parts)
     if not repeated:
         return out.select(F.col("line").cast("long").alias(QUERY_NO), *docs.columns)
-    numbers = materialize(numbers, "line-numbers")
-    return out.join(F.broadcast(numbers) if counts["all"] <= broadcast_rows else numbers, "line").select(QUERY_NO, *docs.columns)
+    numbers = materialize(numbers.withColumnRenamed("uid", "line"), "line-numbers")
+    return out.join(F.broadcast(numbers) if told["lines"] <= broadcast_rows else numbers, "line").select(QUERY_NO, *docs.columns)
 
 
 def _unanchored(df: DataFrame, lines: DataFrame, root, slice_size: int) -> list[DataFrame]:
