@@ -23,7 +23,8 @@ each is verified by itself in such cells, for links between sets of different cl
 Before their sets are fetched, a sketch (elements per bucket, whose distance never exceeds that of the sets) rules out most.
 
 Null or empty text, or no words: empty set, linked with nothing, its own component. Rows with equal
-doc_id count as documents of their own with one id. Null doc_id: n_shingles is given, component_id is null.
+doc_id count as documents of their own with one id. Null doc_id: n_shingles is given, component_id is null. Very long texts: one
+set each, read whole. Ties: a component's id is its smallest doc_id. Other columns, whatever their names: ignored. Empty table: empty result.
 """
 
 from __future__ import annotations
