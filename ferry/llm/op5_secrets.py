@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferry.llm.frames import small_batches
+from ferry.llm.frames import small_batches, stored
 
 KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -224,12 +224,21 @@ def _text_words(batches):
 
 
 def corpus_words(docs: DataFrame, text_col: str = "text", most: int = 50_000, least: int = 3) -> list[str]:
-    """The common words of passwords, then those of the corpus by the number of texts that hold them (ties by the word)."""
+    """The common words of passwords, then those of the corpus by the number of texts that hold them (ties by the word).
+
+    At most ``most`` of them: the words of a frequency are taken together or not at all.
+    """
     small_batches(docs.sparkSession)
-    counts = (docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(_text_words, "word string, n long")
-              .groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least))
-    top = counts.orderBy(F.desc("n"), "word").limit(most).collect()  # at most `most` short words
-    return [*WORDS, *(r["word"] for r in top if r["word"] not in set(WORDS))]
+    counts = stored(docs.select(F.col(f"`{text_col}`").alias("text")).mapInArrow(_text_words, "word string, n long")
+                    .groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "words")
+    # the least frequency whose words fit, from the most frequent down; a top-k would send k rows of every task
+    room, floor = most, None
+    for r in counts.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).toLocalIterator():
+        if r["words"] > room:
+            break
+        room, floor = room - r["words"], r["n"]
+    top = counts.where(F.col("n") >= floor).collect() if floor is not None else []  # at most `most` short words
+    return [*WORDS, *(r["word"] for r in sorted(top, key=lambda r: (-r["n"], r["word"])) if r["word"] not in set(WORDS))]
 
 
 def _shared_cost(docs: DataFrame, text_col: str, words: list[str] | None):
