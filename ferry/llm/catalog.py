@@ -12,7 +12,7 @@ from ferry.llm.op7_chains import op7_chains
 from ferry.llm.op8_recompression import op8_recompression
 from ferry.llm.op9_outliers import op9_outliers
 from ferry.llm.op10_buckets import op10_buckets
-from ferry.llm.op11_repair import op11_repair
+from ferry.llm.op11_repair import OP11_SQL, op11_repair
 from ferry.llm.op12_phrases import OP12_SQL, op12_phrases
 from ferry.llm.op13_mixing import OP13_SQL, op13_mixing
 
@@ -34,6 +34,7 @@ QUERIES = {
 
 ORACLE: dict[str, str] = {
     "op4_chat": OP4_SQL,
+    "op11_repair": OP11_SQL,
     "op12_phrases": OP12_SQL,
     "op13_mixing": OP13_SQL,
 }

@@ -414,3 +414,59 @@ def repaired(spark, conversations: DataFrame) -> DataFrame:
 def op11_repair(spark, sf_dir: str) -> DataFrame:
     """All conversations, damaged by rule: conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256."""
     return repaired(spark, spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+#: The same as a recursion over the turns. crc32 is computed from its table (polynomial 3988292384); insertions are left out, since
+#: deleting a neighbour of an inserted turn (2) is always cheaper than the insertion (5).
+OP11_SQL = r"""
+WITH RECURSIVE
+crc_table AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+         lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS t),
+damage AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_prepend(4294967295, list_transform(
+               string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+             lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS how
+  FROM conversations, crc_table),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN how = 4 THEN 'user' ELSE role END AS role,
+         CASE how WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM damage, (VALUES (1), (2)) AS c(copy) WHERE how <> 0 AND (copy = 1 OR how = 3)),
+placed AS (
+  SELECT *, left(role, 1) AS initial, regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS bare,
+         row_number() OVER w AS i, lag(left(role, 1)) OVER w AS was
+  FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text))),
+turns AS (
+  SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM placed),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (was IS NOT NULL AND was || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+  FROM turns GROUP BY conv_id),
+-- cheapest edits up to each turn by the last symbol kept ('' none); an insertion (5) is never cheaper than deleting a neighbour (2)
+paths AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, '' AS last, {'cost': CAST(0 AS BIGINT), 'audit': '', 'lines': CAST([] AS VARCHAR[])} AS best FROM counts
+  UNION ALL
+  SELECT conv_id, i, last, min(best) AS best FROM (
+    SELECT p.conv_id, t.i,
+           CASE WHEN e.edit = 'D' THEN p.last WHEN e.edit = 'K' THEN t.initial WHEN p.last = 'u' THEN 'a' ELSE 'u' END AS last,
+           {'cost': p.best.cost + CASE e.edit WHEN 'D' THEN 2 WHEN 'K' THEN 0 ELSE 1 END
+                    + CASE WHEN e.edit <> 'D' AND t.fault = 'truncated' THEN 5 ELSE 0 END,
+            'audit': p.best.audit || e.edit,
+            'lines': CASE e.edit WHEN 'D' THEN p.best.lines WHEN 'K' THEN list_append(p.best.lines, t.role || ':' || t.text)
+                     ELSE list_append(p.best.lines, CASE WHEN p.last = 'u' THEN 'assistant:' ELSE 'user:' END || t.text) END} AS best
+    FROM paths p JOIN turns t ON t.conv_id IS NOT DISTINCT FROM p.conv_id AND t.i = p.i + 1, (VALUES ('D'), ('K'), ('R')) AS e(edit)
+    WHERE e.edit = 'D' OR (t.fault NOT IN ('blank', 'duplicate') AND (e.edit = 'R'
+          OR t.initial = CASE WHEN p.last = 'u' THEN 'a' ELSE 'u' END OR (p.last = '' AND t.initial = 's')))) AS o
+  GROUP BY conv_id, i, last),
+done AS (
+  SELECT c.conv_id, min(p.best) AS best FROM paths p JOIN counts c ON c.conv_id IS NOT DISTINCT FROM p.conv_id AND p.i = c.n
+  WHERE p.last IN ('', 'a') GROUP BY c.conv_id)
+SELECT a.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate, coalesce(c.truncated, 0) AS truncated,
+       coalesce(c.illegal, 0) AS illegal, CAST(coalesce(d.best.cost, 0) AS BIGINT) AS cost, coalesce(d.best.audit, '') AS audit,
+       sha256(coalesce(array_to_string(d.best.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM a.conv_id
+"""
