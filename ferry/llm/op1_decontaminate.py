@@ -12,9 +12,9 @@ words (+2 a word that the item has, -1 another), and twice the item's words that
 over its maximum is the similarity: an exact copy has 1, and a copy with a fifth of its words changed about 0.7.
 An alignment without a single common n-gram has no seed and is not looked for.
 
-The items are the query side. They are read in blocks of at most ``block_bytes`` of text;
-a block and its n-gram table are broadcast, and every block meets all documents in one
-pass over the texts without a shuffle of texts.
+The items are the query side. They are read in blocks of about ``block_bytes`` of text;
+a block and its n-gram table are broadcast, and meet all documents in one pass over the texts without a shuffle of
+texts: one pass for each block, so one for a benchmark of up to 32 MB.
 
 Items shorter than ``gram`` words have one seed, the whole item, and need an exact
 copy. Null or empty items and texts match nothing. Repeated rows are treated alike; of
