@@ -13,13 +13,15 @@ itself. Windows that follow each other and took the same boundary form a block.
 
 Spark then joins on the high-level symbols: only symbols that occur in two
 documents survive, equal blocks are settled by one aggregate, and the windows of
-the remaining blocks are compared one by one. Hot symbols are aggregated before the
-shuffle; nothing is paired.
+the remaining blocks are compared one by one. Symbols are counted with map-side aggregation, and the join with the
+shared ones splits a hot symbol; nothing is paired. Windows of mixed blocks are compared in groups of equal content,
+one task a group.
 
 Names are 64-bit hashes; a block or window counts as equal only if both its symbol
 and its own content hash agree (128 bits). Null or empty text: no words, nothing
 removed. Rows with the same doc_id are one document to the rule "smaller doc_id",
-so they never remove from each other. Null doc_id: kept whole.
+so they never remove from each other. Null doc_id: kept whole. A text of more than 2**28 words is an error (the place of a symbol is
+packed into 28 bits). Other columns, whatever their names: ignored. Empty table: empty result.
 """
 
 from __future__ import annotations
@@ -100,6 +102,8 @@ def window_blocks(words: K.Words, width: int, rounds: int, margin: int, cache: d
     first = first[words.doc[first] == words.doc[first + width - 1]] if len(first) else first
     if not len(first):
         return None
+    if n >= 1 << 28:
+        raise ValueError("a text of 2**28 words or more")
     names, start, doc, lo, hi = recompress(words.hash, words.doc, rounds)
     at = start[1:]
     depends_lo, depends_hi = np.minimum(lo[:-1], lo[1:]), np.maximum(hi[:-1], hi[1:])
@@ -206,8 +210,9 @@ def repeated_spans(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "te
         raise ValueError("width must be at least twice the margin")
     plain = identified(docs, doc_col, text_col).where("doc_id is not null")
     blocks = plain.mapInArrow(_emit_blocks(width, rounds, margin), "doc_id long, sum long, key long, name long, lo long, n int")
-    shared = (blocks.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z"))
-              .where("a < z").select("key"))
+    # stored, so that the join has an exchange of its own on either side and a hot symbol can be split
+    shared = stored(blocks.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("z"))
+                    .where("a < z").select("key"), "symbol-keys")
     kept = stored(blocks.join(shared, "key"), "symbols")
     by_name = kept.groupBy("key", "name").agg(F.min("doc_id").alias("source"))
     mixed = by_name.groupBy("key").agg((F.count(F.lit(1)) > 1).alias("mixed"))
@@ -231,7 +236,8 @@ def dedup_substrings(docs: DataFrame, doc_col: str = "doc_id", text_col: str = "
     one space), one row per input row.
     """
     spans = repeated_spans(docs, doc_col, text_col, width, rounds, margin)
-    per_doc = stored(spans.groupBy("doc_id", "sum").agg(F.collect_list(F.struct("lo", "hi")).alias("spans")), "spans")
+    # rows that share doc_id and text have equal spans: each is kept once
+    per_doc = stored(spans.groupBy("doc_id", "sum").agg(F.collect_set(F.struct("lo", "hi")).alias("spans")), "spans")
     touched, rest = split_by_ids(identified(docs, doc_col, text_col), per_doc)
     spanned = touched.join(per_doc, ["doc_id", "sum"], "left")
     return (spanned.unionByName(rest, allowMissingColumns=True)
