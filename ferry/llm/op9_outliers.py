@@ -17,10 +17,11 @@ that are zero in most documents have no spread of their own.
 
 Sources with fewer than ``min_rows`` usable documents are pooled by language, languages with
 fewer over all; if even those are fewer, nothing is rejected. The models are one row
-a group and stay in Spark (joined back; broadcast only below Spark's size threshold).
+a group and stay in Spark (joined back; broadcast while there are at most BROADCAST_GROUPS groups, counted).
 
 Null or empty text: zero counts, base rule failed. Null language or source: a group
-of its own. Each input row gives one output row, repeated or not.
+of its own. Each input row gives one output row, repeated or not. Very long texts: counted whole, as one chunk of a task. Ties at a cut: all
+rows at the cut are in. Other columns, whatever their names: ignored. Empty table: empty result.
 """
 
 from __future__ import annotations
@@ -144,6 +145,16 @@ def _distance(p: int):
     return out
 
 
+def _per_group(rows: DataFrame, group: tuple[str, ...]):
+    """A function that marks tables of one row a group for broadcast if rows hold few groups."""
+    few = rows.select(*group).distinct().count() <= BROADCAST_GROUPS
+    return (lambda table: F.broadcast(table)) if few else (lambda table: table)
+
+
+#: Most groups whose table (a few hundred bytes a group) is broadcast.
+BROADCAST_GROUPS = 50_000
+
+
 def mcd_models(rows: DataFrame, p: int, floors: tuple[float, ...], share: float = 0.75, steps: int = 10) -> DataFrame:
     """Per group: centre, inverse (row-major), log_det, scale. rows: GROUP and f0..fp-1."""
     def models_of(moments: DataFrame, p=p, floors=floors):
@@ -165,8 +176,10 @@ def mcd_models(rows: DataFrame, p: int, floors: tuple[float, ...], share: float
 
     sums = [F.count(F.lit(1)).alias("n"), *[F.sum(f"f{i}").alias(f"s{i}") for i in range(p)],
             *[F.sum(F.col(f"f{i}") * F.col(f"f{j}")).alias(f"s{i}_{j}") for i in range(p) for j in range(i, p)]]
+    # tables of one row a group are broadcast where there are few groups, so that a hot group's rows stay where they are
+    per_group = _per_group(rows, GROUP)
     middle = rows.groupBy(*GROUP).agg(*[F.percentile_approx(f"f{i}", 0.5, 1000).alias(f"m{i}") for i in range(p)])
-    spread = (rows.join(middle, list(GROUP)).groupBy(*GROUP)
+    spread = (rows.join(per_group(middle), list(GROUP)).groupBy(*GROUP)
               .agg(*[F.first(f"m{i}").alias(f"m{i}") for i in range(p)],
                    *[F.percentile_approx(F.abs(F.col(f"f{i}") - F.col(f"m{i}")), 0.5, 1000).alias(f"d{i}") for i in range(p)]))
     var = [F.pow(1.4826 * F.col(f"d{i}"), 2) + floors[i] ** 2 for i in range(p)]
@@ -175,16 +188,16 @@ def mcd_models(rows: DataFrame, p: int, floors: tuple[float, ...], share: float
                         F.lit(1e9).alias("log_det"))
     now = stored(now, "mcd-start")
     for step in range(steps):
-        far = rows.join(now.drop("log_det"), list(GROUP)).withColumn("d2", _distance(p))
+        far = rows.join(per_group(now.drop("log_det")), list(GROUP)).withColumn("d2", _distance(p))
         cut = far.groupBy(*GROUP).agg(F.percentile_approx("d2", share, 1000).alias("cut"))
-        near = far.join(cut, list(GROUP)).where("d2 <= cut")
+        near = far.join(per_group(cut), list(GROUP)).where("d2 <= cut")
         after = stored(models_of(near.groupBy(*GROUP).agg(*sums)), f"mcd-{step}")
         falls = (after.join(now.select(*GROUP, F.col("log_det").alias("was")), list(GROUP))
                  .agg(F.max(F.col("was") - F.col("log_det"))).first()[0])
         now = after
         if falls is None or falls < 1e-3:
             break
-    half = (rows.join(now, list(GROUP)).withColumn("d2", _distance(p)).groupBy(*GROUP)
+    half = (rows.join(per_group(now), list(GROUP)).withColumn("d2", _distance(p)).groupBy(*GROUP)
             .agg((F.percentile_approx("d2", 0.5, 1000) / chi_square(p, 0.0)).alias("scale")))
     return now.join(half, list(GROUP)).withColumn("scale", F.greatest("scale", F.lit(1.0)))
 
@@ -213,11 +226,12 @@ def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     groups = groups.withColumnsRenamed({"lang": "l", "source": "s"})
     at = F.col("lang").eqNullSafe(F.col("l")) & F.col("source").eqNullSafe(F.col("s"))
     names = {f: f"f{i}" for i, f in enumerate(FEATURES)}
-    vectors = counted.join(groups, at, "left").drop("l", "s").withColumnsRenamed(names)
+    per_group = _per_group(counted, ("lang", "source"))
+    vectors = counted.join(per_group(groups), at, "left").drop("l", "s").withColumnsRenamed(names)
     rows = stored(vectors.where("not base_failed").select(*GROUP, *names.values()), "vectors")
     enough = rows.groupBy(*GROUP).agg((F.count(F.lit(1)) >= min_rows).alias("enough"))
     models = mcd_models(rows, p, FLOORS, share).join(enough, list(GROUP)).where("enough").drop("enough", "log_det")
-    told = vectors.join(models, list(GROUP), "left").withColumn("distance", _distance(p) / F.col("scale"))
+    told = vectors.join(per_group(models), list(GROUP), "left").withColumn("distance", _distance(p) / F.col("scale"))
     return told.select("doc_id", *COUNTS, "base_failed", "distance",
                        (~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= chi_square(p, tail))).alias("kept"))
 
