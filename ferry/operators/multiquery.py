@@ -19,9 +19,11 @@ A query list is a bag union: a document matching two lines appears twice
        O(log n) ancestors, and they meet by equality. No statistics of the documents are needed, and a
        pair that meets is a hit (only values equal to an open bound may still be rejected);
      - ``token`` (match): the tokens of the list, looked for in the documents' tokens;
-     - ``rare`` (match with ``and``, match_phrase): only the line's rarest token, by document frequency;
-     - ``head`` (prefix, wildcards that begin with literal characters): hash join on the first characters, one length at a time;
-     - ``gram`` (other wildcards): the first characters of the longest literal run, looked for among the values' n-grams.
+     - ``rare`` (match with ``and``, match_phrase): only the line's rarest token or, of a phrase, pair of neighbouring tokens, by document
+       frequency;
+     - ``head`` and ``tail`` (prefix, wildcards that begin or end with literal characters): hash join on the first or last characters,
+       one length at a time;
+     - ``gram`` (other wildcards): the rarest n-gram of their literal runs, by document frequency, looked for among the values' n-grams.
 
      Documents' tokens are first tested against a small bitmap of the list's tokens, so a
      document is copied only for tokens that the list holds.
@@ -46,6 +48,7 @@ import json
 import math
 from functools import reduce
 
+import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -54,7 +57,7 @@ from pyspark.sql import types as T
 from ..session import materialize
 from .clauses import RANGE_OPS, TOKEN_SPLIT
 from .dsl import _VARIANT_PROBE, _Resolver, _exists, _field, compile_query, quote
-from .lineplan import AS, GRAM, ID_KEY  # noqa: F401
+from .lineplan import _DECIDED, AS, GRAM, ID_KEY  # noqa: F401
 from .order import cap, number_rows
 
 QUERY_NO = "query_no"
@@ -133,6 +136,18 @@ def _values(base: Column | None, dtype, parts: list[str], vtype: str | None):
     raise KeyError(".".join(parts))
 
 
+def _each(frame: DataFrame, xs: Column, name: str) -> DataFrame:
+    """A row per value of ``xs`` that is not null. A plain explode would let the optimizer test ``xs`` for emptiness below the
+    projections, which computes tokens once more."""
+    return frame.select("*", F.explode_outer(xs).alias(name)).where(F.col(name).isNotNull())
+
+
+def _pairs(words: Column) -> Column:
+    """Neighbouring tokens, joined by a space."""
+    after = F.slice(words, F.lit(2), F.greatest(F.size(words), F.lit(0)))
+    return F.filter(F.zip_with(words, after, lambda a, b: F.concat(a, F.lit(" "), b)), lambda x: x.isNotNull())
+
+
 def _tokens(c: Column) -> Column:
     return F.split(F.lower(c), TOKEN_SPLIT)
 
@@ -160,15 +175,27 @@ class _Docs:
         return f"__ferry_{kind}{self.names.setdefault(key, len(self.names))}"
 
     def frame(self, needs: set[tuple[str, str]], *more: Column) -> DataFrame:
-        """All columns, a column per need (``value`` or ``tokens`` of a field), and more."""
-        extra = []
+        """All columns, a column per need (``value``, ``tokens`` or ``words`` of a field), and more."""
+        df, extra = self.df, []
+        words = [F.col(self.stored_name("words", key)) for kind, key in sorted(needs) if kind == "words"]
+        if words:  # before the rest, so that a text is split once: a list of tokens in order for each text
+            lists = []
+            for key in sorted(key for kind, key in needs if kind == "words"):
+                col, _, is_list = self.field(key)
+                texts = F.filter(col, lambda x: x.isNotNull()) if is_list else F.array(F.coalesce(col, F.lit("")))
+                lists.append(F.transform(texts, lambda x: F.filter(_tokens(x), lambda t: t != "")).alias(self.stored_name("words", key)))
+            df = df.select(*self.columns, *lists)
         for kind, key in sorted(needs):
+            if kind == "words":
+                continue
             col, _, is_list = self.field(key)
-            if kind == "tokens":
+            if kind == "tokens" and ("words", key) in needs:
+                col = F.array_distinct(F.flatten(self.stored_name("words", key)))
+            elif kind == "tokens":
                 col = F.array_distinct(F.flatten(F.transform(F.filter(col, lambda x: x.isNotNull()), _tokens)) if is_list else _tokens(col))
                 col = F.filter(col, lambda t: t != "")
             extra.append(col.alias(self.stored_name(kind, key)))
-        return self.df.select(*self.columns, *extra, *more)
+        return df.select(*self.columns, *words, *extra, *more)
 
 
 # --------------------------------------------------------------------------- E2: lines
@@ -226,6 +253,10 @@ def _plan_lines(queries: DataFrame, schema, has_id: bool, slots: list[str]) -> t
 # --------------------------------------------------------------------------- E2: predicates
 
 
+#: So many tokens are looked for one by one.
+_FEW = 4
+
+
 class _Verifier:
     """Predicates over a candidate row: the document's columns, the line's literals ``__c`` and the anchor met ``__j``."""
 
@@ -249,7 +280,12 @@ class _Verifier:
             return F.coalesce(_exists({"f": key, "path": key}, self.docs.resolver), F.lit(False))
         if kind in ("match", "every"):
             have, want = F.col(self.docs.stored_name("tokens", key)), F.get(c["tokens"], leaf["t"])
-            test = F.arrays_overlap(have, want) if kind == "match" else have.isNotNull() & (F.size(F.array_except(want, have)) == 0)
+            one_by_one = [F.array_contains(have, F.get(want, F.lit(i))) for i in range(_FEW)]  # without a set per row
+            if kind == "match":
+                test = F.when(F.size(want) == 1, one_by_one[0]).otherwise(F.arrays_overlap(have, want))
+            else:
+                test = F.when(F.size(want) <= _FEW, _all([(F.size(want) <= i) | x for i, x in enumerate(one_by_one)])) \
+                        .otherwise(F.size(F.array_except(want, have)) == 0)
             return F.coalesce(test, F.lit(False))
         col, etype, is_list = self.docs.field(key)
         if AS in key or is_list:
@@ -272,9 +308,10 @@ class _Verifier:
             test = F.exists(col, one) if is_list else one(col)
         return F.coalesce(test, F.lit(False))
 
-    def compiled(self, shape: dict) -> Column:
-        """The predicate of all lines of a shape."""
-        truths = [self.truth(leaf["kind"], leaf["key"], leaf) for leaf in shape["leaves"]]
+    def compiled(self, shape: dict, met: int) -> Column:
+        """The predicate of all lines of a shape on rows that met the anchor ``met``; a leaf that its join decides is not tested again."""
+        truths = [F.lit(True) if j == met and leaf["kind"] in _DECIDED else self.truth(leaf["kind"], leaf["key"], leaf)
+                  for j, leaf in enumerate(shape["leaves"])]
         stack: list[Column] = []
         for op in shape["prog"]:
             if op["op"] == 0:
@@ -291,11 +328,8 @@ class _Verifier:
                 elif op["w"] > 1:
                     parts.append(reduce(lambda a, b: a + b, [x.cast("int") for x in should]) >= op["w"])
                 stack.append(_all(parts) if parts else F.lit(True))
-        keep, places = stack[0], [a["j"] for a in shape["anchors"]]
-        if len(places) > 1:  # only for the first anchor that the document meets
-            first = reduce(lambda w, j: w.when(truths[j], F.lit(j)), places[1:], F.when(truths[places[0]], F.lit(places[0])))
-            keep = keep & (F.col("__j") == first)
-        return keep
+        # only for the first anchor that the document meets
+        return _all([stack[0], *[~truths[a["j"]] for a in shape["anchors"] if a["j"] < met]] + ([truths[met]] if len(shape["anchors"]) > 1 else []))
 
     def interpreted(self, leaves) -> Column:
         """The predicate of lines of any shape whose leaves are of the given (kind, key) pairs."""
@@ -413,40 +447,55 @@ def _in_bounds(x: Column) -> Column:
     return _all([F.col(f"__{op}").isNull() | cmp(F.col(f"__{op}")) for op, cmp in _compare(x)])
 
 
-def _cuts(ends: DataFrame) -> tuple[list[float], bool]:
-    """(ascending cuts, whether every end point is one) of the distinct end points ``e``."""
+def _cuts(ends: DataFrame):
+    """(ascending finite cuts, whether every end point is one) of the distinct end points ``e``."""
+    import numpy as np
+
     most, step = _CELLS // 2, 1
     points = [r["e"] for r in ends.limit(most + 1).collect()]
     if len(points) > most:
         step = -(-ends.count() // most)
         points = [r["e"] for r in number_rows(ends, [F.col("e").asc()], "rn").where(F.col("rn") % step == 0).select("e").collect()]
-    cuts = {x for e in points if math.isfinite(e) for x in (e, math.nextafter(e, math.inf)) if math.isfinite(x)}
-    return [-math.inf, *sorted(cuts), math.inf], step == 1
+    at = np.array(points, dtype="float64")
+    at = at[np.isfinite(at)]
+    cuts = np.unique(np.concatenate([at, np.nextafter(at, np.inf)]))
+    return cuts[np.isfinite(cuts)], step == 1
+
+
+def _cells(spark, cuts):
+    """The cell of a double column: how many cuts are not above it; NaN, above all numbers, has the cell after the last.
+
+    The cuts are one broadcast array: as parameters of a transformer or literals of the plan each of them would pass the driver by itself.
+    """
+    held = spark.sparkContext.broadcast(cuts)
+
+    @F.pandas_udf("long")
+    def cell(x: pd.Series) -> pd.Series:
+        import numpy as np
+        import pandas as pd
+
+        v = x.to_numpy("float64")
+        return pd.Series(np.where(np.isnan(v), len(held.value) + 1, np.searchsorted(held.value, v, side="right")))
+
+    return cell
 
 
 def _range_join(docs: _Docs, needs, rows: DataFrame, key: str, type_name: str, most_rows: int) -> DataFrame:
     """Candidates of range anchors: dyadic nodes of the ranges against the ancestors of the documents' cells."""
-    from pyspark.ml.feature import Bucketizer
-
     col, etype, is_list = docs.field(key)
     rows = rows.select("line", "__exact", "__c", "__j", *[_typed(F.col(f"a.{op}"), type_name).alias(f"__{op}") for op in RANGE_OPS])
     rows = rows.select("*", *[_as_double(F.col(f"__{op}"), etype).alias(f"__d{op}") for op in RANGE_OPS])
     ends = rows.select(F.explode(F.array(*[f"__d{op}" for op in RANGE_OPS])).alias("e")).where("e is not null and not isnan(e)").distinct()
     cuts, all_cut = _cuts(ends)
     # a double stands for one value only: then open bounds exclude their own cell
-    plain = not isinstance(etype, T.DecimalType) and all(abs(x) < 2.0 ** 53 for x in cuts[1:-1])
+    plain = not isinstance(etype, T.DecimalType) and bool((abs(cuts) < 2.0 ** 53).all())
     sharp = all_cut and (plain or isinstance(etype, (T.FloatType, T.DoubleType)))
-    top = len(cuts) - 1  # cells 0 .. top - 1, and NaN, above all numbers, in cell top
-
-    def placed(frame, columns):
-        return Bucketizer(splitsArray=[cuts] * len(columns), inputCols=columns, outputCols=[f"{c}_at" for c in columns], handleInvalid="keep").transform(frame)
-
-    for op in RANGE_OPS:  # the bucketizer takes no nulls: absent bounds are replaced and ignored again
-        rows = rows.withColumn(f"__b{op}", F.coalesce(F.col(f"__d{op}"), F.lit(0.0)))
-    rows = placed(rows, [f"__b{op}" for op in RANGE_OPS])
+    top = len(cuts) + 1  # cells 0 .. top - 1, and NaN in cell top
+    placed = _cells(rows.sparkSession, cuts)
+    rows = rows.withColumns({f"__at{op}": placed(f"__d{op}") for op in RANGE_OPS})  # of an absent bound: not used
 
     def cell(op, shift):
-        at = F.col(f"__b{op}_at").cast("long")
+        at = F.col(f"__at{op}")
         finite = F.abs(F.col(f"__d{op}")) < math.inf  # infinite and NaN bounds share a cell with other values
         return F.when(F.col(f"__d{op}").isNotNull(), at + F.when(finite & ~F.isnan(f"__d{op}"), F.lit(shift if sharp else 0)).otherwise(0))
 
@@ -462,7 +511,7 @@ def _range_join(docs: _Docs, needs, rows: DataFrame, key: str, type_name: str, m
         odd_right = (left < right) & (right % 2 == 1) & (left + F.when(odd_left, 1).otherwise(0) <= right - 1)
         return F.array(F.when(odd_left, node(left)), F.when(odd_right, node(right - 1)))
 
-    nodes = (rows.withColumns({"__lo": lo, "__hi": hi}).where("__lo <= __hi")
+    nodes = (rows.withColumns({"__lo": lo, "__hi": hi})  # none where lo > hi
              .withColumn("__n", F.explode(F.filter(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(height)), cover)), lambda x: x.isNotNull())))
              .select("line", "__exact", "__c", "__j", *[f"__{op}" for op in RANGE_OPS],
                      F.col("__n.level").alias("__level"), (F.col("__n.level").cast("long") * (1 << 32) + F.col("__n.i")).alias("__node")))
@@ -470,32 +519,38 @@ def _range_join(docs: _Docs, needs, rows: DataFrame, key: str, type_name: str, m
     if not used:
         return None
     small = sum(r["n"] for r in used) <= most_rows
-    values = F.explode(F.array_distinct(col)) if is_list else col
-    dside = docs.frame(needs, values.alias("__v")).where(F.col("__v").isNotNull()).withColumn("__d", _as_double(F.col("__v"), etype))
-    dside = placed(dside, ["__d"])
-    at = F.col("__d_at").cast("long")
+    if is_list:
+        needs, held = needs | {("value", key)}, F.col(docs.stored_name("value", key))
+        dside = _each(docs.frame(needs), F.array_distinct(held), "__v")
+    else:
+        dside = docs.frame(needs, col.alias("__v")).where(F.col("__v").isNotNull())
+    dside = dside.withColumn("__d", _as_double(F.col("__v"), etype))
+    dside = dside.withColumn("__at", placed("__d")).drop("__d")
+    at = F.col("__at")
     ancestors = F.array(*[F.lit(r["__level"] * (1 << 32)).cast("long") + F.shiftright(at, r["__level"]) for r in sorted(used)])
     joined = dside.withColumn("__node", F.explode(ancestors)).join(F.broadcast(nodes) if small else nodes, "__node")
     hit = _in_bounds(F.col("__v"))
     if is_list:  # a document meets a range once: for its smallest value inside
-        hit = hit & (F.col("__v") == F.array_min(F.filter(col, _in_bounds)))
+        hit = hit & ((F.size(held) < 2) | (F.col("__v") == F.array_min(F.filter(held, _in_bounds))))
     return joined.where(hit)
 
 
-def _rarest(docs: _Docs, rows: DataFrame, key: str) -> DataFrame:
-    """The rows of ``rare`` anchors with the token of the least document frequency as ``__k``; without one that no document has."""
+def _rarest(rows: DataFrame, held) -> DataFrame:
+    """The rows of anchors with the one of their keys that the fewest documents hold as ``__k``; without those with a key that no document holds.
+
+    ``held`` takes a test for listed keys and returns the documents' distinct keys (``__k``) that pass it.
+    """
     wanted = rows.select("uid", "__j", F.explode("a.keys").alias("k"))
-    vocabulary = wanted.select("k").distinct()
-    tokens = docs.frame({("tokens", key)}).select(F.explode(F.filter(docs.stored_name("tokens", key), _listed(vocabulary))).alias("k"))
-    counts = tokens.groupBy("k").agg(F.count(F.lit(1)).alias("df"))
+    counts = held(_listed(wanted.select("k").distinct())).groupBy(F.col("__k").alias("k")).agg(F.count(F.lit(1)).alias("df"))
     best = (wanted.join(counts, "k", "left").groupBy("uid", "__j")
             .agg(F.min(F.struct("df", "k")).alias("m"), F.max(F.col("df").isNull()).alias("absent"))
             .where("not absent").select("uid", "__j", F.col("m.k").alias("__k")))
-    return rows.join(materialize(best, "rare-tokens"), ["uid", "__j"])
+    return rows.join(materialize(best, "rare-keys"), ["uid", "__j"])
 
 
-def _candidates(docs: _Docs, needs, rows: DataFrame, how: str, key: str, type_name: str, lengths: list[int], small: bool, most_rows: int):
-    """Rows of documents and anchors (line, __exact, __c, __j) that meet, each pair once per anchor."""
+def _candidates(docs: _Docs, needs, rows: DataFrame, how: str, key: str, type_name: str, lengths: list[int], choice: bool, paired: bool, small: bool, most_rows: int):
+    """Rows of documents and anchors (line, __exact, __c, __j) that meet, each pair once per anchor; ``choice``: some anchors have several keys, ``paired``: some keys are
+    pairs of tokens."""
     base = ["line", "__exact", "__c", "__j"]
     if how == "range":
         return _range_join(docs, needs, rows, key, type_name, most_rows)
@@ -504,11 +559,12 @@ def _candidates(docs: _Docs, needs, rows: DataFrame, how: str, key: str, type_na
     if how == "value":
         qside = rows.select(*base, _typed_list(F.col("a.keys"), type_name).alias("__ks"))
         qside = qside.select("*", F.explode("__ks").alias("__k"))
-        dside = docs.frame(needs, (F.explode(F.array_distinct(col)) if is_list else col).alias("__k")).where(F.col("__k").isNotNull())
         if is_list:  # a document with several of the values: for the smallest one
-            own = (F.size("__ks") < 2) | (F.col("__k") == F.array_min(F.array_intersect(col, F.col("__ks"))))
+            needs, values = needs | {("value", key)}, F.col(docs.stored_name("value", key))
+            dside = _each(docs.frame(needs), F.array_distinct(values), "__k")
+            own = (F.size("__ks") < 2) | (F.size(values) < 2) | (F.col("__k") == F.array_min(F.array_intersect(values, F.col("__ks"))))
         else:
-            qside = qside.drop("__ks")
+            dside, qside = docs.frame(needs, col.alias("__k")).where(F.col("__k").isNotNull()), qside.drop("__ks")
     elif how in ("token", "rare"):
         needs = needs | {("tokens", key)}
         have = F.col(docs.stored_name("tokens", key))
@@ -516,21 +572,29 @@ def _candidates(docs: _Docs, needs, rows: DataFrame, how: str, key: str, type_na
             qside = rows.select(*base, F.col("a.keys").alias("__ks"), F.explode("a.keys").alias("__k"))
             own = F.col("__k") == F.array_min(F.array_intersect(have, F.col("__ks")))
         else:
-            qside = _rarest(docs, rows, key).select(*base, "__k")
+            keyed = {("tokens", key)}
+            if paired:  # no token holds a space
+                keyed, have = keyed | {("words", key)}, F.concat(have, F.flatten(F.transform(F.col(docs.stored_name("words", key)), _pairs)))
+            needs = needs | keyed
+
+            def held(test):
+                return _each(docs.frame(keyed), F.array_distinct(F.filter(have, test)), "__k").select("__k")
+            qside = (_rarest(rows, held) if choice else rows.withColumn("__k", F.get("a.keys", 0))).select(*base, "__k")
         listed = _listed(qside.select(F.col("__k").alias("k")))
-        dside = docs.frame(needs).select("*", F.explode(F.filter(have, listed)).alias("__k"))
+        dside = _each(docs.frame(needs), F.array_distinct(F.filter(have, listed)), "__k")
     else:
-        qside = rows.select(*base, F.get("a.keys", 0).alias("__k"))
-        if how == "head":
+        if how == "gram":
             def keys(x):
-                return F.array(*[F.when(F.length(x) >= n, F.substring(x, 1, n)) for n in lengths])
+                return F.flatten(F.array(*[F.regexp_extract_all(x, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in lengths]))
         else:
             def keys(x):
-                return F.flatten(F.array(*[F.regexp_extract_all(x, F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in lengths]))
+                return F.array(*[F.when(F.length(x) >= n, F.substring(x, 1 if how == "head" else -n, n)) for n in lengths])
         found = F.flatten(F.transform(F.filter(col, lambda x: x.isNotNull()), keys)) if is_list else keys(col)
-        listed = _listed(qside.select(F.col("__k").alias("k")))
-        found = F.array_distinct(F.filter(found, lambda x: x.isNotNull() & listed(x)))
-        dside = docs.frame(needs, F.explode(found).alias("__k"))
+
+        def having(test, needs=frozenset()):
+            return _each(docs.frame(set(needs)), F.array_distinct(F.filter(found, lambda x: x.isNotNull() & test(x))), "__k")
+        qside = (_rarest(rows, lambda test: having(test).select("__k")) if choice else rows.withColumn("__k", F.get("a.keys", 0))).select(*base, "__k")
+        dside = having(_listed(qside.select(F.col("__k").alias("k"))), needs)
     joined = dside.join(F.broadcast(qside) if small else qside, "__k")
     return joined if own is None else joined.where(own)
 
@@ -559,8 +623,9 @@ def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: st
     each = anchors.select("exact", "bytes", F.explode("anchors").alias("a"))
     weight = F.greatest(F.size("a.keys"), F.lit(1))
     stats = (each.groupBy(F.col("a.how").alias("how"), F.col("a.key").alias("key"))
-             .agg(F.max("a.ty").alias("ty"), F.sum(weight).alias("rows"), F.sum(weight * F.when(F.col("exact"), 64).otherwise(F.col("bytes"))).alias("bytes"),
-                  F.collect_set(F.when(F.col("a.how").isin("head", "gram"), F.length(F.get("a.keys", 0)))).alias("lengths"))
+             .agg(F.max("a.ty").alias("ty"), (F.max(F.size("a.keys")) > 1).alias("choice"),
+                  F.max(F.exists("a.keys", lambda k: k.contains(" "))).alias("paired"), F.sum(weight).alias("rows"), F.sum(weight * F.when(F.col("exact"), 64).otherwise(F.col("bytes"))).alias("bytes"),
+                  F.collect_set(F.when(F.col("a.how").isin("head", "tail", "gram"), F.length(F.get("a.keys", 0)))).alias("lengths"))
              .collect())
     shapes = (lines.where(~F.col("exact")).groupBy("shape_id").agg(F.count(F.lit(1)).alias("n"), F.first("shape").alias("shape"))
               .orderBy(F.desc("n"), "shape_id").limit(compiled_shapes + 1).collect()) if told["tested"] else []
@@ -595,13 +660,14 @@ def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: st
         small = r["rows"] <= broadcast_rows and size <= broadcast_bytes
         # plan bytes per anchor row turn the byte budget into a row budget
         most_rows = min(broadcast_rows, broadcast_bytes // max(1, size // int(r["rows"])))
-        found = _candidates(docs, verifier.needs(leaves), rows, how, key, slots[r["ty"]], sorted(r["lengths"]), small, most_rows)
+        found = _candidates(docs, verifier.needs(leaves), rows, how, key, slots[r["ty"]], sorted(r["lengths"]), r["choice"], r["paired"], small, most_rows)
         if found is None:
             continue
         if tested:
             keep = F.when(F.col("__exact"), F.lit(True))
             for i, s in mine:
-                keep = keep.when(F.col("__c.sid") == i, verifier.compiled(s))
+                for j in [a["j"] for a in s["anchors"] if (a["how"], a["key"]) == (how, key)]:
+                    keep = keep.when((F.col("__c.sid") == i) & (F.col("__j") == j), verifier.compiled(s, j))
             found = found.where(keep.otherwise(F.lit(False) if every else verifier.interpreted(others)))
         parts.append(found.select("line", *docs.columns))
     if told["open"]:
