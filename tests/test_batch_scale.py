@@ -52,3 +52,23 @@ def test_cells_of_odd_values(spark):
     assert [r[0] for r in df.select(M._cells(spark, cuts)("v")).collect()] == [0, 0, 1, 1, 1, 2, 3, 3, 3, 4]
 
 
+def test_wildcards_meet_by_their_last_characters(spark):
+    docs = spark.range(3000).select(F.col("id").alias("at"), F.concat(F.lit("Näme#"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("s"))
+    schema = docs.schema.jsonValue()
+    assert anchors({"wildcard": {"s": {"value": "*0001"}}}, schema) == [("tail", ["0001"])]
+    assert anchors({"wildcard": {"s": {"value": "N*0001"}}}, schema) == [("tail", ["0001"])]
+    assert anchors({"wildcard": {"s": {"value": "Näme*01"}}}, schema) == [("head", ["Näme"])]
+    assert anchors({"wildcard": {"s": {"value": "*0012?*e*"}}}, schema) == [("gram", ["001", "012"])]
+    assert anchors({"wildcard": {"s": {"value": "e*0012*"}}}, schema) == [("gram", ["001", "012"])]
+    lines = [{"wildcard": {"s": {"value": v}}} for v in ("*0001", "N*0001", "Näme*01", "*0012*", "?ä*0012*", "*#0*29?9", "*9", "*", "*ä*", "*0001*0", "N\\**", "zz*1")]
+    want = pairs(multi_query(docs, lines))
+    assert pairs(batch_query(docs, table(spark, lines))) == want
+    assert pairs(batch_query(docs, table(spark, lines), broadcast_rows=1, broadcast_bytes=1, compiled_shapes=0)) == want
+    # a gram that all values hold is not the anchor while a rarer one is there
+    d = M._Docs(docs, None)
+    rows = spark.createDataFrame([(1, 0, ["001", "e#0"])], "uid long, __j int, keys array<string>").select("uid", "__j", F.struct("keys").alias("a"),
+                                                                                                      F.col("uid").alias("line"), F.lit(False).alias("__exact"), F.lit(None).cast("string").alias("__c"))
+    found = M._candidates(d, set(), rows, "gram", "s", "string", [3], True, False, True, 100)
+    assert found.count() == docs.where("contains(s, '001')").count()
+
+
