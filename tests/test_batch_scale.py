@@ -52,6 +52,18 @@ def test_cells_of_odd_values(spark):
     assert [r[0] for r in df.select(M._cells(spark, cuts)("v")).collect()] == [0, 0, 1, 1, 1, 2, 3, 3, 3, 4]
 
 
+def test_untyped_values_are_read_once_per_document(spark):
+    docs = spark.range(200).select(F.col("id").alias("at"), F.col("id").cast("string").alias("_id"),
+                                   F.to_variant_object(F.struct((F.col("id") % 40).alias("n"), F.array(F.col("id") % 7, F.col("id") % 5).alias("ns"))).alias("_source"))
+    lines = [{"range": {"n": {"gte": i, "lt": i + 3}}} for i in range(30)] + [{"range": {"ns": {"gte": 1, "lt": 4}}}, {"terms": {"ns": [1, 2, 3]}}] \
+        + [{"bool": {"must": [{"range": {"n": {"gte": i}}}, {"term": {"ns": 2}}]}} for i in range(5)] \
+        + [{"bool": {"should": [{"range": {"n": {"lt": i}}}, {"range": {"ns": {"gte": 6}}}, {"term": {"n": 39}}]}} for i in range(5)]
+    df = batch_query(docs, table(spark, lines))
+    joins = [x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join " in x]
+    assert joins and not any("variant_get" in x for x in joins)
+    assert pairs(df) == pairs(multi_query(docs, lines))
+
+
 def test_wildcards_meet_by_their_last_characters(spark):
     docs = spark.range(3000).select(F.col("id").alias("at"), F.concat(F.lit("Näme#"), F.lpad(F.col("id").cast("string"), 6, "0")).alias("s"))
     schema = docs.schema.jsonValue()
