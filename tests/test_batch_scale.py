@@ -84,3 +84,18 @@ def test_wildcards_meet_by_their_last_characters(spark):
     assert found.count() == docs.where("contains(s, '001')").count()
 
 
+def test_phrases_meet_by_neighbouring_tokens(spark):
+    texts = ["red fox", "fox red", "red  quick fox", "Red, FOX! red", "fox fox red", "quick red-fox the end", None, "", "the end of the red", "über fox end the"]
+    docs = spark.createDataFrame(list(enumerate(texts * 5)), "at int, s string").withColumn("ss", F.array("s", F.lit("fox the"), F.lit(None)))
+    assert anchors({"match_phrase": {"s": "Red fox the red fox"}}, docs.schema.jsonValue()) == [("rare", ["fox the", "red fox", "the red"])]
+    lines = [{"match_phrase": {f: p}} for f in ("s", "ss") for p in ("red fox", "fox fox red", "the end", "fox", "end of the red", "fox the", "nope fox", "fox fox fox")]
+    lines += [{"match": {"s": {"query": "fox red the", "operator": "and"}}}, {"match": {"ss": {"query": "fox quick end the red", "operator": "and"}}}, {"match": {"s": "end"}},
+              {"bool": {"must": [{"match_phrase": {"s": "red fox"}}, {"match": {"s": {"query": "end quick", "operator": "and"}}}], "must_not": [{"match": {"s": "of"}}]}}]
+    want = pairs(multi_query(docs, lines))
+    assert pairs(batch_query(docs, table(spark, lines))) == want
+    assert pairs(batch_query(docs, table(spark, lines), broadcast_rows=1, broadcast_bytes=1, compiled_shapes=0)) == want
+    rows = spark.createDataFrame([(1, 0, ["red fox"])], "uid long, __j int, keys array<string>").select("uid", "__j", F.struct("keys").alias("a"),
+                                                                                                F.col("uid").alias("line"), F.lit(False).alias("__exact"), F.lit(None).cast("string").alias("__c"))
+    assert M._candidates(M._Docs(docs, None), set(), rows, "rare", "s", "string", [], False, True, True, 100).count() == 5 * 3
+
+
