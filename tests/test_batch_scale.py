@@ -99,3 +99,13 @@ def test_phrases_meet_by_neighbouring_tokens(spark):
     assert M._candidates(M._Docs(docs, None), set(), rows, "rare", "s", "string", [], False, True, True, 100).count() == 5 * 3
 
 
+def test_repeated_lines_are_written_line_by_line(spark):
+    docs = spark.range(0, 400, 1, 2).select(F.col("id").alias("at"), (F.col("id") % 5).alias("n"))
+    lines = spark.range(60).select(F.col("id").alias("query_no"), F.parse_json(F.format_string('{"terms":{"n":[%d,%d]}}', F.col("id") % 3, F.col("id") % 3 + 1)).alias("query"))
+    got = batch_query(docs, lines).select(F.spark_partition_id().alias("p"), (F.col("query_no") % 3).alias("line")).collect()
+    assert len(got) == 60 * 160
+    turns = {}
+    for a, b in zip(got, got[1:]):
+        if a["p"] == b["p"]:
+            turns[a["p"]] = turns.get(a["p"], 0) + (a["line"] != b["line"])
+    assert turns and max(turns.values()) <= 2
