@@ -10,7 +10,7 @@ A query list is a bag union: a document matching two lines appears twice
   1. Each line is planned in the tasks (:mod:`.lineplan`): canonical form, literals
      typed once, a postfix program, and anchors, i.e. leaves of which every matching document
      meets at least one. Equal lines have equal plans; each different plan is answered once and
-     its result fanned out to the line numbers at the end.
+     its result fanned out to the line numbers at the end; the numbers of a plan are held as arrays.
   2. Candidates come from one equi-join per kind and field of the anchors:
 
      - ``value`` (term, terms, ids): hash join on the typed value;
@@ -120,9 +120,9 @@ def _values(base: Column | None, dtype, parts: list[str], vtype: str | None):
         lists = F.transform(base, lambda x: _values(x, dtype.elementType, parts, vtype)[0])
         return (F.flatten(F.filter(lists, lambda x: x.isNotNull())) if nested else lists), etype, True
     if isinstance(dtype, T.VariantType):
-        node = F.try_variant_get(base, "$" + "".join(f"[{json.dumps(p)}]" for p in parts), "variant")
-        found = F.when(F.schema_of_variant(node).startswith("ARRAY"), F.try_variant_get(node, "$", f"array<{vtype}>")) \
-                 .when(node.isNotNull(), F.array(F.try_variant_get(node, "$", vtype)))
+        path = "$" + "".join(f"[{json.dumps(p)}]" for p in parts)
+        # only arrays can be read as one; two lookups a field, without the text of its schema
+        found = F.coalesce(F.try_variant_get(base, path, f"array<{vtype}>"), F.array(F.try_variant_get(base, path, vtype)))
         return found, _VARIANT_PROBE[vtype], True
     if not parts:
         return base, dtype, False
@@ -225,10 +225,35 @@ def _typed_lists(lists: Column, type_name: str) -> Column:
     return F.transform(lists, lambda xs: _typed_list(xs, type_name))
 
 
+#: About so many numbers of lines with one plan are in one array.
+_SET = 1 << 16
+
+
+def _sets() -> Column:
+    return F.ceil(F.col("n") / _SET)
+
+
+def _alone() -> Column:
+    """Whether a plan is that of one line, and its number can stand for it."""
+    return (F.col("n") == 1) & (F.col("no") >= 0)
+
+
+def _line() -> Column:
+    """The number to answer by: of a line alone its own, else one below zero, for which the lines' numbers are put in at the end."""
+    return F.when(_alone(), F.col("no")).otherwise(-1 - F.col("uid"))
+
+
+def _number_sets(numbers: DataFrame) -> DataFrame:
+    """``(line, __numbers)``: the numbers of each line in ascending order, those of a very common one in several arrays."""
+    at = F.pmod(F.xxhash64(QUERY_NO), _sets())
+    return numbers.groupBy("line", at.alias("__at")).agg(F.sort_array(F.collect_list(QUERY_NO)).alias("__numbers")).drop("__at")
+
+
 def _plan_lines(queries: DataFrame, schema, has_id: bool, slots: list[str]) -> tuple[DataFrame, DataFrame, dict]:
-    """(lines, numbers, told): the different plans, stored, with a number each (``uid``) and the least number of the lines that have it
-    (``no``); ``(uid, query_no)``; and how many plans there are (``plans``) of how many lines (``lines``), how many without
-    anchors (``open``) and how many to verify (``tested``), observed while they are written."""
+    """(lines, numbers, told): the different plans, stored, with a number each (``uid``), the count of the lines that have it (``n``), the least
+    of their numbers (``no``) and the number to answer by (``line``); ``(line, n, query_no)`` of the plans that several lines have; and how many plans
+    are without anchors (``open``), how many to verify (``tested``), how many lines have such a shared plan (``many``) and in how many arrays
+    their numbers are (``sets``), observed while they are written."""
     from . import clauses, lineplan
 
     # the planner and the parser travel with the task, so the executors need no installed copy of this package
@@ -244,9 +269,11 @@ def _plan_lines(queries: DataFrame, schema, has_id: bool, slots: list[str]) -> t
             .select(F.monotonically_increasing_id().alias("uid"), "same", "n", "no", "bytes", "p.exact", "p.q", "p.shape", F.md5("p.shape").alias("shape_id"),
                     "p.depth", "p.prog", "p.leaves", "p.anchors", "p.tokens", *typed))
     seen = Observation()
-    lines = materialize(flat.observe(seen, F.count(F.lit(1)).alias("plans"), F.coalesce(F.sum("n"), F.lit(0)).alias("lines"), F.count("q").alias("open"),
-                                     F.count(F.when(~F.col("exact"), 1)).alias("tested")).drop("n"), "lines")
-    numbers = planned.select(QUERY_NO, "same").join(lines.select("uid", "same"), "same").select("uid", QUERY_NO)
+    lines = materialize(flat.observe(seen, F.count("q").alias("open"), F.count(F.when(~F.col("exact"), 1)).alias("tested"),
+                                     F.coalesce(F.sum(F.when(~_alone(), F.col("n"))), F.lit(0)).alias("many"),
+                                     F.coalesce(F.sum(F.when(~_alone(), _sets())), F.lit(0)).alias("sets")), "lines")
+    lines = lines.withColumn("line", _line())
+    numbers = planned.select(QUERY_NO, "same").join(lines.where(~_alone()).select("line", "same", "n"), "same").select("line", "n", QUERY_NO)
     return lines, numbers, seen.get
 
 
@@ -615,9 +642,6 @@ def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: st
     schema = docs.resolver.base_type.jsonValue()
     slots = sorted(_element_types(schema) | {"string"})
     lines, numbers, told = _plan_lines(queries, schema, "_id" in df.columns, slots)
-    repeated = told["plans"] != told["lines"]
-    # the number to answer by: with one line a plan its own, else the plan's, fanned out at the end
-    lines = lines.withColumn("line", F.col("uid" if repeated else "no"))
     anchors = lines.where(F.col("anchors").isNotNull())
     # small jobs over the stored plans, bounded by kinds x fields and by the shapes asked for
     each = anchors.select("exact", "bytes", F.explode("anchors").alias("a"))
@@ -675,14 +699,15 @@ def batch_query(df: DataFrame, queries: DataFrame, id_col: str = "_id", root: st
     if not parts:
         return df.select(F.lit(None).cast("long").alias(QUERY_NO), *docs.columns).limit(0)
     out = reduce(DataFrame.unionByName, parts)
-    if not repeated:
+    if not told["many"]:
         return out.select(F.col("line").cast("long").alias(QUERY_NO), *docs.columns)
-    numbers = materialize(numbers.withColumnRenamed("uid", "line"), "line-numbers")
-    if told["lines"] <= broadcast_rows:
+    numbers = materialize(_number_sets(numbers), "line-numbers")
+    if told["sets"] <= broadcast_rows and 8 * told["many"] + 64 * told["sets"] <= broadcast_bytes:
         # the documents of a line one after the other: its numbers then come as equal runs, which writers pack well (the join by shuffle sorts
         # anyway). A sort right below a join would be optimized away, the always true filter keeps it
         out, numbers = out.sortWithinPartitions("line").where(F.monotonically_increasing_id() >= 0), F.broadcast(numbers)
-    return out.join(numbers, "line").select(QUERY_NO, *docs.columns)
+    # an array of numbers a hit, not a row each: what is shuffled or broadcast does not grow with the result
+    return out.join(numbers, "line", "left").select(F.explode(F.coalesce("__numbers", F.array("line"))).alias(QUERY_NO), *docs.columns)
 
 
 def _unanchored(df: DataFrame, lines: DataFrame, root, slice_size: int) -> list[DataFrame]:

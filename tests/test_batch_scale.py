@@ -109,3 +109,44 @@ def test_repeated_lines_are_written_line_by_line(spark):
         if a["p"] == b["p"]:
             turns[a["p"]] = turns.get(a["p"], 0) + (a["line"] != b["line"])
     assert turns and max(turns.values()) <= 2
+
+
+def test_numbers_of_shared_lines_are_not_joined_row_by_row(spark):
+    docs = spark.range(300).select(F.col("id").alias("at"), (F.col("id") % 10).alias("n"))
+    lines = [{"term": {"n": i % 3}} for i in range(40)] + [{"range": {"n": {"gte": 4 + i, "lt": 6}}} for i in range(3)]
+    want = pairs(multi_query(docs, lines))
+    df = batch_query(docs, table(spark, lines))
+    assert pairs(df) == want
+    held = [x for x in df._jdf.queryExecution().optimizedPlan().collectLeaves().mkString("\n").splitlines() if "__numbers" in x]
+    assert len(held) == 1  # 41 numbers in arrays, one a plan: broadcast and shuffles are as large as the list, also where the result is not
+    assert "LeftOuter" in df._jdf.queryExecution().optimizedPlan().toString()
+    assert pairs(batch_query(docs, table(spark, lines), broadcast_rows=1, broadcast_bytes=1)) == want
+    assert pairs(batch_query(docs, table(spark, lines), broadcast_bytes=800)) == want
+
+
+def test_sets_of_numbers_are_bounded_and_whole(spark, monkeypatch):
+    monkeypatch.setattr(M, "_SET", 10)
+    docs = spark.range(20).select(F.col("id").alias("at"), (F.col("id") % 4).alias("n"))
+    numbers = [-7, -7, *range(200)]  # a number may be below zero or there twice
+    lines = spark.createDataFrame([(n, json.dumps({"term": {"n": 1}})) for n in numbers] + [(-3, json.dumps({"term": {"n": 2}})), (5000, json.dumps({"term": {"n": 3}}))],
+                                  "query_no long, q string").select("query_no", F.parse_json("q").alias("query"))
+    for limits in ({}, {"broadcast_rows": 1, "broadcast_bytes": 1}):
+        got = batch_query(docs, lines, **limits).groupBy("query_no", "n").count().collect()
+        times = {(r["query_no"], r["n"]): r["count"] for r in got}
+        assert times == {**{(n, 1): 5 * numbers.count(n) for n in numbers}, (-3, 2): 5, (5000, 3): 5}
+    sets = M._number_sets(spark.range(200).select(F.lit(1).alias("line"), F.lit(200).alias("n"), F.col("id").alias("query_no"))).collect()
+    assert len(sets) > 10 and max(len(r["__numbers"]) for r in sets) < 40 and sorted(x for r in sets for x in r["__numbers"]) == list(range(200))
+
+
+def test_untyped_values_of_all_kinds(spark):
+    texts = ['{"v":1}', '{"v":[1,2,"1"]}', '{"v":null}', '{}', '{"v":[null]}', '{"v":"1"}', '{"v":{"w":1}}', '{"v":[]}', '{"v":[[1]]}', '{"v":1.5}', '{"v":true}', '{"v":"red fox"}',
+             '{"v":["red","blue fox"]}', '[1]', '{"v":{"w":[1,3]}}', '{"v":[{"w":1},{"w":3}]}']
+    docs = spark.createDataFrame(list(enumerate(texts)), "at int, t string").select("at", F.col("at").cast("string").alias("_id"), F.parse_json("t").alias("_source"))
+    lines = [{"term": {"v": 1}}, {"term": {"v": "1"}}, {"range": {"v": {"gte": 0, "lt": 2}}}, {"range": {"v": {"lte": 1}}}, {"match": {"v": "fox"}}, {"term": {"v": True}}, {"terms": {"v": [1, 2, 1.5]}},
+             {"term": {"v.w": 1}}, {"range": {"v.w": {"gt": 2}}}, {"prefix": {"v": "r"}}, {"prefix": {"v": "["}}, {"wildcard": {"v": {"value": "*fox"}}}, {"match_phrase": {"v": "red fox"}},
+             {"bool": {"must": [{"match": {"v": "fox"}}], "must_not": [{"term": {"v": "red"}}]}}, {"bool": {"must": [{"range": {"v": {"gte": 1}}}], "must_not": [{"term": {"v": 2}}]}}]
+    want = pairs(multi_query(docs, lines))
+    assert want and pairs(batch_query(docs, table(spark, lines))) == want
+    assert pairs(batch_query(docs, table(spark, lines), compiled_shapes=0)) == want
+    plan = batch_query(docs, table(spark, lines))._jdf.queryExecution().optimizedPlan().toString()
+    assert "schemaOfVariant" not in plan and "schema_of_variant" not in plan
