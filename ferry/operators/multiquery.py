@@ -252,8 +252,8 @@ def _number_sets(numbers: DataFrame) -> DataFrame:
 def _plan_lines(queries: DataFrame, schema, has_id: bool, slots: list[str]) -> tuple[DataFrame, DataFrame, dict]:
     """(lines, numbers, told): the different plans, stored, with a number each (``uid``), the count of the lines that have it (``n``), the least
     of their numbers (``no``) and the number to answer by (``line``); ``(line, n, query_no)`` of the plans that several lines have; and how many plans
-    are without anchors (``open``), how many to verify (``tested``), how many lines have such a shared plan (``many``) and in how many arrays
-    their numbers are (``sets``), observed while they are written."""
+    there are (``plans``) of how many lines (``lines``), how many without anchors (``open``) and how many to verify (``tested``), how many lines have
+    such a shared plan (``many``) and in how many arrays their numbers are (``sets``), observed while they are written."""
     from . import clauses, lineplan
 
     # the planner and the parser travel with the task, so the executors need no installed copy of this package
@@ -269,7 +269,8 @@ def _plan_lines(queries: DataFrame, schema, has_id: bool, slots: list[str]) -> t
             .select(F.monotonically_increasing_id().alias("uid"), "same", "n", "no", "bytes", "p.exact", "p.q", "p.shape", F.md5("p.shape").alias("shape_id"),
                     "p.depth", "p.prog", "p.leaves", "p.anchors", "p.tokens", *typed))
     seen = Observation()
-    lines = materialize(flat.observe(seen, F.count("q").alias("open"), F.count(F.when(~F.col("exact"), 1)).alias("tested"),
+    lines = materialize(flat.observe(seen, F.count(F.lit(1)).alias("plans"), F.coalesce(F.sum("n"), F.lit(0)).alias("lines"), F.count("q").alias("open"),
+                                     F.count(F.when(~F.col("exact"), 1)).alias("tested"),
                                      F.coalesce(F.sum(F.when(~_alone(), F.col("n"))), F.lit(0)).alias("many"),
                                      F.coalesce(F.sum(F.when(~_alone(), _sets())), F.lit(0)).alias("sets")), "lines")
     lines = lines.withColumn("line", _line())
